@@ -6,14 +6,14 @@ Everything here is a native Catalyst expression; no Python runs per row.
 from __future__ import annotations
 
 import itertools
+import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Mean Earth radius in km used by the distance formula.
 EARTH_RADIUS_KM = 6371.0
 
-# Largest city dimension shipped whole to every task. Beyond it the nearest-city
-# search switches to the cell-indexed join (``nearest_city_grid``).
+# Largest city dimension accepted by the nearest-city index (checked at run time).
 DEFAULT_MAX_BROADCAST_CITIES = 10_000
 
 
@@ -70,33 +70,110 @@ def city_list(geo: DataFrame, max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) ->
     one_row = pts.agg(
         F.when(F.count(F.lit(1)) <= F.lit(max_cities), F.array_sort(F.collect_list(s)))
         .otherwise(F.raise_error(F.lit(
-            f"city dimension exceeds {max_cities} rows; use nearest_city_grid")))
+            f"city dimension exceeds {max_cities} rows; raise max_cities")))
         .alias("cities"))
     return one_row.scalar()
 
 
+# Edge of the cells of the nearest-city index, in km.
+DEFAULT_INDEX_CELL_KM = 250.0
+
+
+def _box_dist2(c) -> tuple[Column, Column]:
+    """Squared (min, max) distance from point struct ``c`` to the row's cell box."""
+    mn, mx = F.lit(0.0), F.lit(0.0)
+    for ax in ("x", "y", "z"):
+        v, a, b = c[ax], F.col(f"_lo_{ax}"), F.col(f"_hi_{ax}")
+        mn = mn + F.pow(F.greatest(a - v, F.lit(0.0), v - b), 2)
+        mx = mx + F.pow(F.greatest(F.abs(v - a), F.abs(v - b)), 2)
+    return mn, mx
+
+
+def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
+                       max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
+    """Cell -> candidate cities, over every cell of a fixed grid that meets the sphere.
+
+    For a point p in cell K and any city c', d(p, nearest) <= d(p, c') <=
+    maxdist(c', K); so the nearest city is among the cities with
+    mindist(c, K) <= min over c' of maxdist(c', K). Exact (a tiny relative
+    margin absorbs rounding), and usually one to three candidates per cell.
+
+    Size is bounded by construction: at most (2R / cell_km + 3)^3 cells, each
+    holding at most ``max_cities`` candidates (checked in the city list).
+    """
+    e = cell_km / EARTH_RADIUS_KM                      # cell edge on the unit sphere
+    lo_i = int(math.floor(-1.0 / e)) - 1
+    n = int(math.floor(1.0 / e)) - lo_i + 2
+    g = geo.sparkSession.range(n ** 3).select(
+        (F.col("id") % n + lo_i).alias("cx"),
+        ((F.col("id") / n).cast("long") % n + lo_i).alias("cy"),
+        ((F.col("id") / (n * n)).cast("long") + lo_i).alias("cz"))
+    g = g.select("cx", "cy", "cz", *[
+        (F.col(f"c{ax}") * e).alias(f"_lo_{ax}") for ax in "xyz"], *[
+        ((F.col(f"c{ax}") + 1) * e).alias(f"_hi_{ax}") for ax in "xyz"])
+    lo = [F.col(f"_lo_{ax}") for ax in "xyz"]
+    hi = [F.col(f"_hi_{ax}") for ax in "xyz"]
+    near2 = sum(F.greatest(a, F.lit(0.0), -b) * F.greatest(a, F.lit(0.0), -b)
+                for a, b in zip(lo, hi))
+    far2 = sum(F.greatest(a * a, b * b) for a, b in zip(lo, hi))
+    shell = g.where((near2 <= 1.0 + 1e-9) & (far2 >= 1.0 - 1e-9))
+    t = shell.withColumn("_cities", city_list(geo, max_cities))
+    t = t.withColumn("_u", F.array_min(F.transform("_cities", lambda c: _box_dist2(c)[1])))
+    t = t.withColumn("cands", F.filter(
+        "_cities", lambda c: _box_dist2(c)[0] <= F.col("_u") * (1 + 1e-9) + 1e-15))
+    return t.select("cx", "cy", "cz", "cands")
+
+
+_INDEX_CACHE: dict[tuple, DataFrame] = {}
+
+
+def cached_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
+                      max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
+    """``nearest_city_index`` built once per session and dimension plan.
+
+    The index is small and cached in executor memory; a lost block is rebuilt
+    from its (tiny) lineage. Keyed by the semantic hash of the dimension's
+    plan, so two reads of the same handbook share it.
+    """
+    key = (geo.sparkSession.sparkContext.applicationId, geo.semanticHash(), cell_km, max_cities)
+    idx = _INDEX_CACHE.get(key)
+    if idx is None:
+        idx = nearest_city_index(geo, cell_km, max_cities).cache()
+        _INDEX_CACHE[key] = idx
+    return idx
+
+
 def with_nearest_city(df: DataFrame, geo: DataFrame, lat: str = "lat", lon: str = "lon",
-                      out: str = "nearest",
+                      out: str = "nearest", cell_km: float = DEFAULT_INDEX_CELL_KM,
                       max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
     """Append ``out = struct(zone_id, city, tz, lat, lon)`` of the nearest city.
 
     NULL when the point is NULL/NaN or the dimension is empty. Ties go to the
-    lowest ``zone_id`` (first minimum of the zone-sorted array). Distances are
-    compared as squared chords of unit vectors: same order as the haversine
-    distance, no trigonometry per (row, city).
+    lowest ``zone_id``. Each row looks up its cell in the broadcast candidate
+    index (``nearest_city_index``, size bounded by construction) and, only
+    where a cell holds several candidates, compares squared chord lengths of
+    unit vectors - the same order as the haversine distance.
     """
     x, y, z = unit_vector(lat, lon)
-    t = (df.withColumn("_nc_cities", city_list(geo, max_cities))
-         .withColumn("_nc_p", F.when(valid_coords(lat, lon), F.struct(
-             x.alias("x"), y.alias("y"), z.alias("z")))))
-    t = t.withColumn("_nc_d", F.transform(
-        "_nc_cities",
-        lambda c: (F.pow(c["x"] - F.col("_nc_p.x"), 2) + F.pow(c["y"] - F.col("_nc_p.y"), 2)
-                   + F.pow(c["z"] - F.col("_nc_p.z"), 2))))
-    best = F.element_at("_nc_cities", F.array_position("_nc_d", F.array_min("_nc_d")).cast("int"))
-    res = F.when(F.col("_nc_p").isNotNull() & (F.size("_nc_cities") > 0),
-                 F.struct(*[best[f].alias(f) for f in ("zone_id", "city", "tz", "lat", "lon")]))
-    return t.withColumn(out, res).drop("_nc_cities", "_nc_p", "_nc_d")
+    e = cell_km / EARTH_RADIUS_KM
+    t = df.withColumn("_nc_p", F.when(valid_coords(lat, lon), F.struct(
+        x.alias("x"), y.alias("y"), z.alias("z"))))
+    t = t.withColumns({"_nc_x": F.floor(F.col("_nc_p.x") / e),
+                       "_nc_y": F.floor(F.col("_nc_p.y") / e),
+                       "_nc_z": F.floor(F.col("_nc_p.z") / e)})
+    idx = F.broadcast(cached_city_index(geo, cell_km, max_cities)
+                      .withColumnsRenamed({"cx": "_nc_x", "cy": "_nc_y", "cz": "_nc_z",
+                                           "cands": "_nc_c"}))
+    t = t.join(idx, ["_nc_x", "_nc_y", "_nc_z"], "left")
+    d = F.transform("_nc_c", lambda c: (
+        F.pow(c["x"] - F.col("_nc_p.x"), 2) + F.pow(c["y"] - F.col("_nc_p.y"), 2)
+        + F.pow(c["z"] - F.col("_nc_p.z"), 2)))
+    best = F.when(F.size("_nc_c") <= 1, F.try_element_at("_nc_c", F.lit(1))).otherwise(
+        F.element_at("_nc_c", F.array_position(d, F.array_min(d)).cast("int")))
+    t = t.withColumn("_nc_b", F.when(F.col("_nc_p").isNotNull(), best))
+    res = F.when(F.col("_nc_b").isNotNull(), F.struct(
+        *[F.col("_nc_b")[f].alias(f) for f in ("zone_id", "city", "tz", "lat", "lon")]))
+    return t.withColumn(out, res).drop("_nc_x", "_nc_y", "_nc_z", "_nc_p", "_nc_c", "_nc_b")
 
 
 # ---------------------------------------------------------------- spatial cells

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citymarts.functions.geo import with_nearest_city
+from citymarts.session import ensure_checkpoint_dir
 
 ORDER = ("message_ts", "event_id")
 
@@ -55,45 +56,66 @@ def last_city(messages: DataFrame) -> DataFrame:
                      F.from_utc_timestamp("message_ts", F.col("tz")).alias("local_time"))
 
 
-def city_runs(messages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
-    """Gaps and islands over each user's messages, latest first.
+def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """(per-message runs, per-(user, bucket) summaries) from ONE shuffle of the messages.
 
-    ``next_city`` is the city of the chronologically next message (a lag over
-    descending time). ``flag`` is 1 when both cities are known and differ.
-    ``seq_label`` is the running sum of flags from the latest message down,
-    i.e. the number of city changes at or after this message.
+    Eager: the level-1 result is checkpointed (one job) when this is called.
 
-    Level 1 windows over (user, bucket); level 2 computes, per bucket, the
-    flag of its last message (against the first message of the next non-empty
-    bucket) and the number of flags in all later buckets.
+    Level 1 windows over (user, bucket) on the explicitly hash-partitioned
+    messages; the bucket summary aggregate reuses that partitioning and sort
+    order. Level 2 windows over one row per (user, bucket) and yields, per
+    bucket, the flag of its last message (against the first message of the
+    next non-empty bucket), the number of flags in all later buckets and
+    whether it is the user's latest bucket.
     """
     us = int(bucket_seconds) * 1_000_000
-    m = messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
+    m = (messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
+         .repartition("user_id", "_b"))
     desc = [F.col(c).desc() for c in ORDER]
     w1 = Window.partitionBy("user_id", "_b").orderBy(*desc)
     m = m.withColumn("_nxt", F.lag(F.struct(F.col("city").alias("c")), 1).over(w1))
     m = m.withColumn("_f", F.when(F.col("city") != F.col("_nxt.c"), 1).otherwise(0))
     m = m.withColumn("_s", F.sum("_f").over(
         w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # Several consumers read this (bucket summaries, labelled rows): write it once
+    # to the shared checkpoint folder; partitioning and order survive, so the
+    # summary aggregate and the join back need no new shuffle of the messages.
+    ensure_checkpoint_dir(m.sparkSession)
+    m = m.checkpoint(eager=True)
 
+    extra = [c for c in messages.columns if c not in ("user_id",)]
     s = m.groupBy("user_id", "_b").agg(
         F.min_by("city", _chrono()).alias("_first"),
-        F.max_by("city", _chrono()).alias("_last"),
+        F.max_by(F.struct(*extra), _chrono()).alias("_lastm"),
         F.sum("_f").alias("_nf"))
     w2 = Window.partitionBy("user_id").orderBy(F.col("_b").desc())
     s = s.withColumn("_nb", F.lag(F.struct(F.col("_first").alias("c")), 1).over(w2))
-    s = s.withColumn("_bf", F.when(F.col("_last") != F.col("_nb.c"), 1).otherwise(0))
+    s = s.withColumn("_bf", F.when(F.col("_lastm.city") != F.col("_nb.c"), 1).otherwise(0))
     s = s.withColumn("_later", F.coalesce(
         F.sum(F.col("_nf") + F.col("_bf")).over(w2.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
+    s = s.withColumn("_latest", F.lag("_b", 1).over(w2).isNull())
 
     r = m.join(s.select("user_id", "_b", "_nb", "_bf", "_later"), ["user_id", "_b"])
     last_in_bucket = F.col("_nxt").isNull()
-    return r.select(
-        *[c for c in messages.columns],
+    runs = r.select(
+        *messages.columns,
         F.when(last_in_bucket, F.col("_nb.c")).otherwise(F.col("_nxt.c")).alias("next_city"),
         F.when(last_in_bucket, F.col("_bf")).otherwise(F.col("_f")).alias("flag"),
         (F.col("_s") + F.col("_bf") + F.col("_later")).cast("bigint").alias("seq_label"))
+    return runs, s
+
+
+def city_runs(messages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """Gaps and islands over each user's messages, latest first.
+
+    ``next_city`` is the city of the chronologically next message (a lag over
+    descending time). ``flag`` is 1 when both cities are known and differ.
+    ``seq_label`` is the running sum of flags from the latest message down,
+    i.e. the number of city changes at or after this message. Input needs
+    ``user_id, event_id, message_ts, city``; other columns are carried.
+    """
+    return _bucketed_runs(messages, bucket_seconds)[0]
 
 
 def city_stays(runs: DataFrame) -> DataFrame:
@@ -134,11 +156,19 @@ def travels(runs: DataFrame) -> DataFrame:
 
 def users_in_cities(events: DataFrame, geo: DataFrame, min_days: int = 27,
                     bucket_seconds: int = 3600) -> DataFrame:
-    """Mart: ``user_id, act_city, home_city, travel_count, travel_array, local_time``."""
-    msgs = messages_in_cities(events, geo)
-    runs = city_runs(msgs.select("user_id", "event_id", "message_ts", "day", "city"),
-                     bucket_seconds)
-    return (last_city(msgs)
+    """Mart: ``user_id, act_city, home_city, travel_count, travel_array, local_time``.
+
+    Every part derives from one shuffle of the messages by (user, bucket):
+    the latest message comes from the bucket summaries, home city and travels
+    from the labelled messages.
+    """
+    msgs = messages_in_cities(events, geo).select(
+        "user_id", "event_id", "message_ts", "day", "city", "tz")
+    runs, buckets = _bucketed_runs(msgs, bucket_seconds)
+    last = buckets.where(F.col("_latest")).select(
+        "user_id", F.col("_lastm.city").alias("act_city"),
+        F.from_utc_timestamp("_lastm.message_ts", F.col("_lastm.tz")).alias("local_time"))
+    return (last
             .join(home_city(runs, min_days), "user_id", "left")
             .join(travels(runs), "user_id", "left")
             .select("user_id", "act_city", "home_city", "travel_count", "travel_array",
