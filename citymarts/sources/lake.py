@@ -109,9 +109,18 @@ def validate_geo(geo: DataFrame) -> DataFrame:
     return geo.where(check.scalar())
 
 
+_VALIDATED: set[tuple[str, str]] = set()
+
+
 def read_geo_handbook(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
+    """The city dimension; uniqueness of ``zone_id`` / ``city`` is checked once per
+    session and path (one tiny aggregate job), not inside every query plan."""
     geo = spark.read.schema(GEO_SCHEMA).parquet(path)
-    return validate_geo(geo) if validate else geo
+    key = (spark.sparkContext.applicationId, path)
+    if validate and key not in _VALIDATED:
+        validate_geo(geo).count()
+        _VALIDATED.add(key)
+    return geo
 
 
 def geo_handbook_from_csv(spark: SparkSession, csv_path: str, out_path: str,
