@@ -124,23 +124,31 @@ def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
     return t.select("cx", "cy", "cz", "cands")
 
 
-_INDEX_CACHE: dict[tuple, DataFrame] = {}
+# Broadcast the nearest-city index only up to this many (cell, candidate) entries;
+# beyond it (e.g. a dense city cluster seen from far-away cells) it is joined by
+# a shuffle on the cell key instead.
+MAX_BROADCAST_INDEX_ENTRIES = 2_000_000
+
+_INDEX_CACHE: dict[tuple, tuple[DataFrame, int]] = {}
 
 
 def cached_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
-                      max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
-    """``nearest_city_index`` built once per session and dimension plan.
+                      max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> tuple[DataFrame, int]:
+    """(``nearest_city_index``, number of candidate entries), built once per session.
 
-    The index is small and cached in executor memory; a lost block is rebuilt
-    from its (tiny) lineage. Keyed by the semantic hash of the dimension's
-    plan, so two reads of the same handbook share it.
+    The index is cached in executor memory; a lost block is rebuilt from its
+    (tiny) lineage. Its measured size decides broadcast vs. shuffle join. Keyed
+    by the semantic hash of the dimension's plan, so two reads of the same
+    handbook share it.
     """
     key = (geo.sparkSession.sparkContext.applicationId, geo.semanticHash(), cell_km, max_cities)
-    idx = _INDEX_CACHE.get(key)
-    if idx is None:
+    hit = _INDEX_CACHE.get(key)
+    if hit is None:
         idx = nearest_city_index(geo, cell_km, max_cities).cache()
-        _INDEX_CACHE[key] = idx
-    return idx
+        entries = idx.agg(F.coalesce(F.sum(F.size("cands")), F.lit(0))).first()[0]
+        hit = (idx, int(entries))
+        _INDEX_CACHE[key] = hit
+    return hit
 
 
 def with_nearest_city(df: DataFrame, geo: DataFrame, lat: str = "lat", lon: str = "lon",
@@ -149,8 +157,9 @@ def with_nearest_city(df: DataFrame, geo: DataFrame, lat: str = "lat", lon: str
     """Append ``out = struct(zone_id, city, tz, lat, lon)`` of the nearest city.
 
     NULL when the point is NULL/NaN or the dimension is empty. Ties go to the
-    lowest ``zone_id``. Each row looks up its cell in the broadcast candidate
-    index (``nearest_city_index``, size bounded by construction) and, only
+    lowest ``zone_id``. Each row looks up its cell in the candidate index
+    (``nearest_city_index``; broadcast when its measured size is under
+    ``MAX_BROADCAST_INDEX_ENTRIES``, else a shuffle join on the cell) and, only
     where a cell holds several candidates, compares squared chord lengths of
     unit vectors - the same order as the haversine distance.
     """
@@ -161,9 +170,10 @@ def with_nearest_city(df: DataFrame, geo: DataFrame, lat: str = "lat", lon: str
     t = t.withColumns({"_nc_x": F.floor(F.col("_nc_p.x") / e),
                        "_nc_y": F.floor(F.col("_nc_p.y") / e),
                        "_nc_z": F.floor(F.col("_nc_p.z") / e)})
-    idx = F.broadcast(cached_city_index(geo, cell_km, max_cities)
-                      .withColumnsRenamed({"cx": "_nc_x", "cy": "_nc_y", "cz": "_nc_z",
-                                           "cands": "_nc_c"}))
+    idx, entries = cached_city_index(geo, cell_km, max_cities)
+    idx = idx.withColumnsRenamed({"cx": "_nc_x", "cy": "_nc_y", "cz": "_nc_z", "cands": "_nc_c"})
+    if entries <= MAX_BROADCAST_INDEX_ENTRIES:
+        idx = F.broadcast(idx)
     t = t.join(idx, ["_nc_x", "_nc_y", "_nc_z"], "left")
     d = F.transform("_nc_c", lambda c: (
         F.pow(c["x"] - F.col("_nc_p.x"), 2) + F.pow(c["y"] - F.col("_nc_p.y"), 2)

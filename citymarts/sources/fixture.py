@@ -76,8 +76,9 @@ def materialize_lake(spark: SparkSession, sf_dir: str) -> Lake:
     ev = social_events(spark, sf_dir)
     (ev.repartition("date").write.mode("overwrite")
        .partitionBy("date").parquet(f"{root}/stg/events"))
-    (ev.repartition("date", "event_type").write.mode("overwrite")
-       .partitionBy("date", "event_type").parquet(f"{root}/ods/events"))
+    stg = spark.read.parquet(f"{root}/stg/events")     # STG -> ODS, as the pipeline does
+    (stg.repartition("date", "event_type").write.mode("overwrite")
+        .partitionBy("date", "event_type").parquet(f"{root}/ods/events"))
     geo_handbook(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{root}/geo_handbook")
     lake = Lake(f"{root}/stg/events", f"{root}/ods/events", f"{root}/geo_handbook")
     _LAKES[key] = lake

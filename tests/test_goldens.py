@@ -135,6 +135,30 @@ def test_nearest_equals_brute_force(spark):
     assert fast.exceptAll(brute).count() == 0 and brute.exceptAll(fast).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_nearest_clustered_cities_far_points(spark, monkeypatch, broadcast):
+    import random
+    from citymarts.functions import geo as G
+    monkeypatch.setattr(G, "MAX_BROADCAST_INDEX_ENTRIES", 10 ** 9 if broadcast else 0)
+    rnd = random.Random(3)
+    cities = [(i, f"k{i}", 48.0 + rnd.uniform(0, 0.5), 11.0 + rnd.uniform(0, 0.5), "UTC")
+              for i in range(40)]
+    g = make_geo(spark, cities)
+    pts = spark.createDataFrame(
+        [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(500)]
+        + [(1000 + i, 48.0 + rnd.uniform(0, 0.5), 11.0 + rnd.uniform(0, 0.5)) for i in range(500)],
+        "id int, lat double, lon double")
+    fast = G.with_nearest_city(pts, g, out="n", cell_km=400.0)
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == broadcast
+    fast = fast.select("id", F.col("n.zone_id").alias("z"))
+    d = haversine_km("p.lat", "p.lon", "g.lat", "g.lon")
+    brute = (pts.alias("p").join(g.alias("g"), how="cross")      # test oracle only
+             .groupBy("p.id").agg(F.min_by("g.zone_id", F.struct(d, F.col("g.zone_id")))
+                                  .alias("z")))
+    assert fast.exceptAll(brute).count() == 0 and brute.exceptAll(fast).count() == 0
+
+
 # ------------------------------------------------------------ G-4 period
 
 def test_g4_period(spark):
