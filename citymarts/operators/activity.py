@@ -56,6 +56,17 @@ def last_city(messages: DataFrame) -> DataFrame:
                      F.from_utc_timestamp("message_ts", F.col("tz")).alias("local_time"))
 
 
+def bucket_partitioned(messages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+    """Messages with their time bucket ``_b``, hash-partitioned on (user, bucket).
+
+    A user's messages land in as many partitions as the user has active
+    buckets, so no single task receives a hot user's whole history.
+    """
+    us = int(bucket_seconds) * 1_000_000
+    return (messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
+            .repartition("user_id", "_b"))
+
+
 def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
     """(per-message runs, per-(user, bucket) summaries) from ONE shuffle of the messages.
 
@@ -68,9 +79,7 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     next non-empty bucket), the number of flags in all later buckets and
     whether it is the user's latest bucket.
     """
-    us = int(bucket_seconds) * 1_000_000
-    m = (messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
-         .repartition("user_id", "_b"))
+    m = bucket_partitioned(messages, bucket_seconds)
     desc = [F.col(c).desc() for c in ORDER]
     w1 = Window.partitionBy("user_id", "_b").orderBy(*desc)
     m = m.withColumn("_nxt", F.lag(F.struct(F.col("city").alias("c")), 1).over(w1))
