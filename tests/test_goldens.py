@@ -169,6 +169,15 @@ def test_g4_period(spark):
     assert got == ["2024-01-01", "2024-01-07"]
 
 
+def test_g4_require_complete_reports_missing_days(spark):
+    days = ["2024-01-01", "2024-01-02", "2024-01-04"]
+    ev = make_events(spark, [{"event_type": "message", "message_from": 1, "ts": ts(d, 60),
+                              "event_id": i} for i, d in enumerate(days)])
+    assert lk.scan_date_range(ev, "2024-01-04", 3, require_complete=True).count() == 2
+    with pytest.raises(FileNotFoundError, match="2024-01-03"):
+        lk.scan_message_range(ev, "2024-01-05", 4, require_complete=True)
+
+
 # ------------------------------------------------------------ G-5 new users
 
 def test_g5_new_users(spark, geo):
@@ -304,3 +313,20 @@ def test_g8_reload_is_a_static_overwrite(spark):
     back = spark.read.parquet(ods).collect()
     assert [r["event_type"] for r in back] == ["message"]
     assert back[0]["date"] == dt.date(2024, 1, 9)
+
+
+def test_location_from_message(spark, geo):
+    step = 0.002 * 4
+    rows = [_sub(1, 0.0, 0.0, 1), _sub(2, 5.0, 5.0, 1),          # far apart by subscription
+            {"event_type": "message", "message_from": 2, "message_to": 77, "ts": ts("2024-01-06"),
+             "lat": step, "lon": 0.0, "event_id": 500}]          # but 2 last wrote near 1
+    ev = make_events(spark, rows)
+    by_sub = matches.users_matches(ev, geo, "2024-01-31").count()
+    by_msg = matches.users_matches(ev, geo, "2024-01-31", location_from="message")
+    assert by_sub == 0
+    assert sorted((r["user_left"], r["user_right"]) for r in by_msg.collect()) == []  # 1 sent nothing
+    rows.append({"event_type": "message", "message_from": 1, "message_to": 78,
+                 "ts": ts("2024-01-06"), "lat": 0.0, "lon": 0.0, "event_id": 501})
+    ev = make_events(spark, rows)
+    by_msg = matches.users_matches(ev, geo, "2024-01-31", location_from="message")
+    assert sorted((r["user_left"], r["user_right"]) for r in by_msg.collect()) == [(1, 2), (2, 1)]
