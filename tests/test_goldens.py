@@ -173,7 +173,7 @@ def test_g4_require_complete_reports_missing_days(spark):
     days = ["2024-01-01", "2024-01-02", "2024-01-04"]
     ev = make_events(spark, [{"event_type": "message", "message_from": 1, "ts": ts(d, 60),
                               "event_id": i} for i, d in enumerate(days)])
-    assert lk.scan_date_range(ev, "2024-01-04", 3, require_complete=True).count() == 2
+    assert lk.scan_date_range(ev, "2024-01-03", 2, require_complete=True).count() == 2
     with pytest.raises(FileNotFoundError, match="2024-01-03"):
         lk.scan_message_range(ev, "2024-01-05", 4, require_complete=True)
 
