@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citymarts.functions.geo import with_nearest_city
-from citymarts.session import ensure_checkpoint_dir
+from citymarts.sources import sinks
 
 ORDER = ("message_ts", "event_id")
 
@@ -63,14 +63,14 @@ def bucket_partitioned(messages: DataFrame, bucket_seconds: int = 3600) -> DataF
     buckets, so no single task receives a hot user's whole history.
     """
     us = int(bucket_seconds) * 1_000_000
-    return (messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
-            .repartition("user_id", "_b"))
+    m = messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
+    return sinks.bucket_partitioned(m, ["user_id", "_b"])
 
 
 def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
     """(per-message runs, per-(user, bucket) summaries) from ONE shuffle of the messages.
 
-    Eager: the level-1 result is checkpointed (one job) when this is called.
+    Eager: the level-1 result is written (one job) when this is called.
 
     Level 1 windows over (user, bucket) on the explicitly hash-partitioned
     messages; the bucket summary aggregate reuses that partitioning and sort
@@ -87,10 +87,10 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     m = m.withColumn("_s", F.sum("_f").over(
         w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # Several consumers read this (bucket summaries, labelled rows): write it once
-    # to the shared checkpoint folder; partitioning and order survive, so the
-    # summary aggregate and the join back need no new shuffle of the messages.
-    ensure_checkpoint_dir(m.sparkSession)
-    m = m.checkpoint(eager=True)
+    # as a table bucketed on (user, bucket) in the shared folder; the bucketed
+    # scan keeps the partitioning, so the summary aggregate and the join back
+    # add no shuffle of the messages.
+    m = sinks.write_bucketed(m, ["user_id", "_b"], "runs")
 
     extra = [c for c in messages.columns if c not in ("user_id",)]
     s = m.groupBy("user_id", "_b").agg(
@@ -132,7 +132,7 @@ def city_stays(runs: DataFrame) -> DataFrame:
     return runs.groupBy("user_id", "city", "seq_label").agg(
         F.count_distinct("day").alias("days_of_stay"),
         F.max("message_ts").alias("max_ts"),
-        F.max(_chrono()).alias("_last"))
+        F.max("event_id").alias("_max_eid"))      # fixed-width buffers: hash aggregate
 
 
 def long_stays(stays: DataFrame, min_days: int = 27) -> DataFrame:
@@ -147,7 +147,8 @@ def home_city(runs: DataFrame, min_days: int = 27) -> DataFrame:
     whose city is unknown never qualify. Users without a long stay are absent.
     """
     st = long_stays(city_stays(runs.where(F.col("city").isNotNull())), min_days)
-    return st.groupBy("user_id").agg(F.max_by("city", "_last").alias("home_city"))
+    latest = F.struct("max_ts", "_max_eid")      # equal max_ts: larger event id wins
+    return st.groupBy("user_id").agg(F.max_by("city", latest).alias("home_city"))
 
 
 def travels(runs: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 A period is ``[run_date - depth, run_date - 1]``. The mart needs a 7- and a
 30-day view; both come out of **one** scan of the longest period and one
-aggregate with conditional counts (no second scan, no pivot job). New users
-come out of one aggregate per user over the history before the run date:
-the earliest day a user appears in any role decides "known before the
-period" for every depth at once.
+aggregate with conditional counts (no second scan, no pivot job). New users:
+the earliest day a user appears in any role (a hash aggregate over the
+history before the run date) decides "known before the period" for every
+depth at once; the first message per period comes from the 30-day scan.
 """
 
 from __future__ import annotations
@@ -59,20 +59,12 @@ def event_counts(events: DataFrame, geo: DataFrame, run_date,
 
 
 def _role_rows(events: DataFrame, run_date) -> DataFrame:
-    """One row per (event, user in any role) before the run date."""
-    roles = F.array(
-        F.struct(F.col("event.message_from").alias("uid"), F.lit(True).alias("sender")),
-        F.struct(F.col("event.message_to").alias("uid"), F.lit(False).alias("sender")),
-        F.struct(F.col("event.user").try_cast("bigint").alias("uid"),
-                 F.lit(False).alias("sender")))
+    """``user_id, date``: one row per (event, user in any role) before the run date."""
+    roles = F.array(F.col("event.message_from"), F.col("event.message_to"),
+                    F.col("event.user").try_cast("bigint"))
     ev = events.where(F.col("date") < F.lit(as_date(run_date)))
-    return (ev.select("event_id", "date", "event_type", "lat", "lon",
-                      F.col("event.message_ts").cast("timestamp").alias("message_ts"),
-                      F.explode(roles).alias("_r"))
-            .where(F.col("_r.uid").isNotNull())
-            .select(F.col("_r.uid").alias("user_id"), "event_id", "date", "event_type",
-                    "message_ts", "lat", "lon",
-                    (F.col("_r.sender") & (F.col("event_type") == "message")).alias("sent")))
+    return (ev.select("date", F.explode(roles).alias("user_id"))
+            .where(F.col("user_id").isNotNull()))
 
 
 def known_users_before(events: DataFrame, before) -> DataFrame:
@@ -98,18 +90,25 @@ def new_users_by_zone(events: DataFrame, geo: DataFrame, run_date,
     """``zone_id, <prefix>_user``: senders new in the period, at their first message.
 
     New = first message inside the period by a user not seen before the period
-    as sender, recipient or subscriber. One aggregate per user gives the first
-    day seen and, per depth, the first message of that period.
+    as sender, recipient or subscriber. The first day each user was seen in any
+    role is a hash aggregate (fixed-width ``min(date)``) over the history; the
+    first message of each period comes from one aggregate over the longest
+    period's messages only; both are keyed by user, so the join needs no
+    further shuffle of the history.
     """
     depths = depths or {"week": 7, "month": 30}
-    rows = _role_rows(events, run_date)
+    seen = _role_rows(events, run_date).groupBy("user_id").agg(F.min("date").alias("_seen"))
+    longest = max(depths.values())
+    msgs = (events.where(in_period(run_date, longest) & (F.col("event_type") == "message")
+                         & F.col("event.message_from").isNotNull())
+            .select(F.col("event.message_from").alias("user_id"), "event_id", "date", "lat", "lon",
+                    F.col("event.message_ts").cast("timestamp").alias("message_ts")))
     chrono = F.struct("message_ts", "event_id")
-    aggs = [F.min("date").alias("_seen")]
+    aggs = []
     for prefix, depth in depths.items():
-        first, _ = period(run_date, depth)
-        hit = F.col("sent") & (F.col("date") >= F.lit(first))
+        hit = F.col("date") >= F.lit(period(run_date, depth)[0])
         aggs.append(F.min_by(F.struct("lat", "lon"), F.when(hit, chrono)).alias(f"_p_{prefix}"))
-    per_user = rows.groupBy("user_id").agg(*aggs)
+    per_user = msgs.groupBy("user_id").agg(*aggs).join(seen, "user_id")
     firsts = F.array(*[
         F.struct(F.lit(prefix).alias("k"), F.col(f"_p_{prefix}.lat").alias("lat"),
                  F.col(f"_p_{prefix}.lon").alias("lon"),

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from citymarts.session import new_scratch
 from citymarts.sources.lake import as_date
 
 
@@ -28,3 +30,33 @@ def write_snapshot(df: DataFrame, root: str, run_date) -> str:
     path = f"{root}/date={as_date(run_date).isoformat()}"
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_partitioned(df: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
+    """Hash-partition into exactly ``n`` partitions (default: shuffle partitions).
+
+    The same hash as Spark's bucketing, so ``write_bucketed`` then writes one
+    file per bucket.
+    """
+    return df.repartition(n or shuffle_partitions(df.sparkSession), *keys)
+
+
+def write_bucketed(df: DataFrame, keys: list[str], tag: str, n: int | None = None) -> DataFrame:
+    """Materialise ``df`` as a bucketed table in the shared folder and read it back.
+
+    Used where several consumers read one expensive intermediate: the data are
+    computed once, lineage is cut (a lost executor costs a re-read, not a
+    recomputation), and the bucketed scan reports ``hashpartitioning(keys, n)``,
+    so aggregates and joins on ``keys`` add no shuffle. ``df`` should already
+    be ``bucket_partitioned`` on ``keys`` with the same ``n``.
+    """
+    spark = df.sparkSession
+    n = n or shuffle_partitions(spark)
+    name = f"citymarts_{tag}_{uuid.uuid4().hex[:12]}"
+    (df.write.mode("overwrite").bucketBy(n, *keys)
+       .option("path", new_scratch(spark, tag)).saveAsTable(name))
+    return spark.table(name)
