@@ -73,8 +73,9 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     Eager: the level-1 result is written (one job) when this is called.
 
     Level 1 windows over (user, bucket) on the explicitly hash-partitioned
-    messages; the bucket summary aggregate reuses that partitioning and sort
-    order. Level 2 windows over one row per (user, bucket) and yields, per
+    messages and also yields each bucket's earliest city and flag total, so
+    the bucket summary is just the bucket's latest row. Level 2 windows over
+    one row per (user, bucket) and yields, per
     bucket, the flag of its last message (against the first message of the
     next non-empty bucket), the number of flags in all later buckets and
     whether it is the user's latest bucket.
@@ -82,21 +83,24 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     m = bucket_partitioned(messages, bucket_seconds)
     desc = [F.col(c).desc() for c in ORDER]
     w1 = Window.partitionBy("user_id", "_b").orderBy(*desc)
-    m = m.withColumn("_nxt", F.lag(F.struct(F.col("city").alias("c")), 1).over(w1))
+    whole = w1.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    m = m.withColumns({
+        "_nxt": F.lag(F.struct(F.col("city").alias("c")), 1).over(w1),
+        "_rn": F.row_number().over(w1),                       # 1 = bucket's latest message
+        "_first": F.last("city").over(whole)})                # bucket's earliest city
     m = m.withColumn("_f", F.when(F.col("city") != F.col("_nxt.c"), 1).otherwise(0))
-    m = m.withColumn("_s", F.sum("_f").over(
-        w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    m = m.withColumns({
+        "_s": F.sum("_f").over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_nf": F.sum("_f").over(whole)})
     # Several consumers read this (bucket summaries, labelled rows): write it once
     # as a table bucketed on (user, bucket) in the shared folder; the bucketed
-    # scan keeps the partitioning, so the summary aggregate and the join back
-    # add no shuffle of the messages.
+    # scan keeps the partitioning, so the join back adds no shuffle of the messages.
     m = sinks.write_bucketed(m, ["user_id", "_b"], "runs")
 
     extra = [c for c in messages.columns if c not in ("user_id",)]
-    s = m.groupBy("user_id", "_b").agg(
-        F.min_by("city", _chrono()).alias("_first"),
-        F.max_by(F.struct(*extra), _chrono()).alias("_lastm"),
-        F.sum("_f").alias("_nf"))
+    # one row per (user, bucket): its latest message, no aggregation needed
+    s = m.where(F.col("_rn") == 1).select(
+        "user_id", "_b", "_first", F.struct(*extra).alias("_lastm"), "_nf")
     w2 = Window.partitionBy("user_id").orderBy(F.col("_b").desc())
     s = s.withColumn("_nb", F.lag(F.struct(F.col("_first").alias("c")), 1).over(w2))
     s = s.withColumn("_bf", F.when(F.col("_lastm.city") != F.col("_nb.c"), 1).otherwise(0))
