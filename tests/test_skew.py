@@ -56,3 +56,27 @@ def test_hot_user_is_split_and_exact(spark):
         assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_pair_key_is_salted_and_exact(spark):
+    from citymarts.functions.geo import haversine_km
+    from citymarts.operators import matches
+    rnd = random.Random(9)
+    prof = [(u, [1, 2] if u % 3 else [1], 45.0 + rnd.uniform(0, 0.004), 7.0 + rnd.uniform(0, 0.004),
+             1, None) for u in range(300)]                    # one dense cell, shared channel
+    prof += [(1000 + u, [rnd.randint(3, 9)], rnd.uniform(-60, 60), rnd.uniform(-170, 170), 2, None)
+             for u in range(300)]
+    p = spark.createDataFrame(prof, "user_id bigint, sub_channels_array array<bigint>, "
+                                    "last_message_lat double, last_message_lon double, "
+                                    "city_id int, local_time timestamp")
+    salted = matches.nearby_pairs_unordered(p, 1.0, hot_key_users=40)
+    plain = matches.nearby_pairs_unordered(p, 1.0, hot_key_users=10 ** 9)
+    d = haversine_km("x.last_message_lat", "x.last_message_lon",
+                     "y.last_message_lat", "y.last_message_lon")
+    brute = (p.alias("x").join(p.alias("y"), F.col("x.user_id") < F.col("y.user_id"))
+             .where((d < 1.0) & F.arrays_overlap("x.sub_channels_array", "y.sub_channels_array"))
+             .select(F.col("x.user_id").alias("a"), F.col("y.user_id").alias("b")))
+    for got in (salted, plain):
+        got = got.select("a", "b")
+        assert got.exceptAll(brute).count() == 0 and brute.exceptAll(got).count() == 0
+    assert brute.count() > 40000
