@@ -89,6 +89,35 @@ def _box_dist2(c) -> tuple[Column, Column]:
     return mn, mx
 
 
+def _shell_cells(spark, e: float) -> DataFrame:
+    """All cells of edge ``e`` (unit sphere) that meet the sphere, with their bounds."""
+    lo_i = int(math.floor(-1.0 / e)) - 1
+    n = int(math.floor(1.0 / e)) - lo_i + 2
+    g = spark.range(n ** 3).select(
+        (F.col("id") % n + lo_i).alias("cx"),
+        ((F.col("id") / n).cast("long") % n + lo_i).alias("cy"),
+        ((F.col("id") / (n * n)).cast("long") + lo_i).alias("cz"))
+    g = g.select("cx", "cy", "cz", *[
+        (F.col(f"c{ax}") * e).alias(f"_lo_{ax}") for ax in "xyz"], *[
+        ((F.col(f"c{ax}") + 1) * e).alias(f"_hi_{ax}") for ax in "xyz"])
+    lo = [F.col(f"_lo_{ax}") for ax in "xyz"]
+    hi = [F.col(f"_hi_{ax}") for ax in "xyz"]
+    near2 = sum(F.pow(F.greatest(a, F.lit(0.0), -b), 2) for a, b in zip(lo, hi))
+    far2 = sum(F.greatest(a * a, b * b) for a, b in zip(lo, hi))
+    return g.where((near2 <= 1.0 + 1e-9) & (far2 >= 1.0 - 1e-9))
+
+
+def _with_candidates(cells: DataFrame, pool: str) -> DataFrame:
+    """Keep the cities of array column ``pool`` that can be nearest somewhere in the cell."""
+    t = cells.withColumn("_u", F.array_min(F.transform(pool, lambda c: _box_dist2(c)[1])))
+    return t.withColumn("cands", F.filter(
+        pool, lambda c: _box_dist2(c)[0] <= F.col("_u") * (1 + 1e-9) + 1e-15))
+
+
+# Coarse cells of the index are this many fine cells wide along each axis.
+INDEX_FANOUT = 8
+
+
 def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
                        max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
     """Cell -> candidate cities, over every cell of a fixed grid that meets the sphere.
@@ -98,30 +127,25 @@ def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
     mindist(c, K) <= min over c' of maxdist(c', K). Exact (a tiny relative
     margin absorbs rounding), and usually one to three candidates per cell.
 
+    Built in two levels: coarse cells (``INDEX_FANOUT`` fine cells wide) test
+    every city; a fine cell then tests only its coarse parent's candidates.
+    That is exact too: a fine cell's candidates, and the city minimising its
+    maxdist, are all candidates of the enclosing coarse cell.
+
     Size is bounded by construction: at most (2R / cell_km + 3)^3 cells, each
     holding at most ``max_cities`` candidates (checked in the city list).
     """
+    spark = geo.sparkSession
     e = cell_km / EARTH_RADIUS_KM                      # cell edge on the unit sphere
-    lo_i = int(math.floor(-1.0 / e)) - 1
-    n = int(math.floor(1.0 / e)) - lo_i + 2
-    g = geo.sparkSession.range(n ** 3).select(
-        (F.col("id") % n + lo_i).alias("cx"),
-        ((F.col("id") / n).cast("long") % n + lo_i).alias("cy"),
-        ((F.col("id") / (n * n)).cast("long") + lo_i).alias("cz"))
-    g = g.select("cx", "cy", "cz", *[
-        (F.col(f"c{ax}") * e).alias(f"_lo_{ax}") for ax in "xyz"], *[
-        ((F.col(f"c{ax}") + 1) * e).alias(f"_hi_{ax}") for ax in "xyz"])
-    lo = [F.col(f"_lo_{ax}") for ax in "xyz"]
-    hi = [F.col(f"_hi_{ax}") for ax in "xyz"]
-    near2 = sum(F.greatest(a, F.lit(0.0), -b) * F.greatest(a, F.lit(0.0), -b)
-                for a, b in zip(lo, hi))
-    far2 = sum(F.greatest(a * a, b * b) for a, b in zip(lo, hi))
-    shell = g.where((near2 <= 1.0 + 1e-9) & (far2 >= 1.0 - 1e-9))
-    t = shell.withColumn("_cities", city_list(geo, max_cities))
-    t = t.withColumn("_u", F.array_min(F.transform("_cities", lambda c: _box_dist2(c)[1])))
-    t = t.withColumn("cands", F.filter(
-        "_cities", lambda c: _box_dist2(c)[0] <= F.col("_u") * (1 + 1e-9) + 1e-15))
-    return t.select("cx", "cy", "cz", "cands")
+    k = INDEX_FANOUT
+    coarse = _with_candidates(
+        _shell_cells(spark, e * k).withColumn("_cities", city_list(geo, max_cities)), "_cities")
+    coarse = coarse.select(*[F.col(f"c{ax}").alias(f"_p{ax}") for ax in "xyz"],
+                           F.col("cands").alias("_pool"))
+    fine = _shell_cells(spark, e).withColumns(
+        {f"_p{ax}": F.floor(F.col(f"c{ax}") / k) for ax in "xyz"})
+    fine = fine.join(F.broadcast(coarse), ["_px", "_py", "_pz"])   # coarse: <= (2R/(k*edge)+3)^3 rows
+    return _with_candidates(fine, "_pool").select("cx", "cy", "cz", "cands")
 
 
 # Broadcast the nearest-city index only up to this many (cell, candidate) entries;

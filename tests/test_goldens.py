@@ -118,11 +118,12 @@ def test_g3_nearest_null_nan_and_ties(spark, geo):
     assert with_nearest_city(p, empty, out="n").collect()[0]["n"] is None
 
 
-def test_nearest_equals_brute_force(spark):
+@pytest.mark.parametrize("n_cities", [60, 1500])
+def test_nearest_equals_brute_force(spark, n_cities):
     import random
     rnd = random.Random(7)
     cities = [(i, f"c{i}", rnd.uniform(-90, 90), rnd.uniform(-180, 180), "UTC")
-              for i in range(60)]
+              for i in range(n_cities)]
     g = make_geo(spark, cities)
     pts = spark.createDataFrame(
         [(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(2000)],
@@ -150,7 +151,8 @@ def test_nearest_clustered_cities_far_points(spark, monkeypatch, broadcast):
         "id int, lat double, lon double")
     fast = G.with_nearest_city(pts, g, out="n", cell_km=400.0)
     plan = fast._jdf.queryExecution().executedPlan().toString()
-    assert ("BroadcastHashJoin" in plan) == broadcast
+    assert ("BroadcastHashJoin [_nc_x" in plan) == broadcast
+    assert ("SortMergeJoin [_nc_x" in plan) == (not broadcast)
     fast = fast.select("id", F.col("n.zone_id").alias("z"))
     d = haversine_km("p.lat", "p.lon", "g.lat", "g.lon")
     brute = (pts.alias("p").join(g.alias("g"), how="cross")      # test oracle only
