@@ -118,7 +118,7 @@ def test_g3_nearest_null_nan_and_ties(spark, geo):
     assert with_nearest_city(p, empty, out="n").collect()[0]["n"] is None
 
 
-@pytest.mark.parametrize("n_cities", [60, 1500])
+@pytest.mark.parametrize("n_cities", [60, 300])
 def test_nearest_equals_brute_force(spark, n_cities):
     import random
     rnd = random.Random(7)
