@@ -3,12 +3,12 @@
 Chronology is ``(message_ts, event_id)``: the event id breaks timestamp ties,
 so every ordering below is total and results are deterministic.
 
-Skew: per-user results use hash aggregates (``max_by`` / ``count`` /
-``collect_list``), which combine map-side, so one user holding a third of
-all messages costs one pre-aggregated row per map task. The only ordered
-computation (``city_runs``) windows over ``(user_id, time bucket)`` and then
-stitches bucket boundaries with a second window over one row per bucket, so a
-hot user is spread over as many tasks as it has active buckets.
+Skew: the only ordered computation (``city_runs``) windows over
+``(user_id, time bucket)`` and then stitches bucket boundaries with a second
+window over one row per bucket, so a hot user is spread over as many tasks as
+it has active buckets. Per-user results are aggregates that combine map-side
+(``count``, ``count_distinct``, ``max``, ``collect_list``), so a user holding
+a third of all messages costs one pre-aggregated row per map task.
 """
 
 from __future__ import annotations
