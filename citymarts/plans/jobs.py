@@ -85,8 +85,13 @@ def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
 
 
 def main(argv: list[str]) -> int:
+    from pyspark import SparkConf, SparkContext
     job, run_date, *args = argv
-    spark = SparkSession.builder.appName(f"citymarts-{job}/date={run_date}").getOrCreate()
+    builder = SparkSession.builder.appName(f"citymarts-{job}/date={run_date}")
+    SparkContext._ensure_initialized()      # JVM-backed conf: sees spark-submit's --master
+    if SparkConf().get("spark.master", None) is None:     # plain `python -m`: run locally
+        builder = builder.master("local[*]").config("spark.ui.enabled", "false")
+    spark = builder.getOrCreate()
     try:
         if job == "increment":
             load_increment(spark, run_date, *args)

@@ -69,3 +69,16 @@ def test_duplicate_city_fails(spark):
                                 lk.GEO_SCHEMA)
     with pytest.raises(Exception, match="not unique"):
         lk.validate_geo(dup).collect()
+
+
+def test_cli_builds_a_mart(spark):
+    import os
+    import subprocess
+    import sys
+    lake = materialize_lake(spark, SF_SMOKE)
+    out = new_scratch(spark, "test-cli")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([sys.executable, "-m", "citymarts.plans.jobs", "events", "2024-01-31",
+                        lake.ods, lake.geo, out], cwd=root, capture_output=True, timeout=600)
+    assert r.returncode == 0, r.stderr.decode()[-2000:]
+    assert spark.read.parquet(f"{out}/date=2024-01-31").count() == 25
