@@ -282,6 +282,14 @@ def q_subscriber_profile(spark, sf_dir):
                     _ntz("local_time").alias("local_time"))
 
 
+def q_subscriber_profile_by_message(spark, sf_dir):
+    ev, geo, _ = _inputs(spark, sf_dir)
+    p = matches.subscriber_profile(ev, geo, location_from="message")
+    return p.select("user_id", F.array_join("sub_channels_array", ",").alias("channels"),
+                    "city_id", "last_message_lat", "last_message_lon",
+                    _ntz("local_time").alias("local_time"))
+
+
 def _profile(spark, sf_dir):
     ev, geo, _ = _inputs(spark, sf_dir)
     return ev, matches.subscriber_profile(ev, geo)

@@ -284,6 +284,18 @@ WHERE user_id IS NOT NULL""",
     "subscriber_profile": _w(PROFILE) + "SELECT user_id, array_to_string(ch, ',') AS channels, "
                                         "city_id, lat AS last_message_lat, "
                                         "lon AS last_message_lon, local_time FROM prof",
+    "subscriber_profile_by_message": _w(PROFILE) + f"""
+SELECT c.user_id, array_to_string(c.ch, ',') AS channels, m.zone_id AS city_id,
+       m.lat AS last_message_lat, m.lon AS last_message_lon,
+       {_local('m.message_ts', 'm.tz')} AS local_time
+FROM (SELECT TRY_CAST("user" AS BIGINT) AS user_id, ch FROM chans WHERE len(ch) > 0) c
+LEFT JOIN (
+  SELECT * FROM (
+    SELECT message_from, lat, lon, message_ts, zone_id, tz,
+           row_number() OVER (PARTITION BY message_from ORDER BY message_ts DESC, event_id DESC)
+             AS rn
+    FROM sez WHERE event_type = 'message' AND message_from IS NOT NULL)
+  WHERE rn = 1) m ON m.message_from = c.user_id""",
     "shared_channel_pairs": _w(PROFILE) + "SELECT user_left AS a, user_right AS b, shares_channel "
                                           "FROM cand WHERE distance_km < 1 "
                                           "AND user_left < user_right",
