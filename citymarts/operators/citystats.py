@@ -67,6 +67,14 @@ def _role_rows(events: DataFrame, run_date) -> DataFrame:
             .where(F.col("user_id").isNotNull()))
 
 
+def first_seen(events: DataFrame, before) -> DataFrame:
+    """``user_id, first_date``: the first day each user appears in any role before ``before``.
+
+    A hash aggregate (fixed-width ``min``) that combines map-side.
+    """
+    return _role_rows(events, before).groupBy("user_id").agg(F.min("date").alias("first_date"))
+
+
 def known_users_before(events: DataFrame, before) -> DataFrame:
     """``user_id`` of everyone seen as sender, recipient or subscriber before ``before``."""
     return _role_rows(events, before).select("user_id").distinct()
@@ -86,7 +94,8 @@ def first_message_in_period(events: DataFrame, geo: DataFrame, run_date,
 
 
 def new_users_by_zone(events: DataFrame, geo: DataFrame, run_date,
-                      depths: dict[str, int] | None = None) -> DataFrame:
+                      depths: dict[str, int] | None = None,
+                      seen: DataFrame | None = None) -> DataFrame:
     """``zone_id, <prefix>_user``: senders new in the period, at their first message.
 
     New = first message inside the period by a user not seen before the period
@@ -94,10 +103,15 @@ def new_users_by_zone(events: DataFrame, geo: DataFrame, run_date,
     role is a hash aggregate (fixed-width ``min(date)``) over the history; the
     first message of each period comes from one aggregate over the longest
     period's messages only; both are keyed by user, so the join needs no
-    further shuffle of the history.
+    further shuffle of the history. ``seen`` may supply that first-seen table
+    (``user_id, first_date`` for all history before the run date), e.g. the
+    incrementally maintained state of ``plans.jobs.update_first_seen``, which
+    replaces the scan of the whole history.
     """
     depths = depths or {"week": 7, "month": 30}
-    seen = _role_rows(events, run_date).groupBy("user_id").agg(F.min("date").alias("_seen"))
+    if seen is None:
+        seen = first_seen(events, run_date)
+    seen = seen.select("user_id", F.col("first_date").alias("_seen"))
     longest = max(depths.values())
     msgs = (events.where(in_period(run_date, longest) & (F.col("event_type") == "message")
                          & F.col("event.message_from").isNotNull())
@@ -127,7 +141,8 @@ def run_calendar(run_date) -> tuple[int, int]:
     return d.month, d.isocalendar()[1]
 
 
-def events_in_cities(events: DataFrame, geo: DataFrame, run_date) -> DataFrame:
+def events_in_cities(events: DataFrame, geo: DataFrame, run_date,
+                     seen: DataFrame | None = None) -> DataFrame:
     """Mart: every zone once with week/month event and new-user counts, zeros for none.
 
     Columns: ``month, week, zone_id, week_message, week_reaction,
@@ -136,7 +151,7 @@ def events_in_cities(events: DataFrame, geo: DataFrame, run_date) -> DataFrame:
     """
     d = F.lit(as_date(run_date))
     counts = event_counts(events, geo, run_date, MART_DEPTHS)
-    users = new_users_by_zone(events, geo, run_date, MART_DEPTHS)
+    users = new_users_by_zone(events, geo, run_date, MART_DEPTHS, seen)
     cols = ["week_message", "week_reaction", "week_subscription", "week_user",
             "month_message", "month_subscription", "month_reaction", "month_user"]
     mart = (geo.select("zone_id").join(counts, "zone_id", "left").join(users, "zone_id", "left"))

@@ -11,6 +11,7 @@ pipeline's order. From the command line (e.g. under spark-submit):
 
 from __future__ import annotations
 
+import datetime as dt
 import sys
 from dataclasses import dataclass
 
@@ -30,6 +31,7 @@ class Paths:
     users_in_cities: str
     events_in_cities: str
     users_matches: str
+    first_seen_state: str | None = None   # optional incremental state for the events mart
 
 
 def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of: bool):
@@ -45,9 +47,43 @@ def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False) -> Da
     return activity.users_in_cities(ev, geo)
 
 
-def events_in_cities_mart(spark, run_date, ods_root, geo_path) -> DataFrame:
+def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root: str,
+                      rebuild: bool = False) -> DataFrame:
+    """Maintain ``{state_root}/asof=<run_date>``: each user's first day, over history < run_date.
+
+    With yesterday's state present this reads one state (one row per user) and
+    one day of the lake instead of the whole history; otherwise (or with
+    ``rebuild=True``, needed after re-loading a past day) it is rebuilt from
+    the lake. Written once per run date; later calls read it back.
+    """
+    d = as_date(run_date)
+    out = f"{state_root}/asof={d.isoformat()}"
+    prev = f"{state_root}/asof={(d - dt.timedelta(days=1)).isoformat()}"
+    if not rebuild and _exists(spark, out):
+        return spark.read.parquet(out)
+    ev = scan_events(spark, ods_root)
+    if not rebuild and _exists(spark, prev):
+        day = ev.where(F.col("date") == F.lit(d - dt.timedelta(days=1)))
+        both = spark.read.parquet(prev).unionByName(citystats.first_seen(day, d))
+        state = both.groupBy("user_id").agg(F.min("first_date").alias("first_date"))
+    else:
+        state = citystats.first_seen(ev, d)
+    state.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+
+
+def events_in_cities_mart(spark, run_date, ods_root, geo_path,
+                          state_root: str | None = None) -> DataFrame:
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of=False)
-    return citystats.events_in_cities(ev, geo, run_date)
+    seen = update_first_seen(spark, run_date, ods_root, state_root) if state_root else None
+    return citystats.events_in_cities(ev, geo, run_date, seen)
 
 
 def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False) -> DataFrame:
@@ -60,8 +96,9 @@ def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, as_of=
                           mart_root, run_date)
 
 
-def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root) -> str:
-    return write_snapshot(events_in_cities_mart(spark, run_date, ods_root, geo_path),
+def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root,
+                           state_root: str | None = None) -> str:
+    return write_snapshot(events_in_cities_mart(spark, run_date, ods_root, geo_path, state_root),
                           mart_root, run_date)
 
 
@@ -78,7 +115,8 @@ def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
         "users_in_cities": build_users_in_cities(spark, run_date, paths.ods_events,
                                                  paths.geo_handbook, paths.users_in_cities),
         "events_in_cities": build_events_in_cities(spark, run_date, paths.ods_events,
-                                                   paths.geo_handbook, paths.events_in_cities),
+                                                   paths.geo_handbook, paths.events_in_cities,
+                                                   paths.first_seen_state),
         "users_matches": build_users_matches(spark, run_date, paths.ods_events,
                                              paths.geo_handbook, paths.users_matches),
     }

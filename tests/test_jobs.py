@@ -82,3 +82,17 @@ def test_cli_builds_a_mart(spark):
                         lake.ods, lake.geo, out], cwd=root, capture_output=True, timeout=600)
     assert r.returncode == 0, r.stderr.decode()[-2000:]
     assert spark.read.parquet(f"{out}/date=2024-01-31").count() == 25
+
+
+def test_first_seen_state_incremental_equals_full(spark):
+    from citymarts.operators import citystats
+    lake = materialize_lake(spark, SF_SMOKE)
+    state = new_scratch(spark, "test-state")
+    jobs.update_first_seen(spark, "2024-01-20", lake.ods, state)          # full build
+    for day in range(21, 32):                                            # then daily steps
+        inc = jobs.update_first_seen(spark, f"2024-01-{day}", lake.ods, state)
+    full = citystats.first_seen(lk.scan_events(spark, lake.ods), "2024-01-31")
+    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+    with_state = jobs.events_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo, state)
+    without = jobs.events_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo)
+    assert with_state.exceptAll(without).count() == 0 and without.exceptAll(with_state).count() == 0
