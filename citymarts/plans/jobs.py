@@ -32,6 +32,7 @@ class Paths:
     events_in_cities: str
     users_matches: str
     first_seen_state: str | None = None   # optional incremental state for the events mart
+    contacts_state: str | None = None     # optional incremental state for the matches mart
 
 
 def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of: bool):
@@ -47,14 +48,14 @@ def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False) -> Da
     return activity.users_in_cities(ev, geo)
 
 
-def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root: str,
-                      rebuild: bool = False) -> DataFrame:
-    """Maintain ``{state_root}/asof=<run_date>``: each user's first day, over history < run_date.
+def _dated_state(spark: SparkSession, run_date, ods_root: str, state_root: str,
+                 build, merge, rebuild: bool) -> DataFrame:
+    """``{state_root}/asof=<run_date>`` = ``build(history before run_date)``, kept incrementally.
 
-    With yesterday's state present this reads one state (one row per user) and
-    one day of the lake instead of the whole history; otherwise (or with
-    ``rebuild=True``, needed after re-loading a past day) it is rebuilt from
-    the lake. Written once per run date; later calls read it back.
+    With yesterday's state present: ``merge(yesterday, build(day run_date - 1))``,
+    i.e. one state plus one day of the lake instead of the whole history.
+    Otherwise (or with ``rebuild=True``, needed after re-loading a past day)
+    it is rebuilt from the lake. Written once per run date; later calls read it.
     """
     d = as_date(run_date)
     out = f"{state_root}/asof={d.isoformat()}"
@@ -64,14 +65,34 @@ def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root:
     ev = scan_events(spark, ods_root)
     if not rebuild and _exists(spark, prev):
         day = ev.where(F.col("date") == F.lit(d - dt.timedelta(days=1)))
-        both = spark.read.parquet(prev).unionByName(citystats.first_seen(day, d))
-        state = both.groupBy("user_id").agg(F.min("first_date").alias("first_date"))
+        state = merge(spark.read.parquet(prev), build(day, d))
     else:
-        state = citystats.first_seen(ev, d)
+        state = build(ev.where(F.col("date") < F.lit(d)), d)
     state.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
+def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root: str,
+                      rebuild: bool = False) -> DataFrame:
+    """Each user's first day over history before ``run_date`` (``user_id, first_date``)."""
+    def merge(prev, inc):
+        return (prev.unionByName(inc).groupBy("user_id")
+                .agg(F.min("first_date").alias("first_date")))
+    return _dated_state(spark, run_date, ods_root, state_root, citystats.first_seen, merge,
+                        rebuild)
+
+
+def update_contacts(spark: SparkSession, run_date, ods_root: str, state_root: str,
+                    rebuild: bool = False) -> DataFrame:
+    """Unordered pairs (``lo, hi``) that exchanged a message before ``run_date``."""
+    def build(events, _d):
+        return matches.contacted_unordered(events)
+
+    def merge(prev, inc):
+        return prev.unionByName(inc).distinct()
+    return _dated_state(spark, run_date, ods_root, state_root, build, merge, rebuild)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -86,9 +107,12 @@ def events_in_cities_mart(spark, run_date, ods_root, geo_path,
     return citystats.events_in_cities(ev, geo, run_date, seen)
 
 
-def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False) -> DataFrame:
+def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False,
+                       contacts_state: str | None = None) -> DataFrame:
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
-    return matches.users_matches(ev, geo, run_date)
+    contacts = (update_contacts(spark, run_date, ods_root, contacts_state)
+                if contacts_state else None)
+    return matches.users_matches(ev, geo, run_date, contacts=contacts)
 
 
 def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, as_of=False) -> str:
@@ -102,9 +126,10 @@ def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root,
                           mart_root, run_date)
 
 
-def build_users_matches(spark, run_date, ods_root, geo_path, mart_root, as_of=False) -> str:
-    return write_snapshot(users_matches_mart(spark, run_date, ods_root, geo_path, as_of),
-                          mart_root, run_date)
+def build_users_matches(spark, run_date, ods_root, geo_path, mart_root, as_of=False,
+                        contacts_state: str | None = None) -> str:
+    return write_snapshot(users_matches_mart(spark, run_date, ods_root, geo_path, as_of,
+                                             contacts_state), mart_root, run_date)
 
 
 def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
@@ -118,7 +143,8 @@ def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
                                                    paths.geo_handbook, paths.events_in_cities,
                                                    paths.first_seen_state),
         "users_matches": build_users_matches(spark, run_date, paths.ods_events,
-                                             paths.geo_handbook, paths.users_matches),
+                                             paths.geo_handbook, paths.users_matches,
+                                             contacts_state=paths.contacts_state),
     }
 
 

@@ -96,3 +96,17 @@ def test_first_seen_state_incremental_equals_full(spark):
     with_state = jobs.events_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo, state)
     without = jobs.events_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo)
     assert with_state.exceptAll(without).count() == 0 and without.exceptAll(with_state).count() == 0
+
+
+def test_contacts_state_incremental_equals_full(spark):
+    from citymarts.operators import matches
+    lake = materialize_lake(spark, "/root/testdata/sf0.01")
+    state = new_scratch(spark, "test-contacts")
+    jobs.update_contacts(spark, "2024-01-25", lake.ods, state)
+    for day in range(26, 32):
+        inc = jobs.update_contacts(spark, f"2024-01-{day}", lake.ods, state)
+    full = matches.contacted_unordered(lk.scan_events(spark, lake.ods))
+    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
+    a = jobs.users_matches_mart(spark, "2024-01-31", lake.ods, lake.geo, contacts_state=state)
+    b = jobs.users_matches_mart(spark, "2024-01-31", lake.ods, lake.geo)
+    assert a.count() == 668 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
