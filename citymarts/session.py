@@ -72,11 +72,6 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` write below the shared folder."""
-    return shared_dir(spark)
-
-
 def new_scratch(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused folder below the shared folder."""
     return f"{shared_dir(spark)}/citymarts/{tag}-{uuid.uuid4().hex[:12]}"
