@@ -5,7 +5,8 @@
 The ODS lake is written and the per-session nearest-city index is built first
 (reported as ``lake_load_sec`` and ``city_index_build_sec``, not part of the
 total). Each query runs to completion through a ``noop`` sink, so nothing is
-collected to the driver; the best of ``BENCH_REPEAT`` runs is reported.
+collected to the driver; the best of ``BENCH_REPEAT`` (default 3) runs is
+reported. ``BENCH_EXTRA_CONF`` (a JSON object) adds session settings.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from citymarts.functions.geo import cached_city_index  # noqa: E402
 from citymarts.sources.fixture import materialize_lake  # noqa: E402
 from citymarts.sources.lake import read_geo_handbook  # noqa: E402
 
+EXTRA = json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))
+
 HEADLINE = ["users_in_cities", "events_in_cities", "users_matches", "nearest_zone",
             "new_users_by_zone", "subscriber_profile", "city_run_labels"]
 
@@ -34,9 +37,9 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = build_session(f"local[{cpus}]", "citymarts-bench", shuffle_partitions=cpus * 2,
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": "8g", **EXTRA})
     t = time.time()
     lake = materialize_lake(spark, sf_dir)
     lake_sec = time.time() - t
