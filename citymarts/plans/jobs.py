@@ -32,7 +32,8 @@ class Paths:
     events_in_cities: str
     users_matches: str
     first_seen_state: str | None = None   # optional incremental state for the events mart
-    contacts_state: str | None = None     # optional incremental state for the matches mart
+    contacts_state: str | None = None     # optional incremental states for the matches mart
+    subscriptions_state: str | None = None
 
 
 def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of: bool):
@@ -93,6 +94,15 @@ def update_contacts(spark: SparkSession, run_date, ods_root: str, state_root: st
     return _dated_state(spark, run_date, ods_root, state_root, build, merge, rebuild)
 
 
+def update_subscriptions(spark: SparkSession, run_date, ods_root: str, state_root: str,
+                         rebuild: bool = False) -> DataFrame:
+    """Per subscriber channel set and latest subscription row, history before ``run_date``."""
+    def build(events, _d):
+        return matches.subscription_state(events)
+    return _dated_state(spark, run_date, ods_root, state_root, build,
+                        matches.merge_subscription_states, rebuild)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -108,11 +118,14 @@ def events_in_cities_mart(spark, run_date, ods_root, geo_path,
 
 
 def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False,
-                       contacts_state: str | None = None) -> DataFrame:
+                       contacts_state: str | None = None,
+                       subscriptions_state: str | None = None) -> DataFrame:
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
     contacts = (update_contacts(spark, run_date, ods_root, contacts_state)
                 if contacts_state else None)
-    return matches.users_matches(ev, geo, run_date, contacts=contacts)
+    subs = (update_subscriptions(spark, run_date, ods_root, subscriptions_state)
+            if subscriptions_state else None)
+    return matches.users_matches(ev, geo, run_date, contacts=contacts, subscriptions=subs)
 
 
 def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, as_of=False) -> str:
@@ -127,9 +140,11 @@ def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root,
 
 
 def build_users_matches(spark, run_date, ods_root, geo_path, mart_root, as_of=False,
-                        contacts_state: str | None = None) -> str:
+                        contacts_state: str | None = None,
+                        subscriptions_state: str | None = None) -> str:
     return write_snapshot(users_matches_mart(spark, run_date, ods_root, geo_path, as_of,
-                                             contacts_state), mart_root, run_date)
+                                             contacts_state, subscriptions_state),
+                          mart_root, run_date)
 
 
 def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
@@ -144,7 +159,8 @@ def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
                                                    paths.first_seen_state),
         "users_matches": build_users_matches(spark, run_date, paths.ods_events,
                                              paths.geo_handbook, paths.users_matches,
-                                             contacts_state=paths.contacts_state),
+                                             contacts_state=paths.contacts_state,
+                                             subscriptions_state=paths.subscriptions_state),
     }
 
 

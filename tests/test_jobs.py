@@ -98,7 +98,7 @@ def test_first_seen_state_incremental_equals_full(spark):
     assert with_state.exceptAll(without).count() == 0 and without.exceptAll(with_state).count() == 0
 
 
-def test_contacts_state_incremental_equals_full(spark):
+def test_matches_states_incremental_equal_full(spark):
     from citymarts.operators import matches
     lake = materialize_lake(spark, "/root/testdata/sf0.01")
     state = new_scratch(spark, "test-contacts")
@@ -107,6 +107,11 @@ def test_contacts_state_incremental_equals_full(spark):
         inc = jobs.update_contacts(spark, f"2024-01-{day}", lake.ods, state)
     full = matches.contacted_unordered(lk.scan_events(spark, lake.ods))
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
-    a = jobs.users_matches_mart(spark, "2024-01-31", lake.ods, lake.geo, contacts_state=state)
+    subs = new_scratch(spark, "test-subs")
+    jobs.update_subscriptions(spark, "2024-01-22", lake.ods, subs)
+    for day in range(23, 32):
+        jobs.update_subscriptions(spark, f"2024-01-{day}", lake.ods, subs)
+    a = jobs.users_matches_mart(spark, "2024-01-31", lake.ods, lake.geo, contacts_state=state,
+                                subscriptions_state=subs)
     b = jobs.users_matches_mart(spark, "2024-01-31", lake.ods, lake.geo)
     assert a.count() == 668 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
