@@ -332,3 +332,23 @@ def test_location_from_message(spark, geo):
     ev = make_events(spark, rows)
     by_msg = matches.users_matches(ev, geo, "2024-01-31", location_from="message")
     assert sorted((r["user_left"], r["user_right"]) for r in by_msg.collect()) == [(1, 2), (2, 1)]
+
+
+def test_null_sender_forms_one_group(spark, geo):
+    rows = [_msg(None, ts("2024-01-01", 1), "A", eid=1), _msg(None, ts("2024-01-01", 2), "B", eid=2),
+            _msg(5, ts("2024-01-01", 3), "C", eid=3)]
+    got = {r["user_id"]: (r["act_city"], r["travel_count"])
+           for r in activity.users_in_cities(make_events(spark, rows), geo).collect()}
+    # the NULL sender keeps a row; like any left join on user_id, its travel
+    # metrics cannot match a NULL key and stay NULL
+    assert got == {None: ("B", None), 5: ("C", None)}
+
+
+def test_nan_coordinates_give_null_city(spark, geo):
+    rows = [_msg(1, ts("2024-01-01", 1), "A", eid=1),
+            dict(_msg(1, ts("2024-01-01", 2), "A", eid=2), lat=float("nan")),
+            _msg(1, ts("2024-01-01", 3), "A", eid=3)]
+    msgs = activity.messages_in_cities(make_events(spark, rows), geo)
+    assert {r["event_id"]: r["city"] for r in msgs.collect()} == {1: "A", 2: None, 3: "A"}
+    row = activity.users_in_cities(make_events(spark, rows), geo).collect()[0]
+    assert (row["act_city"], row["travel_count"]) == ("A", None)
