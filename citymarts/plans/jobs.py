@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citymarts.operators import activity, citystats, matches
 from citymarts.session import ensure_utc
-from citymarts.sources.lake import as_date, read_geo_handbook, scan_events
+from citymarts.sources.lake import as_date, read_geo_handbook, scan_date_range, scan_events
 from citymarts.sources.sinks import load_increment, write_snapshot
 
 
@@ -111,8 +111,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def events_in_cities_mart(spark, run_date, ods_root, geo_path,
-                          state_root: str | None = None) -> DataFrame:
+                          state_root: str | None = None,
+                          require_complete: bool = False) -> DataFrame:
+    """``require_complete`` fails the run (listing the days) if any day of the
+    30-day period has no partition, instead of counting it as zero."""
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of=False)
+    if require_complete:
+        scan_date_range(ev, run_date, max(citystats.MART_DEPTHS.values()), require_complete=True)
     seen = update_first_seen(spark, run_date, ods_root, state_root) if state_root else None
     return citystats.events_in_cities(ev, geo, run_date, seen)
 

@@ -115,3 +115,12 @@ def test_matches_states_incremental_equal_full(spark):
                                 subscriptions_state=subs)
     b = jobs.users_matches_mart(spark, "2024-01-31", lake.ods, lake.geo)
     assert a.count() == 668 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_events_mart_require_complete(spark):
+    import pytest
+    lake = materialize_lake(spark, SF_SMOKE)
+    ok = jobs.events_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo, require_complete=True)
+    assert ok.count() == 25
+    with pytest.raises(FileNotFoundError, match="2023-12-31"):   # period starts before the data
+        jobs.events_in_cities_mart(spark, "2024-01-30", lake.ods, lake.geo, require_complete=True)
