@@ -108,6 +108,7 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
         F.sum(F.col("_nf") + F.col("_bf")).over(w2.rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)))
     s = s.withColumn("_latest", F.lag("_b", 1).over(w2).isNull())
+    s = s.withColumn("_earliest", F.lead("_b", 1).over(w2).isNull())
 
     r = m.join(s.select("user_id", "_b", "_nb", "_bf", "_later"), ["user_id", "_b"])
     last_in_bucket = F.col("_nxt").isNull()
@@ -187,3 +188,122 @@ def users_in_cities(events: DataFrame, geo: DataFrame, min_days: int = 27,
             .join(travels(runs), "user_id", "left")
             .select("user_id", "act_city", "home_city", "travel_count", "travel_array",
                     "local_time"))
+
+
+# ---------------------------------------------------------------- incremental state
+
+def _qualifies(g, min_days: int) -> Column:
+    return g["city"].isNotNull() & (g["days"] > min_days)
+
+
+def _best(arr: Column, min_days: int) -> Column:
+    """Latest qualifying stay of a group array, as struct(max_ts, max_eid, city)."""
+    return F.array_max(F.transform(
+        F.filter(arr, lambda g: _qualifies(g, min_days)),
+        lambda g: F.struct(g["max_ts"].alias("max_ts"), g["max_eid"].alias("max_eid"),
+                           g["city"].alias("city"))))
+
+
+def _merge_groups(a: Column, b: Column) -> Column:
+    """Merge stay groups by city (NULL is a key too); days of later data simply add."""
+    def step(acc, g):
+        same = lambda x: x["city"].eqNullSafe(g["city"])
+        merged = F.transform(acc, lambda x: F.when(same(x), F.struct(
+            x["city"].alias("city"), (x["days"] + g["days"]).alias("days"),
+            F.greatest(x["max_ts"], g["max_ts"]).alias("max_ts"),
+            F.greatest(x["max_eid"], g["max_eid"]).alias("max_eid"))).otherwise(x))
+        return F.when(F.exists(acc, same), merged).otherwise(F.concat(acc, F.array(g)))
+    return F.aggregate(b, a, step)
+
+
+def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days: int = 27,
+                        bucket_seconds: int = 3600) -> DataFrame:
+    """Users-mart state after appending ``messages`` (all later than the state).
+
+    State per user: ``last`` message, ``travels`` (flagged messages, oldest
+    first), ``open`` stay groups of the current run (city, distinct days,
+    latest message), ``home`` (latest closed stay longer than ``min_days``).
+    The new messages get the bucketed run labels; their earliest run joins the
+    state's open run unless the state's last message is flagged against the
+    first new city. ``state=None`` with all history is the full build.
+    """
+    msgs = messages.select("user_id", "event_id", "message_ts", "day", "city", "tz")
+    runs, buckets = _bucketed_runs(msgs, bucket_seconds)
+    grp = runs.groupBy("user_id", "seq_label", "city").agg(
+        F.count_distinct("day").alias("days"), F.max("message_ts").alias("max_ts"),
+        F.max("event_id").alias("max_eid"))
+    gstruct = F.struct("city", "days", "max_ts", "max_eid")
+    lab = runs.groupBy("user_id").agg(F.max("seq_label").alias("L"))
+    g = grp.join(lab, "user_id")
+    inc_groups = g.groupBy("user_id").agg(
+        F.first("L").alias("L"),
+        F.collect_list(F.when(F.col("seq_label") == 0, gstruct)).alias("inc_open"),
+        F.collect_list(F.when(F.col("seq_label") == F.col("L"), gstruct)).alias("inc_first"),
+        F.max(F.when((F.col("seq_label") > 0) & (F.col("seq_label") < F.col("L"))
+                     & F.col("city").isNotNull() & (F.col("days") > min_days),
+                     F.struct("max_ts", "max_eid", "city"))).alias("inc_mid"))
+    ends = buckets.groupBy("user_id").agg(
+        F.max_by(F.struct(F.col("_lastm.message_ts").alias("message_ts"),
+                          F.col("_lastm.event_id").alias("event_id"),
+                          F.col("_lastm.city").alias("city"), F.col("_lastm.tz").alias("tz")),
+                 F.col("_latest").cast("int")).alias("inc_last"),
+        F.max_by("_first", F.col("_earliest").cast("int")).alias("inc_first_city"))
+    trav = runs.where(F.col("flag") == 1).groupBy("user_id").agg(
+        F.array_sort(F.collect_list(F.struct("message_ts", "event_id", "city")))
+        .alias("inc_travels"))
+    inc = inc_groups.join(ends, "user_id").join(trav, "user_id", "left")
+
+    if state is None:
+        st = inc.select("user_id").where(F.lit(False)).select(
+            "user_id", F.lit(None).cast(
+                "struct<message_ts:timestamp,event_id:bigint,city:string,tz:string>").alias("last"),
+            F.lit(None).cast("array<struct<message_ts:timestamp,event_id:bigint,city:string>>")
+            .alias("travels"),
+            F.lit(None).cast("array<struct<city:string,days:bigint,max_ts:timestamp,"
+                             "max_eid:bigint>>").alias("open"),
+            F.lit(None).cast("struct<max_ts:timestamp,max_eid:bigint,city:string>")
+            .alias("home"))
+    else:
+        st = state
+    # null-safe: the NULL-sender group stays one row across increments
+    j = (st.withColumnRenamed("user_id", "_su")
+         .join(inc, F.col("_su").eqNullSafe(F.col("user_id")), "full")
+         .withColumn("user_id", F.coalesce("user_id", "_su")).drop("_su"))
+    has_inc, has_st = F.col("inc_last").isNotNull(), F.col("last").isNotNull()
+    f0 = (has_inc & has_st & F.col("last.city").isNotNull()
+          & F.col("inc_first_city").isNotNull()
+          & (F.col("last.city") != F.col("inc_first_city")))
+    empty_g = F.array().cast("array<struct<city:string,days:bigint,max_ts:timestamp,"
+                             "max_eid:bigint>>")
+    empty_t = F.array().cast("array<struct<message_ts:timestamp,event_id:bigint,city:string>>")
+    j = j.withColumn("_f0", f0)
+    merged_first = F.when(F.col("_f0") | ~has_st, F.col("inc_first")).otherwise(
+        _merge_groups(F.coalesce(F.col("open"), empty_g), F.col("inc_first")))
+    j = j.withColumn("_mf", merged_first)
+    new_open = (F.when(~has_inc, F.col("open"))
+                .when(F.col("L") == 0, F.col("_mf")).otherwise(F.col("inc_open")))
+    closed = F.concat(F.when(F.col("_f0"), F.col("open")).otherwise(empty_g),
+                      F.when(has_inc & (F.col("L") > 0), F.col("_mf")).otherwise(empty_g))
+    home = F.array_max(F.array_compact(F.array(F.col("home"), _best(closed, min_days),
+                                               F.col("inc_mid"))))
+    travels = F.concat(
+        F.coalesce(F.col("travels"), empty_t),
+        F.when(F.col("_f0"), F.array(F.struct(F.col("last.message_ts").alias("message_ts"),
+                                              F.col("last.event_id").alias("event_id"),
+                                              F.col("last.city").alias("city"))))
+        .otherwise(empty_t),
+        F.coalesce(F.col("inc_travels"), empty_t))
+    return j.select("user_id", F.coalesce("inc_last", "last").alias("last"),
+                    travels.alias("travels"), F.coalesce(new_open, empty_g).alias("open"),
+                    home.alias("home"))
+
+
+def users_in_cities_from_state(state: DataFrame, min_days: int = 27) -> DataFrame:
+    """The users mart read off a users state (see ``advance_users_state``)."""
+    home = F.array_max(F.array_compact(F.array(F.col("home"), _best(F.col("open"), min_days))))
+    n = F.size("travels")
+    return state.select(
+        "user_id", F.col("last.city").alias("act_city"), home["city"].alias("home_city"),
+        F.when(n > 0, n.cast("bigint")).alias("travel_count"),
+        F.when(n > 0, F.transform("travels", lambda x: x["city"])).alias("travel_array"),
+        F.from_utc_timestamp("last.message_ts", F.col("last.tz")).alias("local_time"))
