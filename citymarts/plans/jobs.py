@@ -31,6 +31,7 @@ class Paths:
     users_in_cities: str
     events_in_cities: str
     users_matches: str
+    users_state: str | None = None        # optional incremental state for the users mart
     first_seen_state: str | None = None   # optional incremental state for the events mart
     contacts_state: str | None = None     # optional incremental states for the matches mart
     subscriptions_state: str | None = None
@@ -44,11 +45,41 @@ def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of:
     return ev, read_geo_handbook(spark, geo_path)
 
 
-def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False) -> DataFrame:
+def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False,
+                         state_root: str | None = None) -> DataFrame:
+    """With ``state_root`` the mart is read off the incremental users state
+    (history before the run date, see ``update_users_state``)."""
+    if state_root:
+        return activity.users_in_cities_from_state(
+            update_users_state(spark, run_date, ods_root, geo_path, state_root))
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
     return activity.users_in_cities(ev, geo)
 
 
+def update_users_state(spark: SparkSession, run_date, ods_root: str, geo_path: str,
+                       state_root: str, rebuild: bool = False) -> DataFrame:
+    """``{state_root}/asof=<run_date>``: the users-mart state over messages before ``run_date``.
+
+    With yesterday's state present only the messages of ``run_date - 1`` are
+    read (and located); otherwise, or with ``rebuild=True``, the whole history.
+    """
+    d = as_date(run_date)
+    out = f"{state_root}/asof={d.isoformat()}"
+    prev = f"{state_root}/asof={(d - dt.timedelta(days=1)).isoformat()}"
+    if not rebuild and _exists(spark, out):
+        return spark.read.parquet(out)
+    ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of=False)
+    if not rebuild and _exists(spark, prev):
+        day = ev.where(F.col("date") == F.lit(d - dt.timedelta(days=1)))
+        state = activity.advance_users_state(spark.read.parquet(prev),
+                                             activity.messages_in_cities(day, geo))
+    else:
+        hist = ev.where(F.col("date") < F.lit(d))
+        state = activity.advance_users_state(None, activity.messages_in_cities(hist, geo))
+    state.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out)
+
+
 def _dated_state(spark: SparkSession, run_date, ods_root: str, state_root: str,
                  build, merge, rebuild: bool) -> DataFrame:
     """``{state_root}/asof=<run_date>`` = ``build(history before run_date)``, kept incrementally.
@@ -133,9 +164,10 @@ def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False,
     return matches.users_matches(ev, geo, run_date, contacts=contacts, subscriptions=subs)
 
 
-def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, as_of=False) -> str:
-    return write_snapshot(users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of),
-                          mart_root, run_date)
+def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, as_of=False,
+                          state_root: str | None = None) -> str:
+    return write_snapshot(users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of,
+                                               state_root), mart_root, run_date)
 
 
 def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root,
@@ -158,7 +190,8 @@ def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
     return {
         "increment": f"{paths.ods_events}/date={day.isoformat()}",
         "users_in_cities": build_users_in_cities(spark, run_date, paths.ods_events,
-                                                 paths.geo_handbook, paths.users_in_cities),
+                                                 paths.geo_handbook, paths.users_in_cities,
+                                                 state_root=paths.users_state),
         "events_in_cities": build_events_in_cities(spark, run_date, paths.ods_events,
                                                    paths.geo_handbook, paths.events_in_cities,
                                                    paths.first_seen_state),

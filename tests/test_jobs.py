@@ -124,3 +124,15 @@ def test_events_mart_require_complete(spark):
     assert ok.count() == 25
     with pytest.raises(FileNotFoundError, match="2023-12-31"):   # period starts before the data
         jobs.events_in_cities_mart(spark, "2024-01-30", lake.ods, lake.geo, require_complete=True)
+
+
+def test_users_state_job_equals_mart(spark):
+    lake = materialize_lake(spark, SF_SMOKE)
+    state = new_scratch(spark, "test-users-job")
+    jobs.update_users_state(spark, "2024-01-27", lake.ods, lake.geo, state)       # full build
+    for day in range(28, 32):
+        jobs.update_users_state(spark, f"2024-01-{day}", lake.ods, lake.geo, state)
+    a = jobs.users_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo, state_root=state)
+    b = jobs.users_in_cities_mart(spark, "2024-01-31", lake.ods, lake.geo, as_of=True)
+    assert a.count() == 15
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
