@@ -238,6 +238,7 @@ ORACLE: dict[str, str] = {
     "travel_array": _w(USERS) + "SELECT user_id, travel_array FROM trav",
     "users_in_cities": _USERS_MART,
     "mart_snapshot_roundtrip": _USERS_MART,
+    "users_in_cities_incremental": _USERS_MART,
     "events_by_zone_type": _w() + "SELECT zone_id, event_type, count(*) AS n FROM sez "
                                   f"WHERE date BETWEEN DATE '{_r_first}' AND DATE '{_r_last}' "
                                   "GROUP BY zone_id, event_type",
