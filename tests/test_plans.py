@@ -52,3 +52,17 @@ def test_nested_schema_pruning(inputs):
 
 def test_queries_registered():
     assert len(QUERIES) >= 40
+
+
+def test_incremental_users_state_plan(inputs):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    ev, geo = inputs
+    msgs = activity.messages_in_cities(ev, geo)
+    st = activity.advance_users_state(None, msgs.where(F.col("day") < F.lit(dt.date(2024, 1, 20))))
+    st2 = activity.advance_users_state(st, msgs.where(F.col("day") == F.lit(dt.date(2024, 1, 20))))
+    p = plan(activity.users_in_cities_from_state(st2))
+    assert "SortMergeJoin" in p or "ShuffledHashJoin" in p or "BroadcastHashJoin" in p
+    for bad in ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                "BroadcastNestedLoopJoin"):
+        assert bad not in p, bad
