@@ -7,6 +7,10 @@ pipeline's order. From the command line (e.g. under spark-submit):
 
     python -m citymarts.plans.jobs increment <run_date> <stg_root> <ods_root>
     python -m citymarts.plans.jobs users|events|matches <run_date> <ods_root> <geo_path> <mart_root>
+
+Optional trailing arguments switch on the incremental states: ``users`` takes
+``<users_state>``, ``events`` takes ``<first_seen_state>``, ``matches`` takes
+``<contacts_state> <subscriptions_state>``.
 """
 
 from __future__ import annotations
@@ -214,9 +218,19 @@ def main(argv: list[str]) -> int:
         if job == "increment":
             load_increment(spark, run_date, *args)
         else:
-            build = {"users": build_users_in_cities, "events": build_events_in_cities,
-                     "matches": build_users_matches}[job]
-            build(spark, run_date, *args)
+            ods, geo, mart, *states = args
+            if job == "users":
+                build_users_in_cities(spark, run_date, ods, geo, mart,
+                                      state_root=states[0] if states else None)
+            elif job == "events":
+                build_events_in_cities(spark, run_date, ods, geo, mart,
+                                       state_root=states[0] if states else None)
+            elif job == "matches":
+                build_users_matches(spark, run_date, ods, geo, mart,
+                                    contacts_state=states[0] if states else None,
+                                    subscriptions_state=states[1] if len(states) > 1 else None)
+            else:
+                raise SystemExit(f"unknown job {job!r}")
     finally:
         spark.stop()
     return 0

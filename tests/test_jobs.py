@@ -78,10 +78,13 @@ def test_cli_builds_a_mart(spark):
     lake = materialize_lake(spark, SF_SMOKE)
     out = new_scratch(spark, "test-cli")
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    state = new_scratch(spark, "test-cli-state")
     r = subprocess.run([sys.executable, "-m", "citymarts.plans.jobs", "events", "2024-01-31",
-                        lake.ods, lake.geo, out], cwd=root, capture_output=True, timeout=600)
+                        lake.ods, lake.geo, out, state], cwd=root, capture_output=True,
+                       timeout=600)
     assert r.returncode == 0, r.stderr.decode()[-2000:]
     assert spark.read.parquet(f"{out}/date=2024-01-31").count() == 25
+    assert spark.read.parquet(f"{state}/asof=2024-01-31").count() > 0
 
 
 def test_first_seen_state_incremental_equals_full(spark):
