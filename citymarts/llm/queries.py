@@ -7,7 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe
+from citymarts.llm import bpe, warc
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.page_records(warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +20,16 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_warc": op2_warc,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+             k AS (SELECT h, max(page_id) AS m FROM p WHERE strlen(h) >= 1000 GROUP BY h)
+        SELECT p.page_id, strlen(p.h) AS payload_bytes, sha1(p.h) AS payload_digest,
+               CASE WHEN k.m <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN k.m <> p.page_id THEN k.m END AS refers_to, TRUE AS verified
+        FROM p LEFT JOIN k ON p.h = k.h""",
+}
