@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe, warc
+from citymarts.llm import bpe, embeddings, warc
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.page_records(warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet")))
 
 
+def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -21,6 +25,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
+    "op3_embedding_neardup": op3_embedding_neardup,
     "op10_bpe": op10_bpe,
 }
 
