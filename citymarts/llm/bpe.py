@@ -17,15 +17,22 @@ from __future__ import annotations
 import heapq
 import json
 import os
+import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 MAX_VOCABULARY_BYTES = 64 << 20  # the vocabulary file is broadcast; larger ones are refused
-WORD_CACHE = 400_000             # words remembered per Python worker before the cache starts anew
+CACHED, CACHED_LENGTH = 200_000, 64  # pieces (and words) remembered per Python worker before the cache starts anew; their longest
+#: The pattern of words in the tokenizer file, and the same for the standard library.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: White space for the standard library alone.
+SEPARATOR = re.compile("[\x1c-\x1f]")
 LONG_FRAGMENT = 24               # above this many symbols a heap finds the next merge
 
 
@@ -36,6 +43,11 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def _normal(text: str) -> str:
+    """NFC and lower case of each character; white space needs no care, as no word holds any."""
+    return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+
+
 class ForcedBoundaryBPE:
     """Encoder and decoder for a ``tokenizers`` JSON file: BPE with a word-end suffix."""
 
@@ -54,15 +66,17 @@ class ForcedBoundaryBPE:
         self.ranks = {m: i for i, m in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
-        self.joined = {t[i:i + 2] for t in self._bodies() for i in range(len(t) - 1)}
+        self.joined = {p for t in self._bodies() for p in zip(t, t[1:])}
         self.symbols = byte_symbols()
-        self.word = regex.compile(split["pattern"]["Regex"])
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        if split["pattern"]["Regex"] != SPLIT_PATTERN:
+            raise ValueError("unsupported tokenizer file: another pattern of words is expected")
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.split = pre_tokenizers.Split(Regex(split["pattern"]["Regex"]), "removed", invert=True)
         self.normalizer = Tokenizer.from_str(content).normalizer
-        self.same: set[str] = set()   # characters that both pattern engines class alike
-        self.other: set[str] = set()  # those that they don't: their Unicode versions differ
-        self.cache: dict[str, list[int]] = {}
+        self.same: set[str] = set()   # characters that the standard library treats alike
+        self.other: set[str] = set()
+        self.cache: dict[str, list[int]] = {}       # pieces between white space
+        self.word_cache: dict[str, list[int]] = {}
 
     def _bodies(self) -> Iterator[str]:
         for t in self.vocab:
@@ -70,23 +84,23 @@ class ForcedBoundaryBPE:
 
     def fragments(self, symbols: str) -> list[str]:
         """``symbols`` cut at every pair that no vocabulary token contains."""
-        out, start = [], 0
-        for i in range(len(symbols) - 1):
-            if symbols[i:i + 2] not in self.joined:
-                out.append(symbols[start:i + 1])
-                start = i + 1
-        return [*out, symbols[start:]]
+        cuts = [i for i, p in enumerate(zip(symbols, symbols[1:]), 1) if p not in self.joined]
+        return [symbols[i:j] for i, j in zip([0, *cuts], [*cuts, len(symbols)])]
 
     def merge(self, parts: list[str]) -> list[str]:
         """Apply the lowest-ranked merge, leftmost first, until none is left."""
         if len(parts) > LONG_FRAGMENT:
             return self._merge_long(parts)
-        ranks = self.ranks
-        while len(parts) > 1:
-            best, at = min((ranks.get(p, len(ranks)), i) for i, p in enumerate(zip(parts, parts[1:])))
-            if best == len(ranks):
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        rank, none = self.ranks.get, len(self.ranks)
+        ranks = [rank(p, none) for p in zip(parts, parts[1:])]
+        while ranks and (low := min(ranks)) < none:
+            i = ranks.index(low)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((parts[i], parts[i + 1]), none)
         return parts
 
     def _merge_long(self, parts: list[str]) -> list[str]:
@@ -110,35 +124,52 @@ class ForcedBoundaryBPE:
         return [p for p in parts if p]
 
     def encode_word(self, word: str) -> list[int]:
-        ids = self.cache.get(word)
-        if ids is None:
-            found = self.fragments("".join(map(self.symbols.__getitem__, word.encode())))
-            ids = []
-            for k, f in enumerate(found):
-                parts = list(f)
-                if k == len(found) - 1:
-                    parts[-1] += self.end
-                ids += map(self.vocab.__getitem__, self.merge(parts))
-            if len(self.cache) >= WORD_CACHE:
-                self.cache.clear()
-            self.cache[word] = ids
-        return ids
-
-    def words(self, text: str) -> list[str]:
-        """The words of normalised text, as the library's own pattern engine splits it.
-
-        The faster engine is used where every character of the text has been
-        seen to behave alike in both.
+        found = self.fragments("".join(map(self.symbols.__getitem__, word.encode())))
+        ids: list[int] = []
+        for f in found[:-1]:
+            ids += map(self.vocab.__getitem__, self.merge([*f]))
+        last = [*found[-1]]
+        last[-1] += self.end
+        return [*ids, *map(self.vocab.__getitem__, self.merge(last))]
+
+    def alike(self, text: str) -> bool:
+        """Whether the standard library treats every character as the tokenizer's engine does.
+
+        Each character is tried once: their Unicode versions differ.
         """
         chars = set(text)
         if not chars <= self.same:
             for c in chars - self.same - self.other:
                 probe = f"a{c}{c}a"
-                alike = self.word.findall(probe) == [w for w, _ in self.split.pre_tokenize_str(probe)]
-                (self.same if alike else self.other).add(c)
-            if not chars.isdisjoint(self.other):
-                return [w for w, _ in self.split.pre_tokenize_str(text)]
-        return self.word.findall(text)
+                normal = self.normalizer.normalize_str(probe)
+                split = [w for w, _ in self.split.pre_tokenize_str(normal)]
+                good = WORD.findall(normal) == split == WORD.findall(_normal(probe))
+                (self.same if good else self.other).add(c)
+            return chars <= self.same
+        return True
+
+    def chunks(self, text: str) -> list[str]:
+        """``text``, normalised, in pieces that no word crosses."""
+        if text.isascii() and not SEPARATOR.search(text) or self.alike(text):
+            plain = _normal(text)
+            if unicodedata.is_normalized("NFC", text) or self.alike(plain):
+                return plain.split()
+        return [w for w, _ in self.split.pre_tokenize_str(self.normalizer.normalize_str(text))]
+
+    def encode_chunk(self, chunk: str) -> list[int]:
+        plain = chunk.isascii() and not SEPARATOR.search(chunk) or self.alike(chunk)
+        words = WORD.findall(chunk) if plain else [chunk]  # else the library split it
+        if len(self.word_cache) >= CACHED:
+            self.word_cache.clear()
+        out = []
+        for w in words:
+            ids = self.word_cache.get(w)
+            if ids is None:
+                ids = self.encode_word(w)
+                if len(w) <= CACHED_LENGTH:
+                    self.word_cache[w] = ids
+            out += ids
+        return out
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
@@ -146,9 +177,16 @@ class ForcedBoundaryBPE:
             if piece in self.special:
                 out.append(self.special[piece])
             elif piece:
-                known, word = self.cache.get, self.encode_word
-                for w in self.words(self.normalizer.normalize_str(piece)):
-                    out += known(w) or word(w)
+                chunks = self.chunks(piece)
+                if len(self.cache) >= CACHED:
+                    self.cache.clear()
+                long = {}
+                for c in set(chunks).difference(self.cache):
+                    (self.cache if len(c) <= CACHED_LENGTH else long)[c] = self.encode_chunk(c)
+                if long:
+                    out += chain.from_iterable(long[c] if c in long else self.cache[c] for c in chunks)
+                else:
+                    out += chain.from_iterable(map(self.cache.__getitem__, chunks))
         return out
 
     def decode(self, ids: list[int]) -> str:
