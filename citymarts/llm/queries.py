@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe, embeddings, warc
+from citymarts.llm import bpe, embeddings, licenses, quality, warc
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,14 @@ def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
@@ -26,6 +34,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_embedding_neardup": op3_embedding_neardup,
+    "op8_licenses": op8_licenses,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 
