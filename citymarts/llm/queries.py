@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe, embeddings, licenses, quality, secrets, warc
+from citymarts.llm import bpe, embeddings, licenses, pii, quality, secrets, warc
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
@@ -38,6 +42,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_embedding_neardup": op3_embedding_neardup,
+    "op5_pii": op5_pii,
     "op7_secrets": op7_secrets,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,

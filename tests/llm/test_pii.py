@@ -1,0 +1,113 @@
+import hashlib
+import math
+import re
+from collections import defaultdict
+
+import duckdb
+
+from citymarts.llm import pii
+from citymarts.llm.queries import QUERIES
+from conftest import SF_CHECK
+
+ODD = ["", "a@b.c@d.e x@y x@y@z.com a@b.c_x@d.e .@-.-", "1.2.3.4.5.6.7.8 256.1.1.1 000255.0.0.0 1.2.3 9999999999999999999999.1.1.1",
+       "4111 1111 1111 1111 4111111111111112 4-1-1-1 1111111111111 0000000000000", "+1 (017) 555-7713 +12 +123456789 +1--------------2 ++49 30 1234567)",
+       "é🙂 mail@example.com é +1 (974) 555-3436é", "a" * 20000 + "@" + "b" * 2000 + ".c" * 3000, "1" * 30000, "+1" + "(" * 5000,
+       "a@b.co 4111111111111111 1.1.1.1 " * 700]
+
+
+def luhn(d):
+    s = 0
+    for i, c in enumerate(reversed(d)):
+        n = int(c) * (2 if i % 2 else 1)
+        s += n - 9 if n > 9 else n
+    return s % 10 == 0
+
+
+def base(text):
+    out = [f"email:{m.start()}:{m.end()}" for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)] if "@" in text else []
+    out += [f"ip:{m.start()}:{m.end()}" for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+            if all(int(p) <= 255 for p in m[0].split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = re.sub("[^0-9]", "", m[0])
+        if 13 <= len(d) <= 19 and luhn(d):
+            out.append(f"card:{m.start()}:{m.end()}")
+    out += [f"phone:{m.start()}:{m.end()}" for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text)
+            if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+    return out
+
+
+def sha(parts):
+    return hashlib.sha256(",".join(parts).encode()).hexdigest()
+
+
+def test_base_equals_plain_regex(spark):
+    odd = [t if not t.startswith(("a" * 9, "1" * 9)) else t[:3000] + t[-7000:] for t in ODD]  # plain regex is quadratic
+    rows = [(i, t, "x", 1) for i, t in enumerate(odd)] + [(99, None, "x", 1), (1, odd[1], "x", 1), (None, odd[1], "x", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, email string, start int")
+    got = pii.digest(pii.scan(df)).collect()
+    assert sorted((str(r.doc_id), r.base_sha256) for r in got) == sorted((str(i), sha(base(t or ""))) for i, t, _, _ in rows)
+    long = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    assert pii.digest(pii.scan(long)).count() == len(ODD)
+    assert pii.scan(df.limit(0)).count() == 0
+
+
+def expected_terms(docs, support=pii.SUPPORT):
+    """Flagged term spans per document by plain loops."""
+    near, n_t, n = defaultdict(set), defaultdict(int), len(docs)
+    for i, t in docs:
+        for w in {w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)}:
+            n_t[w] += 1
+        plain = re.sub(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: "\1" * len(m[0]), t)
+        found = []
+        for s in base(t):
+            kind, a, b = s.split(":")
+            if kind == "email":
+                found.append(("email:" + t[int(a):int(b)].lower(), int(a), int(b)))
+        for s in base(plain):
+            kind, a, b = s.split(":")
+            v = t[int(a):int(b)]
+            found.append((f"{kind}:" + re.sub("[^0-9.]" if kind == "ip" else "[^0-9]", "", v), int(a), int(b)))
+        for m in re.finditer(r"[^\W\d_]{3,}", plain):
+            for e, a, b in found:
+                if a - pii.CONTEXT <= m.start() and m.end() <= a or b <= m.start() and m.end() <= b + pii.CONTEXT:
+                    near[e, m[0].lower()].add((i, m.start(), m.end()))
+    n_e = {}
+    for (e, _), at in near.items():
+        n_e.setdefault(e, set()).update(i for i, _, _ in at)
+    out = defaultdict(set)
+    for (e, t), at in near.items():
+        n_te = len({i for i, _, _ in at})
+        if n_te >= support and n > len(n_e[e]):
+            d = math.log(n_te * n / (n_t[t] * len(n_e[e]))) / math.log(n / len(n_e[e]))
+            if d >= pii.GENERALISE:
+                for i, a, b in at:
+                    out[i].add(f"term:{a}:{b}")
+    return out
+
+
+def test_query_equals_plain_loops(spark):
+    docs = duckdb.sql(f"select doc_id, text from read_parquet('{SF_CHECK}/documents.parquet')").fetchall()
+    found = {r.doc_id: r for r in QUERIES["op5_pii"](spark, SF_CHECK).collect()}
+    assert len(found) == len(docs)
+    assert all(found[i].base_sha256 == sha(base(t or "")) for i, t in docs)
+    # the table is small: judge terms from one document on, so that there are many
+    df = spark.read.parquet(f"{SF_CHECK}/documents.parquet")
+    got = {r.doc_id: r for r in pii.digest(pii.scan(df, support=1)).collect()}
+    terms = expected_terms([(i, t or "") for i, t in docs], support=1)
+    assert sum(map(len, terms.values())) > 300
+    for i, t in docs:
+        want = base(t or "")
+        assert got[i].base_sha256 == sha(want), i
+        spans = [s for s in got[i].spans.split(",") if s]
+        assert spans[:len(want)] == want
+        assert set(spans[len(want):]) == terms[i] and len(spans) == len(want) + len(terms[i]), i
+
+
+def test_revealing_terms_are_removed_and_common_ones_stay(spark):
+    docs = [(i, f"the castellan wrote from the town bob@example.com about the harvest number {'x' * (i + 3)}") for i in range(4)]
+    docs += [(100 + i, "the harvest in the town was about as good as ever") for i in range(60)]
+    docs += [(200, "castellan once"), (201, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.sanitise(pii.scan(df, with_text=True)).collect()}
+    assert "castellan" not in got[0].text and "harvest" in got[0].text and "bob@" not in got[0].text
+    assert not got[100].spans and not got[200].spans and got[201].text is None
