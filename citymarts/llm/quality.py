@@ -1,8 +1,8 @@
 """Quality classifier from weak labels.
 
-1. Heuristic labellers, as native expressions, vote on every document: low
-   (1), fine (0) or no opinion (-1). Votes are counted by pattern over all
-   documents; there are at most 3^labellers patterns.
+1. Heuristic labellers vote on every document: low (1), fine (0) or no opinion
+   (-1). Votes are counted by pattern over all documents, per task first;
+   there are at most 3^labellers patterns.
 2. Expectation-maximisation over these counts estimates how each labeller
    votes on low and on fine documents, without any gold label.
 3. The posterior labels of a bounded sample (``TRAIN_DOCS`` documents in
@@ -20,53 +20,82 @@ empty table gives an empty result. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from operator import eq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 TRAIN_DOCS = 8192
 DIM = 1 << 15        # hashed features
+WORD_SEED = 7        # keeps words apart from other features
 ROUNDS = 100         # of expectation-maximisation
 STEPS = 150          # of gradient descent
 
 #: Words of abuse in the languages of the corpus.
-ABUSE = ("idiot idiots moron morons stupid pathetic worthless disgusting scum trash loser losers clown vermin "
+ABUSE = frozenset("idiot idiots moron morons stupid pathetic worthless disgusting scum trash loser losers clown vermin "
          "imbecile crétin imbécile connard ordure idiota imbécil estúpido estúpida escoria trottel abschaum "
-         "dummkopf widerlich").split()
-
-
-def _ratio_vote(x: Column, fine_below: float, low_above: float) -> Column:
-    return F.when(x > low_above, 1).when(x < fine_below, 0).otherwise(-1)
-
-
-def labellers(text: Column) -> tuple[dict[str, Column], dict[str, Column]]:
-    """Vote columns of the quality and of the abuse labellers."""
-    count = lambda p: F.regexp_count(text, F.lit(p)).cast("double")
-    words = F.split(F.trim(text), r"\s+")
-    n, size = F.size(words).cast("double"), F.greatest(F.length(text), F.lit(1)).cast("double")
-    hits = count(r"(?i)(?<!\p{L})(?:" + "|".join(ABUSE) + r")(?!\p{L})")
-    quality = {
-        "symbol_runs": _ratio_vote(count(r"[*&$%#@^~=+<>{}\[\]|\\/_]{2,}") / n, 0.02, 0.1),
-        "symbol_share": _ratio_vote(count(r"[^\p{L}\p{N}\s.,;:'\"()-]") / size, 0.03, 0.08),
-        "upper_share": _ratio_vote(count(r"\p{Lu}") / size, 0.1, 0.3),
-        "shouting": _ratio_vote(count("!") / n, 0.05, 0.3),
-        "lone_symbols": _ratio_vote(count(r"(?<=\s)[^\p{L}\p{N}\s]+(?=\s)") / n, 0.02, 0.15),
-        "doubled_words": _ratio_vote(2 * count(r"(?<!\S)(\S+) \1(?!\S)") / n, 0.05, 0.15),
-        "stuttering": _ratio_vote(4 * count(r"(?<!\S)(\S+) \1 \1 \1(?!\S)") / n, 0.01, 0.1),
-        "few_words": F.when((n < 20) | (n > 2000), -1).otherwise(_ratio_vote(1 - F.size(F.array_distinct(words)) / n, 0.85, 0.92)),
-        "word_length": F.when((size / n < 2.5) | (size / n > 20), 1).otherwise(F.when(size / n < 12, 0).otherwise(-1)),
-        "sentences": F.when(n < 30, -1).otherwise(_ratio_vote(n / (1 + count(r"[.!?…。]")), 60.0, 150.0)),
-    }
-    abuse = {
-        "any": F.when(hits > 0, 1).otherwise(0),
-        "several": F.when(hits > 1, 1).when(hits == 0, 0).otherwise(-1),
-        "dense": F.when(hits / n > 0.004, 1).when(hits == 0, 0).otherwise(-1),
-    }
-    return quality, abuse
+         "dummkopf widerlich".split())
+
+
+_SYMBOL = re.compile(r"[^\w\s.,;:'\"()-]|_")
+_RUN = re.compile(r"[*&$%#@^~=+<>{}\[\]|\\/_]{2,}")
+_EDGE = ".,;:!?'\"()"
+
+
+def _vote(x: float, fine_below: float, low_above: float) -> int:
+    return 1 if x > low_above else 0 if x < fine_below else -1
+
+
+class Examined:
+    """What one pass over a document's words tells: counts for the labellers and the features."""
+
+    def __init__(self, text: str):
+        words = text.split()
+        self.n, self.size, self.counts = max(1, len(words)), max(1, len(text)), Counter(words)
+        self.seen: set[str] = set()
+        self.shapes: Counter = Counter()
+        runs = symbols = upper = bangs = hits = 0
+        for w, k in self.counts.items():
+            core = w.strip(_EDGE).lower()
+            self.seen.add(core)
+            if w.isalpha():
+                self.shapes["upper" if len(w) > 1 and w.isupper() else "alpha"] += k
+            else:
+                self.shapes["plain" if w[0].isalpha() else "other"] += k
+                if len(w) > 1 and not w[-1].isalnum() and not w[-2].isalnum():
+                    self.shapes["tail"] += k
+                symbols += k * len(_SYMBOL.findall(w))
+                runs += k * len(_RUN.findall(w))
+                bangs += k * w.count("!")
+                if not any(map(str.isalnum, w)):
+                    self.shapes["lone"] += k
+            if not w.islower():
+                upper += k * sum(map(str.isupper, w))
+            if core in ABUSE:
+                hits += k
+        same = [*map(eq, words, words[1:])] if len(self.counts) < len(words) else []
+        doubled = sum(same)
+        stutter = sum(a and b and c for a, b, c in zip(same, same[1:], same[2:])) if doubled > 2 else 0
+        n, size = self.n, self.size
+        ends = sum(k for w, k in self.counts.items() if w[-1] in ".!?…。")
+        #: quality labellers: symbol runs, symbol share, upper case, shouting, lone symbols, doubled words,
+        #: stuttering, few distinct words, word length, sentences; abuse labellers: any, several, dense
+        self.votes = [
+            _vote(runs / n, 0.02, 0.1), _vote(symbols / size, 0.03, 0.08), _vote(upper / size, 0.1, 0.3),
+            _vote(bangs / n, 0.05, 0.3), _vote(self.shapes["lone"] / n, 0.02, 0.15),
+            _vote(2 * doubled / n, 0.05, 0.15), _vote(stutter / n, 0.01, 0.1),
+            _vote(1 - len(self.counts) / n, 0.85, 0.92) if 20 <= n <= 2000 else -1,
+            1 if not 2.5 <= size / n <= 20 else 0 if size / n < 12 else -1,
+            _vote(n / (1 + ends), 60.0, 150.0) if n >= 30 else -1,
+            int(hits > 0), 1 if hits > 1 else 0 if hits == 0 else -1, 1 if hits / n > 0.004 else 0 if hits == 0 else -1]
+
+
+QUALITY_LABELLERS = 10
 
 
 def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
@@ -86,32 +115,24 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -
     return p
 
 
-def features(text: str, votes: list[int]) -> dict[int, float]:
+def features(doc: Examined) -> dict[int, float]:
     """Hashed features of a document; every group of features has about unit length."""
-    words = text.split()
-    counts, n = Counter(words), max(1, len(words))
     out: dict[int, float] = {}
 
     def add(name: str, value: float) -> None:
         at = zlib.crc32(name.encode()) % DIM
         out[at] = out.get(at, 0.0) + value
 
-    for i, v in enumerate(votes):
+    for i, v in enumerate(doc.votes):
         add(f"vote {i} {v}", 1.0)
-    shapes: Counter = Counter()
-    for w, k in counts.items():
-        kind = "upper" if len(w) > 1 and w.isupper() else "alpha" if w.isalpha() else "plain" if w[0].isalpha() else "other"
-        shapes[kind] += k
-        if not w[-1].isalnum() and len(w) > 1 and not w[-2].isalnum():
-            shapes["tail"] += k
-    for kind, k in shapes.items():
-        add(f"shape {kind}", k / n)
-        add(f"shape {kind} {10 * k // n}", 0.5)
-    add(f"distinct {10 * len(counts) // n}", 0.5)
-    seen = {w.strip(".,;:!?'\"()").lower() for w in counts}
-    scale = 1 / np.sqrt(max(1, len(seen)))
-    for w in seen:
-        add(f"word {w}", scale)
+    for kind, k in doc.shapes.items():
+        add(f"shape {kind}", k / doc.n)
+        add(f"shape {kind} {10 * k // doc.n}", 0.5)
+    add(f"distinct {10 * len(doc.counts) // doc.n}", 0.5)
+    scale = 1 / np.sqrt(max(1, len(doc.seen)))
+    for w in doc.seen:
+        at = zlib.crc32(w.encode(), WORD_SEED) % DIM
+        out[at] = out.get(at, 0.0) + scale
     return out
 
 
@@ -133,60 +154,62 @@ def fit(rows: list[tuple[list[int], list[float]]], target: np.ndarray) -> np.nda
     return np.append(w, b)
 
 
+def _patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    found: Counter = Counter()
+    for pdf in batches:
+        found.update(tuple(Examined(t).votes) for t in pdf["text"])
+    yield pd.DataFrame({"votes": [[*v] for v in found], "n": [*found.values()]})
+
+
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        found = [features(t, v) for t, v in zip(pdf["text"], pdf["votes"])]
-        yield pd.DataFrame({"at": [[*f] for f in found], "x": [[*f.values()] for f in found],
-                            "low": pdf["low"], "toxic": pdf["toxic"]})
+        docs = [Examined(t) for t in pdf["text"]]
+        found = [features(d) for d in docs]
+        yield pd.DataFrame({"votes": [d.votes for d in docs], "at": [[*f] for f in found],
+                            "x": [[*f.values()] for f in found]})
 
 
 def _scoring(model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         w = model.value
         for pdf in batches:
-            scores = []
-            for text, votes in zip(pdf["text"], pdf["votes"]):
-                f = features(text, votes)
-                logits = w[:, [*f]] @ np.fromiter(f.values(), float, len(f)) + w[:, -1]
-                scores.append(1 / (1 + np.exp(-np.clip(logits, -30, 30))))
-            found = np.array(scores).reshape(-1, 2)
+            logits = []
+            for text in pdf["text"]:
+                f = features(Examined(text))
+                logits.append(w[:, [*f]] @ np.fromiter(f.values(), float, len(f)) + w[:, -1])
+            found = 1 / (1 + np.exp(-np.clip(np.array(logits).reshape(-1, 2), -30, 30)))
             yield pd.DataFrame({"id": pdf["id"], "p_low": found[:, 0], "p_toxic": found[:, 1]})
     return run
 
 
-def train(voted: DataFrame, n_quality: int) -> np.ndarray:
-    """Scorer weights (quality, abuse) from documents with ``id``, ``text`` and ``votes``."""
-    spark = voted.sparkSession
-    patterns = voted.groupBy("votes").count().collect()  # at most 3^labellers rows
+def train(docs: DataFrame) -> np.ndarray:
+    """Scorer weights (quality, abuse) from documents with ``id`` and ``text``."""
+    patterns = (docs.select("text").mapInPandas(_patterns, "votes array<int>, n long")
+                .groupBy("votes").agg(F.sum("n").alias("n")).collect())  # at most 3^labellers rows
     if not patterns:
         return np.zeros((2, DIM + 1))
-    votes, counts = np.array([r.votes for r in patterns]), np.array([r["count"] for r in patterns], float)
-    low = posteriors(votes[:, :n_quality], counts)
-    toxic = posteriors(votes[:, n_quality:], counts)
-    known = spark.createDataFrame([(r.votes, float(a), float(b)) for r, a, b in zip(patterns, low, toxic)],
-                                  "votes array<int>, low double, toxic double")
-    share = min(1.0, TRAIN_DOCS / counts.sum())
-    sample = (voted.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < int(np.ceil(share * (1 << 20))))
-              .join(F.broadcast(known), "votes"))
-    rows = sample.select("text", "votes", "low", "toxic").mapInPandas(
-        _featured, "at array<int>, x array<double>, low double, toxic double").collect()
+    votes, counts = np.array([r.votes for r in patterns]), np.array([r.n for r in patterns], float)
+    known = {tuple(r.votes): p for r, *p in zip(patterns, posteriors(votes[:, :QUALITY_LABELLERS], counts),
+                                                posteriors(votes[:, QUALITY_LABELLERS:], counts))}
+    share = int(np.ceil(min(1.0, TRAIN_DOCS / counts.sum()) * (1 << 20)))
+    sample = docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share)
+    rows = sample.select("text").mapInPandas(_featured, "votes array<int>, at array<int>, x array<double>").collect()
     if not rows:
         return np.zeros((2, DIM + 1))
+    target = np.array([known[tuple(r.votes)] for r in rows])
     pairs = [(r["at"], r["x"]) for r in rows]
-    return np.stack([fit(pairs, np.array([r[k] for r in rows])) for k in ("low", "toxic")])
+    return np.stack([fit(pairs, target[:, j]) for j in (0, 1)])
 
 
 def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``id_col``, ``p_low``, ``p_toxic`` and ``keep``."""
-    spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    quality, abuse = labellers(F.col("text"))
-    votes = F.array(*[c.cast("int") for c in [*quality.values(), *abuse.values()]])
-    voted = rows.where(~F.col("text").rlike(r"^\s*$")).withColumn("votes", votes)
-    model = spark.sparkContext.broadcast(train(voted, len(quality)))  # 2 x (DIM + 1) numbers
+    # white space of both the JVM and Python
+    blank = F.col("text").rlike(r"^[\s\x1c-\x1f\x85\p{Z}]*$")
+    docs = rows.where(~blank)
+    model = df.sparkSession.sparkContext.broadcast(train(docs))  # 2 x (DIM + 1) numbers
     kind = rows.schema["id"].dataType.simpleString()
-    scored = voted.mapInPandas(_scoring(model), f"id {kind}, p_low double, p_toxic double")
-    empty = rows.where(F.col("text").rlike(r"^\s*$")).select("id", F.lit(1.0).alias("p_low"), F.lit(0.0).alias("p_toxic"))
-    both = scored.unionByName(empty)
-    return both.select(F.col("id").alias(id_col), "p_low", "p_toxic",
-                       ((F.col("p_low") < 0.5) & (F.col("p_toxic") < 0.5)).alias("keep"))
+    scored = docs.mapInPandas(_scoring(model), f"id {kind}, p_low double, p_toxic double")
+    empty = rows.where(blank).select("id", F.lit(1.0).alias("p_low"), F.lit(0.0).alias("p_toxic"))
+    return scored.unionByName(empty).select(
+        F.col("id").alias(id_col), "p_low", "p_toxic", ((F.col("p_low") < 0.5) & (F.col("p_toxic") < 0.5)).alias("keep"))
