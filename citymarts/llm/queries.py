@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe, embeddings, licenses, pii, quality, secrets, warc
+from citymarts.llm import bpe, embeddings, licenses, linededup, pii, quality, secrets, warc
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.drop_recurring(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_embedding_neardup": op3_embedding_neardup,
     "op5_pii": op5_pii,
+    "op6_line_dedup": op6_line_dedup,
     "op7_secrets": op7_secrets,
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
@@ -57,4 +62,5 @@ ORACLE: dict[str, str] = {
                CASE WHEN k.m <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN k.m <> p.page_id THEN k.m END AS refers_to, TRUE AS verified
         FROM p LEFT JOIN k ON p.h = k.h""",
+    "op6_line_dedup": linededup.SQL,
 }

@@ -1,0 +1,48 @@
+from citymarts.llm import linededup
+from conftest import SF_CHECK
+from sqlcheck import assert_equals_sql
+
+LONG = "the long passage that many pages carry goes on and on over more than twenty words so that two are enough to drop it"
+
+
+def run(spark, rows, f=linededup.drop_recurring):
+    df = spark.createDataFrame([(i, t, 7, "x") for i, t in rows], "doc_id long, text string, no int, drops string")
+    return df, f(df)
+
+
+def test_query_equals_sql(spark):
+    assert_equals_sql(spark, "op6_line_dedup", SF_CHECK)
+
+
+def test_variable_fields_are_generalised(spark):
+    rows = [(i, f"own words of document {'abcdefgh'[i]} only here\nPosted by {n} on page {i} of 9 in total\nshared\n{LONG}")
+            for i, n in enumerate(["ann", "bob", "cy", "dan", "eve"])]
+    got = {r.doc_id: r for r in run(spark, rows)[1].collect()}
+    # names: the third token, so below the leading tokens they lead to leaves of their own
+    assert LONG in got[0].text and all(LONG not in got[i].text for i in range(1, 5))
+    assert all("shared" in r.text and "own words" in r.text or r.doc_id for r in got.values())
+    rows = [(i, f"Visit our page for more about {n} and its many friends") for i, n in enumerate(["red", "blue", "green", "9"])]
+    got = {r.doc_id: r for r in run(spark, rows)[1].collect()}
+    assert got[0].text and [got[i].text for i in (1, 2, 3)] == ["", "", ""]
+    assert [got[i].n_dropped for i in range(4)] == [0, 1, 1, 1]
+
+
+def test_unlike_lines_of_a_leaf_stay(spark):
+    rows = [(i, "in the end of " + " ".join(f"{w}{c}" for w in "abcdef")) for i, c in enumerate(["x", "y", "z", "u"])]
+    assert all(r.n_dropped == 0 for r in run(spark, rows)[1].collect())
+
+
+def test_odd_rows(spark):
+    line = "one two three four"
+    rows = [(1, None), (2, ""), (3, "\n\n"), (4, line), (4, line), (5, f"{line}\n{line}"), (6, f"a\n{line}\nb\r"), (None, line),
+            (7, "x y " * 50_000), (8, "\n".join([line] * 3000))]
+    df, out = run(spark, rows)
+    got = sorted(((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in out.collect()), key=str)
+    want = [(1, None, 0, 0), (2, "", 1, 0), (3, "\n\n", 3, 0), (4, "", 1, 1), (4, "", 1, 1), (5, "", 2, 2), (6, "a\nb\r", 3, 1),
+            (None, line, 1, 0), (7, "x y " * 50_000, 1, 0), (8, "", 3000, 3000)]
+    assert got == sorted(want, key=str)
+    kept = linededup.remaining(df)
+    assert kept.columns == df.columns
+    assert sorted(map(str, ((r.doc_id, r.text, r.no, r.drops) for r in kept.collect()))) == \
+        sorted(str((i, t, 7, "x")) for i, t, _, _ in want)
+    assert linededup.drop_recurring(df.limit(0)).count() == 0
