@@ -7,7 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe, embeddings, licenses, linededup, pii, quality, secrets, warc
+from citymarts.llm import bpe, embeddings, licenses, linededup, ngrams, pii, quality, secrets, warc
+
+
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngrams.join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +48,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
     "op3_embedding_neardup": op3_embedding_neardup,
     "op5_pii": op5_pii,
