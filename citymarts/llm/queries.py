@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.llm import bpe, embeddings, licenses, linededup, ngrams, pii, quality, secrets, warc
+from citymarts.llm import bpe, decontaminate, embeddings, licenses, linededup, ngrams, pii, quality, secrets, warc
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), threshold=0.98)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
     "op3_embedding_neardup": op3_embedding_neardup,
+    "op4_decontamination": op4_decontamination,
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
     "op7_secrets": op7_secrets,

@@ -1,0 +1,54 @@
+import re
+
+import duckdb
+
+from citymarts.llm import decontaminate as d
+from citymarts.llm.queries import QUERIES
+from conftest import SF_CHECK
+
+FILL = "it was said in the old house that nobody had ever seen the garden by night "
+ITEM = "A train leaves the station with 120 passengers and after 3 hours Maria counts 120 of them and 45 km to go"
+
+
+def found(spark, docs, items, **kw):
+    a = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id long, text string, item long")
+    b = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, hash string")
+    return {(r.doc_id, r.item_id): (r.kind, r.changed) for r in d.leaks(a, b, **kw).collect()}
+
+
+def test_exact_and_reparameterised(spark):
+    same = ITEM.replace("120", "77").replace("Maria", "Peter").replace("45", "9").replace(" 3 ", " 8 ")
+    torn = ITEM.replace("120", "77", 1)  # the two equal numbers now differ
+    docs = [(1, FILL + ITEM + ". " + FILL), (2, FILL + same + " " + FILL), (3, FILL + torn + ". " + FILL), (4, FILL * 20),
+            (5, ITEM.upper()), (6, FILL + " ".join(ITEM.split()[:9]) + " " + FILL), (7, (FILL + ITEM + "\n") * 3)]
+    for limit in (d.BROADCAST_WINDOWS, 0):
+        got = found(spark, docs, [(9, ITEM)], broadcast_windows=limit)
+        assert got[1, 9] == ("exact", 0) and got[7, 9] == ("exact", 0)
+        assert got[2, 9][0] == "reparameterised"
+        assert (3, 9) not in got and (4, 9) not in got and (6, 9) not in got
+
+
+def test_short_items_and_odd_rows(spark):
+    docs = [(1, None), (2, ""), (3, "red blue green yellow black"), (None, "so red blue green yellow black it is"), (3, "red blue green yellow black"),
+            (4, "1 2 3 4 5 6 7 8 9 10 11 12"), (5, "filler " * 100_000 + ITEM)]
+    items = [(1, "Red blue green yellow black"), (2, "too short"), (3, None), (4, ""), (5, "1 2 3 4 5 6 7 8 9 10 11 12"), (6, ITEM), (6, ITEM)]
+    got = found(spark, docs, items)
+    assert set(got) == {(3, 1), (None, 1), (5, 6)}
+    assert found(spark, [], items) == {} and found(spark, docs, []) == {}
+    a = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    assert sorted(str(r.doc_id) for r in d.without_leaks(a, b).collect()) == ["1", "2", "4", "None"]
+
+
+def test_query_finds_every_passage_and_little_else(spark):
+    docs = duckdb.sql(f"select doc_id, text from read_parquet('{SF_CHECK}/documents.parquet')").fetchall()
+    items = duckdb.sql(f"select item_id, text from read_parquet('{SF_CHECK}/benchmark.parquet')").fetchall()
+    words = lambda t: re.findall(r"\w+", (t or "").lower())
+    got = {(r.doc_id, r.item_id) for r in QUERIES["op4_decontamination"](spark, SF_CHECK).collect()}
+    whole = {(i, k) for k, x in items for i, t in docs if f" {' '.join(words(x))} " in f" {' '.join(words(t))} "}
+    assert whole and whole <= got
+    # whatever else is found shares a run of eight words with the item
+    text, item = dict(docs), dict(items)
+    for i, k in got - whole:
+        w, joined = words(item[k]), f" {' '.join(words(text[i]))} "
+        assert any(f" {' '.join(w[j:j + 8])} " in joined for j in range(len(w) - 7)), (i, k)
