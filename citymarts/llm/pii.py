@@ -105,24 +105,30 @@ def contexts(found: DataFrame, around: int = CONTEXT) -> DataFrame:
         words["id"], words["same"], "entity", F.lower("value").alias("term"), "start", "end").distinct()
 
 
-def disclosures(near: DataFrame, docs: DataFrame, text_col: str = "text", support: int = SUPPORT) -> DataFrame:
-    """(entity, term, disclosure) of the terms near an entity in at least ``support`` documents.
-
-    ``near`` has the terms of ``contexts()``; ``docs`` are all documents.
+def disclosures(near: DataFrame, docs: DataFrame, text_col: str = "text", support: int = SUPPORT,
+                least: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) of at least ``least``, of terms near an entity in ``support`` documents or more.
+
+    ``near`` has the terms of ``contexts()``; ``docs`` are all documents. A
+    term stands in at least as many documents as it stands near entities in.
+    Pairs that this number rules out are left out before the term's documents
+    are counted, so common words are not.
     """
+    part = lambda n_t: F.log(F.col("n_te") * F.col("n") / (F.col(n_t) * F.col("n_e"))) / F.log(F.col("n") / F.col("n_e"))
+    by_doc = near.select("term", "id", "same").distinct().groupBy("term").agg(F.count("*").alias("at_least"))
     pairs = (near.select("entity", "term", "id", "same").distinct().groupBy("entity", "term")
              .agg(F.count("*").alias("n_te")))
     of_entity = near.select("entity", "id", "same").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    judged = written(pairs.where(F.col("n_te") >= support).join(of_entity, "entity"), "pii-pairs")
     total = docs.select(F.count("*").alias("n"))
-    # documents that hold a judged term; each is counted once per document before anything is shuffled
-    texts = docs.select(F.expr(f"explode(array_distinct(regexp_extract_all(lower({text_col}), '{WORD.replace(chr(92), chr(92) * 2)}', 0)))").alias("term"))
+    judged = (pairs.where(F.col("n_te") >= support).join(of_entity, "entity").join(by_doc, "term")
+              .crossJoin(F.broadcast(total)))  # one row
+    judged = written(judged.where((F.col("n") > F.col("n_e")) & (part("at_least") >= least)), "pii-pairs")
+    words = WORD.replace("\\", "\\\\")
+    texts = docs.select(F.expr(f"explode(array_distinct(regexp_extract_all(lower({text_col}), '{words}', 0)))").alias("term"))
     of_term = (texts.join(judged.select("term").distinct(), "term", "left_semi")
                .groupBy("term").agg(F.count("*").alias("n_t")))
-    part = F.log(F.col("n_te") * F.col("n") / (F.col("n_t") * F.col("n_e")))
-    whole = F.log(F.col("n") / F.col("n_e"))
-    return (judged.join(of_term, "term").crossJoin(F.broadcast(total))  # one row
-            .select("entity", "term", F.when(whole > 0, part / whole).otherwise(0.0).alias("disclosure")))
+    return (judged.join(of_term, "term").select("entity", "term", part("n_t").alias("disclosure"))
+            .where(F.col("disclosure") >= least))
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
@@ -134,7 +140,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support:
     found = written(base_spans(df, id_col, text_col), "pii")
     docs = df.select(F.col(text_col).cast("string").alias("text"))
     near = written(contexts(found), "pii-near")
-    judged = disclosures(near, docs, support=support).where(F.col("disclosure") >= generalise)
+    judged = disclosures(near, docs, support=support, least=generalise)
     terms = (near.join(judged, ["entity", "term"]).groupBy("id", "same", "start", "end")
              .agg(F.max("disclosure").alias("disclosure"))
              .groupBy(F.col("id").alias("tid"), F.col("same").alias("tsame"))
