@@ -158,11 +158,12 @@ def _patterns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     found: Counter = Counter()
     for pdf in batches:
         found.update(tuple(Examined(t).votes) for t in pdf["text"])
-    yield pd.DataFrame({"votes": [[*v] for v in found], "n": [*found.values()]})
+    if found:
+        yield pd.DataFrame({"votes": [[*v] for v in found], "n": [*found.values()]})
 
 
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+    for pdf in filter(len, batches):
         docs = [Examined(t) for t in pdf["text"]]
         found = [features(d) for d in docs]
         yield pd.DataFrame({"votes": [d.votes for d in docs], "at": [[*f] for f in found],
