@@ -31,27 +31,40 @@ SIMILAR = 0.7
 MIN_TOKENS = 3
 MIN_DOCS = 3
 PASSAGE = 20
+BROADCAST_LEAVES = 500_000  # leaves to take apart, 16 bytes each, that are broadcast; more are joined by a shuffle
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """id, same, no, masked line, number of tokens, leaf and digest of every line that counts."""
+    """id, same, no, masked line, number of tokens and leaf of every line that counts."""
     lines = docs.where("text is not null").select("id", "same", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
     masked = F.when(F.col("line").rlike("[0-9]"),
                     F.regexp_replace("line", r"(?<![^ \t\r\f])(?=[^ \t\r\f0-9]*+[0-9])[^ \t\r\f]++", "<*>")).otherwise(F.col("line"))
-    lines = lines.select("id", "same", "no", F.trim(F.regexp_replace(masked, r"[ \t\r\f]+", " ")).alias("masked"))
+    lines = lines.select("id", "same", "no", masked.alias("masked"))
+    # plain searches tell faster than a pattern that most lines have single blanks already
+    blanks = F.lit(False)
+    for c in ("  ", "\t", "\r", "\f"):
+        blanks = blanks | F.col("masked").contains(c)
+    single = F.when(blanks, F.regexp_replace("masked", r"[ \t\r\f]+", " ")).otherwise(F.col("masked"))
+    lines = lines.select("id", "same", "no", F.trim(single).alias("masked"))
     tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
     lines = lines.select("*", tokens.alias("tokens")).where(f"tokens >= {MIN_TOKENS}")
     leaf = F.unhex(F.md5(F.concat_ws(" ", "tokens", F.substring_index("masked", " ", DEPTH))))
-    return lines.select("*", leaf.alias("leaf"), F.unhex(F.md5("masked")).alias("line"))
+    return lines.select("*", leaf.alias("leaf"))
+
+
+def with_digest(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("line", F.unhex(F.md5("masked")))
 
 
 def generalised(docs: DataFrame, lines: DataFrame) -> DataFrame:
     """(line, template) of the lines that belong to their leaf's template; others are their own."""
-    doc = F.xxhash64("id", "same")
-    mixed = (lines.groupBy("leaf").agg(F.min(doc).alias("a"), F.max(doc).alias("b"), F.min("line").alias("x"),
-                                       F.max("line").alias("y"), F.first("tokens").alias("tokens"))
-             .where(f"a <> b and x <> y and tokens > {DEPTH}").select("leaf"))
-    variants = written(parsed_lines(docs).join(mixed, "leaf", "left_semi").groupBy("leaf", "line")
+    doc, text = F.xxhash64("id", "same"), F.xxhash64("line")
+    mixed = written(lines.groupBy("leaf").agg(F.min(doc).alias("a"), F.max(doc).alias("b"), F.min(text).alias("x"),
+                                              F.max(text).alias("y"), F.max("tokens").alias("tokens"))
+                    .where(f"a <> b and x <> y and tokens > {DEPTH}").select("leaf"), "mixed-leaves")
+    if mixed.count() <= BROADCAST_LEAVES:
+        mixed = F.broadcast(mixed)
+    variants = written(with_digest(parsed_lines(docs).join(mixed, "leaf", "left_semi")).groupBy("leaf", "line")
                        .agg(F.count("*").alias("n"), F.first("masked").alias("masked")), "line-variants")
     each = variants.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     by_token = each.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
@@ -88,7 +101,7 @@ def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _drops(docs: DataFrame) -> DataFrame:
     """did, dsame, drops: the numbers of the lines that go, per document that loses any."""
-    lines = written(parsed_lines(docs).drop("masked"), "lines")
+    lines = written(with_digest(parsed_lines(docs)).drop("masked"), "lines")
     own = generalised(docs, lines).withColumnRenamed("line", "member")
     lines = lines.join(own, lines["line"] == own["member"], "left").select(
         "id", "same", "no", "tokens", F.coalesce("template", "line").alias("template"))
