@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from citymarts.plans.catalog import QUERIES  # noqa: E402
 from citymarts.session import build_session  # noqa: E402
-from citymarts.functions.geo import cached_city_index  # noqa: E402
+from citymarts.functions.geo import stored_city_index  # noqa: E402
 from citymarts.sources.fixture import materialize_lake  # noqa: E402
 from citymarts.sources.lake import read_geo_handbook  # noqa: E402
 
@@ -45,8 +45,8 @@ def main() -> None:
     t = time.time()
     lake = materialize_lake(spark, sf_dir)
     lake_sec = time.time() - t
-    t = time.time()                      # one-time per session: the nearest-city index
-    cached_city_index(read_geo_handbook(spark, lake.geo))
+    t = time.time()                      # once per handbook: the nearest-city index
+    stored_city_index(read_geo_handbook(spark, lake.geo))
     index_sec = time.time() - t
     times: dict[str, float] = {}
     for name in HEADLINE:
@@ -80,7 +80,7 @@ def main() -> None:
     except Exception as e:  # noqa: BLE001
         incremental = {"error": f"{type(e).__name__}: {str(e)[:200]}"}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
+    print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()) + index_sec, 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
                       "lake_load_sec": round(lake_sec, 3),
                       "city_index_build_sec": round(index_sec, 3),

@@ -10,13 +10,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from citymarts.session import path_exists, shared_dir
+
 # Mean Earth radius in km used by the distance formula.
 EARTH_RADIUS_KM = 6371.0
 
-# Largest city dimension accepted by the nearest-city index (checked at run time).
-DEFAULT_MAX_BROADCAST_CITIES = 10_000
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -58,23 +56,6 @@ def city_points(geo: DataFrame) -> DataFrame:
                     x.alias("x"), y.alias("y"), z.alias("z")))
 
 
-def city_list(geo: DataFrame, max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> Column:
-    """Scalar subquery: all cities as one array sorted by zone_id.
-
-    Evaluated once per query and shipped with the tasks; its size is checked
-    inside the subquery so an oversized dimension fails loudly instead of
-    flooding every task.
-    """
-    pts = city_points(geo)
-    s = F.struct("zone_id", "city", "tz", "lat", "lon", "x", "y", "z")
-    one_row = pts.agg(
-        F.when(F.count(F.lit(1)) <= F.lit(max_cities), F.array_sort(F.collect_list(s)))
-        .otherwise(F.raise_error(F.lit(
-            f"city dimension exceeds {max_cities} rows; raise max_cities")))
-        .alias("cities"))
-    return one_row.scalar()
-
-
 # Edge of the cells of the nearest-city index, in km.
 DEFAULT_INDEX_CELL_KM = 250.0
 
@@ -107,19 +88,20 @@ def _shell_cells(spark, e: float) -> DataFrame:
     return g.where((near2 <= 1.0 + 1e-9) & (far2 >= 1.0 - 1e-9))
 
 
-def _with_candidates(cells: DataFrame, pool: str) -> DataFrame:
-    """Keep the cities of array column ``pool`` that can be nearest somewhere in the cell."""
-    t = cells.withColumn("_u", F.array_min(F.transform(pool, lambda c: _box_dist2(c)[1])))
-    return t.withColumn("cands", F.filter(
-        pool, lambda c: _box_dist2(c)[0] <= F.col("_u") * (1 + 1e-9) + 1e-15))
+def _candidates(pairs: DataFrame) -> DataFrame:
+    """(cell, city) rows whose city can be nearest somewhere in the cell."""
+    mn, mx = _box_dist2(F.col("c"))
+    pairs = pairs.select("*", mn.alias("_mn"), mx.alias("_mx"))
+    least = pairs.groupBy("cx", "cy", "cz").agg(F.min("_mx").alias("_u"))
+    return (pairs.join(least, ["cx", "cy", "cz"])
+            .where(F.col("_mn") <= F.col("_u") * (1 + 1e-9) + 1e-15).drop("_mn", "_mx", "_u"))
 
 
 # Coarse cells of the index are this many fine cells wide along each axis.
 INDEX_FANOUT = 8
 
 
-def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
-                       max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
+def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM) -> DataFrame:
     """Cell -> candidate cities, over every cell of a fixed grid that meets the sphere.
 
     For a point p in cell K and any city c', d(p, nearest) <= d(p, c') <=
@@ -127,65 +109,74 @@ def nearest_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
     mindist(c, K) <= min over c' of maxdist(c', K). Exact (a tiny relative
     margin absorbs rounding), and usually one to three candidates per cell.
 
-    Built in two levels: coarse cells (``INDEX_FANOUT`` fine cells wide) test
-    every city; a fine cell then tests only its coarse parent's candidates.
-    That is exact too: a fine cell's candidates, and the city minimising its
-    maxdist, are all candidates of the enclosing coarse cell.
-
-    Size is bounded by construction: at most (2R / cell_km + 3)^3 cells, each
-    holding at most ``max_cities`` candidates (checked in the city list).
+    Built in two levels: every city meets the coarse cells (``INDEX_FANOUT``
+    fine cells wide, a fixed number of them); a fine cell then tests only its
+    coarse parent's candidates. That is exact too: a fine cell's candidates,
+    and the city minimising its maxdist, are all candidates of the enclosing
+    coarse cell. Both levels are (cell, city) rows with a partially aggregated
+    minimum per cell, so the dimension may have any size; a cell's candidates
+    are gathered only at the end.
     """
     spark = geo.sparkSession
     e = cell_km / EARTH_RADIUS_KM                      # cell edge on the unit sphere
     k = INDEX_FANOUT
-    coarse = _with_candidates(
-        _shell_cells(spark, e * k).withColumn("_cities", city_list(geo, max_cities)), "_cities")
-    coarse = coarse.select(*[F.col(f"c{ax}").alias(f"_p{ax}") for ax in "xyz"],
-                           F.col("cands").alias("_pool"))
+    city = F.struct("zone_id", "city", "tz", "lat", "lon", "x", "y", "z").alias("c")
+    cells = _shell_cells(spark, e * k)                 # <= (2R / (k * edge) + 3)^3 rows: broadcast
+    coarse = _candidates(city_points(geo).select(city).crossJoin(F.broadcast(cells)))
+    coarse = coarse.select(*[F.col(f"c{ax}").alias(f"_p{ax}") for ax in "xyz"], "c")
     fine = _shell_cells(spark, e).withColumns(
         {f"_p{ax}": F.floor(F.col(f"c{ax}") / k) for ax in "xyz"})
-    fine = fine.join(F.broadcast(coarse), ["_px", "_py", "_pz"])   # coarse: <= (2R/(k*edge)+3)^3 rows
-    return _with_candidates(fine, "_pool").select("cx", "cy", "cz", "cands")
+    near = _candidates(coarse.join(fine, ["_px", "_py", "_pz"]))
+    return near.groupBy("cx", "cy", "cz").agg(F.array_sort(F.collect_list("c")).alias("cands"))
+
 
+# Broadcast the nearest-city index only up to this many bytes (measured); beyond it
+# (e.g. a very large dimension) it is joined by a shuffle on the cell key instead.
+MAX_BROADCAST_INDEX_BYTES = 64 << 20
+_ENTRY_BYTES = 120   # of a candidate besides its two strings
 
-# Broadcast the nearest-city index only up to this many (cell, candidate) entries;
-# beyond it (e.g. a dense city cluster seen from far-away cells) it is joined by
-# a shuffle on the cell key instead.
-MAX_BROADCAST_INDEX_ENTRIES = 2_000_000
+_INDEX_SIZE: dict[str, int] = {}
 
-_INDEX_CACHE: dict[tuple, tuple[DataFrame, int]] = {}
 
+def fingerprint(geo: DataFrame) -> str:
+    """Digest of the dimension's content, independent of its order (one small job)."""
+    r = geo.select(F.xxhash64(*geo.columns).alias("h")).agg(
+        F.count("*").alias("n"), F.expr("bit_xor(h)").alias("x"),
+        F.sum(F.col("h").cast("decimal(38,0)")).alias("s")).first()
+    return f"{r.n}-{(r.x or 0) & (1 << 64) - 1:016x}-{int(r.s or 0) & (1 << 64) - 1:016x}"
 
-def cached_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM,
-                      max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> tuple[DataFrame, int]:
-    """(``nearest_city_index``, number of candidate entries), built once per session.
 
-    The index is cached in executor memory; a lost block is rebuilt from its
-    (tiny) lineage. Its measured size decides broadcast vs. shuffle join. Keyed
-    by the semantic hash of the dimension's plan, so two reads of the same
-    handbook share it.
+def stored_city_index(geo: DataFrame, cell_km: float = DEFAULT_INDEX_CELL_KM) -> tuple[DataFrame, int]:
+    """(``nearest_city_index``, its bytes), kept in the shared folder per content of the dimension.
+
+    A changed dimension has another fingerprint and so another index; jobs with
+    the same one read it back, also from another session.
     """
-    key = (geo.sparkSession.sparkContext.applicationId, geo.semanticHash(), cell_km, max_cities)
-    hit = _INDEX_CACHE.get(key)
-    if hit is None:
-        idx = nearest_city_index(geo, cell_km, max_cities).cache()
-        entries = idx.agg(F.coalesce(F.sum(F.size("cands")), F.lit(0))).first()[0]
-        hit = (idx, int(entries))
-        _INDEX_CACHE[key] = hit
-    return hit
+    spark = geo.sparkSession
+    geo = geo.select("zone_id", "city", "tz", "lat", "lon")
+    path = f"{shared_dir(spark)}/citymarts/city-index/{fingerprint(geo)}-{cell_km:g}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        nearest_city_index(geo, cell_km).write.mode("overwrite").parquet(path)
+    idx = spark.read.parquet(path)
+    if path not in _INDEX_SIZE:
+        size = F.aggregate("cands", F.lit(0).cast("bigint"), lambda a, c: a + _ENTRY_BYTES + F.coalesce(
+            F.octet_length(c["city"]), F.lit(0)) + F.coalesce(F.octet_length(c["tz"]), F.lit(0)))
+        _INDEX_SIZE[path] = int(idx.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
+    return idx, _INDEX_SIZE[path]
 
 
 def with_nearest_city(df: DataFrame, geo: DataFrame, lat: str = "lat", lon: str = "lon",
-                      out: str = "nearest", cell_km: float = DEFAULT_INDEX_CELL_KM,
-                      max_cities: int = DEFAULT_MAX_BROADCAST_CITIES) -> DataFrame:
+                      out: str = "nearest", cell_km: float = DEFAULT_INDEX_CELL_KM) -> DataFrame:
     """Append ``out = struct(zone_id, city, tz, lat, lon)`` of the nearest city.
 
     NULL when the point is NULL/NaN or the dimension is empty. Ties go to the
     lowest ``zone_id``. Each row looks up its cell in the candidate index
-    (``nearest_city_index``; broadcast when its measured size is under
-    ``MAX_BROADCAST_INDEX_ENTRIES``, else a shuffle join on the cell) and, only
-    where a cell holds several candidates, compares squared chord lengths of
-    unit vectors - the same order as the haversine distance.
+    (``nearest_city_index``; broadcast when its measured size is at most
+    ``MAX_BROADCAST_INDEX_BYTES``, else a shuffle join on the cell, where rows
+    without a point are spread by a hash of the row and adaptive skew splitting
+    divides dense cells) and, only where a cell holds several candidates,
+    compares squared chord lengths of unit vectors - the same order as the
+    haversine distance.
     """
     x, y, z = unit_vector(lat, lon)
     e = cell_km / EARTH_RADIUS_KM
@@ -194,10 +185,15 @@ def with_nearest_city(df: DataFrame, geo: DataFrame, lat: str = "lat", lon: str
     t = t.withColumns({"_nc_x": F.floor(F.col("_nc_p.x") / e),
                        "_nc_y": F.floor(F.col("_nc_p.y") / e),
                        "_nc_z": F.floor(F.col("_nc_p.z") / e)})
-    idx, entries = cached_city_index(geo, cell_km, max_cities)
+    idx, size = stored_city_index(geo, cell_km)
     idx = idx.withColumnsRenamed({"cx": "_nc_x", "cy": "_nc_y", "cz": "_nc_z", "cands": "_nc_c"})
-    if entries <= MAX_BROADCAST_INDEX_ENTRIES:
+    if size <= MAX_BROADCAST_INDEX_BYTES:
         idx = F.broadcast(idx)
+    else:
+        # no cell lies that far out, so these keys match nothing
+        nowhere = F.lit(1 << 40) + F.pmod(F.xxhash64(*df.columns), F.lit(1 << 20))
+        t = t.withColumn("_nc_x", F.coalesce("_nc_x", nowhere)).withColumns(
+            {c: F.coalesce(c, F.lit(0).cast("bigint")) for c in ("_nc_y", "_nc_z")})
     t = t.join(idx, ["_nc_x", "_nc_y", "_nc_z"], "left")
     d = F.transform("_nc_c", lambda c: (
         F.pow(c["x"] - F.col("_nc_p.x"), 2) + F.pow(c["y"] - F.col("_nc_p.y"), 2)

@@ -3,6 +3,9 @@
 Chronology is ``(message_ts, event_id)``: the event id breaks timestamp ties,
 so every ordering below is total and results are deterministic.
 
+A NULL sender is a group of its own, and a message without a time counts as
+the sender's earliest; neither is lost.
+
 Skew: the only ordered computation (``city_runs``) windows over
 ``(user_id, time bucket)`` and then stitches bucket boundaries with a second
 window over one row per bucket, so a hot user is spread over as many tasks as
@@ -56,33 +59,47 @@ def last_city(messages: DataFrame) -> DataFrame:
                      F.from_utc_timestamp("message_ts", F.col("tz")).alias("local_time"))
 
 
+# Bucket of the messages without a time: before all others, as a descending order puts them last.
+_NO_TIME = -(1 << 60)
+
+
+def _known(user: str = "user_id") -> list[Column]:
+    """Non-null keys for a user id, so that a NULL sender keeps its group in joins and windows."""
+    return [F.coalesce(F.col(user), F.lit(0)).alias("_u"), F.col(user).isNull().alias("_un")]
+
+
 def bucket_partitioned(messages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
-    """Messages with their time bucket ``_b``, hash-partitioned on (user, bucket).
+    """Messages with ``_u``, ``_un`` (sender, NULL sender) and their time bucket ``_b``,
+    hash-partitioned on these.
 
     A user's messages land in as many partitions as the user has active
-    buckets, so no single task receives a hot user's whole history.
+    buckets, so no single task receives a hot user's whole history. Messages
+    without a time have a bucket of their own, the earliest.
     """
     us = int(bucket_seconds) * 1_000_000
-    m = messages.withColumn("_b", F.floor(F.unix_micros("message_ts") / F.lit(us)))
-    return sinks.bucket_partitioned(m, ["user_id", "_b"])
+    m = messages.select("*", *_known()).withColumn("_b", F.coalesce(
+        F.floor(F.unix_micros("message_ts") / F.lit(us)), F.lit(_NO_TIME)))
+    return sinks.bucket_partitioned(m, _BUCKET)
+
+
+_BUCKET = ["_u", "_un", "_b"]
 
 
 def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
     """(per-message runs, per-(user, bucket) summaries) from ONE shuffle of the messages.
 
-    Eager: the level-1 result is written (one job) when this is called.
-
     Level 1 windows over (user, bucket) on the explicitly hash-partitioned
     messages and also yields each bucket's earliest city and flag total, so
     the bucket summary is just the bucket's latest row. Level 2 windows over
-    one row per (user, bucket) and yields, per
-    bucket, the flag of its last message (against the first message of the
-    next non-empty bucket), the number of flags in all later buckets and
-    whether it is the user's latest bucket.
+    one row per (user, bucket) and yields, per bucket, the flag of its last
+    message (against the first message of the next non-empty bucket), the
+    number of flags in all later buckets and whether it is the user's latest
+    bucket. Only the summaries are shuffled back; the shuffle of the messages
+    serves both sides (a reused exchange), nothing is written.
     """
     m = bucket_partitioned(messages, bucket_seconds)
     desc = [F.col(c).desc() for c in ORDER]
-    w1 = Window.partitionBy("user_id", "_b").orderBy(*desc)
+    w1 = Window.partitionBy(*_BUCKET).orderBy(*desc)
     whole = w1.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     m = m.withColumns({
         "_nxt": F.lag(F.struct(F.col("city").alias("c")), 1).over(w1),
@@ -92,16 +109,12 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     m = m.withColumns({
         "_s": F.sum("_f").over(w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
         "_nf": F.sum("_f").over(whole)})
-    # Several consumers read this (bucket summaries, labelled rows): write it once
-    # as a table bucketed on (user, bucket) in the shared folder; the bucketed
-    # scan keeps the partitioning, so the join back adds no shuffle of the messages.
-    m = sinks.write_bucketed(m, ["user_id", "_b"], "runs")
 
     extra = [c for c in messages.columns if c not in ("user_id",)]
     # one row per (user, bucket): its latest message, no aggregation needed
     s = m.where(F.col("_rn") == 1).select(
-        "user_id", "_b", "_first", F.struct(*extra).alias("_lastm"), "_nf")
-    w2 = Window.partitionBy("user_id").orderBy(F.col("_b").desc())
+        "user_id", *_BUCKET, "_first", F.struct(*extra).alias("_lastm"), "_nf")
+    w2 = Window.partitionBy("_u", "_un").orderBy(F.col("_b").desc())
     s = s.withColumn("_nb", F.lag(F.struct(F.col("_first").alias("c")), 1).over(w2))
     s = s.withColumn("_bf", F.when(F.col("_lastm.city") != F.col("_nb.c"), 1).otherwise(0))
     s = s.withColumn("_later", F.coalesce(
@@ -110,7 +123,7 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     s = s.withColumn("_latest", F.lag("_b", 1).over(w2).isNull())
     s = s.withColumn("_earliest", F.lead("_b", 1).over(w2).isNull())
 
-    r = m.join(s.select("user_id", "_b", "_nb", "_bf", "_later"), ["user_id", "_b"])
+    r = m.join(s.select(*_BUCKET, "_nb", "_bf", "_later"), _BUCKET)
     last_in_bucket = F.col("_nxt").isNull()
     runs = r.select(
         *messages.columns,
@@ -157,7 +170,7 @@ def home_city(runs: DataFrame, min_days: int = 27) -> DataFrame:
 
 
 def travels(runs: DataFrame) -> DataFrame:
-    """``user_id, travel_count, travel_array`` over flagged messages.
+    """``user_id, travel_count, travel_array`` over flagged messages (NULL sender: a group too).
 
     ``travel_array`` lists the cities departed from, oldest first (the current
     city is never in it). Users without a change are absent.
@@ -173,9 +186,10 @@ def users_in_cities(events: DataFrame, geo: DataFrame, min_days: int = 27,
                     bucket_seconds: int = 3600) -> DataFrame:
     """Mart: ``user_id, act_city, home_city, travel_count, travel_array, local_time``.
 
-    Every part derives from one shuffle of the messages by (user, bucket):
-    the latest message comes from the bucket summaries, home city and travels
-    from the labelled messages.
+    Every part derives from one shuffle of the messages by (user, bucket): the
+    latest message from the bucket summaries, home city and travels from the
+    stays. A run ends with its flagged message, so each stay holds at most one
+    travel and the labelled messages are read once.
     """
     msgs = messages_in_cities(events, geo).select(
         "user_id", "event_id", "message_ts", "day", "city", "tz")
@@ -183,11 +197,24 @@ def users_in_cities(events: DataFrame, geo: DataFrame, min_days: int = 27,
     last = buckets.where(F.col("_latest")).select(
         "user_id", F.col("_lastm.city").alias("act_city"),
         F.from_utc_timestamp("_lastm.message_ts", F.col("_lastm.tz")).alias("local_time"))
-    return (last
-            .join(home_city(runs, min_days), "user_id", "left")
-            .join(travels(runs), "user_id", "left")
-            .select("user_id", "act_city", "home_city", "travel_count", "travel_array",
-                    "local_time"))
+    # fixed-width buffers (hash aggregate): a stay's only flagged message has its own time and id
+    left = F.col("flag") == 1
+    stays = runs.where(F.col("user_id").isNotNull()).groupBy("user_id", "city", "seq_label").agg(
+        F.count_distinct("day").alias("days"), F.max("message_ts").alias("max_ts"),
+        F.max("event_id").alias("max_eid"), F.max(F.when(left, 1)).alias("left"),
+        F.max(F.when(left, F.col("message_ts"))).alias("left_ts"),
+        F.max(F.when(left, F.col("event_id"))).alias("left_id"))
+    home = F.col("city").isNotNull() & (F.col("days") > min_days)
+    departed = F.struct("left_ts", "left_id", "city")
+    per_user = stays.groupBy("user_id").agg(
+        F.max_by("city", F.when(home, F.struct("max_ts", "max_eid"))).alias("home_city"),
+        F.count("left").alias("n"),
+        F.array_sort(F.collect_list(F.when(F.col("left") == 1, departed))).alias("departed"))
+    per_user = per_user.select(
+        "user_id", "home_city", F.when(F.col("n") > 0, F.col("n")).alias("travel_count"),
+        F.when(F.col("n") > 0, F.transform("departed", lambda x: x["city"])).alias("travel_array"))
+    return last.join(per_user, "user_id", "left").select(
+        "user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time")
 
 
 # ---------------------------------------------------------------- incremental state
@@ -204,67 +231,106 @@ def _best(arr: Column, min_days: int) -> Column:
                            g["city"].alias("city"))))
 
 
+_GROUPS = "array<struct<city:string,days:bigint,first_day:date,last_day:date,max_ts:timestamp,max_eid:bigint>>"
+_TRAVELS = "array<struct<message_ts:timestamp,event_id:bigint,city:string>>"
+
+
 def _merge_groups(a: Column, b: Column) -> Column:
-    """Merge stay groups by city (NULL is a key too); days of later data simply add."""
+    """Merge stay groups by city (NULL is a key too); ``b`` is later than ``a``.
+
+    Days add, but for one that both hold: the last of ``a`` and the first of ``b``.
+    """
     def step(acc, g):
         same = lambda x: x["city"].eqNullSafe(g["city"])
         merged = F.transform(acc, lambda x: F.when(same(x), F.struct(
-            x["city"].alias("city"), (x["days"] + g["days"]).alias("days"),
+            x["city"].alias("city"),
+            (x["days"] + g["days"] - F.coalesce((x["last_day"] == g["first_day"]).cast("bigint"), F.lit(0))).alias("days"),
+            F.least(x["first_day"], g["first_day"]).alias("first_day"),
+            F.greatest(x["last_day"], g["last_day"]).alias("last_day"),
             F.greatest(x["max_ts"], g["max_ts"]).alias("max_ts"),
             F.greatest(x["max_eid"], g["max_eid"]).alias("max_eid"))).otherwise(x))
         return F.when(F.exists(acc, same), merged).otherwise(F.concat(acc, F.array(g)))
     return F.aggregate(b, a, step)
 
 
+def late_users(state: DataFrame, messages: DataFrame) -> DataFrame:
+    """``user_id`` of those with new messages that are not all later than their state's last one.
+
+    Messages without a time are never later. A NULL sender is a user, too.
+    """
+    first = messages.groupBy("user_id").agg(F.min(_chrono()).alias("_first"))
+    last = state.select(F.col("user_id").alias("_su"), F.struct(*[F.col(f"last.{c}") for c in ORDER]).alias("_last"))
+    return (first.join(last, F.col("user_id").eqNullSafe(F.col("_su")))
+            .where(F.col("_first.message_ts").isNull() | (F.col("_first") <= F.col("_last"))).select("user_id"))
+
+
+def _only(df: DataFrame, users: DataFrame, how: str) -> DataFrame:
+    u = users.select(F.col("user_id").alias("_ou"))
+    return df.join(u, df["user_id"].eqNullSafe(u["_ou"]), how)
+
+
 def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days: int = 27,
-                        bucket_seconds: int = 3600) -> DataFrame:
-    """Users-mart state after appending ``messages`` (all later than the state).
+                        bucket_seconds: int = 3600, history: DataFrame | None = None) -> DataFrame:
+    """Users-mart state after appending ``messages``.
 
     State per user: ``last`` message, ``travels`` (flagged messages, oldest
     first), ``open`` stay groups of the current run (city, distinct days,
-    latest message), ``home`` (latest closed stay longer than ``min_days``).
-    The new messages get the bucketed run labels; their earliest run joins the
-    state's open run unless the state's last message is flagged against the
-    first new city. ``state=None`` with all history is the full build.
+    latest message), ``home`` (latest closed stay longer than ``min_days``) and
+    ``min_days`` itself. The new messages get the bucketed run labels; their
+    earliest run joins the state's open run unless the state's last message is
+    flagged against the first new city. ``state=None`` with all history is the
+    full build.
+
+    ``history``: all messages, the new ones included. Users whose new messages
+    are not all later than their state (late rows) are rebuilt from it; without
+    it such messages are an error of the caller.
     """
+    if state is not None and history is not None:
+        late = late_users(state, messages)
+        ontime = _advance(_only(state, late, "left_anti"), _only(messages, late, "left_anti"),
+                          min_days, bucket_seconds)
+        return ontime.unionByName(_advance(None, _only(history, late, "left_semi"), min_days, bucket_seconds))
+    return _advance(state, messages, min_days, bucket_seconds)
+
+
+def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket_seconds: int) -> DataFrame:
     msgs = messages.select("user_id", "event_id", "message_ts", "day", "city", "tz")
     runs, buckets = _bucketed_runs(msgs, bucket_seconds)
-    grp = runs.groupBy("user_id", "seq_label", "city").agg(
-        F.count_distinct("day").alias("days"), F.max("message_ts").alias("max_ts"),
-        F.max("event_id").alias("max_eid"))
-    gstruct = F.struct("city", "days", "max_ts", "max_eid")
-    lab = runs.groupBy("user_id").agg(F.max("seq_label").alias("L"))
-    g = grp.join(lab, "user_id")
-    inc_groups = g.groupBy("user_id").agg(
+    user = ["_u", "_un"]
+    grp = runs.groupBy(*_known(), "seq_label", "city").agg(
+        F.count_distinct("day").alias("days"), F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"), F.max("message_ts").alias("max_ts"), F.max("event_id").alias("max_eid"))
+    gstruct = F.struct("city", "days", "first_day", "last_day", "max_ts", "max_eid")
+    lab = grp.groupBy(*user).agg(F.max("seq_label").alias("L"))
+    g = grp.join(lab, user)
+    inc_groups = g.groupBy(*user).agg(
         F.first("L").alias("L"),
         F.collect_list(F.when(F.col("seq_label") == 0, gstruct)).alias("inc_open"),
         F.collect_list(F.when(F.col("seq_label") == F.col("L"), gstruct)).alias("inc_first"),
         F.max(F.when((F.col("seq_label") > 0) & (F.col("seq_label") < F.col("L"))
                      & F.col("city").isNotNull() & (F.col("days") > min_days),
                      F.struct("max_ts", "max_eid", "city"))).alias("inc_mid"))
-    ends = buckets.groupBy("user_id").agg(
+    ends = buckets.groupBy(*user).agg(
+        F.first("user_id").alias("user_id"),
         F.max_by(F.struct(F.col("_lastm.message_ts").alias("message_ts"),
                           F.col("_lastm.event_id").alias("event_id"),
                           F.col("_lastm.city").alias("city"), F.col("_lastm.tz").alias("tz")),
                  F.col("_latest").cast("int")).alias("inc_last"),
         F.max_by("_first", F.col("_earliest").cast("int")).alias("inc_first_city"))
-    trav = runs.where(F.col("flag") == 1).groupBy("user_id").agg(
+    trav = runs.where(F.col("flag") == 1).groupBy(*_known()).agg(
         F.array_sort(F.collect_list(F.struct("message_ts", "event_id", "city")))
         .alias("inc_travels"))
-    inc = inc_groups.join(ends, "user_id").join(trav, "user_id", "left")
+    inc = inc_groups.join(ends, user).join(trav, user, "left").drop("_u", "_un")
 
     if state is None:
         st = inc.select("user_id").where(F.lit(False)).select(
             "user_id", F.lit(None).cast(
                 "struct<message_ts:timestamp,event_id:bigint,city:string,tz:string>").alias("last"),
-            F.lit(None).cast("array<struct<message_ts:timestamp,event_id:bigint,city:string>>")
-            .alias("travels"),
-            F.lit(None).cast("array<struct<city:string,days:bigint,max_ts:timestamp,"
-                             "max_eid:bigint>>").alias("open"),
-            F.lit(None).cast("struct<max_ts:timestamp,max_eid:bigint,city:string>")
-            .alias("home"))
+            F.lit(None).cast(_TRAVELS).alias("travels"), F.lit(None).cast(_GROUPS).alias("open"),
+            F.lit(None).cast("struct<max_ts:timestamp,max_eid:bigint,city:string>").alias("home"))
     else:
-        st = state
+        differs = F.raise_error(F.lit(f"the users state was built with other min_days than {min_days}"))
+        st = state.where(F.when(F.col("min_days") == min_days, True).otherwise(differs)).drop("min_days")
     # null-safe: the NULL-sender group stays one row across increments
     j = (st.withColumnRenamed("user_id", "_su")
          .join(inc, F.col("_su").eqNullSafe(F.col("user_id")), "full")
@@ -273,9 +339,7 @@ def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days:
     f0 = (has_inc & has_st & F.col("last.city").isNotNull()
           & F.col("inc_first_city").isNotNull()
           & (F.col("last.city") != F.col("inc_first_city")))
-    empty_g = F.array().cast("array<struct<city:string,days:bigint,max_ts:timestamp,"
-                             "max_eid:bigint>>")
-    empty_t = F.array().cast("array<struct<message_ts:timestamp,event_id:bigint,city:string>>")
+    empty_g, empty_t = F.array().cast(_GROUPS), F.array().cast(_TRAVELS)
     j = j.withColumn("_f0", f0)
     merged_first = F.when(F.col("_f0") | ~has_st, F.col("inc_first")).otherwise(
         _merge_groups(F.coalesce(F.col("open"), empty_g), F.col("inc_first")))
@@ -295,15 +359,23 @@ def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days:
         F.coalesce(F.col("inc_travels"), empty_t))
     return j.select("user_id", F.coalesce("inc_last", "last").alias("last"),
                     travels.alias("travels"), F.coalesce(new_open, empty_g).alias("open"),
-                    home.alias("home"))
+                    home.alias("home"), F.lit(min_days).alias("min_days"))
 
 
-def users_in_cities_from_state(state: DataFrame, min_days: int = 27) -> DataFrame:
-    """The users mart read off a users state (see ``advance_users_state``)."""
-    home = F.array_max(F.array_compact(F.array(F.col("home"), _best(F.col("open"), min_days))))
+def users_in_cities_from_state(state: DataFrame) -> DataFrame:
+    """The users mart read off a users state (see ``advance_users_state``).
+
+    As in the mart, a NULL sender has a latest message but no home and travels.
+    """
+    home = F.array_max(F.array_compact(F.array(F.col("home"), F.array_max(F.transform(
+        F.filter("open", lambda g: g["city"].isNotNull() & (g["days"] > F.col("min_days"))),
+        lambda g: F.struct(g["max_ts"].alias("max_ts"), g["max_eid"].alias("max_eid"),
+                           g["city"].alias("city")))))))
     n = F.size("travels")
+    some = F.col("user_id").isNotNull() & (n > 0)
     return state.select(
-        "user_id", F.col("last.city").alias("act_city"), home["city"].alias("home_city"),
-        F.when(n > 0, n.cast("bigint")).alias("travel_count"),
-        F.when(n > 0, F.transform("travels", lambda x: x["city"])).alias("travel_array"),
+        "user_id", F.col("last.city").alias("act_city"),
+        F.when(F.col("user_id").isNotNull(), home["city"]).alias("home_city"),
+        F.when(some, n.cast("bigint")).alias("travel_count"),
+        F.when(some, F.transform("travels", lambda x: x["city"])).alias("travel_array"),
         F.from_utc_timestamp("last.message_ts", F.col("last.tz")).alias("local_time"))

@@ -9,12 +9,16 @@ arrays joined to strings.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citymarts.functions.geo import haversine_km, with_nearest_city
 from citymarts.operators import activity, citystats, matches
+from citymarts.plans import jobs
 from citymarts.session import ensure_utc, new_scratch
 from citymarts.sources import lake as lk
 from citymarts.sources.fixture import materialize_lake
@@ -198,25 +202,31 @@ def q_users_in_cities(spark, sf_dir):
                     _ntz("local_time").alias("local_time"))
 
 
+STEPS = 6   # daily steps of the incremental check
+
+
 def q_users_in_cities_incremental(spark, sf_dir):
-    """Users mart through the incremental state: full build before 2024-01-25,
-    then one step per day up to the last day of data."""
-    import datetime as dt
+    """Users mart through the incremental state: full build of all but the last days
+    of the data, then one step per day, late rows included."""
     ev, geo, _ = _inputs(spark, sf_dir)
-    msgs = activity.messages_in_cities(ev, geo)
-    first = dt.date(2024, 1, 25)
-    state = activity.advance_users_state(None, msgs.where(F.col("day") < F.lit(first)))
+    days = [r["date"] for r in ev.select("date").distinct().orderBy("date").collect()]  # partition values
+    located = lambda e: activity.messages_in_cities(e, geo)
+    steps = days[-STEPS:]
+    state = activity.advance_users_state(None, located(ev.where(F.col("date") < F.lit(steps[0]))))
     root = new_scratch(spark, "users-state")
-    for i in range(6):                                   # 2024-01-25 .. 2024-01-30
-        day = first + dt.timedelta(days=i)
-        path = f"{root}/asof={day.isoformat()}"
+    for day in steps:
+        path = f"{root}/before={day.isoformat()}"
         state.write.parquet(path)                        # cuts lineage, as the daily job does
-        state = activity.advance_users_state(spark.read.parquet(path),
-                                             msgs.where(F.col("day") == F.lit(day)))
-    u = activity.users_in_cities_from_state(state)
-    return u.select("user_id", "act_city", "home_city", "travel_count",
-                    F.array_join("travel_array", "|").alias("travel_array"),
-                    _ntz("local_time").alias("local_time"))
+        state = activity.advance_users_state(
+            spark.read.parquet(path), located(ev.where(F.col("date") == F.lit(day))),
+            history=located(ev.where(F.col("date") <= F.lit(day))))
+    return _flat_users(activity.users_in_cities_from_state(state))
+
+
+def _flat_users(mart):
+    return mart.select("user_id", "act_city", "home_city", "travel_count",
+                       F.array_join("travel_array", "|").alias("travel_array"),
+                       _ntz("local_time").alias("local_time"))
 
 
 # ------------------------------------------------------------------ events mart
@@ -318,8 +328,7 @@ def _profile(spark, sf_dir):
 
 def q_shared_channel_pairs(spark, sf_dir):
     _, p = _profile(spark, sf_dir)
-    return matches.nearby_pairs_unordered(p, 1.0, require_shared_channel=False).select(
-        "a", "b", "shares_channel")
+    return matches.nearby_pairs_unordered(p, 1.0).select("a", "b")
 
 
 def q_nearby_user_pairs(spark, sf_dir):
@@ -346,18 +355,134 @@ def q_users_matches(spark, sf_dir):
 # ------------------------------------------------------------------ sinks
 
 def q_stg_to_ods_roundtrip(spark, sf_dir):
-    """Replay the daily increment for every day of the data, read the ODS back."""
+    """Replay the daily increment for every day of the data, read the ODS back.
+
+    The days are independent loads, so several run at a time. One day has a
+    column that the others lack; it must still be there.
+    """
     _, _, lake = _inputs(spark, sf_dir)
-    ods = new_scratch(spark, "ods-replay") + "/events"
-    days = [r["date"] for r in spark.read.parquet(lake.stg).select("date").distinct()
-            .orderBy("date").collect()]           # partition values only (metadata)
-    import datetime as dt
-    for d in days:
-        load_increment(spark, d + dt.timedelta(days=1), lake.stg, ods)
+    root = new_scratch(spark, "ods-replay")
+    stg, ods = f"{root}/stg", f"{root}/events"
+    odd = F.col("date") == F.lit(lk.as_date(PARTITION_DAY))
+    every = spark.read.parquet(lake.stg)
+    every.where(~odd).write.partitionBy("date").parquet(stg)
+    (every.where(odd).withColumn("device", F.lit("phone")).write.mode("append").partitionBy("date").parquet(stg))
+    days = [r["date"] for r in every.select("date").distinct().orderBy("date").collect()]  # partition values
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda d: load_increment(spark, d + dt.timedelta(days=1), stg, ods), days))
+    if "device" not in lk.scan_date_partition(spark, ods, PARTITION_DAY).columns:
+        raise AssertionError("the load dropped a column")
     back = lk.scan_events(spark, ods)
     return back.select("event_id", "date", "event_type", "lat", "lon", *_flat_event_cols())
 
 
+def q_stg_to_ods_missing_day(spark, sf_dir):
+    """A day that STG no longer has: the load is refused and the loaded day stays."""
+    _, _, lake = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "ods-missing")
+    run = lk.as_date(PARTITION_DAY) + dt.timedelta(days=1)
+    load_increment(spark, run, lake.stg, f"{root}/events")
+    rest = f"{root}/stg"
+    (spark.read.parquet(lake.stg).where(F.col("date") != F.lit(lk.as_date(PARTITION_DAY)))
+     .write.partitionBy("date").parquet(rest))
+    refused = False
+    try:
+        load_increment(spark, run, rest, f"{root}/events")
+    except AnalysisException:
+        refused = True
+    return (lk.scan_events(spark, f"{root}/events").groupBy("date", "event_type")
+            .agg(F.count("*").alias("n")).withColumn("refused", F.lit(refused)))
+
+
+def q_scan_events_string_ts(spark, sf_dir):
+    """A lake whose times are strings (some of them bad) and whose channels are, too."""
+    ev, _, _ = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "string-lake")
+    text = F.when(F.col("event_id") % 7 == 0, "not a time").otherwise(F.col("event.message_ts").cast("string"))
+    event = (F.col("event").withField("message_ts", text)
+             .withField("subscription_channel", F.col("event.subscription_channel").cast("string")))
+    ev.withColumn("event", event).write.partitionBy("date", "event_type").parquet(root)
+    return lk.scan_events(spark, root).select("event_id", _ntz("event.message_ts").alias("message_ts"),
+                                              F.col("event.subscription_channel").alias("channel"))
+
+
+def q_geo_handbook_from_csv(spark, sf_dir):
+    """The one-off load of the dimension from CSV."""
+    _, geo, _ = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "handbook")
+    geo.write.option("header", True).csv(f"{root}/csv")
+    return lk.read_geo_handbook(spark, lk.geo_handbook_from_csv(spark, f"{root}/csv", f"{root}/parquet"))
+
+
+def q_nearest_city_rewritten_handbook(spark, sf_dir):
+    """The nearest city after the handbook at the same path got more cities."""
+    ev, geo, _ = _inputs(spark, sf_dir)
+    path = new_scratch(spark, "handbook") + "/geo"
+    geo.write.parquet(path)
+    points = ev.select("event_id", "lat", "lon")
+    with_nearest_city(points, lk.read_geo_handbook(spark, path), out="n")
+    more = geo.unionByName(geo.select((F.col("zone_id") + 100).alias("zone_id"), "city",   # names may repeat
+                                      (F.col("lat") + 0.5).alias("lat"), (F.col("lon") + 3).alias("lon"), "tz"))
+    more.write.parquet(path + "-new")
+    spark.read.parquet(path + "-new").write.mode("overwrite").parquet(path)
+    n = with_nearest_city(points, lk.read_geo_handbook(spark, path), out="n")
+    return n.select("event_id", F.col("n.zone_id").alias("zone_id"))
+
+
+# ------------------------------------------------------------------ daily run
+
+RELOADED, RELOAD_RUN = "2024-01-20", "2024-01-21"
+_RUNS: dict[tuple[str, str], jobs.Paths] = {}
+
+
+def _daily_runs(spark, sf_dir) -> jobs.Paths:
+    """Two daily runs with all states; before the second, the last day is loaded again with all its rows.
+
+    The first load of that day holds a part of its rows only.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _RUNS:
+        return _RUNS[key]
+    _, _, lake = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "daily")
+    paths = jobs.Paths(f"{root}/stg", f"{root}/ods", lake.geo, f"{root}/users", f"{root}/events", f"{root}/matches",
+                       *[f"{root}/state-{n}" for n in ("users", "seen", "contacts", "subscriptions")])
+    every = spark.read.parquet(lake.stg)
+    last = lk.as_date(RELOADED)
+    before = F.col("date") < F.lit(last)
+    every.where(before).write.partitionBy("date", "event_type").parquet(paths.ods_events)
+    day = every.where(F.col("date") == F.lit(last)).drop("date")
+    day.where("event_id % 2 = 0").write.parquet(f"{paths.stg_events}/date={last.isoformat()}")
+    # yesterday's states, then the run on the incomplete day, then the re-load and the run again
+    run = last + dt.timedelta(days=1)
+    jobs.update_users_state(spark, last, paths.ods_events, paths.geo_handbook, paths.users_state)
+    for update, state in ((jobs.update_first_seen, paths.first_seen_state), (jobs.update_contacts, paths.contacts_state),
+                          (jobs.update_subscriptions, paths.subscriptions_state)):
+        update(spark, last, paths.ods_events, state)
+    jobs.run_daily(spark, run, paths)
+    day.write.mode("overwrite").parquet(f"{paths.stg_events}/date={last.isoformat()}")
+    jobs.run_daily(spark, run, paths)
+    _RUNS[key] = paths
+    return paths
+
+
+def _daily_mart(spark, root):
+    return spark.read.parquet(f"{root}/date={RELOAD_RUN}")
+
+
+def q_run_daily_users(spark, sf_dir):
+    return _flat_users(_daily_mart(spark, _daily_runs(spark, sf_dir).users_in_cities))
+
+
+def q_run_daily_events(spark, sf_dir):
+    return _daily_mart(spark, _daily_runs(spark, sf_dir).events_in_cities)
+
+
+def q_run_daily_matches(spark, sf_dir):
+    m = _daily_mart(spark, _daily_runs(spark, sf_dir).users_matches)
+    return m.select("user_left", "user_right", "processed_dttm", "zone_id", _ntz("local_time").alias("local_time"))
+
+
 def q_mart_snapshot_roundtrip(spark, sf_dir):
     ev, geo, _ = _inputs(spark, sf_dir)
     root = new_scratch(spark, "cdm") + "/users_in_cities"

@@ -10,7 +10,9 @@ pipeline's order. From the command line (e.g. under spark-submit):
 
 Optional trailing arguments switch on the incremental states: ``users`` takes
 ``<users_state>``, ``events`` takes ``<first_seen_state>``, ``matches`` takes
-``<contacts_state> <subscriptions_state>``.
+``<contacts_state> <subscriptions_state>``. ``--rebuild`` makes the states anew;
+``--as-of`` (users, matches) and ``--require-complete`` (events) are options of
+the marts.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from citymarts.operators import activity, citystats, matches
-from citymarts.session import ensure_utc
-from citymarts.sources.lake import as_date, read_geo_handbook, scan_date_range, scan_events
+from citymarts.session import ensure_utc, path_exists
+from citymarts.sources.lake import (as_date, filter_history_before, read_geo_handbook,
+                                    scan_date_range, scan_events)
 from citymarts.sources.sinks import load_increment, write_snapshot
 
 
@@ -45,170 +48,156 @@ def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of:
     ensure_utc(spark)
     ev = scan_events(spark, ods_root)
     if as_of:   # only history strictly before the run date (partition-pruned)
-        ev = ev.where(F.col("date") < F.lit(as_date(run_date)))
+        ev = filter_history_before(ev, run_date)
     return ev, read_geo_handbook(spark, geo_path)
 
 
 def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False,
-                         state_root: str | None = None) -> DataFrame:
-    """With ``state_root`` the mart is read off the incremental users state
-    (history before the run date, see ``update_users_state``)."""
+                         state_root: str | None = None, rebuild: bool = False) -> DataFrame:
+    """All history, or with ``as_of`` that before the run date. ``state_root``
+    reads the mart off the incremental users state, which implies ``as_of``."""
     if state_root:
         return activity.users_in_cities_from_state(
-            update_users_state(spark, run_date, ods_root, geo_path, state_root))
+            update_users_state(spark, run_date, ods_root, geo_path, state_root, rebuild))
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
     return activity.users_in_cities(ev, geo)
 
 
-def update_users_state(spark: SparkSession, run_date, ods_root: str, geo_path: str,
-                       state_root: str, rebuild: bool = False) -> DataFrame:
-    """``{state_root}/asof=<run_date>``: the users-mart state over messages before ``run_date``.
+def _dated_state(spark: SparkSession, run_date, state_root: str, full, step, rebuild: bool) -> DataFrame:
+    """``{state_root}/asof=<run_date>``: ``step(yesterday's state)``, or ``full()``.
 
-    With yesterday's state present only the messages of ``run_date - 1`` are
-    read (and located); otherwise, or with ``rebuild=True``, the whole history.
+    The state of the run date itself is always made anew, so a run after a
+    re-load of the latest day sees the new rows. Without a state of the day
+    before, or with ``rebuild=True`` (after a re-load of an earlier day), it is
+    built from the whole history before the run date.
     """
     d = as_date(run_date)
     out = f"{state_root}/asof={d.isoformat()}"
     prev = f"{state_root}/asof={(d - dt.timedelta(days=1)).isoformat()}"
-    if not rebuild and _exists(spark, out):
-        return spark.read.parquet(out)
-    ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of=False)
-    if not rebuild and _exists(spark, prev):
-        day = ev.where(F.col("date") == F.lit(d - dt.timedelta(days=1)))
-        state = activity.advance_users_state(spark.read.parquet(prev),
-                                             activity.messages_in_cities(day, geo))
-    else:
-        hist = ev.where(F.col("date") < F.lit(d))
-        state = activity.advance_users_state(None, activity.messages_in_cities(hist, geo))
+    known = not rebuild and path_exists(spark, f"{prev}/_SUCCESS")
+    state = step(spark.read.parquet(prev)) if known else full()
     state.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
 
 
-def _dated_state(spark: SparkSession, run_date, ods_root: str, state_root: str,
-                 build, merge, rebuild: bool) -> DataFrame:
-    """``{state_root}/asof=<run_date>`` = ``build(history before run_date)``, kept incrementally.
+def _days(spark: SparkSession, run_date, ods_root: str) -> tuple[DataFrame, DataFrame]:
+    """(history before the run date, its last day)."""
+    hist = filter_history_before(scan_events(spark, ods_root), run_date)
+    return hist, hist.where(F.col("date") == F.lit(as_date(run_date) - dt.timedelta(days=1)))
 
-    With yesterday's state present: ``merge(yesterday, build(day run_date - 1))``,
-    i.e. one state plus one day of the lake instead of the whole history.
-    Otherwise (or with ``rebuild=True``, needed after re-loading a past day)
-    it is rebuilt from the lake. Written once per run date; later calls read it.
+
+def update_users_state(spark: SparkSession, run_date, ods_root: str, geo_path: str,
+                       state_root: str, rebuild: bool = False) -> DataFrame:
+    """The users-mart state over messages before ``run_date``.
+
+    With yesterday's state only the messages of ``run_date - 1`` are read and
+    located, and the history of the users that sent late rows in it.
     """
-    d = as_date(run_date)
-    out = f"{state_root}/asof={d.isoformat()}"
-    prev = f"{state_root}/asof={(d - dt.timedelta(days=1)).isoformat()}"
-    if not rebuild and _exists(spark, out):
-        return spark.read.parquet(out)
-    ev = scan_events(spark, ods_root)
-    if not rebuild and _exists(spark, prev):
-        day = ev.where(F.col("date") == F.lit(d - dt.timedelta(days=1)))
-        state = merge(spark.read.parquet(prev), build(day, d))
-    else:
-        state = build(ev.where(F.col("date") < F.lit(d)), d)
-    state.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    ensure_utc(spark)
+    hist, day = _days(spark, run_date, ods_root)
+    geo = read_geo_handbook(spark, geo_path)
+    located = lambda ev: activity.messages_in_cities(ev, geo)
+    return _dated_state(spark, run_date, state_root,
+                        lambda: activity.advance_users_state(None, located(hist)),
+                        lambda prev: activity.advance_users_state(prev, located(day), history=located(hist)), rebuild)
 
 
 def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root: str,
                       rebuild: bool = False) -> DataFrame:
     """Each user's first day over history before ``run_date`` (``user_id, first_date``)."""
-    def merge(prev, inc):
-        return (prev.unionByName(inc).groupBy("user_id")
-                .agg(F.min("first_date").alias("first_date")))
-    return _dated_state(spark, run_date, ods_root, state_root, citystats.first_seen, merge,
-                        rebuild)
+    hist, day = _days(spark, run_date, ods_root)
+    seen = lambda ev: citystats.first_seen(ev, run_date)
+    return _dated_state(spark, run_date, state_root, lambda: seen(hist),
+                        lambda prev: prev.unionByName(seen(day)).groupBy("user_id")
+                        .agg(F.min("first_date").alias("first_date")), rebuild)
 
 
 def update_contacts(spark: SparkSession, run_date, ods_root: str, state_root: str,
                     rebuild: bool = False) -> DataFrame:
     """Unordered pairs (``lo, hi``) that exchanged a message before ``run_date``."""
-    def build(events, _d):
-        return matches.contacted_unordered(events)
-
-    def merge(prev, inc):
-        return prev.unionByName(inc).distinct()
-    return _dated_state(spark, run_date, ods_root, state_root, build, merge, rebuild)
+    hist, day = _days(spark, run_date, ods_root)
+    return _dated_state(spark, run_date, state_root, lambda: matches.contacted_unordered(hist),
+                        lambda prev: prev.unionByName(matches.contacted_unordered(day)).distinct(), rebuild)
 
 
 def update_subscriptions(spark: SparkSession, run_date, ods_root: str, state_root: str,
                          rebuild: bool = False) -> DataFrame:
     """Per subscriber channel set and latest subscription row, history before ``run_date``."""
-    def build(events, _d):
-        return matches.subscription_state(events)
-    return _dated_state(spark, run_date, ods_root, state_root, build,
-                        matches.merge_subscription_states, rebuild)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
+    hist, day = _days(spark, run_date, ods_root)
+    return _dated_state(spark, run_date, state_root, lambda: matches.subscription_state(hist),
+                        lambda prev: matches.merge_subscription_states(prev, matches.subscription_state(day)), rebuild)
 
 
 def events_in_cities_mart(spark, run_date, ods_root, geo_path,
                           state_root: str | None = None,
-                          require_complete: bool = False) -> DataFrame:
+                          require_complete: bool = False, rebuild: bool = False) -> DataFrame:
     """``require_complete`` fails the run (listing the days) if any day of the
     30-day period has no partition, instead of counting it as zero."""
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of=False)
     if require_complete:
         scan_date_range(ev, run_date, max(citystats.MART_DEPTHS.values()), require_complete=True)
-    seen = update_first_seen(spark, run_date, ods_root, state_root) if state_root else None
+    seen = update_first_seen(spark, run_date, ods_root, state_root, rebuild) if state_root else None
     return citystats.events_in_cities(ev, geo, run_date, seen)
 
 
 def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False,
                        contacts_state: str | None = None,
-                       subscriptions_state: str | None = None) -> DataFrame:
+                       subscriptions_state: str | None = None, rebuild: bool = False) -> DataFrame:
+    """All history, or with ``as_of`` that before the run date. Either state
+    implies ``as_of``, so contacts and profiles always cover the same period."""
+    as_of = as_of or bool(contacts_state or subscriptions_state)
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
-    contacts = (update_contacts(spark, run_date, ods_root, contacts_state)
+    contacts = (update_contacts(spark, run_date, ods_root, contacts_state, rebuild)
                 if contacts_state else None)
-    subs = (update_subscriptions(spark, run_date, ods_root, subscriptions_state)
+    subs = (update_subscriptions(spark, run_date, ods_root, subscriptions_state, rebuild)
             if subscriptions_state else None)
     return matches.users_matches(ev, geo, run_date, contacts=contacts, subscriptions=subs)
 
 
-def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, as_of=False,
-                          state_root: str | None = None) -> str:
-    return write_snapshot(users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of,
-                                               state_root), mart_root, run_date)
+def build_users_in_cities(spark, run_date, ods_root, geo_path, mart_root, **options) -> str:
+    return write_snapshot(users_in_cities_mart(spark, run_date, ods_root, geo_path, **options),
+                          mart_root, run_date)
 
 
-def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root,
-                           state_root: str | None = None) -> str:
-    return write_snapshot(events_in_cities_mart(spark, run_date, ods_root, geo_path, state_root),
+def build_events_in_cities(spark, run_date, ods_root, geo_path, mart_root, **options) -> str:
+    return write_snapshot(events_in_cities_mart(spark, run_date, ods_root, geo_path, **options),
                           mart_root, run_date)
 
 
-def build_users_matches(spark, run_date, ods_root, geo_path, mart_root, as_of=False,
-                        contacts_state: str | None = None,
-                        subscriptions_state: str | None = None) -> str:
-    return write_snapshot(users_matches_mart(spark, run_date, ods_root, geo_path, as_of,
-                                             contacts_state, subscriptions_state),
+def build_users_matches(spark, run_date, ods_root, geo_path, mart_root, **options) -> str:
+    return write_snapshot(users_matches_mart(spark, run_date, ods_root, geo_path, **options),
                           mart_root, run_date)
 
 
-def run_daily(spark: SparkSession, run_date, paths: Paths) -> dict[str, str]:
-    """Increment of the previous day, then the three marts, in pipeline order."""
+def run_daily(spark: SparkSession, run_date, paths: Paths, rebuild: bool = False,
+              as_of: bool = False, require_complete: bool = False) -> dict[str, str]:
+    """Increment of the previous day, then the three marts, in pipeline order.
+
+    ``rebuild`` makes the states anew from the lake (after a re-load of a past
+    day); ``as_of`` and ``require_complete`` are those of the marts.
+    """
     day = load_increment(spark, run_date, paths.stg_events, paths.ods_events)
+    lake = (spark, run_date, paths.ods_events, paths.geo_handbook)
     return {
         "increment": f"{paths.ods_events}/date={day.isoformat()}",
-        "users_in_cities": build_users_in_cities(spark, run_date, paths.ods_events,
-                                                 paths.geo_handbook, paths.users_in_cities,
-                                                 state_root=paths.users_state),
-        "events_in_cities": build_events_in_cities(spark, run_date, paths.ods_events,
-                                                   paths.geo_handbook, paths.events_in_cities,
-                                                   paths.first_seen_state),
-        "users_matches": build_users_matches(spark, run_date, paths.ods_events,
-                                             paths.geo_handbook, paths.users_matches,
-                                             contacts_state=paths.contacts_state,
-                                             subscriptions_state=paths.subscriptions_state),
+        "users_in_cities": build_users_in_cities(
+            *lake, paths.users_in_cities, as_of=as_of, state_root=paths.users_state, rebuild=rebuild),
+        "events_in_cities": build_events_in_cities(
+            *lake, paths.events_in_cities, state_root=paths.first_seen_state,
+            require_complete=require_complete, rebuild=rebuild),
+        "users_matches": build_users_matches(
+            *lake, paths.users_matches, as_of=as_of, contacts_state=paths.contacts_state,
+            subscriptions_state=paths.subscriptions_state, rebuild=rebuild),
     }
 
 
+FLAGS = {"--rebuild": "rebuild", "--as-of": "as_of", "--require-complete": "require_complete"}
+
+
 def main(argv: list[str]) -> int:
     from pyspark import SparkConf, SparkContext
-    job, run_date, *args = argv
+    flags = {FLAGS[a]: True for a in argv if a in FLAGS}
+    job, run_date, *args = [a for a in argv if a not in FLAGS]
     builder = SparkSession.builder.appName(f"citymarts-{job}/date={run_date}")
     SparkContext._ensure_initialized()      # JVM-backed conf: sees spark-submit's --master
     if SparkConf().get("spark.master", None) is None:     # plain `python -m`: run locally
@@ -221,14 +210,14 @@ def main(argv: list[str]) -> int:
             ods, geo, mart, *states = args
             if job == "users":
                 build_users_in_cities(spark, run_date, ods, geo, mart,
-                                      state_root=states[0] if states else None)
+                                      state_root=states[0] if states else None, **flags)
             elif job == "events":
                 build_events_in_cities(spark, run_date, ods, geo, mart,
-                                       state_root=states[0] if states else None)
+                                       state_root=states[0] if states else None, **flags)
             elif job == "matches":
                 build_users_matches(spark, run_date, ods, geo, mart,
                                     contacts_state=states[0] if states else None,
-                                    subscriptions_state=states[1] if len(states) > 1 else None)
+                                    subscriptions_state=states[1] if len(states) > 1 else None, **flags)
             else:
                 raise SystemExit(f"unknown job {job!r}")
     finally:

@@ -8,7 +8,7 @@ the fixture mapping re-derived in SQL. The Spark side is checked against it.
 from __future__ import annotations
 
 from citymarts.plans.catalog import (EARLY_RUN, HISTORY_BEFORE, MIX_DEPTH, MIX_RUN,
-                                     PARTITION_DAY, RUN_DATE)
+                                     PARTITION_DAY, RELOAD_RUN, RELOADED, RUN_DATE)
 from citymarts.sources.fixture import REGION_TZ
 from citymarts.sources.lake import period
 
@@ -40,14 +40,16 @@ raw AS (
               ELSE (user_id + day(ts) // 10) % 25 END AS hz
   FROM events),
 se AS (
-  SELECT event_id, CAST(ts AS DATE) AS date, etype AS event_type,
+  SELECT event_id, CAST(ts AS DATE) + CAST(event_id % 71 = 0 AS INTEGER) AS date, etype AS event_type,
          CASE WHEN event_id % 97 <> 0
               THEN CAST(-60 + 5 * hz + (event_id % 10) * 0.002 AS DOUBLE) END AS lat,
          CASE WHEN event_id % 97 <> 0 THEN CAST(-150 + 12 * hz AS DOUBLE) END AS lon,
-         ts AS message_ts,
-         CASE WHEN etype = 'message' THEN user_id END AS message_from,
+         CASE WHEN event_id % 61 = 0 THEN NULL WHEN event_id % 10 < 3 THEN date_trunc('hour', ts)
+              ELSE ts END AS message_ts,
+         CASE WHEN etype = 'message' AND event_id % 53 <> 0 THEN user_id END AS message_from,
          CASE WHEN etype = 'message' THEN user_id + 15 * (1 + event_id % 2) END AS message_to,
-         CASE WHEN etype = 'subscription' THEN CAST(user_id AS VARCHAR) END AS "user",
+         CASE WHEN etype = 'subscription'
+              THEN CASE WHEN event_id % 4 = 1 THEN '0' ELSE '' END || user_id END AS "user",
          CASE WHEN etype = 'subscription'
               THEN TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 20 END AS channel
   FROM raw),
@@ -81,16 +83,17 @@ lab AS (
             AS seq_label
   FROM runs),
 stays AS (
-  SELECT user_id, city, seq_label, count(DISTINCT day) AS days_of_stay, max(message_ts) AS max_ts
+  SELECT user_id, city, seq_label, count(DISTINCT day) AS days_of_stay, max(message_ts) AS max_ts,
+         max(event_id) AS max_id
   FROM lab GROUP BY user_id, city, seq_label),
 home AS (
   SELECT user_id, city AS home_city FROM (
-    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY max_ts DESC) AS rn
+    SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY max_ts DESC, max_id DESC) AS rn
     FROM stays WHERE days_of_stay > 27 AND city IS NOT NULL)
   WHERE rn = 1),
 trav AS (
   SELECT user_id, count(*) AS travel_count,
-         string_agg(city, '|' ORDER BY message_ts, event_id) AS travel_array
+         string_agg(city, '|' ORDER BY message_ts NULLS FIRST, event_id) AS travel_array
   FROM lab WHERE flag = 1 GROUP BY user_id),
 lastm AS (
   SELECT * FROM (
@@ -110,7 +113,7 @@ def _new_users_cte(name: str, run_date: str, depth: int) -> str:
 {name}_first AS (
   SELECT user_id, zone_id FROM (
     SELECT message_from AS user_id, zone_id,
-           row_number() OVER (PARTITION BY message_from ORDER BY message_ts, event_id) AS rn
+           row_number() OVER (PARTITION BY message_from ORDER BY message_ts NULLS FIRST, event_id) AS rn
     FROM sez
     WHERE event_type = 'message' AND message_from IS NOT NULL
       AND date BETWEEN DATE '{first}' AND DATE '{last}')
@@ -157,20 +160,22 @@ LEFT JOIN c30 ON c30.zone_id = g.zone_id LEFT JOIN n30 ON n30.zone_id = g.zone_i
 
 
 PROFILE = f"""
-subs AS (SELECT * FROM sez WHERE event_type = 'subscription' AND "user" IS NOT NULL),
+subs AS (
+  SELECT *, TRY_CAST("user" AS BIGINT) AS uid FROM sez
+  WHERE event_type = 'subscription' AND "user" IS NOT NULL),
 lastsub AS (
   SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY message_ts DESC, event_id DESC)
+    SELECT *, row_number() OVER (PARTITION BY uid ORDER BY message_ts DESC, event_id DESC)
               AS rn
     FROM subs)
   WHERE rn = 1),
 chans AS (
-  SELECT "user", list_sort(list(DISTINCT channel) FILTER (WHERE channel IS NOT NULL)) AS ch
-  FROM subs GROUP BY "user"),
+  SELECT uid, list_sort(list(DISTINCT channel) FILTER (WHERE channel IS NOT NULL)) AS ch
+  FROM subs GROUP BY uid),
 prof AS (
-  SELECT TRY_CAST(c."user" AS BIGINT) AS user_id, c.ch, l.lat, l.lon, l.zone_id AS city_id,
+  SELECT c.uid AS user_id, c.ch, l.lat, l.lon, l.zone_id AS city_id,
          {_local('l.message_ts', 'l.tz')} AS local_time
-  FROM chans c JOIN lastsub l ON l."user" = c."user"
+  FROM chans c JOIN lastsub l ON l.uid = c.uid
   WHERE len(c.ch) > 0),
 cand AS (
   SELECT a.user_id AS user_left, b.user_id AS user_right,
@@ -231,8 +236,8 @@ ORACLE: dict[str, str] = {
                                               "FROM lastm",
     "city_change_flags": _w(USERS) + "SELECT user_id, event_id, city, next_city, flag FROM runs",
     "city_run_labels": _w(USERS) + "SELECT user_id, event_id, city, flag, seq_label FROM lab",
-    "city_stays": _w(USERS) + "SELECT * FROM stays",
-    "long_stays": _w(USERS) + "SELECT * FROM stays WHERE days_of_stay > 27",
+    "city_stays": _w(USERS) + "SELECT * EXCLUDE (max_id) FROM stays",
+    "long_stays": _w(USERS) + "SELECT * EXCLUDE (max_id) FROM stays WHERE days_of_stay > 27",
     "home_city": _w(USERS) + "SELECT * FROM home",
     "travel_count": _w(USERS) + "SELECT user_id, travel_count FROM trav",
     "travel_array": _w(USERS) + "SELECT user_id, travel_array FROM trav",
@@ -261,7 +266,7 @@ FROM geo g LEFT JOIN c ON c.zone_id = g.zone_id""",
     "first_message_in_period": _w() + f"""
 SELECT user_id, event_id, message_ts, zone_id FROM (
   SELECT message_from AS user_id, event_id, message_ts, zone_id,
-         row_number() OVER (PARTITION BY message_from ORDER BY message_ts, event_id) AS rn
+         row_number() OVER (PARTITION BY message_from ORDER BY message_ts NULLS FIRST, event_id) AS rn
   FROM sez WHERE event_type = 'message' AND message_from IS NOT NULL
     AND date BETWEEN DATE '{_e_first}' AND DATE '{_e_last}')
 WHERE rn = 1""",
@@ -279,8 +284,7 @@ WHERE user_id IS NOT NULL""",
     "events_in_cities_first_week": _events_mart(EARLY_RUN),
     "contact_pairs": _w() + "SELECT DISTINCT message_from, message_to FROM se "
                             "WHERE event_type = 'message'",
-    "user_channels": _w(PROFILE) + "SELECT TRY_CAST(\"user\" AS BIGINT) AS user_id, "
-                                   "array_to_string(ch, ',') AS channels FROM chans "
+    "user_channels": _w(PROFILE) + "SELECT uid AS user_id, array_to_string(ch, ',') AS channels FROM chans "
                                    "WHERE len(ch) > 0",
     "subscriber_profile": _w(PROFILE) + "SELECT user_id, array_to_string(ch, ',') AS channels, "
                                         "city_id, lat AS last_message_lat, "
@@ -289,7 +293,7 @@ WHERE user_id IS NOT NULL""",
 SELECT c.user_id, array_to_string(c.ch, ',') AS channels, m.zone_id AS city_id,
        m.lat AS last_message_lat, m.lon AS last_message_lon,
        {_local('m.message_ts', 'm.tz')} AS local_time
-FROM (SELECT TRY_CAST("user" AS BIGINT) AS user_id, ch FROM chans WHERE len(ch) > 0) c
+FROM (SELECT uid AS user_id, ch FROM chans WHERE len(ch) > 0) c
 LEFT JOIN (
   SELECT * FROM (
     SELECT message_from, lat, lon, message_ts, zone_id, tz,
@@ -297,14 +301,31 @@ LEFT JOIN (
              AS rn
     FROM sez WHERE event_type = 'message' AND message_from IS NOT NULL)
   WHERE rn = 1) m ON m.message_from = c.user_id""",
-    "shared_channel_pairs": _w(PROFILE) + "SELECT user_left AS a, user_right AS b, shares_channel "
-                                          "FROM cand WHERE distance_km < 1 "
-                                          "AND user_left < user_right",
+    "shared_channel_pairs": _w(PROFILE) + "SELECT user_left AS a, user_right AS b "
+                                          "FROM pairs WHERE user_left < user_right",
     "nearby_user_pairs": _w(PROFILE) + "SELECT user_left, user_right, "
                                        "round(distance_km, 6) AS distance_km, zone_id, "
                                        "local_time FROM pairs",
     "pairs_without_contact": _w(PROFILE) + "SELECT user_left, user_right FROM kept",
     "users_matches": _w(PROFILE) + f"SELECT user_left, user_right, '{RUN_DATE}' AS processed_dttm, "
                                    "zone_id, local_time FROM kept",
+    "stg_to_ods_missing_day": _w() + "SELECT date, event_type, count(*) AS n, TRUE AS refused FROM se "
+                                     f"WHERE date = DATE '{PARTITION_DAY}' GROUP BY ALL",
+    "scan_events_string_ts": _w() + "SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN message_ts END "
+                                    "AS message_ts, CAST(channel AS VARCHAR) AS channel FROM se",
+    "geo_handbook_from_csv": _w() + "SELECT * FROM geo",
+    "nearest_city_rewritten_handbook": _w() + f"""
+SELECT event_id, zone_id FROM (
+  SELECT e.event_id, g.zone_id, row_number() OVER (
+           PARTITION BY e.event_id ORDER BY {_hav('e.lat', 'e.lon', 'g.lat', 'g.lon')}, g.zone_id) AS rn
+  FROM se e LEFT JOIN (SELECT zone_id, lat, lon FROM geo UNION ALL
+                       SELECT zone_id + 100, lat + 0.5, lon + 3 FROM geo) g ON e.lat IS NOT NULL)
+WHERE rn = 1""",
+    "run_daily_users": _USERS_MART.replace("FROM sez WHERE event_type = 'message')",
+                                           f"FROM sez WHERE event_type = 'message' AND date <= DATE '{RELOADED}')"),
+    "run_daily_events": _events_mart(RELOAD_RUN),
+    "run_daily_matches": (_w(PROFILE) + f"SELECT user_left, user_right, '{RELOAD_RUN}' AS processed_dttm, "
+                          "zone_id, local_time FROM kept").replace(
+        "FROM raw),", f"FROM raw WHERE CAST(ts AS DATE) + CAST(event_id % 71 = 0 AS INTEGER) <= DATE '{RELOADED}'),", 1),
     "stg_to_ods_roundtrip": _w() + f"SELECT event_id, date, event_type, lat, lon, {_FLAT} FROM se",
 }

@@ -75,3 +75,10 @@ def shared_dir(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, tag: str) -> str:
     """A fresh, never reused folder below the shared folder."""
     return f"{shared_dir(spark)}/citymarts/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in any file system that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

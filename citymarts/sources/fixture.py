@@ -32,7 +32,12 @@ def geo_handbook(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def social_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event log: ``event_id, event struct, lat, lon, event_type, date``."""
+    """Event log: ``event_id, event struct, lat, lon, event_type, date``.
+
+    It holds what real logs hold: messages without a sender or a time, equal
+    times, two spellings of a subscriber's id ("7" and "07"), and late rows (a
+    partition after the message's day).
+    """
     ensure_utc(spark)
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
     signup = F.col("event_type") == "signup"
@@ -46,15 +51,19 @@ def social_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     t = e.select("event_id", "ts", "user_id", "props", etype.alias("_type"), hz.alias("_hz"))
     msg, sub = F.col("_type") == "message", F.col("_type") == "subscription"
+    i = F.col("event_id")
+    time = F.when(i % 61 == 0, F.lit(None)).when(i % 10 < 3, F.date_trunc("hour", "ts")).otherwise(F.col("ts"))
+    user = F.col("user_id").cast("string")
     event = F.struct(
-        F.when(msg, F.col("user_id")).alias("message_from"),
+        F.when(msg & (i % 53 != 0), F.col("user_id")).alias("message_from"),
         F.when(msg, F.col("user_id") + 15 * (1 + F.col("event_id") % 2)).alias("message_to"),
-        F.col("ts").cast("timestamp").alias("message_ts"),
-        F.when(sub, F.col("user_id").cast("string")).alias("user"),
+        time.cast("timestamp").alias("message_ts"),
+        F.when(sub, F.when(i % 4 == 1, F.concat(F.lit("0"), user)).otherwise(user)).alias("user"),
         F.when(sub, k % 20).alias("subscription_channel"))
+    day = F.to_date("ts")
     return t.select(
         "event_id", event.alias("event"), lat.alias("lat"), lon.alias("lon"),
-        F.col("_type").alias("event_type"), F.to_date("ts").alias("date"))
+        F.col("_type").alias("event_type"), F.when(i % 71 == 0, F.date_add(day, 1)).otherwise(day).alias("date"))
 
 
 @dataclass(frozen=True)
@@ -74,10 +83,12 @@ def materialize_lake(spark: SparkSession, sf_dir: str) -> Lake:
         return _LAKES[key]
     root = new_scratch(spark, "lake")
     ev = social_events(spark, sf_dir)
-    (ev.repartition("date").write.mode("overwrite")
+    # a hash of the event beside the day, so that a day is not one task and one file
+    spread = F.pmod(F.xxhash64("event_id"), F.lit(4))
+    (ev.repartition("date", spread).write.mode("overwrite")
        .partitionBy("date").parquet(f"{root}/stg/events"))
     stg = spark.read.parquet(f"{root}/stg/events")     # STG -> ODS, as the pipeline does
-    (stg.repartition("date", "event_type").write.mode("overwrite")
+    (stg.repartition("date", "event_type", spread).write.mode("overwrite")
         .partitionBy("date", "event_type").parquet(f"{root}/ods/events"))
     geo_handbook(spark, sf_dir).coalesce(1).write.mode("overwrite").parquet(f"{root}/geo_handbook")
     lake = Lake(f"{root}/stg/events", f"{root}/ods/events", f"{root}/geo_handbook")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
@@ -51,18 +51,48 @@ def period(run_date, depth: int) -> tuple[dt.date, dt.date]:
     return d - dt.timedelta(days=depth), d - dt.timedelta(days=1)
 
 
+def _field(df: DataFrame, path: str, kind: str | None) -> Column:
+    """Column ``path`` (``a`` or ``a.b``) with the type ``kind``; NULL where the files lack it.
+
+    A value that cannot be cast gives NULL. ``kind`` None keeps the file's own type.
+    """
+    holder, _, name = path.rpartition(".")
+    fields = df.schema[holder].dataType if holder and holder in df.columns else df.schema
+    if (holder and holder not in df.columns) or name not in fields.names:
+        return F.lit(None).cast(kind or "bigint")
+    own = fields[name].dataType
+    if kind is None or own.simpleString() == kind:
+        return F.col(path)
+    return F.col(path).try_cast(kind)
+
+
 def scan_events(spark: SparkSession, root: str) -> DataFrame:
-    """Whole ODS table with partition discovery (``date``, ``event_type``)."""
-    return spark.read.schema(ODS_SCHEMA).parquet(root)
+    """Whole ODS table with partition discovery (``date``, ``event_type``).
+
+    The files' own schema is read: ``message_ts`` may be a string (a bad one
+    gives NULL), ids may be strings, the channel is an opaque key of any type,
+    and ``event_id`` may be missing.
+    """
+    df = spark.read.parquet(root)
+    event = F.struct(
+        _field(df, "event.message_from", "bigint").alias("message_from"),
+        _field(df, "event.message_to", "bigint").alias("message_to"),
+        _field(df, "event.message_ts", "timestamp").alias("message_ts"),
+        _field(df, "event.user", "string").alias("user"),
+        _field(df, "event.subscription_channel", None).alias("subscription_channel"))
+    return df.select(_field(df, "event_id", "bigint").alias("event_id"), event.alias("event"),
+                     _field(df, "lat", "double").alias("lat"), _field(df, "lon", "double").alias("lon"),
+                     _field(df, "date", "date").alias("date"),
+                     _field(df, "event_type", "string").alias("event_type"))
 
 
 def scan_date_partition(spark: SparkSession, root: str, day) -> DataFrame:
-    """One ``date=`` partition; like a path read, the ``date`` column is absent."""
-    df = spark.read.parquet(root)
-    return df.where(F.col("date") == F.lit(as_date(day))).drop("date")
+    """One ``date=`` partition by its own path: the ``date`` column is absent, all
+    columns of that day are there, and a missing day raises at once."""
+    return spark.read.parquet(f"{root}/date={as_date(day).isoformat()}")
 
 
-def in_period(run_date, depth: int) -> DataFrame:
+def in_period(run_date, depth: int) -> Column:
     first, last = period(run_date, depth)
     return (F.col("date") >= F.lit(first)) & (F.col("date") <= F.lit(last))
 
@@ -101,25 +131,18 @@ def filter_history_before(events: DataFrame, before) -> DataFrame:
 
 
 def validate_geo(geo: DataFrame) -> DataFrame:
-    """Fail the job if ``zone_id`` or ``city`` repeats (joins on them would fan out)."""
-    dup = (F.count(F.lit(1)) != F.count_distinct("zone_id")) | \
-          (F.count(F.lit(1)) != F.count_distinct("city"))
-    check = geo.agg(F.when(dup, F.raise_error(F.lit("geo_handbook: zone_id/city not unique")))
+    """Fail the job if ``zone_id`` repeats (joins on it would fan out); names may repeat."""
+    dup = F.count(F.lit(1)) != F.count_distinct("zone_id")
+    check = geo.agg(F.when(dup, F.raise_error(F.lit("geo_handbook: zone_id not unique")))
                     .otherwise(F.lit(True)).alias("ok"))
     return geo.where(check.scalar())
 
 
-_VALIDATED: set[tuple[str, str]] = set()
-
-
 def read_geo_handbook(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
-    """The city dimension; uniqueness of ``zone_id`` / ``city`` is checked once per
-    session and path (one tiny aggregate job), not inside every query plan."""
+    """The city dimension; that ``zone_id`` is unique is checked on every read (one tiny job)."""
     geo = spark.read.schema(GEO_SCHEMA).parquet(path)
-    key = (spark.sparkContext.applicationId, path)
-    if validate and key not in _VALIDATED:
+    if validate:
         validate_geo(geo).count()
-        _VALIDATED.add(key)
     return geo
 
 

@@ -1,25 +1,24 @@
-"""Writes: the daily STG -> ODS increment and dated mart snapshots."""
+"""Writes: the daily STG -> ODS increment and dated mart snapshots; partitioning by keys."""
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.session import new_scratch
-from citymarts.sources.lake import as_date
+from citymarts.sources.lake import as_date, scan_date_partition
 
 
 def load_increment(spark: SparkSession, run_date, stg_root: str, ods_root: str) -> dt.date:
     """Copy day ``run_date - 1`` from STG into ``{ods}/date=<day>/event_type=...``.
 
     A static overwrite of the date directory: a re-load replaces the whole day,
-    so an event type that vanished from the source does not linger. One scan of
-    one partition, no shuffle.
+    so an event type that vanished from the source does not linger. The day's
+    own folder is read, so it keeps all its columns, and a day that STG does
+    not have fails the load before anything is written. One scan, no shuffle.
     """
     day = as_date(run_date) - dt.timedelta(days=1)
-    inc = spark.read.parquet(stg_root).where(F.col("date") == F.lit(day)).drop("date")
+    inc = scan_date_partition(spark, stg_root, day)
     (inc.write.mode("overwrite").option("partitionOverwriteMode", "static")
         .partitionBy("event_type").parquet(f"{ods_root}/date={day.isoformat()}"))
     return day
@@ -37,26 +36,5 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def bucket_partitioned(df: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
-    """Hash-partition into exactly ``n`` partitions (default: shuffle partitions).
-
-    The same hash as Spark's bucketing, so ``write_bucketed`` then writes one
-    file per bucket.
-    """
+    """Hash-partition into exactly ``n`` partitions (default: shuffle partitions)."""
     return df.repartition(n or shuffle_partitions(df.sparkSession), *keys)
-
-
-def write_bucketed(df: DataFrame, keys: list[str], tag: str, n: int | None = None) -> DataFrame:
-    """Materialise ``df`` as a bucketed table in the shared folder and read it back.
-
-    Used where several consumers read one expensive intermediate: the data are
-    computed once, lineage is cut (a lost executor costs a re-read, not a
-    recomputation), and the bucketed scan reports ``hashpartitioning(keys, n)``,
-    so aggregates and joins on ``keys`` add no shuffle. ``df`` should already
-    be ``bucket_partitioned`` on ``keys`` with the same ``n``.
-    """
-    spark = df.sparkSession
-    n = n or shuffle_partitions(spark)
-    name = f"citymarts_{tag}_{uuid.uuid4().hex[:12]}"
-    (df.write.mode("overwrite").bucketBy(n, *keys)
-       .option("path", new_scratch(spark, tag)).saveAsTable(name))
-    return spark.table(name)

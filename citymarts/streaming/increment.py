@@ -1,29 +1,24 @@
 """The STG -> ODS increment as a Structured Streaming job.
 
-``readStream`` over the date-partitioned STG folder picks up each new file
-exactly once (the stream checkpoint records what was read); the file sink
-appends into the ``date=/event_type=`` layout and records committed files in
-its own log, so a retried micro-batch never duplicates rows. Run it with the
-``availableNow`` trigger for a scheduled catch-up (everything new, then stop)
-or with a processing-time trigger to follow STG continuously.
-
-An ODS root written by this sink is read through the sink's log (Spark does
-this automatically when the root is read); keep the batch ``load_increment``
-(static overwrite of a date directory, for re-loads) on roots it owns.
+``readStream`` over the date-partitioned STG folder tells which days have new
+files (the stream checkpoint records what was read); every such day is then
+loaded by the batch ``load_increment``, which replaces the whole day. So a
+retried micro-batch, a re-written STG day or a second run never duplicates
+rows. Use the ``availableNow`` trigger for a scheduled catch-up, or a
+processing-time trigger to follow STG continuously.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
-from citymarts.sources.lake import ODS_SCHEMA
+from citymarts.sources.sinks import load_increment
 
-# STG layout: event_type is a data column, date the only partition column.
-STG_SCHEMA = StructType([f for f in ODS_SCHEMA.fields if f.name not in ("date", "event_type")]
-                        + [StructField("event_type", ODS_SCHEMA["event_type"].dataType),
-                           StructField("date", ODS_SCHEMA["date"].dataType)])
+_DAY = StructType([StructField("date", DateType())])   # the partition column is all the stream needs
 
 
 def start_increment_stream(spark: SparkSession, stg_root: str, ods_root: str,
@@ -31,20 +26,21 @@ def start_increment_stream(spark: SparkSession, stg_root: str, ods_root: str,
                            processing_time: str = "1 hour",
                            max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream; the caller waits on / stops the returned query."""
-    reader = spark.readStream.schema(STG_SCHEMA)
+    reader = spark.readStream.schema(_DAY)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(stg_root)
-    writer = (events.writeStream.format("parquet").outputMode("append")
-              .option("checkpointLocation", checkpoint_location)
-              .partitionBy("date", "event_type"))
+
+    def load(batch: DataFrame, _id: int) -> None:
+        for r in batch.select("date").distinct().orderBy("date").collect():   # days, not rows
+            load_increment(batch.sparkSession, r.date + dt.timedelta(days=1), stg_root, ods_root)
+    writer = (reader.parquet(stg_root).writeStream.foreachBatch(load)
+              .option("checkpointLocation", checkpoint_location))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
-    return writer.start(ods_root)
+    return writer.start()
 
 
 def run_increment_stream(spark: SparkSession, stg_root: str, ods_root: str,
                          checkpoint_location: str) -> None:
     """Catch up on all new STG files, then return."""
-    q = start_increment_stream(spark, stg_root, ods_root, checkpoint_location)
-    q.awaitTermination()
+    start_increment_stream(spark, stg_root, ods_root, checkpoint_location).awaitTermination()

@@ -140,7 +140,8 @@ def test_nearest_equals_brute_force(spark, n_cities):
 def test_nearest_clustered_cities_far_points(spark, monkeypatch, broadcast):
     import random
     from citymarts.functions import geo as G
-    monkeypatch.setattr(G, "MAX_BROADCAST_INDEX_ENTRIES", 10 ** 9 if broadcast else 0)
+    monkeypatch.setattr(G, "MAX_BROADCAST_INDEX_BYTES", 10 ** 9 if broadcast else 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     rnd = random.Random(3)
     cities = [(i, f"k{i}", 48.0 + rnd.uniform(0, 0.5), 11.0 + rnd.uniform(0, 0.5), "UTC")
               for i in range(40)]
@@ -152,6 +153,7 @@ def test_nearest_clustered_cities_far_points(spark, monkeypatch, broadcast):
     fast = G.with_nearest_city(pts, g, out="n", cell_km=400.0)
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert ("BroadcastHashJoin [_nc_x" in plan) == broadcast
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert ("SortMergeJoin [_nc_x" in plan) == (not broadcast)
     fast = fast.select("id", F.col("n.zone_id").alias("z"))
     d = haversine_km("p.lat", "p.lon", "g.lat", "g.lon")
@@ -352,3 +354,17 @@ def test_nan_coordinates_give_null_city(spark, geo):
     assert {r["event_id"]: r["city"] for r in msgs.collect()} == {1: "A", 2: None, 3: "A"}
     row = activity.users_in_cities(make_events(spark, rows), geo).collect()[0]
     assert (row["act_city"], row["travel_count"]) == ("A", None)
+
+
+def test_more_cities_than_one_array_of_them(spark):
+    import random
+    rnd = random.Random(9)
+    g = make_geo(spark, [(i, f"c{i % 7000}", rnd.uniform(-90, 90), rnd.uniform(-180, 180), "UTC") for i in range(12_000)])
+    pts = spark.createDataFrame([(i, rnd.uniform(-90, 90), rnd.uniform(-180, 180)) for i in range(60)] + [(99, None, 1.0)],
+                                "id int, lat double, lon double")
+    fast = {r["id"]: r["z"] for r in with_nearest_city(pts, g, out="n").select("id", F.col("n.zone_id").alias("z")).collect()}
+    d = haversine_km("p.lat", "p.lon", "g.lat", "g.lon")
+    brute = (pts.alias("p").join(F.broadcast(g.alias("g")), how="cross")      # test oracle only
+             .groupBy("p.id").agg(F.min_by("g.zone_id", F.struct(d, F.col("g.zone_id"))).alias("z")))
+    assert fast.pop(99) is None
+    assert fast == {r["id"]: r["z"] for r in brute.collect() if r["id"] != 99}

@@ -28,17 +28,66 @@ def test_users_state_full_and_daily_equal_mart(spark):
     assert _same(activity.users_in_cities_from_state(state), full)
 
     root = new_scratch(spark, "test-users-state")
-    cut = dt.date(2024, 1, 12)
-    st = activity.advance_users_state(None, msgs.where(F.col("day") < F.lit(cut)))
-    for i in range(0, 19):
+    located = lambda e: activity.messages_in_cities(e, geo)
+    cut = dt.date(2024, 1, 28)
+    st = activity.advance_users_state(None, located(ev.where(F.col("date") < F.lit(cut))))
+    for i in range(4):                               # by partition, so late rows come with a later day
         day = cut + dt.timedelta(days=i)
         path = f"{root}/asof={day.isoformat()}"
         st.write.parquet(path)                       # cut lineage like the daily job
-        st = activity.advance_users_state(spark.read.parquet(path),
-                                          msgs.where(F.col("day") == F.lit(day)))
+        st = activity.advance_users_state(spark.read.parquet(path), located(ev.where(F.col("date") == F.lit(day))),
+                                          history=located(ev.where(F.col("date") <= F.lit(day))))
     assert _same(activity.users_in_cities_from_state(st), full)
 
 
+def _mart_and_state(spark, rows, geo, parts):
+    """The mart over ``rows``, and the state advanced by the ids of each part."""
+    from conftest import make_events
+    ev = make_events(spark, rows)
+    st = None
+    for k, part in enumerate(parts):
+        done = [i for p in parts[:k + 1] for i in p]
+        pick = lambda ids: activity.messages_in_cities(ev.where(F.col("event_id").isin(ids)), geo)
+        path = new_scratch(spark, "test-state-part")
+        activity.advance_users_state(st, pick(part), history=pick(done)).coalesce(1).write.parquet(path)
+        st = spark.read.parquet(path)                # cut lineage like the daily job
+    key = lambda r: str(r["user_id"])
+    cols = ["user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time"]
+    return [sorted(df.select(*cols).collect(), key=key) for df in
+            (activity.users_in_cities(ev, geo), activity.users_in_cities_from_state(st))]
+
+
+def test_late_rows_split_days_and_null_senders(spark):
+    from conftest import make_geo, ts
+    geo = make_geo(spark, [(1, "A", 0.0, 0.0, "UTC"), (2, "B", 10.0, 10.0, "UTC"), (3, "C", 20.0, 20.0, "UTC")])
+    pos = {"A": (0.0, 0.0), "B": (10.0, 10.0), "C": (20.0, 20.0)}
+
+    def row(i, user, city, when):
+        return {"event_type": "message", "message_from": user, "event_id": i, "ts": when, "date": "2024-01-09",
+                "lat": pos[city][0], "lon": pos[city][1]}
+    # a late row between two others; a NULL sender; a message without a time
+    rows = [row(0, 1, "A", ts("2024-01-01")), row(1, 1, "B", ts("2024-01-05")), row(2, 1, "C", ts("2024-01-03")),
+            row(3, None, "A", ts("2024-01-02")), row(4, None, "B", ts("2024-01-04")), row(5, 2, "A", None),
+            row(6, 2, "B", ts("2024-01-06")), row(7, 2, "C", None)]
+    for parts in ([[0, 1, 3], [2, 4, 5, 6], [7]], [[0, 5], [1, 2, 3, 4, 6, 7]]):
+        mart, state = _mart_and_state(spark, rows, geo, parts)
+        assert mart == state and len(mart) == 3
+    assert [r["travel_array"] for r in mart if r["user_id"] == 1] == [["A", "C"]]
+    # 27 days are not enough, also where a day's messages come in two parts
+    days = [row(i, 1, "A", ts(f"2024-01-{d:02d}", 60 + i)) for i, d in enumerate([*range(1, 28), 27])]
+    mart, state = _mart_and_state(spark, days, geo, [list(range(27)), [27]])
+    assert mart == state and mart[0]["home_city"] is None
+
+
+def test_no_message_is_lost_in_runs(spark):
+    from conftest import make_events, make_geo, ts
+    geo = make_geo(spark, [(1, "A", 0.0, 0.0, "UTC")])
+    rows = [{"event_type": "message", "message_from": u, "event_id": i, "ts": t, "date": "2024-01-09", "lat": 0.0, "lon": 0.0}
+            for i, (u, t) in enumerate([(1, ts("2024-01-01")), (None, ts("2024-01-01")), (None, ts("2024-01-02")), (1, None), (0, None)])]
+    runs = activity.city_runs(activity.messages_in_cities(make_events(spark, rows), geo))
+    assert runs.count() == len(rows)
+
+
 def _split_results(spark, rows, geo, k):
     from conftest import make_events
     msgs = activity.messages_in_cities(make_events(spark, rows), geo)
