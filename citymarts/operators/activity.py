@@ -85,8 +85,8 @@ def bucket_partitioned(messages: DataFrame, bucket_seconds: int = 3600) -> DataF
 _BUCKET = ["_u", "_un", "_b"]
 
 
-def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
-    """(per-message runs, per-(user, bucket) summaries) from ONE shuffle of the messages.
+def _buckets(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """(messages with their labels inside the bucket, per-(user, bucket) summaries).
 
     Level 1 windows over (user, bucket) on the explicitly hash-partitioned
     messages and also yields each bucket's earliest city and flag total, so
@@ -94,8 +94,8 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     one row per (user, bucket) and yields, per bucket, the flag of its last
     message (against the first message of the next non-empty bucket), the
     number of flags in all later buckets and whether it is the user's latest
-    bucket. Only the summaries are shuffled back; the shuffle of the messages
-    serves both sides (a reused exchange), nothing is written.
+    bucket. Only the summaries are shuffled back to the messages. Where both
+    sides use the same columns, one shuffle of the messages serves both.
     """
     m = bucket_partitioned(messages, bucket_seconds)
     desc = [F.col(c).desc() for c in ORDER]
@@ -123,14 +123,22 @@ def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame,
     s = s.withColumn("_latest", F.lag("_b", 1).over(w2).isNull())
     s = s.withColumn("_earliest", F.lead("_b", 1).over(w2).isNull())
 
+    return m, s
+
+
+def _bucketed_runs(messages: DataFrame, bucket_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """(per-message runs, per-(user, bucket) summaries)."""
+    m, s = _buckets(messages, bucket_seconds)
     r = m.join(s.select(*_BUCKET, "_nb", "_bf", "_later"), _BUCKET)
+    return r.select(*messages.columns, *_labels()), s
+
+
+def _labels() -> list[Column]:
+    """Next city, flag and run label of a message joined with its bucket's summary."""
     last_in_bucket = F.col("_nxt").isNull()
-    runs = r.select(
-        *messages.columns,
-        F.when(last_in_bucket, F.col("_nb.c")).otherwise(F.col("_nxt.c")).alias("next_city"),
-        F.when(last_in_bucket, F.col("_bf")).otherwise(F.col("_f")).alias("flag"),
-        (F.col("_s") + F.col("_bf") + F.col("_later")).cast("bigint").alias("seq_label"))
-    return runs, s
+    return [F.when(last_in_bucket, F.col("_nb.c")).otherwise(F.col("_nxt.c")).alias("next_city"),
+            F.when(last_in_bucket, F.col("_bf")).otherwise(F.col("_f")).alias("flag"),
+            (F.col("_s") + F.col("_bf") + F.col("_later")).cast("bigint").alias("seq_label")]
 
 
 def city_runs(messages: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
@@ -186,35 +194,40 @@ def users_in_cities(events: DataFrame, geo: DataFrame, min_days: int = 27,
                     bucket_seconds: int = 3600) -> DataFrame:
     """Mart: ``user_id, act_city, home_city, travel_count, travel_array, local_time``.
 
-    Every part derives from one shuffle of the messages by (user, bucket): the
-    latest message from the bucket summaries, home city and travels from the
-    stays. A run ends with its flagged message, so each stay holds at most one
-    travel and the labelled messages are read once.
+    Every part derives from one shuffle of the messages by (user, bucket) and
+    one pass over the labelled messages: a run ends with its flagged message,
+    so each stay holds at most one travel, and the user's latest message marks
+    one stay with the current city and its local time.
     """
-    msgs = messages_in_cities(events, geo).select(
-        "user_id", "event_id", "message_ts", "day", "city", "tz")
-    runs, buckets = _bucketed_runs(msgs, bucket_seconds)
-    last = buckets.where(F.col("_latest")).select(
-        "user_id", F.col("_lastm.city").alias("act_city"),
-        F.from_utc_timestamp("_lastm.message_ts", F.col("_lastm.tz")).alias("local_time"))
+    msgs = messages_in_cities(events, geo).select("user_id", "event_id", "message_ts", "city", "tz")
+    m, buckets = _buckets(msgs, bucket_seconds)
+    # both sides use every shuffled column (the time zone, too), so that the messages' exchange is reused
+    r = m.join(buckets.select(*_BUCKET, "_nb", "_bf", "_later", "_latest", F.col("_lastm.tz").alias("_tz")), _BUCKET)
+    is_last = F.col("_latest") & (F.col("_rn") == 1)
+    local = F.from_utc_timestamp("message_ts", F.coalesce("tz", "_tz"))
+    runs = r.select("_u", "_un", "event_id", "message_ts", F.to_date("message_ts").alias("day"), "city", *_labels(),
+                    F.when(is_last, 1).alias("last"), F.when(is_last, local).alias("local_time"))
     # fixed-width buffers (hash aggregate): a stay's only flagged message has its own time and id
     left = F.col("flag") == 1
-    stays = runs.where(F.col("user_id").isNotNull()).groupBy("user_id", "city", "seq_label").agg(
+    stays = runs.groupBy("_u", "_un", "city", "seq_label").agg(
         F.count_distinct("day").alias("days"), F.max("message_ts").alias("max_ts"),
         F.max("event_id").alias("max_eid"), F.max(F.when(left, 1)).alias("left"),
         F.max(F.when(left, F.col("message_ts"))).alias("left_ts"),
-        F.max(F.when(left, F.col("event_id"))).alias("left_id"))
-    home = F.col("city").isNotNull() & (F.col("days") > min_days)
+        F.max(F.when(left, F.col("event_id"))).alias("left_id"),
+        F.max("last").alias("last"), F.max("local_time").alias("local_time"))
+    known = ~F.col("_un")                                # metrics are those of known users
+    home = known & F.col("city").isNotNull() & (F.col("days") > min_days)
     departed = F.struct("left_ts", "left_id", "city")
-    per_user = stays.groupBy("user_id").agg(
+    per_user = stays.groupBy("_u", "_un").agg(
+        F.max(F.when(F.col("last") == 1, F.col("city"))).alias("act_city"),
         F.max_by("city", F.when(home, F.struct("max_ts", "max_eid"))).alias("home_city"),
-        F.count("left").alias("n"),
-        F.array_sort(F.collect_list(F.when(F.col("left") == 1, departed))).alias("departed"))
-    per_user = per_user.select(
-        "user_id", "home_city", F.when(F.col("n") > 0, F.col("n")).alias("travel_count"),
-        F.when(F.col("n") > 0, F.transform("departed", lambda x: x["city"])).alias("travel_array"))
-    return last.join(per_user, "user_id", "left").select(
-        "user_id", "act_city", "home_city", "travel_count", "travel_array", "local_time")
+        F.count(F.when(known, F.col("left"))).alias("n"),
+        F.array_sort(F.collect_list(F.when(known & (F.col("left") == 1), departed))).alias("departed"),
+        F.max("local_time").alias("local_time"))
+    return per_user.select(
+        F.when(known, F.col("_u")).alias("user_id"), "act_city", "home_city",
+        F.when(F.col("n") > 0, F.col("n")).alias("travel_count"),
+        F.when(F.col("n") > 0, F.transform("departed", lambda x: x["city"])).alias("travel_array"), "local_time")
 
 
 # ---------------------------------------------------------------- incremental state
