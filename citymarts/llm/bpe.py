@@ -20,6 +20,7 @@ import os
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import chain
 
 import pyarrow as pa
@@ -194,9 +195,15 @@ class ForcedBoundaryBPE:
         return " ".join(map(self.names.__getitem__, ids))
 
 
+@lru_cache(1)
+def _loaded(content: str) -> ForcedBoundaryBPE:
+    """One coder for each Python worker: its tables and caches serve all tasks of the worker."""
+    return ForcedBoundaryBPE(content)
+
+
 def _tasks(content) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ForcedBoundaryBPE(content.value)
+        bpe = _loaded(content.value)
         for batch in batches:
             ids, decoded = [], []
             for text in batch.column("text"):

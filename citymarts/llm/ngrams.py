@@ -45,8 +45,8 @@ THRESHOLD = 0.8
 TARGET = 0.999       # recall of links
 TREES, LEVELS = 32, 8
 MARGIN = 0.15        # six standard deviations of the similarity that equal MinHash values tell
-BLOCK_CLASSES, BLOCK_SIZE = 512, 4_000_000  # classes and shingles in a block of a large component
-CACHED = 300_000     # words whose hash a Python worker remembers
+BLOCK_CLASSES, BLOCK_SIZE = 512, 2_000_000  # classes and shingles in a block of a large component
+CACHED = 200_000     # words whose hash a Python worker remembers
 
 _WORD = re.compile(r"\w+")
 _rng = np.random.default_rng(20240101)
