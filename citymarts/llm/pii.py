@@ -8,14 +8,22 @@ the entity's information content the term reveals:
                      = log(n(t, e) N / (n(t) n(e))) / log(N / n(e))
 
 with N documents, n(e) documents that hold the entity, n(t) documents that
-hold the term, and n(t, e) documents where the term stands within ``CONTEXT``
-characters of the entity; 1 means that the term gives the entity away. Terms
-near the same entity in at least ``SUPPORT`` documents are judged: from
-``GENERALISE`` on they are replaced by a general word, from ``REMOVE`` on they
-are removed. All counts cover all documents.
+hold the term, and n(t, e) documents that hold both; 1 means that the term
+gives the entity away. From ``GENERALISE`` on a term is replaced by a general
+word, from ``REMOVE`` on it is removed, wherever it stands in any document. All
+counts cover all documents.
 
-Terms are words of three or more letters in lower case. Windows end at email
-addresses, and a word cut by the window's end is not a term.
+That is ``scan(everywhere=True)``, as in the registered query. A term is judged
+if its disclosure still reaches ``GENERALISE`` with n(t, e) / n(t) replaced by
+its Wilson lower bound (one-sided, ``Z``), so an entity of one document is
+judged where the corpus is large enough (N / n(e) from about 190 on). Without
+``everywhere``, n(t, e) counts the documents where the term stands within
+``CONTEXT`` characters of the entity, pairs of ``SUPPORT`` documents are judged,
+and only the terms in these windows are replaced.
+
+Terms are words of three or more letters in lower case, outside of email
+addresses. Windows end at email addresses, and a word cut by the window's end
+is not a term.
 
 Defined results: a NULL text is an empty one and has no findings; a NULL id is
 kept; repeated rows give repeated results and count as one document; an empty
@@ -33,6 +41,7 @@ from citymarts.llm.spans import with_masked, with_matches, written_spans
 CONTEXT = 60
 SUPPORT = 3
 GENERALISE, REMOVE = 0.75, 0.95
+Z = 1.645            # one-sided 95 %
 
 _DIGITS = "regexp_replace(x, '[^0-9]', '')"
 #: kind: (pattern, SQL over the match ``x`` that it must satisfy). Possessive quantifiers and the conditions
@@ -131,13 +140,93 @@ def disclosures(near: DataFrame, docs: DataFrame, text_col: str = "text", suppor
             .where(F.col("disclosure") >= least))
 
 
+def _documents(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Per row: doc (a key of id and text), text, and ``plain``, the text without email addresses."""
+    out = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    out = out.select(F.xxhash64("id", F.sha2(F.encode("text", "UTF-8"), 256)).alias("doc"), "text")
+    return with_masked(out, "plain", "text", BASE["email"][0], when=F.col("text").contains("@"))
+
+
+def _terms(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns`` and each distinct term of ``plain``."""
+    words = WORD.replace("\\", "\\\\")
+    each = f"explode(array_distinct(transform(regexp_extract_all(plain, '{words}', 0), x -> lower(x))))"
+    return docs.select(*columns, F.expr(each).alias("term"))
+
+
+def lower_bound(k: str, n: str) -> str:
+    """SQL: Wilson's lower bound of the share ``k`` of ``n``."""
+    return (f"(({k}) / ({n}) + {Z * Z / 2} / ({n}) - {Z} * sqrt(({k}) / ({n}) * (1 - ({k}) / ({n})) / ({n})"
+            f" + {Z * Z / 4} / ({n}) / ({n}))) / (1 + {Z * Z} / ({n}))")
+
+
+def judgements(found: DataFrame, docs: DataFrame, least: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) of at least ``least``, counted over whole documents.
+
+    ``found`` has the spans of ``base_spans()``, ``docs`` the rows of
+    ``_documents()``. A pair stands in min(n(t), n(e)) documents at most; pairs
+    that this bound rules out are left out before they are counted.
+    """
+    name = {"email": "lower(m.value)", "ip": "regexp_replace(m.value, '[^0-9.]', '')"}
+    names = [f"transform({k}, m -> concat('{k}:', {name.get(k, "regexp_replace(m.value, '[^0-9]', '')")}))" for k in BASE]
+    key = F.xxhash64("id", "same").alias("doc")
+    # repeated rows are one document: each counts as its share
+    rows = found.groupBy(key).agg(F.count("*").alias("rows"))
+    repeated = written(rows.where("rows > 1"), "pii-repeated")
+    holding = written(found.where("text is not null").select(key, F.expr(f"explode(array_distinct(concat({', '.join(names)})))")
+                                                             .alias("entity")).distinct(), "pii-entities")
+    of_entity = holding.groupBy("entity").agg(F.count("*").alias("n_e"))
+    total = rows.select(F.count("*").alias("n"))
+    share = F.lit(1.0) / F.coalesce("rows", F.lit(1))
+    of_term = (_terms(docs.select("doc", "plain").join(repeated, "doc", "left"), share.alias("share"))
+               .groupBy("term").agg(F.round(F.sum("share")).cast("long").alias("n_t")))
+    of_entity = written(of_entity.crossJoin(F.broadcast(total)).where("n > n_e"), "pii-entity-counts")  # one row
+    reach = lambda k: f"ln({lower_bound(k, 'n_t')} * n / n_e) / ln(n / n_e) >= {least}"
+    # the most frequent term that the most frequent entity could still judge
+    most = of_entity.select(F.max(F.expr(f"pow(n, 1 - {least}) * pow(n_e, {least})")).alias("most"))
+    rare = of_term.crossJoin(F.broadcast(most)).where("n_t <= most").drop("most")
+    texts = _documents(found.where("text is not null").dropDuplicates(["id", "same"]), "id", "text")
+    near = written(_terms(texts, "doc").join(rare, "term"), "pii-terms")
+    pairs = (near.join(holding.join(of_entity, "entity"), "doc").where(reach("least(n_t, n_e)"))
+             .groupBy("entity", "term", "n_e", "n_t", "n").agg(F.count("*").alias("n_te")))
+    return (pairs.where(reach("n_te"))
+            .select("entity", "term", F.expr("ln(n_te * n / (n_t * n_e)) / ln(n / n_e)").alias("disclosure"))
+            .where(F.col("disclosure") >= least))
+
+
+def occurrences(docs: DataFrame, judged: DataFrame, remove: float = REMOVE) -> DataFrame:
+    """Per document that holds a judged term: doc, text, ``terms``: the spans of all judged terms."""
+    flagged = written(judged.groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-judged")
+    action = F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise")
+    actions = (_terms(docs, "doc").join(flagged, "term").groupBy("doc")
+               .agg(F.map_from_entries(F.collect_set(F.struct("term", action.alias("action")))).alias("actions")))
+    held = docs.join(written(actions, "pii-actions"), "doc").dropDuplicates(["doc"])
+    held = with_matches(held, "w", "plain", WORD)
+    return held.select("doc", "text", F.expr(f"""
+        array_sort(transform(filter(w, m -> map_contains_key(actions, lower(m.value))), m ->
+          named_struct('start', m.start, 'kind', '{TERM}', 'end', m.end, 'action', actions[lower(m.value)])))""").alias("terms"))
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support: int = SUPPORT,
-         generalise: float = GENERALISE, remove: float = REMOVE, with_text: bool = False) -> DataFrame:
+         generalise: float = GENERALISE, remove: float = REMOVE, with_text: bool = False, everywhere: bool = False) -> DataFrame:
     """Per row: id, ``base`` and ``spans``: arrays of (kind, start, end, action) by kind, then start.
 
-    With ``with_text``, ``text`` is the original where there is any span.
+    With ``with_text``, ``text`` is the original where there is any span. With
+    ``everywhere``, whole documents are counted (``support`` is not read) and a
+    judged term is found in all texts.
     """
     found = written(base_spans(df, id_col, text_col), "pii")
+    span = lambda k: f"transform({k}, m -> named_struct('start', m.start, 'kind', '{k}', 'end', m.end, 'action', 'remove'))"
+    none = F.expr("cast(array() as array<struct<start:int,kind:string,end:int,action:string>>)")
+    if everywhere:
+        docs = _documents(df, id_col, text_col)
+        terms = occurrences(docs, judgements(found, docs, least=generalise), remove)
+        terms = terms.select("doc", F.col("text").alias("term_text"), "terms") if with_text else terms.select("doc", "terms")
+        rows = found.select(F.xxhash64("id", "same").alias("doc"), "id", "text",
+                            F.expr(f"concat({', '.join(span(k) for k in BASE)})").alias("base"))
+        return (rows.join(terms, "doc", "left")
+                .select(F.col("id").alias(id_col), "base", F.concat("base", F.coalesce("terms", none)).alias("spans"),
+                        *([F.coalesce("text", "term_text").alias("text")] if with_text else [])))
     docs = df.select(F.col(text_col).cast("string").alias("text"))
     near = written(contexts(found), "pii-near")
     judged = disclosures(near, docs, support=support, least=generalise)
@@ -147,9 +236,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", support:
              .agg(F.array_sort(F.collect_list(F.struct(
                  "start", F.lit(TERM).alias("kind"), "end",
                  F.when(F.col("disclosure") >= remove, "remove").otherwise("generalise").alias("action")))).alias("terms")))
-    span = lambda k: f"transform({k}, m -> named_struct('start', m.start, 'kind', '{k}', 'end', m.end, 'action', 'remove'))"
     rows = found.select("id", "same", "text", F.expr(f"concat({', '.join(span(k) for k in BASE)})").alias("base"))
-    none = F.expr("cast(array() as array<struct<start:int,kind:string,end:int,action:string>>)")
     return (rows.join(terms, rows["id"].eqNullSafe(terms["tid"]) & (rows["same"] == terms["tsame"]), "left")
             .select(F.col("id").alias(id_col), "base", F.concat("base", F.coalesce("terms", none)).alias("spans"),
                     *(["text"] if with_text else [])))

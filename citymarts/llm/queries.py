@@ -28,7 +28,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(pii.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    return pii.digest(pii.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"), everywhere=True))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
