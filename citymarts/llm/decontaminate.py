@@ -4,7 +4,10 @@ Numbers, units after a number and names (capitalised words inside a sentence)
 become typed placeholders, all other words lower case. Windows of ``WINDOW``
 tokens of the benchmark items (whole items where they are shorter) are
 hash-joined with those of the documents; a window of nearly only placeholders
-does not count. Hits of a document and an item that lie on one diagonal, i.e.
+does not count as a template. With ``valued``, as in the registered query and
+the pipeline, windows with placeholders are also joined by their own values, so
+that verbatim copies match however many numbers and names they hold, and so are
+whole items of fewer than ``SHORTEST`` tokens. Hits of a document and an item that lie on one diagonal, i.e.
 at a constant distance, are one alignment. Its slots must be consistent: the
 same value of the item always stands for the same value of the document and
 the other way round. An alignment that covers at least ``COVERAGE`` of the
@@ -17,7 +20,7 @@ tasks return the windows among them; beyond that all windows are returned and
 the join decides alone. Either way the same rows come out.
 
 Defined results: NULL and empty texts and items have no windows and no leaks,
-nor have items of fewer than ``SHORTEST`` tokens; a NULL id is kept; repeated
+nor have items of fewer than ``SHORTEST`` tokens without ``valued``; a NULL id is kept; repeated
 rows give one finding each per id and text; an empty table, documents or
 benchmark, gives an empty result. Positions are code points, end exclusive.
 Other columns are not read.
@@ -79,25 +82,27 @@ class _Known(dict):
 _known = _Known()
 
 
-def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of the canonical tokens, their slot types (0: none), their places among all matches of ``_TOKEN``)."""
+def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the canonical tokens, their slot types (0: none), their places among all matches of ``_TOKEN``, hashes of
+    the tokens themselves)."""
     words = _TOKEN.findall(text)
     if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     found = [_known[w] for w in words]
     h = np.fromiter((f[0] for f in found), np.uint64, len(found))
     kind = np.fromiter((f[1] for f in found), np.int8, len(found))
+    own = h.copy()
     before = np.concatenate([[_STOP], kind[:-1]])
     number = kind == _NUMBER
     unit = (kind == _UNIT) & (before == _NUMBER)
     name = (kind == _TITLE) & (before != _STOP)
     h[number], h[unit], h[name] = _TYPE["number"], _TYPE["unit"], _TYPE["name"]
     at = np.flatnonzero(kind != _STOP)
-    return h[at], (number * 1 + unit * 2 + name * 3).astype(np.int8)[at], at
+    return h[at], (number * 1 + unit * 2 + name * 3).astype(np.int8)[at], at, own[at]
 
 
-def windows(h: np.ndarray, slots: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the windows of ``n`` tokens that hold enough plain words."""
+def windows(h: np.ndarray, slots: np.ndarray, n: int, valued: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the windows of ``n`` tokens that hold enough plain words; with ``valued``, of those with a slot."""
     count = len(h) - n + 1
     if count < 1:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -107,16 +112,21 @@ def windows(h: np.ndarray, slots: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
     total = (total ^ (total >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     total ^= total >> np.uint64(33)
     plain = np.concatenate([[0], np.cumsum(slots == 0)])
-    at = np.flatnonzero(plain[n:] - plain[:-n] >= min(n, PLAIN))
+    plain = plain[n:] - plain[:-n]
+    at = np.flatnonzero(plain < n if valued else plain >= min(n, PLAIN))
     return at, total[at]
 
 
-def _rows(text: str, lengths: list[int], among: np.ndarray | None) -> list[tuple]:
-    """(hash, place, length, start, end, slot values) of the text's windows, of those in ``among`` if given."""
-    h, slots, at = canonical(text)
+def _rows(text: str, lengths: list[int], among: np.ndarray | None, valued: bool = False) -> list[tuple]:
+    """(hash, place, length, start, end, slot values) of the text's windows, of those in ``among`` if given.
+
+    With ``valued``, also of windows by their own values, which leave no slot to compare. A window
+    without slots has one hash for both, so that it meets one with a name that begins a sentence.
+    """
+    h, slots, at, own = canonical(text)
     out, spans = [], None
-    for n in lengths:
-        places, hashes = windows(h, slots, n)
+    for n, by_value in [(n, v) for n in lengths for v in ([False, True] if valued else [False])]:
+        places, hashes = windows(own if by_value else h, slots, n, by_value)
         if among is not None:
             hit = np.concatenate([_in(hashes[i:i + STEP], among) for i in range(0, len(hashes), STEP)] or [np.zeros(0, bool)])
             places, hashes = places[hit], hashes[hit]
@@ -124,7 +134,7 @@ def _rows(text: str, lengths: list[int], among: np.ndarray | None) -> list[tuple
             continue
         spans = spans or [m.span() for m in _TOKEN.finditer(text)]
         for p, x in zip(places.tolist(), hashes.astype(np.int64).tolist()):
-            values = [text[slice(*spans[at[k]])].lower() for k in range(p, p + n) if slots[k]]
+            values = [] if by_value else [text[slice(*spans[at[k]])].lower() for k in range(p, p + n) if slots[k]]
             out.append((x, p, n, spans[at[p]][0], spans[at[p + n - 1]][1], values))
     return out
 
@@ -138,40 +148,44 @@ def _in(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 ROWS = "same long, hash long, place int, length int, start int, end int, slots array<string>"
 
 
-def _windowing(among, lengths: list[int]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _windowing(among, lengths: list[int], valued: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = among.value if among is not None else None
         for pdf in batches:
             for i in range(0, len(pdf), 200):
                 part = pdf.iloc[i:i + 200]
                 rows = [(k, s, *r) for k, s, t in zip(part["id"], part["same"], part["text"])
-                        for r in _rows(t, lengths, hashes)]
+                        for r in _rows(t, lengths, hashes, valued)]
                 yield pd.DataFrame(rows, columns=["id", "same", "hash", "place", "length", "start", "end", "slots"])
     return run
 
 
-def _item_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        rows = []
-        for i, t in zip(pdf["item"], pdf["text"]):
-            n = len(canonical(t)[0])
-            if n >= SHORTEST:
-                rows += [(i, n, *r) for r in _rows(t, [min(n, WINDOW)], None)]
-        yield pd.DataFrame([(i, n, x, p, k, v) for i, n, x, p, k, _, _, v in rows],
-                           columns=["item", "tokens", "hash", "at", "length", "values"])
+def _item_windows(valued: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for i, t in zip(pdf["item"], pdf["text"]):
+                n = len(canonical(t)[0])
+                if n >= (1 if valued else SHORTEST):
+                    rows += [(i, n, *r) for r in _rows(t, [min(n, WINDOW)], None, valued)]
+            yield pd.DataFrame([(i, n, x, p, k, v) for i, n, x, p, k, _, _, v in rows],
+                               columns=["item", "tokens", "hash", "at", "length", "values"])
+    return run
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+          item_text_col: str = "text", coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS,
+          valued: bool = False) -> DataFrame:
     """One row for each document and item: the alignment that covers most of the item.
 
     ``id_col``, ``item_col``, start, end, windows (matched), coverage, changed
-    (slots with another value) and kind (exact or reparameterised).
+    (slots with another value) and kind (exact or reparameterised). With
+    ``valued``, windows are also compared by their own values.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
     kind = items.schema["item"].dataType.simpleString()
-    made = items.mapInPandas(_item_windows, f"item {kind}, tokens int, hash long, at int, length int, values array<string>")
+    made = items.mapInPandas(_item_windows(valued), f"item {kind}, tokens int, hash long, at int, length int, values array<string>")
     lengths = sorted(r.length for r in made.select("length").distinct().collect())  # at most WINDOW
     distinct = made.select("hash").distinct()
     among = None
@@ -182,7 +196,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     rows = rows.withColumn("same", F.xxhash64("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    found = rows.select("id", "same", "text").mapInPandas(_windowing(among, lengths), f"id {kind}, {ROWS}")
+    found = rows.select("id", "same", "text").mapInPandas(_windowing(among, lengths, valued), f"id {kind}, {ROWS}")
     pairs = F.expr("zip_with(values, slots, (a, b) -> named_struct('a', a, 'b', b))")
     hits = (found.join(made, ["hash", "length"])
             .select("id", "same", "item", "tokens", "at", "length", "start", "end", (F.col("place") - F.col("at")).alias("shift"),

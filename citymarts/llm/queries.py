@@ -24,7 +24,7 @@ def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"),
-                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+                               spark.read.parquet(f"{sf_dir}/benchmark.parquet"), valued=True)
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
