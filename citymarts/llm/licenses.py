@@ -1,7 +1,9 @@
 """License scan by conditional compression.
 
 Blocks that hold a license word (lines; the surroundings of the word in a long
-line; runs of neighbouring lines) are compressed with zstandard, once alone
+line; runs of neighbouring lines; then, for words outside of the notices found
+there, the surroundings over as many lines as the longest template can be
+wrapped to, without a least size reduction) are compressed with zstandard, once alone
 and once with each template as raw dictionary. Templates are ranked by how
 much the dictionary shrinks the block. A winner is confirmed by its wording:
 the template's words are aligned with the block's, and it counts only if
@@ -18,6 +20,7 @@ not read.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import lru_cache
@@ -62,7 +65,7 @@ TEMPLATES: list[tuple[str, str]] = [
 CATEGORY = {"MIT": "permissive", "Apache-2.0": "permissive", "BSD": "permissive", "ISC": "permissive",
             "CC-BY-4.0": "permissive", "CC0-1.0": "public domain", "Unlicense": "public domain",
             "CC-BY-NC-4.0": "restricted", "CC-BY-ND-4.0": "restricted", "Proprietary": "restricted"}
-CUE = r"(?i)licen[sc]|rights reserved|redistribut|public domain|hereby granted|CC[ -]?BY|CC0|unencumbered"
+CUE = r"(?i)licen[sc]|rights\W+reserved|redistribut|public\W+domain|hereby\W+granted|CC[ -]?BY|CC0|unencumbered"
 #: Words that may not differ: they tell one license from another.
 TELLING = {"not", "no", "mit", "apache", "gnu", "general", "lesser", "affero", "mozilla", "bsd", "cc", "by", "sa",
            "nc", "nd", "cc0", "attribution", "creative", "commons", "public", "reserved", "without", "later"}
@@ -81,6 +84,7 @@ def _words(text: str) -> list[tuple[str, int, int]]:
 
 
 _TEMPLATE_WORDS = [[w for w, _, _ in _words(t)] for _, t in TEMPLATES]
+_REACH = max(AROUND, max(map(len, _TEMPLATE_WORDS)) * 6 // 5)  # with the extra words that confirm() allows
 
 
 @lru_cache(1)
@@ -102,15 +106,23 @@ def reductions(words: list[str]) -> list[tuple[float, int]]:
 def confirm(words: list[str], template: int) -> tuple[float, int, int, list[str], list[str]] | None:
     """(share of the template's words found, first word, last word, missing, extra) or None."""
     want = _TEMPLATE_WORDS[template]
-    parts = SequenceMatcher(None, want, words, autojunk=False).get_matching_blocks()[:-1]
-    if not parts:
+    tells = lambda w: w in TELLING or w[0].isdigit()
+    known = set(words)
+    absent = [w for w in want if w not in known]
+    if 1 - len(absent) / len(want) < LEAST_WORDING or any(map(tells, absent)):
         return None
+    # words farther from the longest common run than the template reaches are another text's
+    run = SequenceMatcher(None, want, words, autojunk=False).find_longest_match()
+    slack = max(1, len(want) // 5)
+    skip = max(0, run.b - run.a - slack)
+    near = words[skip:run.b + len(want) - run.a + slack]
+    parts = SequenceMatcher(None, want, near, autojunk=False).get_matching_blocks()[:-1]
+    parts = [p._replace(b=p.b + skip) for p in parts]
     first, last = parts[0].b, parts[-1].b + parts[-1].size
     found = {i for p in parts for i in range(p.a, p.a + p.size)}
     used = {i for p in parts for i in range(p.b, p.b + p.size)}
     missing = [w for i, w in enumerate(want) if i not in found]
     extra = [words[i] for i in range(first, last) if i not in used]
-    tells = lambda w: w in TELLING or w[0].isdigit()
     share = len(found) / len(want)
     if share < LEAST_WORDING or len(extra) > max(1, len(want) // 5) or any(map(tells, [*missing, *extra])):
         return None
@@ -118,13 +130,13 @@ def confirm(words: list[str], template: int) -> tuple[float, int, int, list[str]
 
 
 @lru_cache(20_000)
-def _scan_words(words: tuple[str, ...]) -> list[tuple]:
+def _scan_words(words: tuple[str, ...], gated: bool = True) -> list[tuple]:
     """Findings in a block: (first word, last word, template, reduction, share, missing, extra)."""
     out, todo = [], [(0, [*words])]
     while todo:
         at, left = todo.pop()
         for gain, template in reductions(left) if left else []:
-            if gain < LEAST_REDUCTION and len(left) <= 3 * len(_TEMPLATE_WORDS[template]):
+            if gated and gain < LEAST_REDUCTION and len(left) <= 3 * len(_TEMPLATE_WORDS[template]):
                 break
             if hit := confirm(left, template):
                 share, first, last, missing, extra = hit
@@ -161,16 +173,51 @@ def blocks(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def wrapped(text: str, found: list[tuple[int, int]]) -> Iterator[list[tuple[str, int, int]]]:
+    """The words around license words outside of ``found``, over as many lines as a notice can be wrapped to."""
+    cues = [c.start() for c in _CUE.finditer(text) if not any(a < c.end() and c.start() < b for a, b in found)]
+    if not cues:
+        return
+    words = _words(text)
+    starts = [a for _, a, _ in words]
+    done = 0
+    for a, b in [*sorted(found), (len(text), len(text))]:
+        # between two findings
+        first, last, to = done, bisect_left(starts, a), -1
+        block: list[tuple[str, int, int]] = []
+        for k in (bisect_right(starts, c) - 1 for c in cues):
+            if not first <= k < last:
+                continue
+            start, end = max(first, k - _REACH), min(last, k + _REACH + 1)
+            if start > to and block:
+                yield block
+                block = []
+            block += words[max(start, to):end]
+            to = end
+        if block:
+            yield block
+        done = bisect_left(starts, b)
+
+
 def find(text: str) -> list[tuple]:
     """(start, end, license, category, reduction, wording, missing, extra) of every notice."""
     out = []
-    for a, b in blocks(text):
-        words = _words(text[a:b])
-        for first, last, t, gain, share, missing, extra in _scan_words(tuple(w for w, _, _ in words)):
+
+    def add(words: list[tuple[str, int, int]], at: int, gated: bool) -> None:
+        for first, last, t, gain, share, missing, extra in _scan_words(tuple(w for w, _, _ in words), gated):
             name = TEMPLATES[t][0]
-            out.append((a + words[first][1], a + words[last - 1][2], name, CATEGORY.get(name, "copyleft"),
+            out.append((at + words[first][1], at + words[last - 1][2], name, CATEGORY.get(name, "copyleft"),
                         round(gain, 6), round(share, 6), " ".join(missing), " ".join(extra)))
-    return out
+
+    for a, b in blocks(text):
+        add(_words(text[a:b]), a, True)
+    # the missing words may stand on the next line
+    partial = [f for f in out if f[6]]
+    out = [f for f in out if not f[6]]
+    for words in wrapped(text, [f[:2] for f in out]):
+        add(words, 0, False)
+    out += [f for f in partial if not any(a < f[1] and f[0] < b for a, b, *_ in out)]
+    return sorted(out)
 
 
 def _scanning(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
