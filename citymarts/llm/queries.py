@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from citymarts.llm import bpe, decontaminate, embeddings, licenses, linededup, ngrams, pii, quality, secrets, warc
+from citymarts.llm import (bpe, decontaminate, embeddings, fertility, hardnegatives, licenses, linededup, ngrams, pii, prefixtrie,
+                           quality, secrets, warc)
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +53,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardnegatives.mine(rows.withColumn("label", label), anchors=F.col("id") % 100 == 0)
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefixtrie.ordered(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return prefixtrie.trie(*prefixtrie.rebuilt(turns)).drop("digest")
+
+
+def op13_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.rules(spark.read.parquet(f"{sf_dir}/documents.parquet"),
+                           public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_warc": op2_warc,
@@ -63,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_fertility": op13_fertility,
 }
 
 ORACLE: dict[str, str] = {
@@ -74,4 +95,6 @@ ORACLE: dict[str, str] = {
                CASE WHEN k.m <> p.page_id THEN k.m END AS refers_to, TRUE AS verified
         FROM p LEFT JOIN k ON p.h = k.h""",
     "op6_line_dedup": linededup.SQL,
+    "op11_hard_negatives": hardnegatives.SQL,
+    "op12_prefix_trie": prefixtrie.SQL,
 }
