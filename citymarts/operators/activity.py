@@ -267,17 +267,20 @@ def _merge_groups(a: Column, b: Column) -> Column:
 
 
 def late_users(state: DataFrame, messages: DataFrame) -> DataFrame:
-    """``user_id`` of those with new messages that are not all later than their state's last one.
+    """``user_id, since`` of those with new messages that are not all later than their state's last one.
 
-    Messages without a time are never later. A NULL sender is a user, too.
+    ``since`` is the time of the first new message; a message without a time
+    is never later and makes it NULL. A NULL sender is a user, too.
     """
     first = messages.groupBy("user_id").agg(F.min(_chrono()).alias("_first"))
     last = state.select(F.col("user_id").alias("_su"), F.struct(*[F.col(f"last.{c}") for c in ORDER]).alias("_last"))
     return (first.join(last, F.col("user_id").eqNullSafe(F.col("_su")))
-            .where(F.col("_first.message_ts").isNull() | (F.col("_first") <= F.col("_last"))).select("user_id"))
+            .where(F.col("_first.message_ts").isNull() | (F.col("_first") <= F.col("_last")))
+            .select("user_id", F.col("_first.message_ts").alias("since")))
 
 
-def _only(df: DataFrame, users: DataFrame, how: str) -> DataFrame:
+def only(df: DataFrame, users: DataFrame, how: str) -> DataFrame:
+    """``df`` semi- or anti-joined with ``users``; a NULL user is one, too."""
     u = users.select(F.col("user_id").alias("_ou"))
     return df.join(u, df["user_id"].eqNullSafe(u["_ou"]), how)
 
@@ -300,9 +303,9 @@ def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days:
     """
     if state is not None and history is not None:
         late = late_users(state, messages)
-        ontime = _advance(_only(state, late, "left_anti"), _only(messages, late, "left_anti"),
+        ontime = _advance(only(state, late, "left_anti"), only(messages, late, "left_anti"),
                           min_days, bucket_seconds)
-        return ontime.unionByName(_advance(None, _only(history, late, "left_semi"), min_days, bucket_seconds))
+        return ontime.unionByName(_advance(None, only(history, late, "left_semi"), min_days, bucket_seconds))
     return _advance(state, messages, min_days, bucket_seconds)
 
 

@@ -58,6 +58,34 @@ def event_counts(events: DataFrame, geo: DataFrame, run_date,
     return _zoned(ev, geo).groupBy("zone_id").agg(*aggs)
 
 
+def day_counts(events: DataFrame, geo: DataFrame) -> DataFrame:
+    """``date, zone_id, event_type, n``: the daily rollup behind the period counts."""
+    return (_zoned(events.select("date", "event_type", "lat", "lon"), geo)
+            .groupBy("date", "zone_id", "event_type").agg(F.count(F.lit(1)).alias("n")))
+
+
+def day_firsts(events: DataFrame) -> DataFrame:
+    """``date, user_id, event_id, message_ts, lat, lon``: each sender's first message of each lake day."""
+    first = F.min_by(F.struct("event_id", "message_ts", "lat", "lon"), F.struct("message_ts", "event_id"))
+    return _sent(events).groupBy("date", "user_id").agg(first.alias("_f")).select("date", "user_id", "_f.*")
+
+
+def counts_from_days(days: DataFrame, run_date, depths: dict[str, int] | None = None) -> DataFrame:
+    """``event_counts`` as sums of ``day_counts``."""
+    depths = depths or MART_DEPTHS
+    n = lambda t, depth: F.sum(F.when((F.col("event_type") == t)
+                                      & (F.col("date") >= F.lit(period(run_date, depth)[0])), F.col("n")).otherwise(0))
+    return days.where(in_period(run_date, max(depths.values()))).groupBy("zone_id").agg(
+        *[n(t, depth).alias(f"{prefix}_{t}") for prefix, depth in depths.items() for t in EVENT_TYPES])
+
+
+def _sent(events: DataFrame) -> DataFrame:
+    """Messages with a sender: ``date, user_id, event_id, message_ts, lat, lon``."""
+    return (events.where((F.col("event_type") == "message") & F.col("event.message_from").isNotNull())
+            .select("date", F.col("event.message_from").alias("user_id"), "event_id",
+                    F.col("event.message_ts").cast("timestamp").alias("message_ts"), "lat", "lon"))
+
+
 def _role_rows(events: DataFrame, run_date) -> DataFrame:
     """``user_id, date``: one row per (event, user in any role) before the run date."""
     roles = F.array(F.col("event.message_from"), F.col("event.message_to"),
@@ -95,7 +123,7 @@ def first_message_in_period(events: DataFrame, geo: DataFrame, run_date,
 
 def new_users_by_zone(events: DataFrame, geo: DataFrame, run_date,
                       depths: dict[str, int] | None = None,
-                      seen: DataFrame | None = None) -> DataFrame:
+                      seen: DataFrame | None = None, firsts: DataFrame | None = None) -> DataFrame:
     """``zone_id, <prefix>_user``: senders new in the period, at their first message.
 
     New = first message inside the period by a user not seen before the period
@@ -106,17 +134,16 @@ def new_users_by_zone(events: DataFrame, geo: DataFrame, run_date,
     further shuffle of the history. ``seen`` may supply that first-seen table
     (``user_id, first_date`` for all history before the run date), e.g. the
     incrementally maintained state of ``plans.jobs.update_first_seen``, which
-    replaces the scan of the whole history.
+    replaces the scan of the whole history. ``firsts`` may supply ``day_firsts``
+    of the period's days, which replace the scan of its messages: the first
+    message of a period is the first among those of its days.
     """
     depths = depths or {"week": 7, "month": 30}
     if seen is None:
         seen = first_seen(events, run_date)
     seen = seen.select("user_id", F.col("first_date").alias("_seen"))
     longest = max(depths.values())
-    msgs = (events.where(in_period(run_date, longest) & (F.col("event_type") == "message")
-                         & F.col("event.message_from").isNotNull())
-            .select(F.col("event.message_from").alias("user_id"), "event_id", "date", "lat", "lon",
-                    F.col("event.message_ts").cast("timestamp").alias("message_ts")))
+    msgs = (_sent(events) if firsts is None else firsts).where(in_period(run_date, longest))
     chrono = F.struct("message_ts", "event_id")
     aggs = []
     for prefix, depth in depths.items():
@@ -142,16 +169,19 @@ def run_calendar(run_date) -> tuple[int, int]:
 
 
 def events_in_cities(events: DataFrame, geo: DataFrame, run_date,
-                     seen: DataFrame | None = None) -> DataFrame:
+                     seen: DataFrame | None = None, days: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Mart: every zone once with week/month event and new-user counts, zeros for none.
 
     Columns: ``month, week, zone_id, week_message, week_reaction,
     week_subscription, week_user, month_message, month_subscription,
-    month_reaction, month_user``. Zone-less events count nowhere.
+    month_reaction, month_user``. Zone-less events count nowhere. ``days`` may
+    supply the daily rollups (``day_counts``, ``day_firsts``) of the period.
     """
     d = F.lit(as_date(run_date))
-    counts = event_counts(events, geo, run_date, MART_DEPTHS)
-    users = new_users_by_zone(events, geo, run_date, MART_DEPTHS, seen)
+    day_n, firsts = days or (None, None)
+    counts = (event_counts(events, geo, run_date, MART_DEPTHS) if day_n is None
+              else counts_from_days(day_n, run_date, MART_DEPTHS))
+    users = new_users_by_zone(events, geo, run_date, MART_DEPTHS, seen, firsts)
     cols = ["week_message", "week_reaction", "week_subscription", "week_user",
             "month_message", "month_subscription", "month_reaction", "month_user"]
     mart = (geo.select("zone_id").join(counts, "zone_id", "left").join(users, "zone_id", "left"))

@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citymarts.functions.geo import haversine_km, with_nearest_city
 from citymarts.operators import activity, citystats, matches
-from citymarts.plans import jobs
+from citymarts.plans import jobs, states
 from citymarts.session import ensure_utc, new_scratch
 from citymarts.sources import lake as lk
 from citymarts.sources.fixture import materialize_lake
-from citymarts.sources.sinks import load_increment, write_snapshot
+from citymarts.sources.sinks import load_increment, materialized, write_snapshot
 
 # Run parameters of the checks (the test data spans 2024-01-01 .. 2024-01-30).
 RUN_DATE = "2024-01-31"      # full 30-day period; nobody is new at depth 7
@@ -202,24 +202,22 @@ def q_users_in_cities(spark, sf_dir):
                     _ntz("local_time").alias("local_time"))
 
 
-STEPS = 6   # daily steps of the incremental check
+STEPS = 6   # daily steps of the incremental checks
+
+
+def _last_days(spark, lake) -> list[dt.date]:
+    """The last days of the lake, one more than the steps that follow the first state."""
+    return sorted(states.lake_days(spark, lake.ods))[-STEPS:]
 
 
 def q_users_in_cities_incremental(spark, sf_dir):
     """Users mart through the incremental state: full build of all but the last days
     of the data, then one step per day, late rows included."""
-    ev, geo, _ = _inputs(spark, sf_dir)
-    days = [r["date"] for r in ev.select("date").distinct().orderBy("date").collect()]  # partition values
-    located = lambda e: activity.messages_in_cities(e, geo)
-    steps = days[-STEPS:]
-    state = activity.advance_users_state(None, located(ev.where(F.col("date") < F.lit(steps[0]))))
+    _, _, lake = _inputs(spark, sf_dir)
     root = new_scratch(spark, "users-state")
-    for day in steps:
-        path = f"{root}/before={day.isoformat()}"
-        state.write.parquet(path)                        # cuts lineage, as the daily job does
-        state = activity.advance_users_state(
-            spark.read.parquet(path), located(ev.where(F.col("date") == F.lit(day))),
-            history=located(ev.where(F.col("date") <= F.lit(day))))
+    days = _last_days(spark, lake)
+    for run in [days[0], *[d + dt.timedelta(days=1) for d in days]]:
+        state = jobs.update_users_state(spark, run, lake.ods, lake.geo, root)
     return _flat_users(activity.users_in_cities_from_state(state))
 
 
@@ -292,6 +290,26 @@ def q_events_in_cities_first_week(spark, sf_dir):
     return citystats.events_in_cities(ev, geo, EARLY_RUN)
 
 
+def q_event_stats_30d_rollups(spark, sf_dir):
+    """The 30-day counts as sums of daily rollups: all days of the period rolled up, then one more for each later day."""
+    _, _, lake = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "rollups")
+    for back in (2, 1, 0):
+        run = lk.as_date(RUN_DATE) - dt.timedelta(days=back)
+        counts, _ = jobs.update_rollups(spark, run, lake.ods, lake.geo, root)
+    return citystats.counts_from_days(counts, RUN_DATE, {"month": 30})
+
+
+def q_first_message_from_rollups(spark, sf_dir):
+    """Each sender's first message of the 30 days before the run, from the daily firsts."""
+    _, geo, lake = _inputs(spark, sf_dir)
+    _, firsts = jobs.update_rollups(spark, RUN_DATE, lake.ods, lake.geo, new_scratch(spark, "rollups"))
+    first = firsts.groupBy("user_id").agg(F.min_by(F.struct("event_id", "message_ts", "lat", "lon"),
+                                                   F.struct("message_ts", "event_id")).alias("f")).select("user_id", "f.*")
+    return with_nearest_city(first, geo, out="n").select("user_id", "event_id", _ntz("message_ts").alias("message_ts"),
+                                                         F.col("n.zone_id").alias("zone_id"))
+
+
 # ------------------------------------------------------------------ matches mart
 
 def q_contact_pairs(spark, sf_dir):
@@ -352,6 +370,28 @@ def q_users_matches(spark, sf_dir):
                     _ntz("local_time").alias("local_time"))
 
 
+def q_users_matches_incremental(spark, sf_dir):
+    """Matches mart from pairs continued day by day: users who moved or subscribed meet all others again."""
+    _, _, lake = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "matches-states")
+    days = _last_days(spark, lake)
+    for run in [days[0], *[d + dt.timedelta(days=1) for d in days]]:
+        mart = jobs.users_matches_mart(spark, run, lake.ods, lake.geo, **{
+            f"{n}_state": f"{root}/{n}" for n in ("contacts", "subscriptions", "pairs")})
+    return _flat_matches(mart)
+
+
+def q_near_pairs_of_changed_users(spark, sf_dir):
+    """The delta distance join: pairs of the users with a subscription on the last day that has one."""
+    ev, geo, _ = _inputs(spark, sf_dir)
+    state = matches.subscription_state(ev)
+    profile = materialized(matches.positions(state), "positions")
+    subs = ev.where((F.col("event_type") == "subscription") & F.col("event.user").isNotNull())
+    last = subs.agg(F.max("date")).first()[0]
+    some = profile.join(matches.subscription_state(subs.where(F.col("date") == F.lit(last))), "user_id", "left_semi")
+    return matches.near_pairs_of(some, profile).select("a", "b", F.round("distance_km", 6).alias("distance_km"))
+
+
 # ------------------------------------------------------------------ sinks
 
 def q_stg_to_ods_roundtrip(spark, sf_dir):
@@ -431,56 +471,56 @@ def q_nearest_city_rewritten_handbook(spark, sf_dir):
 
 # ------------------------------------------------------------------ daily run
 
-RELOADED, RELOAD_RUN = "2024-01-20", "2024-01-21"
-_RUNS: dict[tuple[str, str], jobs.Paths] = {}
-
-
-def _daily_runs(spark, sf_dir) -> jobs.Paths:
-    """Two daily runs with all states; before the second, the last day is loaded again with all its rows.
+def _daily(spark, sf_dir, build: Callable) -> DataFrame:
+    """The mart that ``build(run date, root)`` makes at the end of these runs, read back.
 
-    The first load of that day holds a part of its rows only.
+    A run on all but the last days; one on the day after, of which STG holds
+    only a part of the rows; none for some days (as if lost); one after the
+    last day of the data; then the part is loaded again with all its rows and
+    the last run repeated. Every state is continued, none rebuilt.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _RUNS:
-        return _RUNS[key]
     _, _, lake = _inputs(spark, sf_dir)
     root = new_scratch(spark, "daily")
-    paths = jobs.Paths(f"{root}/stg", f"{root}/ods", lake.geo, f"{root}/users", f"{root}/events", f"{root}/matches",
-                       *[f"{root}/state-{n}" for n in ("users", "seen", "contacts", "subscriptions")])
+    stg, ods = f"{root}/stg", f"{root}/ods"
     every = spark.read.parquet(lake.stg)
-    last = lk.as_date(RELOADED)
-    before = F.col("date") < F.lit(last)
-    every.where(before).write.partitionBy("date", "event_type").parquet(paths.ods_events)
-    day = every.where(F.col("date") == F.lit(last)).drop("date")
-    day.where("event_id % 2 = 0").write.parquet(f"{paths.stg_events}/date={last.isoformat()}")
-    # yesterday's states, then the run on the incomplete day, then the re-load and the run again
-    run = last + dt.timedelta(days=1)
-    jobs.update_users_state(spark, last, paths.ods_events, paths.geo_handbook, paths.users_state)
-    for update, state in ((jobs.update_first_seen, paths.first_seen_state), (jobs.update_contacts, paths.contacts_state),
-                          (jobs.update_subscriptions, paths.subscriptions_state)):
-        update(spark, last, paths.ods_events, state)
-    jobs.run_daily(spark, run, paths)
-    day.write.mode("overwrite").parquet(f"{paths.stg_events}/date={last.isoformat()}")
-    jobs.run_daily(spark, run, paths)
-    _RUNS[key] = paths
-    return paths
-
-
-def _daily_mart(spark, root):
-    return spark.read.parquet(f"{root}/date={RELOAD_RUN}")
+    days = _last_days(spark, lake)
+    since = F.col("date") >= F.lit(days[0])
+    every.where(~since).write.partitionBy("date", "event_type").parquet(ods)
+    every.where(since & ((F.col("date") > F.lit(days[0])) | (F.col("event_id") % 2 == 0))).write.partitionBy("date").parquet(stg)
+    runs = [d + dt.timedelta(days=1) for d in days]
+    build(days[0], root)
+    load_increment(spark, runs[0], stg, ods)
+    build(runs[0], root)
+    for run in runs[1:]:
+        load_increment(spark, run, stg, ods)
+    build(runs[-1], root)
+    whole = f"{root}/stg-whole"
+    every.where(F.col("date") == F.lit(days[0])).write.partitionBy("date").parquet(whole)
+    load_increment(spark, runs[0], whole, ods)
+    return spark.read.parquet(build(runs[-1], root))
 
 
 def q_run_daily_users(spark, sf_dir):
-    return _flat_users(_daily_mart(spark, _daily_runs(spark, sf_dir).users_in_cities))
+    _, _, lake = _inputs(spark, sf_dir)
+    return _flat_users(_daily(spark, sf_dir, lambda run, root: jobs.build_users_in_cities(
+        spark, run, f"{root}/ods", lake.geo, f"{root}/mart", state_root=f"{root}/state")))
 
 
 def q_run_daily_events(spark, sf_dir):
-    return _daily_mart(spark, _daily_runs(spark, sf_dir).events_in_cities)
+    _, _, lake = _inputs(spark, sf_dir)
+    return _daily(spark, sf_dir, lambda run, root: jobs.build_events_in_cities(
+        spark, run, f"{root}/ods", lake.geo, f"{root}/mart", state_root=f"{root}/state", rollups=f"{root}/rollups"))
 
 
 def q_run_daily_matches(spark, sf_dir):
-    m = _daily_mart(spark, _daily_runs(spark, sf_dir).users_matches)
-    return m.select("user_left", "user_right", "processed_dttm", "zone_id", _ntz("local_time").alias("local_time"))
+    _, _, lake = _inputs(spark, sf_dir)
+    return _flat_matches(_daily(spark, sf_dir, lambda run, root: jobs.build_users_matches(
+        spark, run, f"{root}/ods", lake.geo, f"{root}/mart",
+        **{f"{n}_state": f"{root}/{n}" for n in ("contacts", "subscriptions", "pairs")})))
+
+
+def _flat_matches(mart):
+    return mart.select("user_left", "user_right", "processed_dttm", "zone_id", _ntz("local_time").alias("local_time"))
 
 
 def q_mart_snapshot_roundtrip(spark, sf_dir):

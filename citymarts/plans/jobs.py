@@ -9,25 +9,34 @@ pipeline's order. From the command line (e.g. under spark-submit):
     python -m citymarts.plans.jobs users|events|matches <run_date> <ods_root> <geo_path> <mart_root>
 
 Optional trailing arguments switch on the incremental states: ``users`` takes
-``<users_state>``, ``events`` takes ``<first_seen_state>``, ``matches`` takes
-``<contacts_state> <subscriptions_state>``. ``--rebuild`` makes the states anew;
+``<users_state>``, ``events`` takes ``<first_seen_state> <rollups>``, ``matches`` takes
+``<contacts_state> <subscriptions_state> <pairs_state>``. ``--rebuild`` makes the states anew;
 ``--as-of`` (users, matches) and ``--require-complete`` (events) are options of
 the marts.
+
+The states (``plans.states``) know which lake days they were made of: after a
+lost run or a re-load of any earlier day the next run continues the newest
+state that still fits.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import sys
+import uuid
 from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from citymarts.functions.geo import fingerprint
 from citymarts.operators import activity, citystats, matches
-from citymarts.session import ensure_utc, path_exists
-from citymarts.sources.lake import (as_date, filter_history_before, read_geo_handbook,
+from citymarts.plans import states
+from citymarts.session import ensure_utc, move, read_text, remove, write_text
+from citymarts.sources.lake import (as_date, filter_history_before, period, read_geo_handbook,
                                     scan_date_range, scan_events)
-from citymarts.sources.sinks import load_increment, write_snapshot
+from citymarts.sources.sinks import load_increment, materialized, write_snapshot
 
 
 @dataclass(frozen=True)
@@ -42,6 +51,8 @@ class Paths:
     first_seen_state: str | None = None   # optional incremental state for the events mart
     contacts_state: str | None = None     # optional incremental states for the matches mart
     subscriptions_state: str | None = None
+    pairs_state: str | None = None        # needs both of the matches mart's other states
+    rollups: str | None = None            # optional daily rollups for the events mart
 
 
 def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of: bool):
@@ -63,93 +74,206 @@ def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False,
     return activity.users_in_cities(ev, geo)
 
 
-def _dated_state(spark: SparkSession, run_date, state_root: str, full, step, rebuild: bool) -> DataFrame:
-    """``{state_root}/asof=<run_date>``: ``step(yesterday's state)``, or ``full()``.
+def update_users_state(spark: SparkSession, run_date, ods_root: str, geo_path: str,
+                       state_root: str, rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
+    """The users-mart state over messages before ``run_date``.
 
-    The state of the run date itself is always made anew, so a run after a
-    re-load of the latest day sees the new rows. Without a state of the day
-    before, or with ``rebuild=True`` (after a re-load of an earlier day), it is
-    built from the whole history before the run date.
+    With an earlier state only the lake days since are read and located. Late
+    rows are looked for first; without any, no other day is read.
     """
-    d = as_date(run_date)
-    out = f"{state_root}/asof={d.isoformat()}"
-    prev = f"{state_root}/asof={(d - dt.timedelta(days=1)).isoformat()}"
-    known = not rebuild and path_exists(spark, f"{prev}/_SUCCESS")
-    state = step(spark.read.parquet(prev)) if known else full()
-    state.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+    ensure_utc(spark)
+    geo = read_geo_handbook(spark, geo_path)
+    days = states.lake_days(spark, ods_root) if days is None else days
+    past = sorted(d for d in days if d < as_date(run_date))
+    made_with = {"geo": fingerprint(geo)}
 
+    def located(some: list[dt.date] | None = None) -> DataFrame:
+        return activity.messages_in_cities(scan_events(spark, ods_root, past if some is None else some), geo)
 
-def _days(spark: SparkSession, run_date, ods_root: str) -> tuple[DataFrame, DataFrame]:
-    """(history before the run date, its last day)."""
-    hist = filter_history_before(scan_events(spark, ods_root), run_date)
-    return hist, hist.where(F.col("date") == F.lit(as_date(run_date) - dt.timedelta(days=1)))
+    def step(state: DataFrame, start: dt.date, since: list[dt.date]) -> DataFrame:
+        return advanced_users(state, located(since), partial(_earlier_users, spark, state_root, days, past, made_with), located)
 
+    return states.advance(spark, state_root, run_date, days, lambda some: activity.advance_users_state(None, located(some)),
+                          step, rebuild, made_with)
 
-def update_users_state(spark: SparkSession, run_date, ods_root: str, geo_path: str,
-                       state_root: str, rebuild: bool = False) -> DataFrame:
-    """The users-mart state over messages before ``run_date``.
 
-    With yesterday's state only the messages of ``run_date - 1`` are read and
-    located, and the history of the users that sent late rows in it.
+def _earlier_users(spark, state_root, days, past, made_with, since: dt.date) -> tuple[DataFrame | None, list[dt.date]]:
+    """The newest state made of lake days before ``since``, and the days from there on."""
+    start = states.newest(spark, state_root, since, days, made_with)
+    if start is None:
+        return None, past
+    return spark.read.parquet(states.dated(state_root, start)), [d for d in past if d >= start]
+
+
+def advanced_users(state: DataFrame, new: DataFrame, earlier, located) -> DataFrame:
+    """``activity.advance_users_state`` with late rows replayed from an earlier state.
+
+    Users whose new messages all follow their state's last one are advanced.
+    The others are replayed from ``earlier(day of the first late time)``: a state
+    and the days after it, of which ``located(days)`` gives the messages. Those that
+    are late for that state, too, and those with a message without a time (it
+    precedes all others) are rebuilt from all days. No branch that has no
+    users gets into the plan.
     """
+    late = materialized(activity.late_users(state, new), "late-users")
+    first = late.agg(F.count(F.lit(1)).alias("n"), F.min(F.to_date("since")).alias("since"),
+                     F.count_if(F.col("since").isNull()).alias("timeless")).first()
+    if not first.n:
+        return activity.advance_users_state(state, new)
+    parts = [activity.advance_users_state(activity.only(state, late, "left_anti"), activity.only(new, late, "left_anti"))]
+    timed, rest = late.where("since is not null"), late.where("since is null")
+    former, after = earlier(first.since) if first.since is not None else (None, [])
+    if former is None:
+        rest = late
+    else:
+        former, replayed = (activity.only(df, timed, "left_semi") for df in (former, located(after)))
+        still = materialized(activity.late_users(former, replayed), "late-users")
+        parts.append(activity.advance_users_state(activity.only(former, still, "left_anti"),
+                                                  activity.only(replayed, still, "left_anti")))
+        rest = None if still.isEmpty() and not first.timeless else rest.unionByName(still)
+    if rest is not None:
+        parts.append(activity.advance_users_state(None, activity.only(located(), rest, "left_semi")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _updated(spark, run_date, ods_root, state_root, whole, merge, rebuild, days) -> DataFrame:
+    """A state that is ``whole(events)`` of all days, or ``merge(state, whole(events of the days since))``."""
     ensure_utc(spark)
-    hist, day = _days(spark, run_date, ods_root)
-    geo = read_geo_handbook(spark, geo_path)
-    located = lambda ev: activity.messages_in_cities(ev, geo)
-    return _dated_state(spark, run_date, state_root,
-                        lambda: activity.advance_users_state(None, located(hist)),
-                        lambda prev: activity.advance_users_state(prev, located(day), history=located(hist)), rebuild)
+    days = states.lake_days(spark, ods_root) if days is None else days
+    of = lambda some: whole(scan_events(spark, ods_root, some))
+    return states.advance(spark, state_root, run_date, days, of,
+                          lambda state, start, since: merge(state, of(since)), rebuild)
 
 
 def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root: str,
-                      rebuild: bool = False) -> DataFrame:
+                      rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Each user's first day over history before ``run_date`` (``user_id, first_date``)."""
-    hist, day = _days(spark, run_date, ods_root)
-    seen = lambda ev: citystats.first_seen(ev, run_date)
-    return _dated_state(spark, run_date, state_root, lambda: seen(hist),
-                        lambda prev: prev.unionByName(seen(day)).groupBy("user_id")
-                        .agg(F.min("first_date").alias("first_date")), rebuild)
+    def merge(state: DataFrame, new: DataFrame) -> DataFrame:
+        return state.unionByName(new).groupBy("user_id").agg(F.min("first_date").alias("first_date"))
+    return _updated(spark, run_date, ods_root, state_root, lambda ev: citystats.first_seen(ev, run_date), merge, rebuild, days)
 
 
 def update_contacts(spark: SparkSession, run_date, ods_root: str, state_root: str,
-                    rebuild: bool = False) -> DataFrame:
+                    rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Unordered pairs (``lo, hi``) that exchanged a message before ``run_date``."""
-    hist, day = _days(spark, run_date, ods_root)
-    return _dated_state(spark, run_date, state_root, lambda: matches.contacted_unordered(hist),
-                        lambda prev: prev.unionByName(matches.contacted_unordered(day)).distinct(), rebuild)
+    return _updated(spark, run_date, ods_root, state_root, matches.contacted_unordered,
+                    lambda state, new: state.unionByName(new).distinct(), rebuild, days)
 
 
 def update_subscriptions(spark: SparkSession, run_date, ods_root: str, state_root: str,
-                         rebuild: bool = False) -> DataFrame:
+                         rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Per subscriber channel set and latest subscription row, history before ``run_date``."""
-    hist, day = _days(spark, run_date, ods_root)
-    return _dated_state(spark, run_date, state_root, lambda: matches.subscription_state(hist),
-                        lambda prev: matches.merge_subscription_states(prev, matches.subscription_state(day)), rebuild)
+    return _updated(spark, run_date, ods_root, state_root, matches.subscription_state,
+                    matches.merge_subscription_states, rebuild, days)
+
+
+def update_pairs(spark: SparkSession, run_date, ods_root: str, pairs_root: str, contacts_state: str,
+                 subscriptions_state: str, radius_km: float = 1.0, rebuild: bool = False,
+                 days: states.LakeDays | None = None) -> DataFrame:
+    """Near pairs of co-subscribers before ``run_date`` (``matches.pairs_state``).
+
+    An earlier state of the pairs is continued from the subscriptions' state of
+    the same day: users with a subscription since are compared with it, and
+    those whose channels or position changed meet all others again.
+    """
+    ensure_utc(spark)
+    days = states.lake_days(spark, ods_root) if days is None else days
+    contacts = update_contacts(spark, run_date, ods_root, contacts_state, rebuild, days)
+    profile = matches.positions(update_subscriptions(spark, run_date, ods_root, subscriptions_state, rebuild, days))
+
+    def step(pairs: DataFrame, start: dt.date, since: list[dt.date]) -> DataFrame:
+        new = scan_events(spark, ods_root, since)
+        before = matches.positions(spark.read.parquet(states.dated(subscriptions_state, start)))
+        changed = materialized(matches.changed_positions(before, profile, matches.subscription_state(new)), "changed")
+        return matches.advance_pairs(pairs, changed, profile, matches.contacted_unordered(new), contacts, radius_km)
+
+    return states.advance(spark, pairs_root, run_date, days, lambda _: matches.pairs_state(profile, contacts, radius_km), step,
+                          rebuild, {"radius_km": repr(radius_km)}, lambda day: states.valid(spark, subscriptions_state, day, days))
+
+
+_DAY_TABLES = {"counts": "zone_id int, event_type string, n long, batch string, date date",
+               "firsts": "user_id long, event_id long, message_ts timestamp, lat double, lon double, batch string, date date"}
+
+
+def update_rollups(spark: SparkSession, run_date, ods_root: str, geo_path: str, root: str,
+                   days: states.LakeDays | None = None) -> tuple[DataFrame, DataFrame]:
+    """``day_counts`` and ``day_firsts`` of the mart's longest period before ``run_date``.
+
+    Of the lake only the days are read whose rollup is missing or was made of
+    other files (or with another city dimension): as a rule one a run. A
+    re-loaded day is rolled up again, and the window slides by leaving days
+    out. ``{root}/days.json`` names the batch that holds each day's rollup.
+    """
+    ensure_utc(spark)
+    geo = read_geo_handbook(spark, geo_path)
+    days = states.lake_days(spark, ods_root) if days is None else days
+    first, last = period(run_date, max(citystats.MART_DEPTHS.values()))
+    mark = fingerprint(geo)
+    wanted = {d.isoformat(): f"{s} {mark}" for d, s in days.items() if first <= d <= last}
+    index = json.loads(read_text(spark, f"{root}/days.json") or "{}")
+    stale = sorted(as_date(d) for d, s in wanted.items() if index.get(d, [None])[0] != s)
+    if stale:
+        batch, new = uuid.uuid4().hex[:12], scan_events(spark, ods_root, stale)
+        for name, table in (("counts", citystats.day_counts(new, geo)), ("firsts", citystats.day_firsts(new))):
+            table.write.partitionBy("date").parquet(f"{root}/{name}/batch={batch}")
+        index |= {d.isoformat(): [wanted[d.isoformat()], batch] for d in stale}
+        write_text(spark, f"{root}/days-{batch}.json", json.dumps(index, sort_keys=True))
+        remove(spark, f"{root}/days.json")
+        move(spark, f"{root}/days-{batch}.json", f"{root}/days.json")
+    held = [f"{index[d][1]} {d}" for d in wanted]          # at most the days of the period
+    return tuple(spark.read.schema(schema).parquet(f"{root}/{name}")
+                 .where(F.concat_ws(" ", "batch", F.col("date").cast("string")).isin(held)).drop("batch")
+                 if held else spark.createDataFrame([], schema).drop("batch") for name, schema in _DAY_TABLES.items())
+
+
+def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False,
+                         state_root: str | None = None, rebuild: bool = False) -> DataFrame:
+    """All history, or with ``as_of`` that before the run date. ``state_root``
+    reads the mart off the incremental users state, which implies ``as_of``."""
+    if state_root:
+        return activity.users_in_cities_from_state(
+            update_users_state(spark, run_date, ods_root, geo_path, state_root, rebuild))
+    ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
+    return activity.users_in_cities(ev, geo)
 
 
 def events_in_cities_mart(spark, run_date, ods_root, geo_path,
-                          state_root: str | None = None,
+                          state_root: str | None = None, rollups: str | None = None,
                           require_complete: bool = False, rebuild: bool = False) -> DataFrame:
     """``require_complete`` fails the run (listing the days) if any day of the
-    30-day period has no partition, instead of counting it as zero."""
-    ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of=False)
+    30-day period has no partition, instead of counting it as zero. With the
+    first-seen state and the rollups only new and changed days are read."""
+    ensure_utc(spark)
+    geo = read_geo_handbook(spark, geo_path)
+    days = states.lake_days(spark, ods_root) if state_root or rollups else None
+    # with both, the lake is not scanned: its schema is all that is asked for
+    ev = scan_events(spark, ods_root, sorted(days)[-1:] if state_root and rollups else None)
     if require_complete:
-        scan_date_range(ev, run_date, max(citystats.MART_DEPTHS.values()), require_complete=True)
-    seen = update_first_seen(spark, run_date, ods_root, state_root, rebuild) if state_root else None
-    return citystats.events_in_cities(ev, geo, run_date, seen)
+        scan_date_range(scan_events(spark, ods_root), run_date, max(citystats.MART_DEPTHS.values()), require_complete=True)
+    seen = update_first_seen(spark, run_date, ods_root, state_root, rebuild, days) if state_root else None
+    rolled = update_rollups(spark, run_date, ods_root, geo_path, rollups, days) if rollups else None
+    return citystats.events_in_cities(ev, geo, run_date, seen, rolled)
 
 
 def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False,
-                       contacts_state: str | None = None,
-                       subscriptions_state: str | None = None, rebuild: bool = False) -> DataFrame:
-    """All history, or with ``as_of`` that before the run date. Either state
-    implies ``as_of``, so contacts and profiles always cover the same period."""
+                       contacts_state: str | None = None, subscriptions_state: str | None = None,
+                       pairs_state: str | None = None, rebuild: bool = False) -> DataFrame:
+    """All history, or with ``as_of`` that before the run date. A state implies
+    ``as_of``, so contacts, profiles and pairs always cover the same period.
+    With ``pairs_state`` (and both others) the pairs are continued from it."""
     as_of = as_of or bool(contacts_state or subscriptions_state)
+    if pairs_state and not (contacts_state and subscriptions_state):
+        raise ValueError("pairs_state needs contacts_state and subscriptions_state")
+    days = states.lake_days(spark, ods_root) if contacts_state or subscriptions_state else None
+    if pairs_state:
+        pairs = update_pairs(spark, run_date, ods_root, pairs_state, contacts_state, subscriptions_state, rebuild=rebuild, days=days)
+        subs = spark.read.parquet(states.dated(subscriptions_state, run_date))
+        profile = matches.subscriber_profile(None, read_geo_handbook(spark, geo_path), state=subs)
+        return matches.users_matches_from_pairs(pairs, materialized(profile, "profile"), run_date)
     ev, geo = _inputs(spark, run_date, ods_root, geo_path, as_of)
-    contacts = (update_contacts(spark, run_date, ods_root, contacts_state, rebuild)
+    contacts = (update_contacts(spark, run_date, ods_root, contacts_state, rebuild, days)
                 if contacts_state else None)
-    subs = (update_subscriptions(spark, run_date, ods_root, subscriptions_state, rebuild)
+    subs = (update_subscriptions(spark, run_date, ods_root, subscriptions_state, rebuild, days)
             if subscriptions_state else None)
     return matches.users_matches(ev, geo, run_date, contacts=contacts, subscriptions=subs)
 
@@ -173,8 +297,8 @@ def run_daily(spark: SparkSession, run_date, paths: Paths, rebuild: bool = False
               as_of: bool = False, require_complete: bool = False) -> dict[str, str]:
     """Increment of the previous day, then the three marts, in pipeline order.
 
-    ``rebuild`` makes the states anew from the lake (after a re-load of a past
-    day); ``as_of`` and ``require_complete`` are those of the marts.
+    ``rebuild`` makes the states anew from the lake (re-loaded days are
+    noticed without it); ``as_of`` and ``require_complete`` are those of the marts.
     """
     day = load_increment(spark, run_date, paths.stg_events, paths.ods_events)
     lake = (spark, run_date, paths.ods_events, paths.geo_handbook)
@@ -183,11 +307,11 @@ def run_daily(spark: SparkSession, run_date, paths: Paths, rebuild: bool = False
         "users_in_cities": build_users_in_cities(
             *lake, paths.users_in_cities, as_of=as_of, state_root=paths.users_state, rebuild=rebuild),
         "events_in_cities": build_events_in_cities(
-            *lake, paths.events_in_cities, state_root=paths.first_seen_state,
+            *lake, paths.events_in_cities, state_root=paths.first_seen_state, rollups=paths.rollups,
             require_complete=require_complete, rebuild=rebuild),
         "users_matches": build_users_matches(
             *lake, paths.users_matches, as_of=as_of, contacts_state=paths.contacts_state,
-            subscriptions_state=paths.subscriptions_state, rebuild=rebuild),
+            subscriptions_state=paths.subscriptions_state, pairs_state=paths.pairs_state, rebuild=rebuild),
     }
 
 
@@ -207,17 +331,14 @@ def main(argv: list[str]) -> int:
         if job == "increment":
             load_increment(spark, run_date, *args)
         else:
-            ods, geo, mart, *states = args
+            ods, geo, mart, *roots = args
             if job == "users":
-                build_users_in_cities(spark, run_date, ods, geo, mart,
-                                      state_root=states[0] if states else None, **flags)
+                build_users_in_cities(spark, run_date, ods, geo, mart, **dict(zip(("state_root",), roots)), **flags)
             elif job == "events":
-                build_events_in_cities(spark, run_date, ods, geo, mart,
-                                       state_root=states[0] if states else None, **flags)
+                build_events_in_cities(spark, run_date, ods, geo, mart, **dict(zip(("state_root", "rollups"), roots)), **flags)
             elif job == "matches":
-                build_users_matches(spark, run_date, ods, geo, mart,
-                                    contacts_state=states[0] if states else None,
-                                    subscriptions_state=states[1] if len(states) > 1 else None, **flags)
+                build_users_matches(spark, run_date, ods, geo, mart, **dict(zip(
+                    ("contacts_state", "subscriptions_state", "pairs_state"), roots)), **flags)
             else:
                 raise SystemExit(f"unknown job {job!r}")
     finally:

@@ -7,8 +7,7 @@ the fixture mapping re-derived in SQL. The Spark side is checked against it.
 
 from __future__ import annotations
 
-from citymarts.plans.catalog import (EARLY_RUN, HISTORY_BEFORE, MIX_DEPTH, MIX_RUN,
-                                     PARTITION_DAY, RELOAD_RUN, RELOADED, RUN_DATE)
+from citymarts.plans.catalog import EARLY_RUN, HISTORY_BEFORE, MIX_DEPTH, MIX_RUN, PARTITION_DAY, RUN_DATE
 from citymarts.sources.fixture import REGION_TZ
 from citymarts.sources.lake import period
 
@@ -107,8 +106,17 @@ def _w(*ctes: str) -> str:
     return "WITH " + ",".join((BASE,) + ctes) + "\n"
 
 
+# The run after the last day of the data.
+_AFTER_LAST = "(SELECT max(date) + 1 FROM se)"
+
+
+def _run(run_date: str) -> str:
+    """A run date as SQL: a literal, or an expression as it stands."""
+    return run_date if run_date.startswith("(") else f"DATE '{run_date}'"
+
+
 def _new_users_cte(name: str, run_date: str, depth: int) -> str:
-    first, last = period(run_date, depth)
+    first, last = f"({_run(run_date)} - {depth})", f"({_run(run_date)} - 1)"
     return f"""
 {name}_first AS (
   SELECT user_id, zone_id FROM (
@@ -116,12 +124,12 @@ def _new_users_cte(name: str, run_date: str, depth: int) -> str:
            row_number() OVER (PARTITION BY message_from ORDER BY message_ts NULLS FIRST, event_id) AS rn
     FROM sez
     WHERE event_type = 'message' AND message_from IS NOT NULL
-      AND date BETWEEN DATE '{first}' AND DATE '{last}')
+      AND date BETWEEN {first} AND {last})
   WHERE rn = 1),
 {name}_hist AS (
-  SELECT message_from AS user_id FROM se WHERE date < DATE '{first}'
-  UNION SELECT message_to FROM se WHERE date < DATE '{first}'
-  UNION SELECT TRY_CAST("user" AS BIGINT) FROM se WHERE date < DATE '{first}'),
+  SELECT message_from AS user_id FROM se WHERE date < {first}
+  UNION SELECT message_to FROM se WHERE date < {first}
+  UNION SELECT TRY_CAST("user" AS BIGINT) FROM se WHERE date < {first}),
 {name} AS (
   SELECT zone_id, count(user_id) AS n FROM {name}_first f
   WHERE NOT EXISTS (SELECT 1 FROM {name}_hist h WHERE h.user_id = f.user_id)
@@ -129,7 +137,7 @@ def _new_users_cte(name: str, run_date: str, depth: int) -> str:
 
 
 def _counts_cte(name: str, run_date: str, depth: int, prefix: str) -> str:
-    first, last = period(run_date, depth)
+    first, last = f"({_run(run_date)} - {depth})", f"({_run(run_date)} - 1)"
     cols = ",\n    ".join(
         f"count(*) FILTER (WHERE event_type = '{t}') AS {prefix}_{t}"
         for t in ("message", "reaction", "subscription"))
@@ -137,15 +145,15 @@ def _counts_cte(name: str, run_date: str, depth: int, prefix: str) -> str:
 {name} AS (
   SELECT zone_id,
     {cols}
-  FROM sez WHERE date BETWEEN DATE '{first}' AND DATE '{last}'
+  FROM sez WHERE date BETWEEN {first} AND {last}
   GROUP BY zone_id)"""
 
 
 def _events_mart(run_date: str) -> str:
     return _w(_counts_cte("c7", run_date, 7, "week"), _counts_cte("c30", run_date, 30, "month"),
               _new_users_cte("n7", run_date, 7), _new_users_cte("n30", run_date, 30)) + f"""
-SELECT CAST(month(DATE '{run_date}') AS INTEGER) AS month,
-       CAST(weekofyear(DATE '{run_date}') AS INTEGER) AS week, g.zone_id,
+SELECT CAST(month({_run(run_date)}) AS INTEGER) AS month,
+       CAST(weekofyear({_run(run_date)}) AS INTEGER) AS week, g.zone_id,
        coalesce(c7.week_message, 0) AS week_message,
        coalesce(c7.week_reaction, 0) AS week_reaction,
        coalesce(c7.week_subscription, 0) AS week_subscription,
@@ -201,6 +209,9 @@ SELECT l.user_id, l.city AS act_city, h.home_city, t.travel_count, t.travel_arra
        {_local('l.message_ts', 'l.tz')} AS local_time
 FROM lastm l LEFT JOIN home h ON h.user_id = l.user_id LEFT JOIN trav t ON t.user_id = l.user_id"""
 
+_MATCHES_AFTER_LAST = _w(PROFILE) + f"""
+SELECT user_left, user_right, CAST({_AFTER_LAST} AS VARCHAR) AS processed_dttm, zone_id, local_time FROM kept"""
+
 _r_first, _r_last = period(RUN_DATE, 30)
 _w_first, _w_last = period(RUN_DATE, 7)
 _e_first, _e_last = period(EARLY_RUN, 7)
@@ -321,11 +332,21 @@ SELECT event_id, zone_id FROM (
   FROM se e LEFT JOIN (SELECT zone_id, lat, lon FROM geo UNION ALL
                        SELECT zone_id + 100, lat + 0.5, lon + 3 FROM geo) g ON e.lat IS NOT NULL)
 WHERE rn = 1""",
-    "run_daily_users": _USERS_MART.replace("FROM sez WHERE event_type = 'message')",
-                                           f"FROM sez WHERE event_type = 'message' AND date <= DATE '{RELOADED}')"),
-    "run_daily_events": _events_mart(RELOAD_RUN),
-    "run_daily_matches": (_w(PROFILE) + f"SELECT user_left, user_right, '{RELOAD_RUN}' AS processed_dttm, "
-                          "zone_id, local_time FROM kept").replace(
-        "FROM raw),", f"FROM raw WHERE CAST(ts AS DATE) + CAST(event_id % 71 = 0 AS INTEGER) <= DATE '{RELOADED}'),", 1),
+    "run_daily_users": _USERS_MART,
+    "run_daily_events": _events_mart(_AFTER_LAST),
+    "run_daily_matches": _MATCHES_AFTER_LAST,
+    "users_matches_incremental": _MATCHES_AFTER_LAST,
+    "near_pairs_of_changed_users": _w(PROFILE) + """
+SELECT user_left AS a, user_right AS b, round(distance_km, 6) AS distance_km FROM pairs
+WHERE user_left < user_right AND EXISTS (
+  SELECT 1 FROM subs WHERE uid IN (user_left, user_right) AND date = (SELECT max(date) FROM subs))""",
+    "event_stats_30d_rollups": _w(_counts_cte("c", RUN_DATE, 30, "month")) + "SELECT * FROM c",
+    "first_message_from_rollups": _w() + f"""
+SELECT user_id, event_id, message_ts, zone_id FROM (
+  SELECT message_from AS user_id, event_id, message_ts, zone_id,
+         row_number() OVER (PARTITION BY message_from ORDER BY message_ts NULLS FIRST, event_id) AS rn
+  FROM sez WHERE event_type = 'message' AND message_from IS NOT NULL
+    AND date BETWEEN DATE '{_r_first}' AND DATE '{_r_last}')
+WHERE rn = 1""",
     "stg_to_ods_roundtrip": _w() + f"SELECT event_id, date, event_type, lat, lon, {_FLAT} FROM se",
 }

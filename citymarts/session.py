@@ -77,8 +77,53 @@ def new_scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/citymarts/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of ``path``."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists, in any file system that Spark reads."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small text file, or None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the target must not exist."""
+    fs, p = _fs(spark, target)
+    fs.mkdirs(p.getParent())
+    if fs.exists(p) or not fs.rename(_fs(spark, source)[1], p):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)

@@ -66,14 +66,20 @@ def _field(df: DataFrame, path: str, kind: str | None) -> Column:
     return F.col(path).try_cast(kind)
 
 
-def scan_events(spark: SparkSession, root: str) -> DataFrame:
-    """Whole ODS table with partition discovery (``date``, ``event_type``).
+def scan_events(spark: SparkSession, root: str, days: list[dt.date] | None = None) -> DataFrame:
+    """Whole ODS table with partition discovery (``date``, ``event_type``), or some ``days`` of it.
 
     The files' own schema is read: ``message_ts`` may be a string (a bad one
     gives NULL), ids may be strings, the channel is an opaque key of any type,
-    and ``event_id`` may be missing.
+    and ``event_id`` may be missing. With ``days`` only the folders of these
+    days are listed and read, whatever the lake holds besides.
     """
-    df = spark.read.parquet(root)
+    if days:
+        df = spark.read.option("basePath", root).parquet(*[f"{root}/date={d.isoformat()}" for d in days])
+    else:
+        df = spark.read.parquet(root)
+        if days is not None:
+            df = df.limit(0)
     event = F.struct(
         _field(df, "event.message_from", "bigint").alias("message_from"),
         _field(df, "event.message_to", "bigint").alias("message_to"),
