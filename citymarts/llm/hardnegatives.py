@@ -239,10 +239,14 @@ def mine(df: DataFrame, anchors: Column | None = None, positives: int = 5, negat
     def joined(left: DataFrame, right: DataFrame, keys: list[str], task: Callable, schema: str, tag: str) -> DataFrame:
         one, none = F.lit(1), F.lit(0)
         counts = (left.select(*keys, one.alias("r"), none.alias("a")).unionByName(right.select(*keys, none.alias("r"), one.alias("a")))
-                  .groupBy(*keys).agg(blocks("r", ROWS).alias("nr"), blocks("a", ANCHORS).alias("na"), F.sum("a").alias("a"))
-                  .where("a > 0").drop("a"))
-        rows = left.join(counts, keys).withColumn("rb", part("nr")).withColumn("ab", every("na")).drop("nr", "na")
-        ask = right.join(counts, keys).withColumn("ab", part("na")).withColumn("rb", every("nr")).drop("nr", "na")
+                  .groupBy(*keys).agg(blocks("r", ROWS).alias("nr"), blocks("a", ANCHORS).alias("na"), F.sum("a").alias("a")))
+        if keys:
+            left, right = (side.join(counts.where("a > 0").drop("a"), keys) for side in (left, right))
+        else:
+            n = counts.first()                          # two numbers
+            left, right = (side.withColumns({"nr": F.lit(n.nr), "na": F.lit(n.na)}) for side in (left, right))
+        rows = left.withColumn("rb", part("nr")).withColumn("ab", every("na")).drop("nr", "na")
+        ask = right.withColumn("ab", part("na")).withColumn("rb", every("nr")).drop("nr", "na")
         by = [*keys, "rb", "ab"]
         return written(rows.groupBy(*by).cogroup(ask.groupBy(*by)).applyInPandas(task, schema), tag)
 
@@ -253,7 +257,7 @@ def mine(df: DataFrame, anchors: Column | None = None, positives: int = 5, negat
     positive = written(_first(found, ["key"], [*best], positives + 1).drop("_rank"), "negatives-best")
     # the windows of a class: one for each score among its positives that a window can reach
     windows = (positive.where("score >= 0").groupBy("key").agg(F.array_sort(F.collect_set("score")).alias("windows")))
-    hit = joined(classes.withColumn("all", F.lit(0)), asking.join(windows, "key").withColumn("all", F.lit(0)), ["all"],
+    hit = joined(classes, asking.join(windows, "key"), [],
                  _negatives(negatives, low, high), f"key string, window long, id {kind}, score long", "negatives-found")
     hit = _first(hit, ["key", "window"], [*best], negatives, "rank").select(
         "key", F.col("window").alias("positive_score"), F.col("rank").cast("int").alias("rank"),
