@@ -6,6 +6,10 @@ have to contain that pair. Such places are certain cuts. A word is cut there,
 each fragment is merged on its own, and the ids are concatenated; the result
 equals that of merging the whole word.
 
+A task works on slices of documents. Their pieces between white space are
+told apart first; pieces not seen before are cut into words and fragments, and
+all fragments of a slice are merged side by side, a merge of each at a time.
+
 Defined results: a NULL or empty text gives no ids and an empty decoded text;
 a NULL id is kept; repeated rows give repeated results; an empty table gives
 an empty result. Other columns of the input are not read, so their names do
@@ -23,18 +27,21 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
 MAX_VOCABULARY_BYTES = 64 << 20  # the vocabulary file is broadcast; larger ones are refused
-CACHED, CACHED_LENGTH = 200_000, 64  # pieces (and words) remembered per Python worker before the cache starts anew; their longest
+CACHED = 800_000                 # pieces remembered by a Python worker before it starts anew
+SLICE_BYTES = 4 << 20            # of text encoded at a time
 #: The pattern of words in the tokenizer file, and the same for the standard library.
 SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: White space for the standard library alone.
 SEPARATOR = re.compile("[\x1c-\x1f]")
-LONG_FRAGMENT = 24               # above this many symbols a heap finds the next merge
+WIDTHS = (6, 12, 24)             # fragments up to so many symbols are merged side by side; for longer ones a heap finds the next merge
 
 
 def byte_symbols() -> list[str]:
@@ -67,8 +74,8 @@ class ForcedBoundaryBPE:
         self.ranks = {m: i for i, m in enumerate(merges)}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.names = {i: t for t, i in [*self.vocab.items(), *self.special.items()]}
-        self.joined = {p for t in self._bodies() for p in zip(t, t[1:])}
         self.symbols = byte_symbols()
+        self.joined = {p for t in self._bodies() for p in zip(t, t[1:])}
         if split["pattern"]["Regex"] != SPLIT_PATTERN:
             raise ValueError("unsupported tokenizer file: another pattern of words is expected")
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -76,8 +83,22 @@ class ForcedBoundaryBPE:
         self.normalizer = Tokenizer.from_str(content).normalizer
         self.same: set[str] = set()   # characters that the standard library treats alike
         self.other: set[str] = set()
-        self.cache: dict[str, list[int]] = {}       # pieces between white space
-        self.word_cache: dict[str, list[int]] = {}
+        # merges by number: the pair's key, its rank and what it becomes; no token has the number none
+        self.none = len(self.vocab) + 1
+        keys = np.array([self.vocab[x] * self.none + self.vocab[y] for x, y in merges], np.int64)
+        self.by_key = np.argsort(keys).astype(np.int32)
+        self.keys = keys[self.by_key]
+        self.becomes = np.array([self.vocab[x + y] for x, y in merges], np.int64)
+        self.inner = np.array([self.vocab[c] for c in self.symbols], np.int64)      # tokens of a byte: inside a word,
+        self.last = np.array([self.vocab[c + self.end] for c in self.symbols], np.int64)  # at its end
+        self.stays = np.array([[(x, y) in self.joined for y in self.symbols] for x in self.symbols])
+        self.tokens = pa.array([self.names.get(i, "") for i in range(max(self.names) + 1)], pa.string())
+        self.clear()
+
+    def clear(self) -> None:
+        self.pieces: dict[str, int] = {}                # piece between white space -> its place in starts and counts
+        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
 
     def _bodies(self) -> Iterator[str]:
         for t in self.vocab:
@@ -88,21 +109,70 @@ class ForcedBoundaryBPE:
         cuts = [i for i, p in enumerate(zip(symbols, symbols[1:]), 1) if p not in self.joined]
         return [symbols[i:j] for i, j in zip([0, *cuts], [*cuts, len(symbols)])]
 
-    def merge(self, parts: list[str]) -> list[str]:
-        """Apply the lowest-ranked merge, leftmost first, until none is left."""
-        if len(parts) > LONG_FRAGMENT:
-            return self._merge_long(parts)
-        rank, none = self.ranks.get, len(self.ranks)
-        ranks = [rank(p, none) for p in zip(parts, parts[1:])]
-        while ranks and (low := min(ranks)) < none:
-            i = ranks.index(low)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
-            if i:
-                ranks[i - 1] = rank((parts[i - 1], parts[i]), none)
-            if i < len(ranks):
-                ranks[i] = rank((parts[i], parts[i + 1]), none)
-        return parts
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs, or the number of merges where there is none."""
+        pair = left * self.none + right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where((self.keys[at] == pair) & (right < self.none), self.by_key[at], len(self.keys))
+
+    def merge_rows(self, ids: np.ndarray) -> np.ndarray:
+        """Rows of tokens (filled up with ``none``), each after all its merges: the lowest rank, leftmost first."""
+        out, row = ids.copy(), np.arange(len(ids))
+        rank, never = self._rank(ids[:, :-1], ids[:, 1:]), len(self.keys)
+        at = np.arange(ids.shape[1])
+        while len(row):
+            low = rank.min(1)
+            live = low < never
+            out[row[~live]] = ids[~live]
+            row, ids, rank, low = row[live], ids[live], rank[live], low[live]
+            if not len(row):
+                break
+            i, n = rank.argmin(1), np.arange(len(row))
+            moved = at + (at > i[:, None])
+            ids = np.take_along_axis(np.pad(ids, ((0, 0), (0, 1)), constant_values=self.none), moved, 1)
+            ids[n, i] = self.becomes[low]
+            rank = np.take_along_axis(np.pad(rank, ((0, 0), (0, 1)), constant_values=never), at[:-1] + (at[:-1] >= i[:, None]), 1)
+            after = np.minimum(i, rank.shape[1] - 1)    # the pair that the new token opens; past the end it is none
+            rank[n, after] = np.where(i < rank.shape[1], self._rank(ids[n, after], ids[n, after + 1]), rank[n, after])
+            before = np.flatnonzero(i)
+            rank[before, i[before] - 1] = self._rank(ids[before, i[before] - 1], ids[before, i[before]])
+        return out
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and their number for each."""
+        data = [w.encode() for w in words]
+        ends = np.cumsum(np.fromiter(map(len, data), np.int64, len(data)))
+        raw = np.frombuffer(b"".join(data), np.uint8)
+        tokens = self.inner[raw]
+        tokens[ends - 1] = self.last[raw[ends - 1]]
+        opens = np.ones(len(raw), bool)                 # certain cuts, and the words' first bytes
+        opens[1:] = ~self.stays[raw[:-1], raw[1:]]
+        opens[ends[:-1]] = True
+        start = np.flatnonzero(opens)
+        size = np.diff(start, append=len(raw))
+        count = np.ones(len(start), np.int64)
+        found = np.full(len(raw), self.none, np.int64)  # a fragment's ids stand where its bytes do, the rest is none
+        alone = size == 1
+        found[start[alone]] = tokens[start[alone]]
+        least = 1
+        for width in WIDTHS:
+            at = np.flatnonzero((size > least) & (size <= width))
+            if len(at):
+                place = np.arange(width)
+                held = place < size[at, None]
+                where = np.minimum(start[at, None] + place, len(raw) - 1)
+                rows = self.merge_rows(np.where(held, tokens[where], self.none))
+                found[where[held]] = rows[held]
+                count[at] = (rows < self.none).sum(1)
+            least = width
+        for k in np.flatnonzero(size > least):
+            parts = [self.symbols[b] for b in raw[start[k]:start[k] + size[k]]]
+            if ends[np.searchsorted(ends, start[k], side="right")] == start[k] + size[k]:
+                parts[-1] += self.end
+            merged = [self.vocab[t] for t in self._merge_long(parts)]
+            found[start[k]:start[k] + len(merged)], count[k] = merged, len(merged)
+        word = np.searchsorted(ends, start, side="right")
+        return found[found < self.none].astype(np.int32), np.bincount(word, count, len(words)).astype(np.int64)
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         after = [*range(1, len(parts)), -1]
@@ -124,15 +194,6 @@ class ForcedBoundaryBPE:
                     heapq.heappush(heap, (rank, a, parts[a], parts[b]))
         return [p for p in parts if p]
 
-    def encode_word(self, word: str) -> list[int]:
-        found = self.fragments("".join(map(self.symbols.__getitem__, word.encode())))
-        ids: list[int] = []
-        for f in found[:-1]:
-            ids += map(self.vocab.__getitem__, self.merge([*f]))
-        last = [*found[-1]]
-        last[-1] += self.end
-        return [*ids, *map(self.vocab.__getitem__, self.merge(last))]
-
     def alike(self, text: str) -> bool:
         """Whether the standard library treats every character as the tokenizer's engine does.
 
@@ -149,50 +210,80 @@ class ForcedBoundaryBPE:
             return chars <= self.same
         return True
 
-    def chunks(self, text: str) -> list[str]:
-        """``text``, normalised, in pieces that no word crosses."""
+    def plain(self, text: str) -> str | None:
+        """``text`` normalised, or None where the library has to do it."""
         if text.isascii() and not SEPARATOR.search(text) or self.alike(text):
             plain = _normal(text)
             if unicodedata.is_normalized("NFC", text) or self.alike(plain):
-                return plain.split()
-        return [w for w, _ in self.split.pre_tokenize_str(self.normalizer.normalize_str(text))]
-
-    def encode_chunk(self, chunk: str) -> list[int]:
-        plain = chunk.isascii() and not SEPARATOR.search(chunk) or self.alike(chunk)
-        words = WORD.findall(chunk) if plain else [chunk]  # else the library split it
-        if len(self.word_cache) >= CACHED:
-            self.word_cache.clear()
-        out = []
-        for w in words:
-            ids = self.word_cache.get(w)
-            if ids is None:
-                ids = self.encode_word(w)
-                if len(w) <= CACHED_LENGTH:
-                    self.word_cache[w] = ids
-            out += ids
+                return plain
+        return None
+
+    def words(self, piece: str) -> list[str]:
+        plain = piece.isascii() and not SEPARATOR.search(piece) or self.alike(piece)
+        return WORD.findall(piece) if plain else [w for w, _ in self.split.pre_tokenize_str(piece)]
+
+    def places(self, pieces: list[str]) -> np.ndarray:
+        """The place of each piece in ``starts`` and ``counts``; new ones are encoded."""
+        if len(self.pieces) > CACHED:
+            self.clear()
+        new = [p for p in pieces if p not in self.pieces]
+        if new:
+            words = [self.words(p) for p in new]
+            ids, counts = self.encode_words([*chain.from_iterable(words)])
+            owner = np.repeat(np.arange(len(new)), [*map(len, words)])
+            counts = np.bincount(owner, counts, len(new)).astype(np.int64)
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+            self.counts = np.concatenate([self.counts, counts])
+            self.ids = np.concatenate([self.ids, ids])
+            self.pieces.update(zip(new, range(len(self.pieces), len(self.pieces) + len(new))))
+        return np.fromiter(map(self.pieces.__getitem__, pieces), np.int64, len(pieces))
+
+    def _by_library(self, text: str) -> list[int]:
+        """Special tokens, and text that the library has to normalise and split."""
+        out: list[int] = []
+        for part in self.cut.split(text) if self.cut else [text]:
+            if part in self.special:
+                out.append(self.special[part])
+            elif part:
+                plain = self.plain(part)
+                words = (WORD.findall(plain) if plain is not None else
+                         [w for w, _ in self.split.pre_tokenize_str(self.normalizer.normalize_str(part))])
+                out += self.encode_words(words)[0].tolist() if words else []
         return out
 
+    def encode_all(self, texts: list[str]) -> pa.ListArray:
+        """The ids of every text."""
+        special = [bool(self.cut and self.cut.search(t)) for t in texts]
+        plain = [None if s else self.plain(t) for s, t in zip(special, texts)]
+        lists = pc.ascii_split_whitespace(pa.array([p or "" for p in plain], pa.string()))
+        doc = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        pieces = pc.list_flatten(lists)
+        some = pc.not_equal(pieces, "")
+        doc, pieces = doc[some.to_numpy(zero_copy_only=False)], pieces.filter(some).dictionary_encode()
+        place = self.places(pieces.dictionary.to_pylist())[pieces.indices.to_numpy(zero_copy_only=False)]
+        n = self.counts[place]
+        ends = np.cumsum(n)
+        ids = self.ids[np.repeat(self.starts[place] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+        length = np.bincount(doc, n, len(texts)).astype(np.int64)
+        odd = [k for k, p in enumerate(plain) if p is None]
+        if odd:
+            parts = np.split(ids, np.cumsum(length)[:-1])
+            for k in odd:
+                parts[k] = np.array(self._by_library(texts[k]), np.int32)
+                length[k] = len(parts[k])
+            ids = np.concatenate(parts)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(ids, pa.int32()))
+
+    def decode_all(self, ids: pa.ListArray) -> pa.Array:
+        """The tokens of every list joined by one space, as the file names no decoder."""
+        tokens = self.tokens.take(ids.values).cast(pa.string())
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, tokens), " ")
+
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.cut.split(text) if self.cut else [text]:
-            if piece in self.special:
-                out.append(self.special[piece])
-            elif piece:
-                chunks = self.chunks(piece)
-                if len(self.cache) >= CACHED:
-                    self.cache.clear()
-                long = {}
-                for c in set(chunks).difference(self.cache):
-                    (self.cache if len(c) <= CACHED_LENGTH else long)[c] = self.encode_chunk(c)
-                if long:
-                    out += chain.from_iterable(long[c] if c in long else self.cache[c] for c in chunks)
-                else:
-                    out += chain.from_iterable(map(self.cache.__getitem__, chunks))
-        return out
+        return self.encode_all([text])[0].as_py()
 
     def decode(self, ids: list[int]) -> str:
-        """The tokens joined by one space, as the file names no decoder."""
-        return " ".join(map(self.names.__getitem__, ids))
+        return self.decode_all(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
 
 
 @lru_cache(1)
@@ -205,26 +296,16 @@ def _tasks(content) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBa
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _loaded(content.value)
         for batch in batches:
-            ids, decoded = [], []
-            for text in batch.column("text"):
-                found = bpe.encode(text.as_py() or "")
-                ids.append(pa.array(found, pa.int32()))
-                decoded.append(bpe.decode(found))
-            offsets = pa.array([0, *_sums(map(len, ids))], pa.int32())
-            values = pa.concat_arrays(ids) if ids else pa.array([], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.ListArray.from_arrays(offsets, values), pa.array(decoded, pa.string())],
-                names=["id", "ids", "decoded"])
+            size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(np.cumsum(size) // SLICE_BYTES)) + 1), len(size)]
+            for i, j in zip(cuts, cuts[1:]):
+                if j > i:
+                    part = batch.slice(i, j - i)
+                    ids = bpe.encode_all(pc.fill_null(part.column("text"), "").to_pylist())
+                    yield pa.RecordBatch.from_arrays([part.column("id"), ids, bpe.decode_all(ids)], names=["id", "ids", "decoded"])
     return run
 
 
-def _sums(lengths) -> Iterator[int]:
-    total = 0
-    for n in lengths:
-        total += n
-        yield total
-
-
 def encode_decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``id_col``, ``ids`` (array<int>) and ``decoded`` of every row's whole text."""
