@@ -1,7 +1,9 @@
 """Users mart: where each user is, lives and has travelled.
 
 Chronology is ``(message_ts, event_id)``: the event id breaks timestamp ties,
-so every ordering below is total and results are deterministic.
+so every ordering below is total and results are deterministic. The event id
+may have any type that has an order, e.g. a struct of other columns
+(``tie_breakers`` of ``sources.lake.scan_events``).
 
 A NULL sender is a group of its own, and a message without a time counts as
 the sender's earliest; neither is lost.
@@ -244,8 +246,13 @@ def _best(arr: Column, min_days: int) -> Column:
                            g["city"].alias("city"))))
 
 
-_GROUPS = "array<struct<city:string,days:bigint,first_day:date,last_day:date,max_ts:timestamp,max_eid:bigint>>"
-_TRAVELS = "array<struct<message_ts:timestamp,event_id:bigint,city:string>>"
+def _types(messages: DataFrame) -> tuple[str, str, str, str]:
+    """Types of a state's last message, travels, stay groups and home, for the type of the event ids."""
+    eid = messages.schema["event_id"].dataType.simpleString()
+    return (f"struct<message_ts:timestamp,event_id:{eid},city:string,tz:string>",
+            f"array<struct<message_ts:timestamp,event_id:{eid},city:string>>",
+            f"array<struct<city:string,days:bigint,first_day:date,last_day:date,max_ts:timestamp,max_eid:{eid}>>",
+            f"struct<max_ts:timestamp,max_eid:{eid},city:string>")
 
 
 def _merge_groups(a: Column, b: Column) -> Column:
@@ -338,12 +345,11 @@ def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket
         .alias("inc_travels"))
     inc = inc_groups.join(ends, user).join(trav, user, "left").drop("_u", "_un")
 
+    last, trips, groups, home = _types(messages)
     if state is None:
         st = inc.select("user_id").where(F.lit(False)).select(
-            "user_id", F.lit(None).cast(
-                "struct<message_ts:timestamp,event_id:bigint,city:string,tz:string>").alias("last"),
-            F.lit(None).cast(_TRAVELS).alias("travels"), F.lit(None).cast(_GROUPS).alias("open"),
-            F.lit(None).cast("struct<max_ts:timestamp,max_eid:bigint,city:string>").alias("home"))
+            "user_id", *[F.lit(None).cast(kind).alias(c) for c, kind in
+                         (("last", last), ("travels", trips), ("open", groups), ("home", home))])
     else:
         differs = F.raise_error(F.lit(f"the users state was built with other min_days than {min_days}"))
         st = state.where(F.when(F.col("min_days") == min_days, True).otherwise(differs)).drop("min_days")
@@ -355,7 +361,7 @@ def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket
     f0 = (has_inc & has_st & F.col("last.city").isNotNull()
           & F.col("inc_first_city").isNotNull()
           & (F.col("last.city") != F.col("inc_first_city")))
-    empty_g, empty_t = F.array().cast(_GROUPS), F.array().cast(_TRAVELS)
+    empty_g, empty_t = F.array().cast(groups), F.array().cast(trips)
     j = j.withColumn("_f0", f0)
     merged_first = F.when(F.col("_f0") | ~has_st, F.col("inc_first")).otherwise(
         _merge_groups(F.coalesce(F.col("open"), empty_g), F.col("inc_first")))

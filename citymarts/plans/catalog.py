@@ -221,6 +221,32 @@ def q_users_in_cities_incremental(spark, sf_dir):
     return _flat_users(activity.users_in_cities_from_state(state))
 
 
+ORDER_COLUMNS = ("lat", "lon", "event.message_to")
+
+
+def _lake_without_event_ids(spark, sf_dir):
+    ev, _, lake = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "no-event-ids")
+    ev.drop("event_id").write.partitionBy("date", "event_type").parquet(root)
+    return lk.EventLake(root, tie_breakers=ORDER_COLUMNS), lake.geo
+
+
+def q_users_in_cities_other_order(spark, sf_dir):
+    """Users mart of a log without event ids: equal times are ordered by position and recipient."""
+    log, geo = _lake_without_event_ids(spark, sf_dir)
+    return _flat_users(jobs.users_in_cities_mart(spark, RUN_DATE, log, geo))
+
+
+def q_users_in_cities_other_order_incremental(spark, sf_dir):
+    """The same through the state, continued by the last days of the data at once."""
+    log, geo = _lake_without_event_ids(spark, sf_dir)
+    root = new_scratch(spark, "users-state")
+    days = sorted(states.lake_days(spark, log.root))
+    for run in (days[-STEPS], days[-1] + dt.timedelta(days=1)):
+        state = jobs.update_users_state(spark, run, log, geo, root)
+    return _flat_users(activity.users_in_cities_from_state(state))
+
+
 def _flat_users(mart):
     return mart.select("user_id", "act_city", "home_city", "travel_count",
                        F.array_join("travel_array", "|").alias("travel_array"),
@@ -446,6 +472,22 @@ def q_scan_events_string_ts(spark, sf_dir):
                                               F.col("event.subscription_channel").alias("channel"))
 
 
+def q_scan_events_drifting(spark, sf_dir):
+    """A lake whose days were written by three producers: times and ids as strings, no coordinates, or as usual."""
+    ev, _, _ = _inputs(spark, sf_dir)
+    root = new_scratch(spark, "drifting-lake")
+    kind = F.dayofmonth("date") % 3
+    text = F.when(F.col("event_id") % 7 == 0, "not a time").otherwise(F.col("event.message_ts").cast("string"))
+    event = F.col("event").withField("message_ts", text)
+    for c in ("message_from", "message_to", "subscription_channel"):
+        event = event.withField(c, F.col(f"event.{c}").cast("string"))
+    for k, part in ((0, ev), (1, ev.withColumn("event", event).withColumn("event_id", F.col("event_id").cast("string"))),
+                    (2, ev.drop("lat", "lon"))):
+        part.where(kind == k).write.mode("append").partitionBy("date", "event_type").parquet(root)
+    back = lk.scan_events(spark, root, reconcile=True)
+    return back.select("event_id", "date", "event_type", "lat", "lon", *_flat_event_cols())
+
+
 def q_geo_handbook_from_csv(spark, sf_dir):
     """The one-off load of the dimension from CSV."""
     _, geo, _ = _inputs(spark, sf_dir)

@@ -12,7 +12,8 @@ Optional trailing arguments switch on the incremental states: ``users`` takes
 ``<users_state>``, ``events`` takes ``<first_seen_state> <rollups>``, ``matches`` takes
 ``<contacts_state> <subscriptions_state> <pairs_state>``. ``--rebuild`` makes the states anew;
 ``--as-of`` (users, matches) and ``--require-complete`` (events) are options of
-the marts.
+the marts; ``--tie-breakers=<column>,...`` orders messages of equal times where
+the log has no event key.
 
 The states (``plans.states``) know which lake days they were made of: after a
 lost run or a re-load of any earlier day the next run continues the newest
@@ -34,15 +35,14 @@ from citymarts.functions.geo import fingerprint
 from citymarts.operators import activity, citystats, matches
 from citymarts.plans import states
 from citymarts.session import ensure_utc, move, read_text, remove, write_text
-from citymarts.sources.lake import (as_date, filter_history_before, period, read_geo_handbook,
-                                    scan_date_range, scan_events)
+from citymarts.sources.lake import EventLake, as_date, filter_history_before, period, read_geo_handbook, scan_date_range
 from citymarts.sources.sinks import load_increment, materialized, write_snapshot
 
 
 @dataclass(frozen=True)
 class Paths:
     stg_events: str
-    ods_events: str
+    ods_events: str | EventLake
     geo_handbook: str
     users_in_cities: str
     events_in_cities: str
@@ -55,9 +55,10 @@ class Paths:
     rollups: str | None = None            # optional daily rollups for the events mart
 
 
-def _inputs(spark: SparkSession, run_date, ods_root: str, geo_path: str, as_of: bool):
+def _inputs(spark: SparkSession, run_date, ods_root: str | EventLake, geo_path: str, as_of: bool):
+    lake = EventLake.of(ods_root)
     ensure_utc(spark)
-    ev = scan_events(spark, ods_root)
+    ev = lake.scan(spark)
     if as_of:   # only history strictly before the run date (partition-pruned)
         ev = filter_history_before(ev, run_date)
     return ev, read_geo_handbook(spark, geo_path)
@@ -74,21 +75,22 @@ def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False,
     return activity.users_in_cities(ev, geo)
 
 
-def update_users_state(spark: SparkSession, run_date, ods_root: str, geo_path: str,
+def update_users_state(spark: SparkSession, run_date, ods_root: str | EventLake, geo_path: str,
                        state_root: str, rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """The users-mart state over messages before ``run_date``.
 
     With an earlier state only the lake days since are read and located. Late
     rows are looked for first; without any, no other day is read.
     """
+    lake = EventLake.of(ods_root)
     ensure_utc(spark)
     geo = read_geo_handbook(spark, geo_path)
-    days = states.lake_days(spark, ods_root) if days is None else days
+    days = states.lake_days(spark, lake.root) if days is None else days
     past = sorted(d for d in days if d < as_date(run_date))
-    made_with = {"geo": fingerprint(geo)}
+    made_with = {"geo": fingerprint(geo)} | _order(lake)
 
     def located(some: list[dt.date] | None = None) -> DataFrame:
-        return activity.messages_in_cities(scan_events(spark, ods_root, past if some is None else some), geo)
+        return activity.messages_in_cities(lake.scan(spark, past if some is None else some), geo)
 
     def step(state: DataFrame, start: dt.date, since: list[dt.date]) -> DataFrame:
         return advanced_users(state, located(since), partial(_earlier_users, spark, state_root, days, past, made_with), located)
@@ -136,16 +138,21 @@ def advanced_users(state: DataFrame, new: DataFrame, earlier, located) -> DataFr
     return reduce(DataFrame.unionByName, parts)
 
 
+def _order(lake: EventLake) -> dict[str, str]:
+    return {"tie_breakers": ",".join(lake.tie_breakers)} if lake.tie_breakers else {}
+
+
 def _updated(spark, run_date, ods_root, state_root, whole, merge, rebuild, days) -> DataFrame:
     """A state that is ``whole(events)`` of all days, or ``merge(state, whole(events of the days since))``."""
+    lake = EventLake.of(ods_root)
     ensure_utc(spark)
-    days = states.lake_days(spark, ods_root) if days is None else days
-    of = lambda some: whole(scan_events(spark, ods_root, some))
+    days = states.lake_days(spark, lake.root) if days is None else days
+    of = lambda some: whole(lake.scan(spark, some))
     return states.advance(spark, state_root, run_date, days, of,
-                          lambda state, start, since: merge(state, of(since)), rebuild)
+                          lambda state, start, since: merge(state, of(since)), rebuild, _order(lake))
 
 
-def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root: str,
+def update_first_seen(spark: SparkSession, run_date, ods_root: str | EventLake, state_root: str,
                       rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Each user's first day over history before ``run_date`` (``user_id, first_date``)."""
     def merge(state: DataFrame, new: DataFrame) -> DataFrame:
@@ -153,21 +160,21 @@ def update_first_seen(spark: SparkSession, run_date, ods_root: str, state_root:
     return _updated(spark, run_date, ods_root, state_root, lambda ev: citystats.first_seen(ev, run_date), merge, rebuild, days)
 
 
-def update_contacts(spark: SparkSession, run_date, ods_root: str, state_root: str,
+def update_contacts(spark: SparkSession, run_date, ods_root: str | EventLake, state_root: str,
                     rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Unordered pairs (``lo, hi``) that exchanged a message before ``run_date``."""
     return _updated(spark, run_date, ods_root, state_root, matches.contacted_unordered,
                     lambda state, new: state.unionByName(new).distinct(), rebuild, days)
 
 
-def update_subscriptions(spark: SparkSession, run_date, ods_root: str, state_root: str,
+def update_subscriptions(spark: SparkSession, run_date, ods_root: str | EventLake, state_root: str,
                          rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Per subscriber channel set and latest subscription row, history before ``run_date``."""
     return _updated(spark, run_date, ods_root, state_root, matches.subscription_state,
                     matches.merge_subscription_states, rebuild, days)
 
 
-def update_pairs(spark: SparkSession, run_date, ods_root: str, pairs_root: str, contacts_state: str,
+def update_pairs(spark: SparkSession, run_date, ods_root: str | EventLake, pairs_root: str, contacts_state: str,
                  subscriptions_state: str, radius_km: float = 1.0, rebuild: bool = False,
                  days: states.LakeDays | None = None) -> DataFrame:
     """Near pairs of co-subscribers before ``run_date`` (``matches.pairs_state``).
@@ -176,26 +183,28 @@ def update_pairs(spark: SparkSession, run_date, ods_root: str, pairs_root: str,
     the same day: users with a subscription since are compared with it, and
     those whose channels or position changed meet all others again.
     """
+    lake = EventLake.of(ods_root)
     ensure_utc(spark)
-    days = states.lake_days(spark, ods_root) if days is None else days
+    days = states.lake_days(spark, lake.root) if days is None else days
     contacts = update_contacts(spark, run_date, ods_root, contacts_state, rebuild, days)
     profile = matches.positions(update_subscriptions(spark, run_date, ods_root, subscriptions_state, rebuild, days))
 
     def step(pairs: DataFrame, start: dt.date, since: list[dt.date]) -> DataFrame:
-        new = scan_events(spark, ods_root, since)
+        new = lake.scan(spark, since)
         before = matches.positions(spark.read.parquet(states.dated(subscriptions_state, start)))
         changed = materialized(matches.changed_positions(before, profile, matches.subscription_state(new)), "changed")
         return matches.advance_pairs(pairs, changed, profile, matches.contacted_unordered(new), contacts, radius_km)
 
     return states.advance(spark, pairs_root, run_date, days, lambda _: matches.pairs_state(profile, contacts, radius_km), step,
-                          rebuild, {"radius_km": repr(radius_km)}, lambda day: states.valid(spark, subscriptions_state, day, days))
+                          rebuild, {"radius_km": repr(radius_km)} | _order(lake),
+                          lambda day: states.valid(spark, subscriptions_state, day, days, _order(lake)))
 
 
 _DAY_TABLES = {"counts": "zone_id int, event_type string, n long, batch string, date date",
-               "firsts": "user_id long, event_id long, message_ts timestamp, lat double, lon double, batch string, date date"}
+               "firsts": "user_id long, event_id {kind}, message_ts timestamp, lat double, lon double, batch string, date date"}
 
 
-def update_rollups(spark: SparkSession, run_date, ods_root: str, geo_path: str, root: str,
+def update_rollups(spark: SparkSession, run_date, ods_root: str | EventLake, geo_path: str, root: str,
                    days: states.LakeDays | None = None) -> tuple[DataFrame, DataFrame]:
     """``day_counts`` and ``day_firsts`` of the mart's longest period before ``run_date``.
 
@@ -204,16 +213,17 @@ def update_rollups(spark: SparkSession, run_date, ods_root: str, geo_path: str,
     re-loaded day is rolled up again, and the window slides by leaving days
     out. ``{root}/days.json`` names the batch that holds each day's rollup.
     """
+    lake = EventLake.of(ods_root)
     ensure_utc(spark)
     geo = read_geo_handbook(spark, geo_path)
-    days = states.lake_days(spark, ods_root) if days is None else days
+    days = states.lake_days(spark, lake.root) if days is None else days
     first, last = period(run_date, max(citystats.MART_DEPTHS.values()))
-    mark = fingerprint(geo)
+    mark = " ".join([fingerprint(geo), *lake.tie_breakers])
     wanted = {d.isoformat(): f"{s} {mark}" for d, s in days.items() if first <= d <= last}
     index = json.loads(read_text(spark, f"{root}/days.json") or "{}")
     stale = sorted(as_date(d) for d, s in wanted.items() if index.get(d, [None])[0] != s)
     if stale:
-        batch, new = uuid.uuid4().hex[:12], scan_events(spark, ods_root, stale)
+        batch, new = uuid.uuid4().hex[:12], lake.scan(spark, stale)
         for name, table in (("counts", citystats.day_counts(new, geo)), ("firsts", citystats.day_firsts(new))):
             table.write.partitionBy("date").parquet(f"{root}/{name}/batch={batch}")
         index |= {d.isoformat(): [wanted[d.isoformat()], batch] for d in stale}
@@ -221,9 +231,13 @@ def update_rollups(spark: SparkSession, run_date, ods_root: str, geo_path: str,
         remove(spark, f"{root}/days.json")
         move(spark, f"{root}/days-{batch}.json", f"{root}/days.json")
     held = [f"{index[d][1]} {d}" for d in wanted]          # at most the days of the period
-    return tuple(spark.read.schema(schema).parquet(f"{root}/{name}")
-                 .where(F.concat_ws(" ", "batch", F.col("date").cast("string")).isin(held)).drop("batch")
-                 if held else spark.createDataFrame([], schema).drop("batch") for name, schema in _DAY_TABLES.items())
+    kind = lake.scan(spark, sorted(days)[-1:]).schema["event_id"].dataType.simpleString()
+    tables = []
+    for name, schema in _DAY_TABLES.items():
+        schema = schema.format(kind=kind)
+        rows = spark.read.schema(schema).parquet(f"{root}/{name}") if held else spark.createDataFrame([], schema)
+        tables.append(rows.where(F.concat_ws(" ", "batch", F.col("date").cast("string")).isin(held)).drop("batch"))
+    return tables[0], tables[1]
 
 
 def users_in_cities_mart(spark, run_date, ods_root, geo_path, as_of=False,
@@ -243,13 +257,14 @@ def events_in_cities_mart(spark, run_date, ods_root, geo_path,
     """``require_complete`` fails the run (listing the days) if any day of the
     30-day period has no partition, instead of counting it as zero. With the
     first-seen state and the rollups only new and changed days are read."""
+    lake = EventLake.of(ods_root)
     ensure_utc(spark)
     geo = read_geo_handbook(spark, geo_path)
-    days = states.lake_days(spark, ods_root) if state_root or rollups else None
+    days = states.lake_days(spark, lake.root) if state_root or rollups else None
     # with both, the lake is not scanned: its schema is all that is asked for
-    ev = scan_events(spark, ods_root, sorted(days)[-1:] if state_root and rollups else None)
+    ev = lake.scan(spark, sorted(days)[-1:] if state_root and rollups else None)
     if require_complete:
-        scan_date_range(scan_events(spark, ods_root), run_date, max(citystats.MART_DEPTHS.values()), require_complete=True)
+        scan_date_range(lake.scan(spark), run_date, max(citystats.MART_DEPTHS.values()), require_complete=True)
     seen = update_first_seen(spark, run_date, ods_root, state_root, rebuild, days) if state_root else None
     rolled = update_rollups(spark, run_date, ods_root, geo_path, rollups, days) if rollups else None
     return citystats.events_in_cities(ev, geo, run_date, seen, rolled)
@@ -261,10 +276,11 @@ def users_matches_mart(spark, run_date, ods_root, geo_path, as_of=False,
     """All history, or with ``as_of`` that before the run date. A state implies
     ``as_of``, so contacts, profiles and pairs always cover the same period.
     With ``pairs_state`` (and both others) the pairs are continued from it."""
+    lake = EventLake.of(ods_root)
     as_of = as_of or bool(contacts_state or subscriptions_state)
     if pairs_state and not (contacts_state and subscriptions_state):
         raise ValueError("pairs_state needs contacts_state and subscriptions_state")
-    days = states.lake_days(spark, ods_root) if contacts_state or subscriptions_state else None
+    days = states.lake_days(spark, lake.root) if contacts_state or subscriptions_state else None
     if pairs_state:
         pairs = update_pairs(spark, run_date, ods_root, pairs_state, contacts_state, subscriptions_state, rebuild=rebuild, days=days)
         subs = spark.read.parquet(states.dated(subscriptions_state, run_date))
@@ -300,10 +316,11 @@ def run_daily(spark: SparkSession, run_date, paths: Paths, rebuild: bool = False
     ``rebuild`` makes the states anew from the lake (re-loaded days are
     noticed without it); ``as_of`` and ``require_complete`` are those of the marts.
     """
-    day = load_increment(spark, run_date, paths.stg_events, paths.ods_events)
+    ods = EventLake.of(paths.ods_events).root
+    day = load_increment(spark, run_date, paths.stg_events, ods)
     lake = (spark, run_date, paths.ods_events, paths.geo_handbook)
     return {
-        "increment": f"{paths.ods_events}/date={day.isoformat()}",
+        "increment": f"{ods}/date={day.isoformat()}",
         "users_in_cities": build_users_in_cities(
             *lake, paths.users_in_cities, as_of=as_of, state_root=paths.users_state, rebuild=rebuild),
         "events_in_cities": build_events_in_cities(
@@ -316,12 +333,14 @@ def run_daily(spark: SparkSession, run_date, paths: Paths, rebuild: bool = False
 
 
 FLAGS = {"--rebuild": "rebuild", "--as-of": "as_of", "--require-complete": "require_complete"}
+ORDER = "--tie-breakers="
 
 
 def main(argv: list[str]) -> int:
     from pyspark import SparkConf, SparkContext
     flags = {FLAGS[a]: True for a in argv if a in FLAGS}
-    job, run_date, *args = [a for a in argv if a not in FLAGS]
+    order = tuple(c for a in argv if a.startswith(ORDER) for c in a.removeprefix(ORDER).split(","))
+    job, run_date, *args = [a for a in argv if a not in FLAGS and not a.startswith(ORDER)]
     builder = SparkSession.builder.appName(f"citymarts-{job}/date={run_date}")
     SparkContext._ensure_initialized()      # JVM-backed conf: sees spark-submit's --master
     if SparkConf().get("spark.master", None) is None:     # plain `python -m`: run locally
@@ -332,6 +351,7 @@ def main(argv: list[str]) -> int:
             load_increment(spark, run_date, *args)
         else:
             ods, geo, mart, *roots = args
+            ods = EventLake(ods, tie_breakers=order)
             if job == "users":
                 build_users_in_cities(spark, run_date, ods, geo, mart, **dict(zip(("state_root",), roots)), **flags)
             elif job == "events":

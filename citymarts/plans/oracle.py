@@ -212,6 +212,17 @@ FROM lastm l LEFT JOIN home h ON h.user_id = l.user_id LEFT JOIN trav t ON t.use
 _MATCHES_AFTER_LAST = _w(PROFILE) + f"""
 SELECT user_left, user_right, CAST({_AFTER_LAST} AS VARCHAR) AS processed_dttm, zone_id, local_time FROM kept"""
 
+
+def _users_by(*columns: str) -> str:
+    """The users mart where these columns order messages of equal times."""
+    down = ", ".join(f"{c} DESC NULLS LAST" for c in columns)
+    users = (USERS.replace("         city, tz\n", f"         city, tz, {', '.join(columns)}\n")
+             .replace("event_id DESC", down).replace("NULLS FIRST, event_id)", "NULLS FIRST, "
+                                                     + ", ".join(f"{c} NULLS FIRST" for c in columns) + ")")
+             .replace("max_ts DESC, max_id DESC", "max_ts DESC"))
+    return _USERS_MART.replace(USERS, users)
+
+
 _r_first, _r_last = period(RUN_DATE, 30)
 _w_first, _w_last = period(RUN_DATE, 7)
 _e_first, _e_last = period(EARLY_RUN, 7)
@@ -332,6 +343,13 @@ SELECT event_id, zone_id FROM (
   FROM se e LEFT JOIN (SELECT zone_id, lat, lon FROM geo UNION ALL
                        SELECT zone_id + 100, lat + 0.5, lon + 3 FROM geo) g ON e.lat IS NOT NULL)
 WHERE rn = 1""",
+    "users_in_cities_other_order": _users_by("lat", "lon", "message_to"),
+    "users_in_cities_other_order_incremental": _users_by("lat", "lon", "message_to"),
+    "scan_events_drifting": _w() + """
+SELECT event_id, date, event_type, CASE WHEN day(date) % 3 <> 2 THEN lat END AS lat,
+       CASE WHEN day(date) % 3 <> 2 THEN lon END AS lon, message_from, message_to,
+       CASE WHEN day(date) % 3 <> 1 OR event_id % 7 <> 0 THEN message_ts END AS message_ts, "user",
+       CAST(channel AS VARCHAR) AS subscription_channel FROM se""",
     "run_daily_users": _USERS_MART,
     "run_daily_events": _events_mart(_AFTER_LAST),
     "run_daily_matches": _MATCHES_AFTER_LAST,

@@ -1,0 +1,61 @@
+"""Lakes of several producers and logs without event ids."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from citymarts.operators import activity
+from citymarts.plans import jobs
+from citymarts.session import new_scratch
+from citymarts.sources import lake as lk
+from conftest import make_events, make_geo, ts
+
+GEO = [(1, "A", 0.0, 0.0, "UTC"), (2, "B", 10.0, 10.0, "UTC"), (3, "C", 20.0, 20.0, "UTC")]
+
+
+def _rows(n=12):
+    return [{"event_type": "message", "event_id": i, "message_from": i % 2, "message_to": i, "ts": ts(f"2024-01-{1 + i // 3:02d}", 60),
+             "channel": 5, "lat": 10.0 * (i % 3), "lon": 10.0 * (i % 3)} for i in range(n)]
+
+
+def test_days_of_different_schemas(spark):
+    root = new_scratch(spark, "test-drift")
+    ev = make_events(spark, _rows())
+    day = lambda d: ev.where(F.col("date") == F.lit(dt.date(2024, 1, d)))
+    day(1).write.mode("append").partitionBy("date", "event_type").parquet(root)
+    text = F.col("event").withField("message_ts", F.col("event.message_ts").cast("string")).dropFields("message_to")
+    (day(2).withColumn("event", text).withColumn("more", F.lit(1)).drop("lat")
+     .write.mode("append").partitionBy("date", "event_type").parquet(root))
+    other = F.col("event").withField("subscription_channel", F.lit("news")).withField("message_from", F.lit("not an id"))
+    day(3).withColumn("event", other).write.mode("append").partitionBy("date", "event_type").parquet(root)
+    got = {r.event_id: r for r in lk.scan_events(spark, root, reconcile=True).collect()}
+    assert len(got) == 9
+    assert got[0].event.subscription_channel == "5" and got[6].event.subscription_channel == "news"
+    assert got[3].lat is None and got[3].lon == 0.0 and got[3].event.message_to is None
+    assert got[3].event.message_ts == got[4].event.message_ts and got[3].event.message_ts is not None
+    assert got[6].event.message_from is None and got[6].event.message_to == 6
+    some = lk.scan_events(spark, root, [dt.date(2024, 1, 1)], reconcile=True)
+    assert some.count() == 3 and dict(some.dtypes)["event"].count("subscription_channel:bigint") == 1
+    assert lk.scan_events(spark, root, [], reconcile=True).count() == 0
+    # the marts' jobs read such a lake, also day by day
+    make_geo(spark, GEO).write.parquet(f"{root}-geo")
+    for run in ("2024-01-02", "2024-01-03", "2024-01-04"):
+        state = jobs.update_users_state(spark, run, root, f"{root}-geo", f"{root}-state")
+    whole = activity.users_in_cities(lk.scan_events(spark, root, reconcile=True), make_geo(spark, GEO))
+    assert sorted(map(str, activity.users_in_cities_from_state(state).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_tie_breakers_order_equal_times(spark):
+    root = new_scratch(spark, "test-order")
+    make_events(spark, _rows()).drop("event_id").write.partitionBy("date", "event_type").parquet(root)
+    geo = make_geo(spark, GEO)
+    up = lk.scan_events(spark, root, tie_breakers=["event.message_to"])
+    same = activity.users_in_cities(make_events(spark, _rows()), geo)        # message_to equals the event id
+    assert sorted(map(str, activity.users_in_cities(up, geo).collect())) == sorted(map(str, same.collect()))
+    two = activity.users_in_cities(lk.scan_events(spark, root, tie_breakers=["lat", "event.message_to"]), geo)
+    by_lat = sorted((r["ts"], r["lat"], r["message_to"]) for r in _rows() if r["message_from"] == 0)
+    cities = [GEO[int(lat // 10)][1] for _, lat, _ in by_lat]
+    (got,) = two.where("user_id = 0").collect()
+    assert got.travel_array == [c for c, n in zip(cities, cities[1:]) if c != n] and got.act_city == cities[-1]
