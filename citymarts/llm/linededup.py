@@ -10,9 +10,9 @@ masked line is its own template. A template recurs if it stands in
 template's lines the first one (smallest id, then line number) stays, all
 others are dropped. Lines of fewer than ``MIN_TOKENS`` tokens always stay.
 
-Lines are compared by digests of 128 bits. Only lines in leaves with several
-different lines from several documents are taken apart into tokens, after
-equal lines are merged; no template's lines are ever gathered in one place.
+Lines are compared by digests of 128 bits. Only lines in leaves with lines of
+several documents are looked at further, and only those in leaves with several
+different lines are taken apart into tokens, after equal lines are merged; no template's lines are ever gathered in one place.
 
 Defined results: a NULL text stays NULL, with no lines; an empty text has one
 empty line, which stays; a text that loses all lines becomes empty. Repeated
@@ -22,7 +22,7 @@ sort first. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from citymarts.llm.components import written
 
@@ -31,40 +31,62 @@ SIMILAR = 0.7
 MIN_TOKENS = 3
 MIN_DOCS = 3
 PASSAGE = 20
-BROADCAST_LEAVES = 500_000  # leaves to take apart, 16 bytes each, that are broadcast; more are joined by a shuffle
+BROADCAST_ROWS = 500_000  # leaves, members and templates (up to 40 bytes each) that are broadcast; more are joined by a shuffle
 
 
 def parsed_lines(docs: DataFrame) -> DataFrame:
-    """id, same, no, masked line, number of tokens and leaf of every line that counts."""
-    lines = docs.where("text is not null").select("id", "same", F.posexplode(F.split("text", "\n", -1)).alias("no", "line"))
-    masked = F.when(F.col("line").rlike("[0-9]"),
-                    F.regexp_replace("line", r"(?<![^ \t\r\f])(?=[^ \t\r\f0-9]*+[0-9])[^ \t\r\f]++", "<*>")).otherwise(F.col("line"))
-    lines = lines.select("id", "same", "no", masked.alias("masked"))
-    # plain searches tell faster than a pattern that most lines have single blanks already
-    blanks = F.lit(False)
-    for c in ("  ", "\t", "\r", "\f"):
-        blanks = blanks | F.col("masked").contains(c)
-    single = F.when(blanks, F.regexp_replace("masked", r"[ \t\r\f]+", " ")).otherwise(F.col("masked"))
-    lines = lines.select("id", "same", "no", F.trim(single).alias("masked"))
-    tokens = F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1
-    lines = lines.select("*", tokens.alias("tokens")).where(f"tokens >= {MIN_TOKENS}")
-    leaf = F.unhex(F.md5(F.concat_ws(" ", "tokens", F.substring_index("masked", " ", DEPTH))))
-    return lines.select("*", leaf.alias("leaf"))
+    """id, same, no, masked line, number of tokens and leaf of every line that counts.
+
+    Each step is a ``transform`` of its own over a text's lines: what it makes
+    is computed once, where columns upon columns would be put into one another
+    and computed again for every use.
+    """
+    def masked(line: Column) -> Column:
+        return F.when(line.rlike("[0-9]"), F.regexp_replace(
+            line, r"(?<![^ \t\r\f])(?=[^ \t\r\f0-9]*+[0-9])[^ \t\r\f]++", "<*>")).otherwise(line)
+
+    def single(line: Column) -> Column:
+        # plain searches tell faster than a pattern that most lines have single blanks already
+        blanks = F.lit(False)
+        for c in ("  ", "\t", "\r", "\f"):
+            blanks = blanks | line.contains(c)
+        return F.trim(F.when(blanks, F.regexp_replace(line, r"[ \t\r\f]+", " ")).otherwise(line))
+
+    def counted(line: Column) -> Column:
+        tokens = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+        return F.struct(line.alias("masked"), tokens.alias("tokens"))
+
+    lines = F.split("text", "\n", -1)
+    for step in (masked, single, counted):
+        lines = F.transform(lines, step)
+    rows = docs.where("text is not null").select("id", "same", F.posexplode(lines).alias("no", "l"))
+    rows = rows.where(F.col("l.tokens") >= MIN_TOKENS).select("id", "same", "no", "l.masked", "l.tokens")
+    return rows.withColumn("leaf", F.unhex(F.md5(F.concat_ws(" ", "tokens", F.substring_index("masked", " ", DEPTH)))))
 
 
 def with_digest(lines: DataFrame) -> DataFrame:
     return lines.withColumn("line", F.unhex(F.md5("masked")))
 
 
-def generalised(docs: DataFrame, lines: DataFrame) -> DataFrame:
-    """(line, template) of the lines that belong to their leaf's template; others are their own."""
+def _held(rows: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table as the small side of a join: broadcast up to ``most`` rows (counted), else shuffled."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
+def shared_leaves(lines: DataFrame) -> DataFrame:
+    """(leaf, mixed) of the leaves with lines of several documents; mixed: with several different lines, too.
+
+    Only these hold lines that recur: equal lines and lines of one template share their leaf.
+    """
     doc, text = F.xxhash64("id", "same"), F.xxhash64("line")
-    mixed = written(lines.groupBy("leaf").agg(F.min(doc).alias("a"), F.max(doc).alias("b"), F.min(text).alias("x"),
-                                              F.max(text).alias("y"), F.max("tokens").alias("tokens"))
-                    .where(f"a <> b and x <> y and tokens > {DEPTH}").select("leaf"), "mixed-leaves")
-    if mixed.count() <= BROADCAST_LEAVES:
-        mixed = F.broadcast(mixed)
-    variants = written(with_digest(parsed_lines(docs).join(mixed, "leaf", "left_semi")).groupBy("leaf", "line")
+    return (lines.groupBy("leaf").agg(F.min(doc).alias("a"), F.max(doc).alias("b"), F.min(text).alias("x"),
+                                      F.max(text).alias("y"), F.max("tokens").alias("tokens"))
+            .where("a <> b").select("leaf", F.expr(f"x <> y and tokens > {DEPTH}").alias("mixed")))
+
+
+def generalised(docs: DataFrame, mixed: DataFrame) -> DataFrame:
+    """(line, template) of the lines that belong to their leaf's template; others are their own."""
+    variants = written(with_digest(parsed_lines(docs).join(_held(mixed), "leaf", "left_semi")).groupBy("leaf", "line")
                        .agg(F.count("*").alias("n"), F.first("masked").alias("masked")), "line-variants")
     each = variants.select("leaf", "n", F.posexplode(F.split("masked", " ")).alias("at", "token"))
     by_token = each.groupBy("leaf", "at", "token").agg(F.sum("n").alias("n"))
@@ -102,13 +124,17 @@ def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _drops(docs: DataFrame) -> DataFrame:
     """did, dsame, drops: the numbers of the lines that go, per document that loses any."""
     lines = written(with_digest(parsed_lines(docs)).drop("masked"), "lines")
-    own = generalised(docs, lines).withColumnRenamed("line", "member")
-    lines = lines.join(own, lines["line"] == own["member"], "left").select(
-        "id", "same", "no", "tokens", F.coalesce("template", "line").alias("template"))
+    leaves = written(shared_leaves(lines), "shared-leaves")
+    own = written(generalised(docs, leaves.where("mixed").select("leaf")).withColumnRenamed("line", "member"), "members")
+    lines = lines.join(_held(leaves.select("leaf")), "leaf", "left_semi")
+    own = _held(own)
+    lines = written(lines.join(own, lines["line"] == own["member"], "left").select(
+        "id", "same", "no", "tokens", F.coalesce("template", "line").alias("template")), "shared-lines")
     first = lines.groupBy("template", "id", "same").agg(F.min("no").alias("no"), F.first("tokens").alias("tokens"))
     recurring = (first.groupBy(F.col("template").alias("t"))
                  .agg(F.count("*").alias("docs"), F.min(F.struct("id", "same", "no")).alias("kept"), F.max("tokens").alias("n"))
                  .where(f"docs >= {MIN_DOCS} or docs >= 2 and n >= {PASSAGE}").select("t", "kept"))
+    recurring = _held(written(recurring, "recurring"))     # broadcast, a template in very many documents is no hot key
     gone = lines.join(recurring, lines["template"] == recurring["t"]).where(~F.struct("id", "same", "no").eqNullSafe(F.col("kept")))
     return gone.groupBy(F.col("id").alias("did"), F.col("same").alias("dsame")).agg(F.collect_set("no").alias("drops"))
 
