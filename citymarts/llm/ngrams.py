@@ -22,8 +22,9 @@ equal with a chance of about 2^-64.
 
 Defined results: NULL and blank texts have no shingles and link with nothing;
 so do rows with a NULL id, whose component is NULL. Repeated rows are copies.
-Rows of one id with different texts share their links. An empty table gives an
-empty result. Other columns are not read.
+Rows of one id with different texts are rows of their own, with their own links
+and component, and each stays or goes by itself. An empty table gives an empty
+result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -114,11 +115,11 @@ def nodes(label: np.ndarray, depth: int) -> np.ndarray:
 def _signing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         rows = []
-        for i, text in zip(pdf["id"], pdf["text"]):
+        for i, same, text in zip(pdf["id"], pdf["same"], pdf["text"]):
             s = shingles(text)
             if len(s):
-                rows.append((i, xxhash.xxh3_128_digest(s.tobytes()), len(s), labels(s).tobytes()))
-        yield pd.DataFrame(rows, columns=["id", "set", "size", "label"])
+                rows.append((i, same, xxhash.xxh3_128_digest(s.tobytes()), len(s), labels(s).tobytes()))
+        yield pd.DataFrame(rows, columns=["id", "same", "set", "size", "label"])
 
 
 def _labels(data: list[bytes]) -> np.ndarray:
@@ -224,11 +225,11 @@ def _candidates(classes: DataFrame, depth: int) -> DataFrame:
 
 def _verified(texts: DataFrame, classes: DataFrame, depth: int, threshold: float) -> DataFrame:
     parts = connected_components(_candidates(classes, depth)).withColumnRenamed("id", "rep")
-    members = written(classes.join(parts, "rep").select("rep", "set", "weight", "size", "label", "component"), "members")
+    members = written(classes.join(parts, "rep").select("rep", "id", "same", "weight", "size", "label", "component"), "members")
     blocks = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("size") / BLOCK_SIZE)).cast("int").alias("blocks"))
     placed = (members.join(blocks, "component").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-              .join(texts, F.col("rep") == F.col("id")))
+              .join(texts, ["id", "same"]))
     block = F.explode(F.expr("sequence(0, blocks - 1)"))
     pairs = placed.withColumn("other", block).select(
         "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "weight", "label", "text",
@@ -238,14 +239,18 @@ def _verified(texts: DataFrame, classes: DataFrame, depth: int, threshold: float
                                      "rep long, links long, root long, found double, expected double"), "ngram-links")
 
 
-def join(df: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
-    """Per row: id, ``n_links`` (other rows linked directly, copies included) and ``component_id``."""
-    rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def _grouped(rows: DataFrame, threshold: float, target: float) -> DataFrame:
+    """``id, same, n_links, group`` of the rows (id, same, text) that have shingles, one for each (id, same).
+
+    ``same`` tells the texts of one id apart. A class of equal sets is numbered
+    when it is written, so ids play no part in telling classes apart.
+    """
     signed = written(rows.where("id is not null").mapInPandas(
-        _signing, "id long, set binary, size int, label binary"), "signatures")
-    classes = written(signed.groupBy("set").agg(F.min("id").alias("rep"), F.count("*").alias("weight"),
-                                                F.first("size").alias("size"), F.first("label").alias("label")), "classes")
+        _signing, "id long, same long, set binary, size int, label binary"), "signatures")
+    classes = (signed.groupBy("set").agg(F.min(F.struct("id", "same")).alias("first"), F.count("*").alias("weight"),
+                                         F.first("size").alias("size"), F.first("label").alias("label"))
+               .select("set", "first.id", "first.same", "weight", "size", "label", F.monotonically_increasing_id().alias("rep")))
+    classes = written(classes, "classes")
     depth = LEVELS
     while depth > 1 and chance(threshold, depth) < target:
         depth -= 1
@@ -258,23 +263,41 @@ def join(df: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, id
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per_class = (classes.select("set", "rep", "weight").join(links, "rep", "left")
-                 .join(parts.withColumnRenamed("id", "rep"), "rep", "left"))
-    per_row = signed.select("id", "set").join(per_class, "set").select(
-        "id", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-        F.coalesce("component", "rep").alias("component_id"))
-    # rows without shingles are not signed
-    per_id = per_row.groupBy("id").agg(F.max("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
-    return (rows.select("id").join(per_id, "id", "left")
+                 .join(parts.withColumnRenamed("id", "rep"), "rep", "left")
+                 .select("set", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
+                         F.coalesce("component", "rep").alias("group")))
+    return written(signed.select("id", "same", "set").distinct().join(per_class, "set").drop("set"), "grouped")
+
+
+def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")) \
+        .withColumn("same", F.xxhash64("text"))
+
+
+def join(df: DataFrame, threshold: float = THRESHOLD, target: float = TARGET, id_col: str = "doc_id",
+         text_col: str = "text") -> DataFrame:
+    """Per row: id, ``n_links`` (other rows linked directly, copies included) and ``component_id`` (its smallest id)."""
+    rows = _rows(df, id_col, text_col)
+    grouped = _grouped(rows, threshold, target)
+    smallest = grouped.groupBy("group").agg(F.min("id").alias("component_id"))
+    known = grouped.join(smallest, "group").select("id", "same", "n_links", "component_id")
+    # rows without shingles are not grouped
+    return (rows.select("id", "same").join(known, ["id", "same"], "left")
             .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component_id", "id").alias("component_id")))
 
 
-def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """One row of each group of near copies (that with the smallest id), with all its columns."""
+def representatives(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                    target: float = TARGET) -> DataFrame:
+    """One row of each group of near copies (that with the smallest id), and all rows without shingles, with all columns."""
     names = [f"c{i}" for i in range(len(df.columns))]
     rows = df.toDF(*names)
-    i = names[df.columns.index(id_col)]
-    kept = (join(df, id_col=id_col, text_col=text_col, **options).where(F.col(id_col) == F.col("component_id"))
-            .select(F.col(id_col).alias("kept")).distinct())
-    known = rows.join(kept, rows[i] == kept["kept"]).dropDuplicates(["kept"]).select(*names)
-    return known.unionByName(rows.where(F.col(i).isNull())).toDF(*df.columns)
+    i, t = names[df.columns.index(id_col)], names[df.columns.index(text_col)]
+    grouped = _grouped(_rows(rows, i, t), threshold, target)
+    first = grouped.groupBy("group").agg(F.min(F.struct("id", "same")).alias("first"))
+    flags = (grouped.join(first, "group")
+             .select("id", "same", F.struct("id", "same").eqNullSafe(F.col("first")).alias("stays")))
+    told = rows.withColumns({"_id": F.col(i).cast("long"), "_same": F.xxhash64(F.col(t).cast("string"))})
+    told = told.join(flags, (told["_id"] == flags["id"]) & (told["_same"] == flags["same"]), "left")
+    kept = told.where("stays").dropDuplicates(["_id", "_same"]).select(*names)
+    return kept.unionByName(told.where("stays is null").select(*names)).toDF(*df.columns)

@@ -77,6 +77,16 @@ def test_odd_rows(spark):
     assert ngrams.join(df.limit(0)).count() == 0
 
 
+def test_repeated_ids_with_other_texts_lose_no_document(spark):
+    a, b = " ".join("abcdefgh"), " ".join("pqrstuvw")
+    rows = [(1, a), (1, b), (2, b), (3, a), (3, None), (1, a), (4, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_links, r.component_id) for r in ngrams.join(df).collect())
+    assert got == [(1, 1, 1), (1, 2, 1), (1, 2, 1), (2, 1, 1), (3, 0, 3), (3, 2, 1), (4, 0, 4)]
+    kept = sorted((r.doc_id, r.text or "") for r in ngrams.representatives(df).collect())
+    assert kept == [(1, a), (1, b), (3, ""), (4, "")]
+
+
 def test_prefix_depth_and_estimate():
     assert ngrams.chance(0.8, 7) >= ngrams.TARGET > ngrams.chance(0.8, 8)
     rng = np.random.default_rng(2)
