@@ -111,14 +111,21 @@ def drop_recurring(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _without(out, "text").select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_lines", "n_dropped")
 
 
-def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with recurring lines taken out of ``text_col``; all other columns stay as they are."""
+def remaining(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_left: float | None = None) -> DataFrame:
+    """``df`` with recurring lines taken out of ``text_col``; all other columns stay as they are.
+
+    With ``least_left``, rows that lose lines and have a smaller share of their
+    characters left, or none but white space, go; rows that lose none stay.
+    """
     names = [f"c{i}" for i in range(len(df.columns))]
     rows = df.toDF(*names)
     i, t = names[df.columns.index(id_col)], names[df.columns.index(text_col)]
     drops = _drops(rows.select(F.col(i).alias("id"), F.col(t).alias("text"), F.xxhash64(t).alias("same")))
     out = rows.join(drops, rows[i].eqNullSafe(drops["did"]) & (F.xxhash64(rows[t]) == drops["dsame"]), "left")
-    return _without(out, t).select(*names).toDF(*df.columns)
+    out = _without(out.withColumn("_length", F.length(t)), t)
+    if least_left is not None:
+        out = out.where(F.col("drops").isNull() | ((F.length(t) >= F.col("_length") * least_left) & F.col(t).rlike(r"\S")))
+    return out.select(*names).toDF(*df.columns)
 
 
 def _drops(docs: DataFrame) -> DataFrame:

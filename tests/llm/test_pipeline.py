@@ -38,12 +38,28 @@ def test_line_stage(stages):
     rows = stages[1].toPandas()
     con = duckdb.connect()
     con.register("documents", rows)
-    want = {i: t for i, t, *_ in con.execute(linededup.SQL).fetchall() if t is not None and t.strip()}
+    whole = dict(zip(rows["doc_id"], rows["text"]))
+    want = {i: t for i, t, _, n in con.execute(linededup.SQL).fetchall()
+            if not n or t.strip() and len(t) >= p.LEAST_LEFT * len(whole[i])}
+    assert 0 < len(want) < len(whole)
     got = {r.doc_id: r for r in stages[2].collect()}
     assert {i: r.text for i, r in got.items()} == want
     assert all(r.n_chars == len(r.text) for r in got.values())
 
 
+def test_line_stage_keeps_what_loses_no_line(spark):
+    shared = [f"{k} passage stands in several of the documents at once, as they share their boilerplate of old." for k in
+              ("Now this very", "Here another long", "Last the third")]
+    rows = [(1, "\n".join(["An opening of its own.", *shared])), (2, "\n".join(["Something else that opens it.", *shared])),
+            (3, "\n".join(["A third one which is long enough by itself to be kept, since its own words outweigh the passages: "
+                           + "one after another they go on and on. " * 12, *shared])),
+            (4, None), (5, ""), (6, "  "), (7, shared[0]), (None, "no id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in p.drop_lines(spark, docs, SF_SMOKE).collect()}
+    assert set(got) == {1, 3, 4, 5, 6, None}          # 2 keeps an opening only, 7 nothing
+    assert got[1] == rows[0][1] and got[3] == rows[2][1].split("\n")[0] and got[4] is None
+
+
 def test_near_duplicate_stage(stages):
     want = brute([(r.doc_id, r.text) for r in stages[2].collect()])
     assert ids(stages[3]) == sorted({c for _, c in want.values()})
