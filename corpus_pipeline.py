@@ -4,7 +4,8 @@ Every stage takes ``(spark, docs, sf_dir)`` and works on all that its
 predecessor kept. All but the last return the columns of ``documents``:
 
 1. quality: documents that the classifier rejects go;
-2. lines: recurring lines go, documents that had text and have none left go too;
+2. lines: recurring lines go, and documents that lose most of their text with them
+   (what is left of a copy no longer resembles it);
 3. near_duplicates: one document of each group of near copies stays;
 4. decontaminate: documents with a benchmark passage go;
 5. encode: token ids and decoded text of what is left.
@@ -34,13 +35,17 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return marked.join(bad, rejected, "left_anti").drop("_same")
 
 
+LEAST_LEFT = 0.3   # share of its characters that a document must keep when it loses lines
+
+
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without recurring lines; those that consist of such lines only go.
+    """Documents without recurring lines; those that keep under ``LEAST_LEFT`` of their text go.
 
+    Documents that lose no line stay as they are, NULL and blank texts, too.
     ``n_chars`` is that of the remaining text.
     """
-    out = linededup.remaining(docs)
-    return out.where(~F.col("text").rlike(r"^\s*$")).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    out = linededup.remaining(docs, least_left=LEAST_LEFT)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
