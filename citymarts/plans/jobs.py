@@ -142,36 +142,38 @@ def _order(lake: EventLake) -> dict[str, str]:
     return {"tie_breakers": ",".join(lake.tie_breakers)} if lake.tie_breakers else {}
 
 
-def _updated(spark, run_date, ods_root, state_root, whole, merge, rebuild, days) -> DataFrame:
-    """A state that is ``whole(events)`` of all days, or ``merge(state, whole(events of the days since))``."""
+def _logged(spark, run_date, ods_root, state_root, whole, keys, rebuild, days) -> DataFrame:
+    """The state of ``whole(events)``, a log by ``keys``."""
     lake = EventLake.of(ods_root)
     ensure_utc(spark)
     days = states.lake_days(spark, lake.root) if days is None else days
-    of = lambda some: whole(lake.scan(spark, some))
-    return states.advance(spark, state_root, run_date, days, of,
-                          lambda state, start, since: merge(state, of(since)), rebuild, _order(lake))
+    return states.append(spark, state_root, run_date, days, lambda some: whole(lake.scan(spark, some)), keys, rebuild, _order(lake))
 
 
 def update_first_seen(spark: SparkSession, run_date, ods_root: str | EventLake, state_root: str,
                       rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
-    """Each user's first day over history before ``run_date`` (``user_id, first_date``)."""
-    def merge(state: DataFrame, new: DataFrame) -> DataFrame:
-        return state.unionByName(new).groupBy("user_id").agg(F.min("first_date").alias("first_date"))
-    return _updated(spark, run_date, ods_root, state_root, lambda ev: citystats.first_seen(ev, run_date), merge, rebuild, days)
+    """Each user's first day over history before ``run_date`` (``user_id, first_date``).
+
+    Days come in order, so a known user's first day stays; only new users are written.
+    """
+    return _logged(spark, run_date, ods_root, state_root, lambda ev: citystats.first_seen(ev, run_date), ["user_id"], rebuild, days)
 
 
 def update_contacts(spark: SparkSession, run_date, ods_root: str | EventLake, state_root: str,
                     rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
-    """Unordered pairs (``lo, hi``) that exchanged a message before ``run_date``."""
-    return _updated(spark, run_date, ods_root, state_root, matches.contacted_unordered,
-                    lambda state, new: state.unionByName(new).distinct(), rebuild, days)
+    """Unordered pairs (``lo, hi``) that exchanged a message before ``run_date``; only new pairs are written."""
+    return _logged(spark, run_date, ods_root, state_root, matches.contacted_unordered, ["lo", "hi"], rebuild, days)
 
 
 def update_subscriptions(spark: SparkSession, run_date, ods_root: str | EventLake, state_root: str,
                          rebuild: bool = False, days: states.LakeDays | None = None) -> DataFrame:
     """Per subscriber channel set and latest subscription row, history before ``run_date``."""
-    return _updated(spark, run_date, ods_root, state_root, matches.subscription_state,
-                    matches.merge_subscription_states, rebuild, days)
+    lake = EventLake.of(ods_root)
+    ensure_utc(spark)
+    days = states.lake_days(spark, lake.root) if days is None else days
+    of = lambda some: matches.subscription_state(lake.scan(spark, some))
+    return states.advance(spark, state_root, run_date, days, of, lambda state, start, since: matches.merge_subscription_states(
+        state, of(since)), rebuild, _order(lake))
 
 
 def update_pairs(spark: SparkSession, run_date, ods_root: str | EventLake, pairs_root: str, contacts_state: str,

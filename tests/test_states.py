@@ -173,6 +173,29 @@ def test_publish_keeps_the_former_table_until_the_new_one_is_whole(spark):
     assert child_names(spark, f"{root}/mart") == ["date=2024-03-01"]
 
 
+# ---------------------------------------------------------------- logs
+
+def test_logs_write_new_rows_only_and_are_written_together_once(spark, monkeypatch):
+    monkeypatch.setattr(states, "MAX_PARTS", 3)
+    rows = walk(8, seed=5)
+    lake = Lake(spark, rows)
+    root = f"{lake.root}/contacts"
+    full = lambda i: {(r.lo, r.hi) for r in matches.contacted_unordered(
+        make_events(spark, rows).where(F.col("date") < F.lit(day(i)))).collect()}
+    written = []
+    for i in range(2, 8):
+        got = [(r.lo, r.hi) for r in jobs.update_contacts(spark, day(i), lake.ods, root).collect()]
+        assert len(got) == len(set(got)) and set(got) == full(i)
+        written.append(spark.read.parquet(states.dated(root, day(i))).count())
+    new = [len(full(i) - full(i - 1)) for i in range(2, 8)]
+    assert written[:3] == [len(full(2)), *new[1:3]] and written[3] == len(full(5)) and written[4:] == new[4:]
+    # a part that was made anew no longer belongs to the states that named it
+    jobs.update_contacts(spark, day(5), lake.ods, root, rebuild=True)
+    assert {(r.lo, r.hi) for r in jobs.update_contacts(spark, day(8), lake.ods, root).collect()} == full(8)
+    again = jobs.update_contacts(spark, day(7), lake.ods, root)
+    assert again.count() == len(full(7)) == again.distinct().count()
+
+
 # ---------------------------------------------------------------- pairs
 
 def walk(n_days, seed=0, users=40):
