@@ -19,10 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from citymarts.functions.geo import haversine_km, with_nearest_city
 from citymarts.operators import activity, citystats, matches
 from citymarts.plans import jobs, states
-from citymarts.session import ensure_utc, new_scratch
+from citymarts.session import ensure_utc, materialized, new_scratch
 from citymarts.sources import lake as lk
 from citymarts.sources.fixture import materialize_lake
-from citymarts.sources.sinks import load_increment, materialized, write_snapshot
+from citymarts.sources.sinks import load_increment, write_snapshot
 
 # Run parameters of the checks (the test data spans 2024-01-01 .. 2024-01-30).
 RUN_DATE = "2024-01-31"      # full 30-day period; nobody is new at depth 7

@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from citymarts.functions.geo import fingerprint
 from citymarts.operators import activity, citystats, matches
 from citymarts.plans import states
-from citymarts.session import ensure_utc, move, read_text, remove, write_text
+from citymarts.session import ensure_utc, materialized, move, read_text, remove, write_text
 from citymarts.sources.lake import EventLake, as_date, filter_history_before, period, read_geo_handbook, scan_date_range
-from citymarts.sources.sinks import load_increment, materialized, write_snapshot
+from citymarts.sources.sinks import load_increment, write_snapshot
 
 
 @dataclass(frozen=True)

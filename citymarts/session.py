@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale. AQE re-plans joins at runtime (broadcast
 # conversion, partition coalescing, skew-join splitting); on a cluster set
@@ -77,6 +77,13 @@ def new_scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/citymarts/{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def materialized(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder: computed once for all its consumers, without lineage."""
+    path = new_scratch(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     """Hadoop's file system and path object of ``path``."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -95,6 +102,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def folder_state(spark: SparkSession, path: str) -> str:
+    """Names, lengths and times of the files in a folder (or of the file itself)."""
+    fs, p = _fs(spark, path)
+    return ";".join(sorted(f"{s.getPath().getName()} {s.getLen()} {s.getModificationTime()}" for s in fs.listStatus(p)))
+
+
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The content of a small text file, or None where there is none."""
     fs, p = _fs(spark, path)

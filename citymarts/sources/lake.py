@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
-from citymarts.session import child_names
+from citymarts.functions.geo import checked, remember
+from citymarts.session import child_names, folder_state
 
 FOOTERS_AT_A_TIME = 16   # days whose schemas are looked up side by side
 
@@ -210,12 +211,16 @@ def validate_geo(geo: DataFrame) -> DataFrame:
     return geo.where(check.scalar())
 
 
-def read_geo_handbook(spark: SparkSession, path: str, validate: bool = True) -> DataFrame:
-    """The city dimension; that ``zone_id`` is unique is checked on every read (one tiny job)."""
+_CHECKED: dict[tuple[str, str], str] = {}   # digests of the dimensions read so far, by path and files
+
+
+def read_geo_handbook(spark: SparkSession, path: str) -> DataFrame:
+    """The city dimension. That ``zone_id`` is unique is checked, and its content digested, once for the files as they are."""
     geo = spark.read.schema(GEO_SCHEMA).parquet(path)
-    if validate:
-        validate_geo(geo).count()
-    return geo
+    key = path, folder_state(spark, path)
+    if key not in _CHECKED:
+        _CHECKED[key] = checked(geo)
+    return remember(geo, _CHECKED[key])
 
 
 def geo_handbook_from_csv(spark: SparkSession, csv_path: str, out_path: str,

@@ -1,4 +1,4 @@
-"""Writes: the daily STG -> ODS increment, snapshots published whole, shared intermediates; partitioning by keys."""
+"""Writes: the daily STG -> ODS increment, snapshots published whole; partitioning by keys."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from citymarts.session import child_names, move, new_scratch, path_exists, remove, write_text
+from citymarts.session import child_names, move, path_exists, remove, write_text
 from citymarts.sources.lake import as_date, scan_date_partition
 
 
@@ -74,13 +74,6 @@ def restore(spark: SparkSession, path: str) -> None:
             move(spark, f"{parent}/{former}", path)
 
 
-def materialized(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written to the shared folder: computed once for all its consumers, without lineage."""
-    path = new_scratch(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -1,0 +1,64 @@
+"""The city tree over dimensions with dense places."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from citymarts.functions import geo as g
+from citymarts.sources.lake import GEO_SCHEMA
+
+
+def _cities(n, seed=3):
+    """Two dense places (one over the antimeridian, one at the pole), some cities in one spot, few elsewhere."""
+    rng = np.random.default_rng(seed)
+    lat = [*(10 + rng.normal(0, 0.3, n)), *(89.9 - np.abs(rng.normal(0, 0.2, n // 4))), *rng.uniform(-80, 80, 40)]
+    lon = [*(180 + rng.normal(0, 0.3, n)), *rng.uniform(-180, 180, n // 4), *rng.uniform(-180, 180, 40)]
+    lon = [(x + 180) % 360 - 180 for x in lon]
+    rows = [(len(lat) + 500 - i, f"c{i}", float(a), float(b), "UTC") for i, (a, b) in enumerate(zip(lat, lon))]
+    return rows + [(10_000_000 - i, f"spot{i}", 10.0, 179.99, "UTC") for i in range(200)]
+
+
+def _points(n, seed=4):
+    rng = np.random.default_rng(seed)
+    lat = [*(10 + rng.normal(0, 0.5, n)), *rng.uniform(89, 90, n // 2), *rng.uniform(-90, 90, n // 2), 10.0, 90.0, -90.0]
+    lon = [*(180 + rng.normal(0, 0.5, n)), *rng.uniform(-180, 180, n // 2), *rng.uniform(-180, 180, n // 2), 179.99, 0.0, 33.0]
+    return [(i, float(a), float((b + 180) % 360 - 180)) for i, (a, b) in enumerate(zip(lat, lon))]
+
+
+def _unit(lat, lon):
+    phi, lam = np.radians(lat), np.radians(lon)
+    return np.stack([np.cos(phi) * np.cos(lam), np.cos(phi) * np.sin(lam), np.sin(phi)], 1)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_dense_cities_equal_brute_force_with_bounded_candidates(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(g, "MAX_BROADCAST_INDEX_BYTES", 0)
+    cities, points = _cities(1200), _points(400)
+    geo = spark.createDataFrame(cities, GEO_SCHEMA)
+    df = spark.createDataFrame([*points, (-1, None, 1.0), (-2, float("nan"), 1.0)], "id long, lat double, lon double")
+    got = {r.id: r.zone for r in g.with_nearest_city(df, geo, out="n").select("id", F.col("n.zone_id").alias("zone")).collect()}
+    order = sorted(cities)
+    c = _unit(np.array([r[2] for r in order]), np.array([r[3] for r in order]))
+    p = _unit(np.array([r[1] for r in points]), np.array([r[2] for r in points]))
+    d = ((p[:, None] - c[None]) ** 2).sum(2)
+    least = d.min(1)
+    zone = np.array([r[0] for r in order])
+    assert got.pop(-1) is None and got.pop(-2) is None and len(got) == len(points)
+    for (i, *_), row, low in zip(points, d, least):
+        near = zone[row <= low + 1e-15]               # cities that rounding cannot tell apart
+        assert got[i] in near
+        if len(near) == 1 or np.ptp(row[row <= low + 1e-15]) == 0:
+            assert got[i] == near.min()
+    idx, _, last = g.stored_city_index(geo)
+    sizes = idx.where("cands is not null").agg(F.max(F.size("cands"))).first()[0]
+    assert sizes <= g.MAX_CANDIDATES and last > 0
+    assert idx.where("cands is null").count() > 0
+
+
+def test_one_level_without_dense_places(spark):
+    geo = spark.createDataFrame([(i, f"c{i}", 3.0 * i, 5.0 * i, "UTC") for i in range(25)], GEO_SCHEMA)
+    idx, _, last = g.stored_city_index(geo)
+    assert last == 0 and idx.where("cands is null").count() == 0

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from citymarts.operators import activity, citystats, matches
 from citymarts.plans import jobs, states
-from citymarts.session import child_names, move, new_scratch
+from citymarts.session import child_names, materialized, move, new_scratch
 from citymarts.sources import lake as lk
-from citymarts.sources.sinks import load_increment, materialized, publish
+from citymarts.sources.sinks import load_increment, publish
 from conftest import make_events, make_geo, ts
 
 GEO = [(i, f"C{i}", 10.0 * i, 10.0 * i, "UTC") for i in range(5)]
