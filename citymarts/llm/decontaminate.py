@@ -8,11 +8,18 @@ does not count as a template. With ``valued``, as in the registered query and
 the pipeline, windows with placeholders are also joined by their own values, so
 that verbatim copies match however many numbers and names they hold, and so are
 whole items of fewer than ``SHORTEST`` tokens. Hits of a document and an item that lie on one diagonal, i.e.
-at a constant distance, are one alignment. Its slots must be consistent: the
-same value of the item always stands for the same value of the document and
-the other way round. An alignment that covers at least ``COVERAGE`` of the
-item's tokens is a leak: exact if all slots hold the item's own values,
-re-parameterised otherwise.
+at a constant distance, belong together, and so do diagonals at most ``SLIP``
+tokens apart, as words put in or left out make them: they are one alignment.
+Its slots must be consistent: the same value of the item always stands for the
+same value of the document and the other way round. Values that stand together
+most often are taken first, and windows that hold other pairs do not count. An
+alignment that covers at least ``COVERAGE`` of the item's tokens, or ``RUN`` of
+them verbatim in a row, is a leak: exact if no slot holds another value than
+the item's, re-parameterised otherwise. Without ``valued``, every diagonal
+stands alone, a conflict voids it, and coverage decides.
+
+Hits are sorted by document and item and aligned as they stream by; the hits of
+one alignment are held at a time, all of one document's text.
 
 The document's windows are made in tasks. Where the benchmark has at most
 ``BROADCAST_WINDOWS`` windows, their hashes are broadcast (8 bytes each) and
@@ -29,7 +36,9 @@ Other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -40,6 +49,8 @@ WINDOW = 8
 SHORTEST = 5
 PLAIN = 5            # tokens of a window (at most) that must not be placeholders
 COVERAGE = 0.5
+RUN = 25             # tokens of an item that are a leak wherever they stand verbatim in a row
+SLIP = 16            # tokens between the diagonals of one alignment
 BROADCAST_WINDOWS = 4_000_000
 CACHED = 300_000     # words that a Python worker remembers
 STEP = 500_000       # windows looked up at a time
@@ -173,19 +184,83 @@ def _item_windows(valued: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[p
     return run
 
 
+def align(hits: list[tuple], coverage: float, merged: bool) -> tuple | None:
+    """(coverage, shift, start, end, windows, changed) of an alignment that is a leak, else None.
+
+    ``hits``: (shift, at, start, end, length, tokens, item's values, document's values), sorted.
+    """
+    votes = Counter(pair for h in hits for pair in zip(h[6], h[7]))
+    here, there = {}, {}
+    for (a, b), _ in sorted(votes.items(), key=lambda v: (-v[1], v[0])):
+        if a not in here and b not in there:
+            here[a], there[b] = b, a
+    fit = [h for h in hits if all(here.get(a) == b for a, b in zip(h[6], h[7]))]
+    if not fit or (len(fit) < len(hits) and not merged):
+        return None
+    length, tokens = hits[0][4], max(h[5] for h in hits)
+    verbatim = {h[1] for h in hits if list(h[6]) == list(h[7])}
+    changed = {(a, b) for h in hits if h[1] not in verbatim for a, b in zip(h[6], h[7]) if a != b}
+    covered, to = 0, 0
+    for at in sorted({h[1] for h in fit}):
+        covered += at + length - max(at, to)
+        to = at + length
+    run, first, last = 0, None, None
+    for shift, at, *_, a, b in hits:
+        if list(a) == list(b):
+            if shift != last or at > to:
+                first = at
+            last, to = shift, at + length
+            run = max(run, to - first)
+    if covered < coverage * tokens and not (merged and run >= RUN):
+        return None
+    return (covered / tokens, fit[0][0], min(h[2] for h in fit), max(h[3] for h in fit),
+            len({h[:2] for h in fit}), len(changed))
+
+
+def _aligning(coverage: float, merged: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Hits come sorted by document, item, shift and place in the item; the best alignment of each document and item goes out."""
+    def alignments(hits: Iterator[tuple]) -> Iterator[list[tuple]]:
+        out: list[tuple] = []
+        for h in hits:
+            if out and h == out[-1]:  # repeated rows
+                continue
+            if out and h[0] - out[-1][0] > (SLIP if merged else 0):
+                yield out
+                out = []
+            out.append(h)
+        yield out
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = ((*r[:-2], tuple(r[-2]), tuple(r[-1])) for pdf in batches for r in pdf.itertuples(index=False, name=None))
+        out = []
+        for key, hits in groupby(rows, key=lambda r: r[:3]):
+            leaks = filter(None, (align(a, coverage, merged) for a in alignments(h[3:] for h in hits)))
+            best = min(leaks, key=lambda x: (-x[0], x[5], x[1]), default=None)
+            if best:
+                out.append((key[0], key[2], best[2], best[3], best[4], best[0], best[5]))
+            if len(out) >= 10_000:
+                yield pd.DataFrame(out, columns=_ALIGNED)
+                out = []
+        yield pd.DataFrame(out, columns=_ALIGNED)
+    return run
+
+
+_ALIGNED = ["id", "item", "start", "end", "windows", "coverage", "changed"]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
           item_text_col: str = "text", coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS,
           valued: bool = False) -> DataFrame:
-    """One row for each document and item: the alignment that covers most of the item.
+    """One row for each document (id and text) and item: the alignment that covers most of the item.
 
     ``id_col``, ``item_col``, start, end, windows (matched), coverage, changed
     (slots with another value) and kind (exact or reparameterised). With
     ``valued``, windows are also compared by their own values.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
-    kind = items.schema["item"].dataType.simpleString()
-    made = items.mapInPandas(_item_windows(valued), f"item {kind}, tokens int, hash long, at int, length int, values array<string>")
+    # ids go through pandas as strings, as numbers beside NULL would become floating there
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("text is not null")
+    made = items.mapInPandas(_item_windows(valued), "item string, tokens int, hash long, at int, length int, values array<string>")
     lengths = sorted(r.length for r in made.select("length").distinct().collect())  # at most WINDOW
     distinct = made.select("hash").distinct()
     among = None
@@ -193,33 +268,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         hashes = np.sort(np.array([r.hash for r in distinct.collect()], np.int64).astype(np.uint64))
         among = spark.sparkContext.broadcast(hashes)
         made = F.broadcast(made) if broadcast_windows <= BROADCAST_WINDOWS and len(hashes) <= 200_000 else made
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("string").alias("text")).where("text is not null")
     rows = rows.withColumn("same", F.xxhash64("text"))
-    kind = rows.schema["id"].dataType.simpleString()
-    found = rows.select("id", "same", "text").mapInPandas(_windowing(among, lengths, valued), f"id {kind}, {ROWS}")
-    pairs = F.expr("zip_with(values, slots, (a, b) -> named_struct('a', a, 'b', b))")
-    hits = (found.join(made, ["hash", "length"])
-            .select("id", "same", "item", "tokens", "at", "length", "start", "end", (F.col("place") - F.col("at")).alias("shift"),
-                    pairs.alias("pairs")))
-    # an alignment has one row for each window of the item at most
-    one = (hits.groupBy("id", "same", "item", "shift")
-           .agg(F.max("tokens").alias("tokens"), F.array_sort(F.collect_set("at")).alias("at"), F.max("length").alias("length"),
-                F.min("start").alias("start"), F.max("end").alias("end"),
-                F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs")))
-    covered = F.expr("aggregate(at, named_struct('n', 0, 'to', -1), (s, x) -> named_struct("
-                     "'n', s.n + x + length - greatest(x, s.to), 'to', x + length)).n")
-    consistent = F.expr("size(array_distinct(transform(pairs, p -> p.a))) = size(pairs) and "
-                        "size(array_distinct(transform(pairs, p -> p.b))) = size(pairs)")
-    changed = F.expr("size(filter(pairs, p -> p.a <> p.b))")
-    scored = (one.where(consistent).select("id", "same", "item", "shift", "start", "end", F.size("at").alias("windows"),
-                                           (covered / F.col("tokens")).alias("coverage"), changed.alias("changed"))
-              .where(F.col("coverage") >= coverage))
-    best = scored.groupBy("id", "same", "item").agg(
-        F.max(F.struct("coverage", (-F.col("changed")).alias("c"), (-F.col("shift")).alias("s"), "start", "end", "windows",
-                       "changed")).alias("x"))
-    return best.select(F.col("id").alias(id_col), F.col("item").alias(item_col), "x.start", "x.end", "x.windows",
-                       F.round("x.coverage", 6).alias("coverage"), "x.changed",
-                       F.when(F.col("x.changed") == 0, "exact").otherwise("reparameterised").alias("kind"))
+    found = rows.select("id", "same", "text").mapInPandas(_windowing(among, lengths, valued), f"id string, {ROWS}")
+    hits = found.join(made, ["hash", "length"]).select(
+        "id", "same", "item", (F.col("place") - F.col("at")).alias("shift"), "at", "start", "end", "length", "tokens", "values", "slots")
+    order = ["id", "same", "item"]
+    dealt = hits.repartition(*order).sortWithinPartitions(*order, "shift", "at", "start", "end", "tokens", "values", "slots")
+    best = dealt.mapInPandas(_aligning(coverage, valued), "id string, item string, start int, end int, windows int, "
+                                                          "coverage double, changed int")
+    return best.select(F.col("id").cast(docs.schema[id_col].dataType).alias(id_col),
+                       F.col("item").cast(benchmark.schema[item_col].dataType).alias(item_col), "start", "end", "windows",
+                       F.round("coverage", 6).alias("coverage"), "changed",
+                       F.when(F.col("changed") == 0, "exact").otherwise("reparameterised").alias("kind"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
