@@ -10,6 +10,10 @@ the template's words are aligned with the block's, and it counts only if
 nearly all of them are there in order and no number, negation or name of a
 license differs; the differences are reported. Confirmed words are taken out
 and the rest of the block is tried again, so a block can hold several notices.
+Blocks longer than ``_SPAN`` words are taken in parts that overlap by more than the
+longest notice, so the work grows with the text. A notice that the words before
+it in its sentence negate ("not licensed under ...") does not count. Of an SPDX
+expression with several licenses the first is found.
 
 Defined results: NULL and empty texts have no findings; a NULL id is kept;
 repeated rows give repeated findings; an empty table gives an empty result.
@@ -52,23 +56,54 @@ TEMPLATES: list[tuple[str, str]] = [
     ("BSD", "Licensed under the BSD License."),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee "
             "is hereby granted"),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("GPL-2.0-or-later", "This program is free software; you can redistribute it and/or modify it under the terms of "
+                         "the GNU General Public License as published by the Free Software Foundation; either "
+                         "version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1-or-later", "This library is free software; you can redistribute it and/or modify it under the terms of "
+                          "the GNU Lesser General Public License as published by the Free Software Foundation; either "
+                          "version 2.1 of the License, or (at your option) any later version."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                        "International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                        "International License."),
     ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
 ]
+#: Identifiers that stand behind "SPDX-License-Identifier:".
+SPDX = ["MIT", "Apache-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later",
+        "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later", "AGPL-3.0",
+        "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0", "EPL-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "CC-BY-4.0",
+        "CC-BY-SA-4.0", "CC-BY-NC-4.0", "CC-BY-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "CC0-1.0", "Unlicense"]
+TEMPLATES += [(name.removesuffix("-only"), f"SPDX-License-Identifier: {name}") for name in SPDX]
 #: How a license binds its user.
-CATEGORY = {"MIT": "permissive", "Apache-2.0": "permissive", "BSD": "permissive", "ISC": "permissive",
+CATEGORY = {"MIT": "permissive", "Apache-2.0": "permissive", "BSD": "permissive", "BSD-2-Clause": "permissive",
+            "BSD-3-Clause": "permissive", "ISC": "permissive",
             "CC-BY-4.0": "permissive", "CC0-1.0": "public domain", "Unlicense": "public domain",
-            "CC-BY-NC-4.0": "restricted", "CC-BY-ND-4.0": "restricted", "Proprietary": "restricted"}
+            "CC-BY-NC-4.0": "restricted", "CC-BY-ND-4.0": "restricted",
+            "CC-BY-NC-SA-4.0": "restricted", "CC-BY-NC-ND-4.0": "restricted", "Proprietary": "restricted"}
 CUE = r"(?i)licen[sc]|rights\W+reserved|redistribut|public\W+domain|hereby\W+granted|CC[ -]?BY|CC0|unencumbered"
 #: Words that may not differ: they tell one license from another.
-TELLING = {"not", "no", "mit", "apache", "gnu", "general", "lesser", "affero", "mozilla", "bsd", "cc", "by", "sa",
-           "nc", "nd", "cc0", "attribution", "creative", "commons", "public", "reserved", "without", "later"}
+TELLING = {"not", "no", "never", "nor", "cannot", "isn", "wasn", "aren", "weren", "mit", "apache", "gnu", "general", "lesser", "affero", "mozilla", "bsd", "cc", "by", "sa",
+           "nc", "nd", "cc0", "attribution", "creative", "commons", "public", "reserved", "without", "later",
+           "sharealike", "noncommercial", "noderivatives", "noderivs", "eclipse", "clause", "only", "spdx", "identifier", "unlicense",
+           "gpl", "lgpl", "agpl", "mpl", "epl", "isc"}
+#: Spellings that count as one.
+SPELLING = {"licence": "license", "licences": "licenses", "licenced": "licensed"}
+NEGATION = re.compile(r"(?i)(?:\b(?:not|never|nor|cannot|no\s+longer)\b|n['\u2019]t\b)\W*(?:\w+\W+){0,2}$")
+SENTENCE = re.compile(r"[.!?;]\s|\n\s*\n")
 AROUND = 40          # words kept on either side of a license word in a line longer than twice that
 LEAST_REDUCTION = 0.25
 LEAST_WORDING = 0.85
@@ -80,11 +115,13 @@ _CUE = re.compile(CUE)
 
 
 def _words(text: str) -> list[tuple[str, int, int]]:
-    return [(m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text)]
+    found = ((m[0].lower(), m.start(), m.end()) for m in _WORD.finditer(text))
+    return [(SPELLING.get(w, w), a, b) for w, a, b in found]
 
 
 _TEMPLATE_WORDS = [[w for w, _, _ in _words(t)] for _, t in TEMPLATES]
 _REACH = max(AROUND, max(map(len, _TEMPLATE_WORDS)) * 6 // 5)  # with the extra words that confirm() allows
+_SPAN = 4 * _REACH   # words scanned at a time
 
 
 @lru_cache(1)
@@ -130,8 +167,8 @@ def confirm(words: list[str], template: int) -> tuple[float, int, int, list[str]
 
 
 @lru_cache(20_000)
-def _scan_words(words: tuple[str, ...], gated: bool = True) -> list[tuple]:
-    """Findings in a block: (first word, last word, template, reduction, share, missing, extra)."""
+def _scan_part(words: tuple[str, ...], gated: bool = True) -> list[tuple]:
+    """Findings in at most ``_SPAN`` words: (first word, last word, template, reduction, share, missing, extra)."""
     out, todo = [], [(0, [*words])]
     while todo:
         at, left = todo.pop()
@@ -146,6 +183,19 @@ def _scan_words(words: tuple[str, ...], gated: bool = True) -> list[tuple]:
     return sorted(out)
 
 
+def _scan_words(words: list[str], gated: bool = True) -> Iterator[tuple]:
+    """Findings in a block, which is taken in parts: a finding in a part's last words is left to the next one."""
+    at = 0
+    while at < len(words):
+        found = _scan_part(tuple(words[at:at + _SPAN]), gated)
+        open_at = _SPAN if at + _SPAN >= len(words) else _SPAN - _REACH
+        whole = [f for f in found if f[1] <= open_at]
+        for first, last, *rest in whole:
+            yield (at + first, at + last, *rest)
+        cut = min([open_at, *(f[0] for f in found if f[1] > open_at)])
+        at += max([cut, *(f[1] for f in whole[-1:])])
+
+
 def blocks(text: str) -> list[tuple[int, int]]:
     """Disjoint candidate blocks: (start, end)."""
     out: list[list[int]] = []
@@ -175,20 +225,28 @@ def blocks(text: str) -> list[tuple[int, int]]:
 
 def wrapped(text: str, found: list[tuple[int, int]]) -> Iterator[list[tuple[str, int, int]]]:
     """The words around license words outside of ``found``, over as many lines as a notice can be wrapped to."""
-    cues = [c.start() for c in _CUE.finditer(text) if not any(a < c.end() and c.start() < b for a, b in found)]
+    cues, place = [], 0
+    found = sorted(found)
+    for c in _CUE.finditer(text):
+        while place < len(found) and found[place][1] <= c.start():
+            place += 1
+        if place == len(found) or found[place][0] >= c.end():
+            cues.append(c.start())
     if not cues:
         return
     words = _words(text)
     starts = [a for _, a, _ in words]
-    done = 0
-    for a, b in [*sorted(found), (len(text), len(text))]:
+    done, k = 0, 0
+    for a, b in [*found, (len(text), len(text))]:
         # between two findings
         first, last, to = done, bisect_left(starts, a), -1
         block: list[tuple[str, int, int]] = []
-        for k in (bisect_right(starts, c) - 1 for c in cues):
-            if not first <= k < last:
+        while k < len(cues) and cues[k] < a:
+            at = bisect_right(starts, cues[k]) - 1
+            k += 1
+            if not first <= at < last:
                 continue
-            start, end = max(first, k - _REACH), min(last, k + _REACH + 1)
+            start, end = max(first, at - _REACH), min(last, at + _REACH + 1)
             if start > to and block:
                 yield block
                 block = []
@@ -199,12 +257,17 @@ def wrapped(text: str, found: list[tuple[int, int]]) -> Iterator[list[tuple[str,
         done = bisect_left(starts, b)
 
 
+def negated(text: str, start: int) -> bool:
+    """Whether the words right before ``start``, in the same sentence, negate what begins there."""
+    return bool(NEGATION.search(SENTENCE.split(text[max(0, start - 60):start])[-1]))
+
+
 def find(text: str) -> list[tuple]:
     """(start, end, license, category, reduction, wording, missing, extra) of every notice."""
     out = []
 
     def add(words: list[tuple[str, int, int]], at: int, gated: bool) -> None:
-        for first, last, t, gain, share, missing, extra in _scan_words(tuple(w for w, _, _ in words), gated):
+        for first, last, t, gain, share, missing, extra in _scan_words([w for w, _, _ in words], gated):
             name = TEMPLATES[t][0]
             out.append((at + words[first][1], at + words[last - 1][2], name, CATEGORY.get(name, "copyleft"),
                         round(gain, 6), round(share, 6), " ".join(missing), " ".join(extra)))
@@ -216,8 +279,13 @@ def find(text: str) -> list[tuple]:
     out = [f for f in out if not f[6]]
     for words in wrapped(text, [f[:2] for f in out]):
         add(words, 0, False)
-    out += [f for f in partial if not any(a < f[1] and f[0] < b for a, b, *_ in out)]
-    return sorted(out)
+    out.sort()
+    ends, also = [f[1] for f in out], []  # findings do not overlap
+    for f in partial:
+        k = bisect_right(ends, f[0])
+        if k == len(out) or out[k][0] >= f[1]:
+            also.append(f)
+    return sorted(f for f in out + also if not negated(text, f[0]))
 
 
 def _scanning(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
