@@ -2,13 +2,15 @@
 
 Words (letters, digits, lower case) are taken five at a time; a shorter text
 is one shingle. Documents with equal shingle sets form a class and are
-compared once. Each class gets ``TREES`` labels of ``LEVELS`` MinHash values;
-sorted by label, a tree is a prefix trie, and classes under one node of depth
-d are candidates. Matched prefixes begin at full depth and are shortened until
-the recall expected for the least similar links (at the threshold itself)
-reaches the target. The links found are then weighted by the inverse of their
-own chance of being found; where that estimate of the recall falls short of
-the target, the prefixes are shortened further.
+compared once. Each class gets ``TREES`` labels of ``LEVELS`` MinHash values; by label, a
+tree is a prefix trie, and classes under one of its nodes are candidates. Every
+class begins at full depth, and its matched prefixes are shortened until the
+recall expected reaches the target. How far that is depends on the class: the
+sizes of two sets leave only some similarities, and the least of them that is
+a link tells the depth at which the two must meet (a set of four shingles has
+no link other than at 4/5, one of seven none below 6/7, and one of three only
+copies). A class takes part at the depths that its possible partners need, no
+others, so short texts stop at long prefixes and long ones at shorter ones.
 
 Only chains of candidates are made, one link per class and node; their
 components bring candidates together, so that a text is shipped once. Large
@@ -31,6 +33,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import groupby
 
 import numpy as np
@@ -110,6 +113,23 @@ def nodes(label: np.ndarray, depth: int) -> np.ndarray:
     return x
 
 
+@lru_cache(100_000)
+def stops(size: int, threshold: float, target: float) -> tuple[int, ...]:
+    """The depths at which a set of this size meets others, longest prefix first; none if it can have no links."""
+    unit, t = 10_000_000, round(threshold * 10_000_000)
+    other = np.arange(max(1, size * t // unit), size * unit // max(t, 1) + 2)
+    common = -(-t * (size + other) // (unit + t))             # shingles that a link needs at least
+    common = common[(fits := common <= np.minimum(size, other) - (other == size))]  # two sets of all the same are one class
+    least = common / (size + other[fits] - common)
+    found: list[int] = []
+    for depth in range(LEVELS, 0, -1):
+        reached = chance(least, depth) >= target if depth > 1 else np.ones(len(least), bool)
+        if reached.any():
+            found.append(depth)
+        least = least[~reached]
+    return tuple(found)
+
+
 # -- tasks -------------------------------------------------------------------
 
 def _signing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,11 +146,16 @@ def _labels(data: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(data), np.uint16).reshape(len(data), TREES, LEVELS)
 
 
-def _placing(depth: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _placing(threshold: float, target: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """The nodes of every class at the depths that it takes part at."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = nodes(_labels(list(pdf["label"])), depth) if len(pdf) else np.zeros((0, TREES), np.uint64)
-            yield pd.DataFrame({"node": found.astype(np.int64).ravel(), "rep": np.repeat(pdf["rep"].to_numpy(), TREES)})
+            label, rep = _labels(list(pdf["label"])), pdf["rep"].to_numpy()
+            at = [stops(n, threshold, target) for n in pdf["size"].tolist()]
+            for depth in sorted({d for s in at for d in s}):
+                here = np.array([depth in s for s in at])
+                found = nodes(label[here], depth)
+                yield pd.DataFrame({"node": found.astype(np.int64).ravel(), "rep": np.repeat(rep[here], TREES)})
     return run
 
 
@@ -178,21 +203,19 @@ def compare(left: pd.DataFrame, right: pd.DataFrame | None,
     return np.concatenate(rows), np.concatenate(others), np.concatenate(similar)
 
 
-def _verifying(depth: int, threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _verifying(threshold: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Rows come sorted by block pair; ``side`` tells a pair's left block (0) from its right one (1)."""
     def one(rows: list[tuple]) -> pd.DataFrame:
         pdf = pd.DataFrame(rows, columns=["rep", "weight", "label", "text", "side", "both"]).drop_duplicates(["rep", "side"])
         left, right = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        i, j, s = compare(left, None if pdf["both"].iloc[0] else right, threshold)
+        i, j, _ = compare(left, None if pdf["both"].iloc[0] else right, threshold)
         right = left if pdf["both"].iloc[0] else right
         a, b = left["rep"].to_numpy()[i], right["rep"].to_numpy()[j]
         ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
         x, y = at[:len(a)], at[len(a):]
         n = len(ids)
         weights = (np.bincount(x, right["weight"].to_numpy()[j], n) + np.bincount(y, left["weight"].to_numpy()[i], n))
-        return pd.DataFrame({"rep": ids, "links": weights.astype(np.int64), "root": ids[forest(x, y, n)] if n else ids,
-                             "found": np.bincount(x, minlength=n).astype(float),
-                             "expected": np.bincount(x, 1 / chance(s, depth), n) if n else np.zeros(0)})
+        return pd.DataFrame({"rep": ids, "links": weights.astype(np.int64), "root": ids[forest(x, y, n)] if n else ids})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
@@ -214,17 +237,17 @@ def _verifying(depth: int, threshold: float) -> Callable[[Iterator[pd.DataFrame]
 
 # -- the operator ------------------------------------------------------------
 
-def _candidates(classes: DataFrame, depth: int) -> DataFrame:
-    """(a, b): links that hold together the classes under each node of this depth."""
-    under = written(classes.select("label", "rep").mapInPandas(_placing(depth), "node long, rep long"), "nodes")
+def _candidates(classes: DataFrame, threshold: float, target: float) -> DataFrame:
+    """(a, b): links that hold together the classes under each node."""
+    under = written(classes.select("label", "size", "rep").mapInPandas(_placing(threshold, target), "node long, rep long"), "nodes")
     shared = under.groupBy("node").agg(F.min("rep").alias("a"), F.max("rep").alias("b"), F.count("*").alias("n")).where("n > 1")
     shared = written(shared, "shared-nodes")
     more = under.join(shared.where("n > 2").select("node", "a"), "node").select("a", F.col("rep").alias("b"))
     return shared.select("a", "b").unionByName(more).where("a <> b").distinct()
 
 
-def _verified(texts: DataFrame, classes: DataFrame, depth: int, threshold: float) -> DataFrame:
-    parts = connected_components(_candidates(classes, depth)).withColumnRenamed("id", "rep")
+def _verified(texts: DataFrame, classes: DataFrame, threshold: float, target: float) -> DataFrame:
+    parts = connected_components(_candidates(classes, threshold, target)).withColumnRenamed("id", "rep")
     members = written(classes.join(parts, "rep").select("rep", "id", "same", "weight", "size", "label", "component"), "members")
     blocks = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("size") / BLOCK_SIZE)).cast("int").alias("blocks"))
@@ -235,8 +258,7 @@ def _verified(texts: DataFrame, classes: DataFrame, depth: int, threshold: float
         "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "weight", "label", "text",
         F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), (F.col("own") == F.col("other")).alias("both"))
     dealt = pairs.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
-    return written(dealt.mapInPandas(_verifying(depth, threshold),
-                                     "rep long, links long, root long, found double, expected double"), "ngram-links")
+    return written(dealt.mapInPandas(_verifying(threshold), "rep long, links long, root long"), "ngram-links")
 
 
 def _grouped(rows: DataFrame, threshold: float, target: float) -> DataFrame:
@@ -251,15 +273,7 @@ def _grouped(rows: DataFrame, threshold: float, target: float) -> DataFrame:
                                          F.first("size").alias("size"), F.first("label").alias("label"))
                .select("set", "first.id", "first.same", "weight", "size", "label", F.monotonically_increasing_id().alias("rep")))
     classes = written(classes, "classes")
-    depth = LEVELS
-    while depth > 1 and chance(threshold, depth) < target:
-        depth -= 1
-    while True:
-        found = _verified(rows, classes, depth, threshold)
-        total = found.agg(F.sum("found").alias("found"), F.sum("expected").alias("expected")).first()
-        if depth == 1 or not total.found or total.found / total.expected >= target:
-            break
-        depth -= 1
+    found = _verified(rows, classes, threshold, target)
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("rep <> root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     per_class = (classes.select("set", "rep", "weight").join(links, "rep", "left")
