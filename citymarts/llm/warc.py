@@ -310,7 +310,10 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url
              .where("n > 1").select("same", "first"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.col(c).cast("string"))
     revisit = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.col("id"))
-    return p.join(first, "same", "left").select(
+    # payloads that are too short for revisits are not shuffled
+    told = p.where("same is not null").join(first, "same", "left").unionByName(
+        p.where("same is null").withColumn("first", F.lit(None).cast(p.schema["id"].dataType)))
+    return told.select(
         urn("id").alias("record_id"), F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         "target_uri", F.lit(date).alias("date"), F.when(~revisit, F.col("payload")).alias("payload"),
         "payload_bytes", F.sha1("payload").alias("payload_digest"), F.when(revisit, urn("first")).alias("refers_to"))
