@@ -36,9 +36,10 @@ Other columns are not read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
-from collections.abc import Callable, Iterator
-from itertools import groupby
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -54,6 +55,7 @@ SLIP = 16            # tokens between the diagonals of one alignment
 BROADCAST_WINDOWS = 4_000_000
 CACHED = 300_000     # words that a Python worker remembers
 STEP = 500_000       # windows looked up at a time
+TEXTS, CHARS = 200, 300_000     # texts that go through the search together
 
 #: Number words and units.
 NUMBERS = frozenset("two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -70,9 +72,12 @@ _TYPE = {"number": np.uint64(0x1B5AD4CECEDA1CE9), "unit": np.uint64(0x2B7E151628
 
 
 class _Known(dict):
-    """word -> (hash, kind)."""
+    """word -> its place in ``hashes`` and ``kinds``."""
 
-    def __missing__(self, word: str) -> tuple[int, int]:
+    def __init__(self):
+        self.hashes, self.kinds = array("Q"), array("b")
+
+    def __missing__(self, word: str) -> int:
         low = word.lower()
         if not (word[0].isalnum() or word[0] == "_"):
             kind = _STOP
@@ -84,10 +89,19 @@ class _Known(dict):
             kind = _TITLE
         else:
             kind = _PLAIN
+        self[word] = place = len(self.hashes)
+        self.hashes.append(xxhash.xxh3_64_intdigest(low))
+        self.kinds.append(kind)
+        return place
+
+    def look_up(self, words: Iterable[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes, kinds) of ``n`` words."""
         if len(self) >= CACHED:
             self.clear()
-        self[word] = found = (xxhash.xxh3_64_intdigest(low), kind)
-        return found
+            self.__init__()
+        at = np.fromiter(map(self.__getitem__, words), np.int64, n)
+        return np.frombuffer(self.hashes, np.uint64)[at] if n else at.astype(np.uint64), (
+            np.frombuffer(self.kinds, np.int8)[at] if n else at.astype(np.int8))
 
 
 _known = _Known()
@@ -97,13 +111,14 @@ def canonical(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     """(hashes of the canonical tokens, their slot types (0: none), their places among all matches of ``_TOKEN``, hashes of
     the tokens themselves)."""
     words = _TOKEN.findall(text)
-    if not words:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    found = [_known[w] for w in words]
-    h = np.fromiter((f[0] for f in found), np.uint64, len(found))
-    kind = np.fromiter((f[1] for f in found), np.int8, len(found))
+    return _canonical(*_known.look_up(words, len(words)), np.zeros(1, np.int64))
+
+
+def _canonical(h: np.ndarray, kind: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``canonical`` of tokens with these hashes and kinds; ``starts``: places where a text begins."""
     own = h.copy()
-    before = np.concatenate([[_STOP], kind[:-1]])
+    before = np.roll(kind, 1)
+    before[starts[starts < len(before)]] = _STOP
     number = kind == _NUMBER
     unit = (kind == _UNIT) & (before == _NUMBER)
     name = (kind == _TITLE) & (before != _STOP)
@@ -150,6 +165,31 @@ def _rows(text: str, lengths: list[int], among: np.ndarray | None, valued: bool
     return out
 
 
+def _marks(ordered: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+    """(a table of the first bits that hashes in ``ordered`` have, the shift to these bits)."""
+    bits = min(24, max(16, len(ordered).bit_length() + 4))
+    table, shift = np.zeros(1 << bits, bool), np.uint64(64 - bits)
+    table[ordered >> shift] = True
+    return table, shift
+
+
+def _hit(texts: list[str], lengths: list[int], among: np.ndarray, marks: tuple[np.ndarray, np.uint64], valued: bool) -> list[int]:
+    """Which of the texts have a window in ``among``: all texts' tokens go through ``windows`` as one row."""
+    parts = [_TOKEN.findall(t) for t in texts]
+    count = np.array([len(p) for p in parts], np.int64)
+    words = _known.look_up(chain.from_iterable(parts), int(count.sum()))
+    h, slots, at, own = _canonical(*words, np.cumsum(count) - count)
+    doc = np.repeat(np.arange(len(texts)), count)[at]
+    table, shift = marks
+    found: set[int] = set()
+    for n, by_value in [(n, v) for n in lengths for v in ([False, True] if valued else [False])]:
+        places, hashes = windows(own if by_value else h, slots, n, by_value)
+        near = np.flatnonzero(table[hashes >> shift])
+        near = near[doc[places[near]] == doc[places[near] + n - 1]]      # no window of two texts
+        found.update(doc[places[near[_in(hashes[near], among)]]].tolist())
+    return sorted(found)
+
+
 def _in(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     if not len(ordered):
         return np.zeros(len(x), bool)
@@ -159,12 +199,25 @@ def _in(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 ROWS = "same long, hash long, place int, length int, start int, end int, slots array<string>"
 
 
+def _parts(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows in order, at most ``TEXTS`` at a time and, but for a longer text alone, ``CHARS`` characters."""
+    first = size = 0
+    for i, t in enumerate(pdf["text"]):
+        if i > first and (i - first >= TEXTS or size + len(t) > CHARS):
+            yield pdf.iloc[first:i]
+            first, size = i, 0
+        size += len(t)
+    yield pdf.iloc[first:]
+
+
 def _windowing(among, lengths: list[int], valued: bool) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = among.value if among is not None else None
+        marks = _marks(hashes) if hashes is not None else None
         for pdf in batches:
-            for i in range(0, len(pdf), 200):
-                part = pdf.iloc[i:i + 200]
+            for part in _parts(pdf):
+                if hashes is not None:      # texts without a window of the benchmark go at once
+                    part = part.iloc[_hit([*part["text"]], lengths, hashes, marks, valued)]
                 rows = [(k, s, *r) for k, s, t in zip(part["id"], part["same"], part["text"])
                         for r in _rows(t, lengths, hashes, valued)]
                 yield pd.DataFrame(rows, columns=["id", "same", "hash", "place", "length", "start", "end", "slots"])
