@@ -136,17 +136,19 @@ def features(doc: Examined) -> dict[int, float]:
     return out
 
 
-def fit(rows: list[tuple[list[int], list[float]]], target: np.ndarray) -> np.ndarray:
-    """Weights (and, last, the bias) of a logistic scorer for soft targets, classes balanced."""
-    at = np.concatenate([np.asarray(i, np.int64) for i, _ in rows])
-    x = np.concatenate([np.asarray(v, np.float64) for _, v in rows])
-    row = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
+def fit(at: np.ndarray, x: np.ndarray, sizes: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Weights (and, last, the bias) of a logistic scorer for soft targets, classes balanced.
+
+    ``at`` and ``x`` hold the features of all documents one after the other, ``sizes`` their number in each.
+    """
+    count = len(sizes)
+    row = np.repeat(np.arange(count, dtype=np.int32), sizes)
     share = min(max(target.mean(), 1e-3), 1 - 1e-3)
     weight = target / share + (1 - target) / (1 - share)
     weight /= weight.sum()
     w, b, speed, speed_b = np.zeros(DIM), 0.0, np.zeros(DIM), 0.0
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, x * w[at], len(rows)) + b, -30, 30)))
+        p = 1 / (1 + np.exp(-np.clip(np.bincount(row, x * w[at], count) + b, -30, 30)))
         g = (p - target) * weight
         speed = 0.9 * speed - 4.0 * (np.bincount(at, x * g[row], DIM) + 1e-4 * w)
         speed_b = 0.9 * speed_b - 4.0 * g.sum()
@@ -166,8 +168,8 @@ def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in filter(len, batches):
         docs = [Examined(t) for t in pdf["text"]]
         found = [features(d) for d in docs]
-        yield pd.DataFrame({"votes": [d.votes for d in docs], "at": [[*f] for f in found],
-                            "x": [[*f.values()] for f in found]})
+        yield pd.DataFrame({"votes": [d.votes for d in docs], "at": [np.fromiter(f, "<i4", len(f)).tobytes() for f in found],
+                            "x": [np.fromiter(f.values(), "<f8", len(f)).tobytes() for f in found]})
 
 
 def _scoring(model) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
@@ -194,12 +196,16 @@ def train(docs: DataFrame) -> np.ndarray:
                                                 posteriors(votes[:, QUALITY_LABELLERS:], counts))}
     share = int(np.ceil(min(1.0, TRAIN_DOCS / counts.sum()) * (1 << 20)))
     sample = docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < share)
-    rows = sample.select("text").mapInPandas(_featured, "votes array<int>, at array<int>, x array<double>").collect()
+    # packed: as lists, every feature would be two objects of Python on the driver
+    rows = sample.select("text").mapInPandas(_featured, "votes array<int>, at binary, x binary").collect()
     if not rows:
         return np.zeros((2, DIM + 1))
     target = np.array([known[tuple(r.votes)] for r in rows])
-    pairs = [(r["at"], r["x"]) for r in rows]
-    return np.stack([fit(pairs, target[:, j]) for j in (0, 1)])
+    sizes = np.array([len(r["at"]) // 4 for r in rows])
+    at = np.frombuffer(b"".join(r["at"] for r in rows), "<i4")
+    x = np.frombuffer(b"".join(r["x"] for r in rows), "<f8")
+    del rows
+    return np.stack([fit(at, x, sizes, target[:, j]) for j in (0, 1)])
 
 
 def classify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
