@@ -318,32 +318,40 @@ def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days:
 
 def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket_seconds: int) -> DataFrame:
     msgs = messages.select("user_id", "event_id", "message_ts", "day", "city", "tz")
-    runs, buckets = _bucketed_runs(msgs, bucket_seconds)
-    user = ["_u", "_un"]
-    grp = runs.groupBy(*_known(), "seq_label", "city").agg(
-        F.count_distinct("day").alias("days"), F.min("day").alias("first_day"),
-        F.max("day").alias("last_day"), F.max("message_ts").alias("max_ts"), F.max("event_id").alias("max_eid"))
+    m, buckets = _buckets(msgs, bucket_seconds)
+    user, stay = ["_u", "_un"], ["_u", "_un", "seq_label", "city"]
+    # both sides use every shuffled column, so that the messages are read, located and shuffled once
+    r = m.join(buckets.select(*_BUCKET, "_nb", "_bf", "_later", "_latest", "_earliest",
+                              F.col("_lastm.tz").alias("_tz"), F.col("_lastm.day").alias("_day")), _BUCKET)
+    is_last = F.col("_latest") & (F.col("_rn") == 1)
+    same = lambda c: F.when(is_last, F.coalesce(c, f"_{c}")).otherwise(F.col(c)).alias(c)
+    rows = r.select(*user, "event_id", "message_ts", same("day"), "city", same("tz"), *_labels(), F.when(is_last, 1).alias("last"),
+                    F.when(F.col("_earliest") & F.col("city").eqNullSafe(F.col("_first")), 1).alias("first"))
+    # fixed-width buffers (hash aggregate) over the messages; names are compared over a stay's days only
+    left, last = F.col("flag") == 1, F.col("last") == 1
+    days = rows.groupBy(*stay, "day", "tz").agg(
+        F.max("message_ts").alias("max_ts"), F.max("event_id").alias("max_eid"), F.max(F.when(left, 1)).alias("left"),
+        F.max(F.when(left, F.col("message_ts"))).alias("left_ts"), F.max(F.when(left, F.col("event_id"))).alias("left_id"),
+        F.max("last").alias("last"), F.max(F.when(last, F.col("message_ts"))).alias("last_ts"),
+        F.max(F.when(last, F.col("event_id"))).alias("last_id"), F.max("first").alias("first"))
+    grp = days.groupBy(*stay).agg(
+        F.count_distinct("day").alias("days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+        *[F.max(c).alias(c) for c in ("max_ts", "max_eid", "left", "left_ts", "left_id", "last", "last_ts", "last_id", "first")],
+        F.max(F.when(last, F.col("tz"))).alias("last_tz"))
     gstruct = F.struct("city", "days", "first_day", "last_day", "max_ts", "max_eid")
-    lab = grp.groupBy(*user).agg(F.max("seq_label").alias("L"))
-    g = grp.join(lab, user)
-    inc_groups = g.groupBy(*user).agg(
+    event = lambda k, *more: F.struct(F.col(f"{k}_ts").alias("message_ts"), F.col(f"{k}_id").alias("event_id"), "city", *more)
+    # a run ends with its flagged message, so a stay holds at most one travel
+    inc = grp.withColumn("L", F.max("seq_label").over(Window.partitionBy(*user))).groupBy(*user).agg(
         F.first("L").alias("L"),
         F.collect_list(F.when(F.col("seq_label") == 0, gstruct)).alias("inc_open"),
         F.collect_list(F.when(F.col("seq_label") == F.col("L"), gstruct)).alias("inc_first"),
         F.max(F.when((F.col("seq_label") > 0) & (F.col("seq_label") < F.col("L"))
                      & F.col("city").isNotNull() & (F.col("days") > min_days),
-                     F.struct("max_ts", "max_eid", "city"))).alias("inc_mid"))
-    ends = buckets.groupBy(*user).agg(
-        F.first("user_id").alias("user_id"),
-        F.max_by(F.struct(F.col("_lastm.message_ts").alias("message_ts"),
-                          F.col("_lastm.event_id").alias("event_id"),
-                          F.col("_lastm.city").alias("city"), F.col("_lastm.tz").alias("tz")),
-                 F.col("_latest").cast("int")).alias("inc_last"),
-        F.max_by("_first", F.col("_earliest").cast("int")).alias("inc_first_city"))
-    trav = runs.where(F.col("flag") == 1).groupBy(*_known()).agg(
-        F.array_sort(F.collect_list(F.struct("message_ts", "event_id", "city")))
-        .alias("inc_travels"))
-    inc = inc_groups.join(ends, user).join(trav, user, "left").drop("_u", "_un")
+                     F.struct("max_ts", "max_eid", "city"))).alias("inc_mid"),
+        F.max(F.when(last, event("last", F.col("last_tz").alias("tz")))).alias("inc_last"),
+        F.max(F.when((F.col("first") == 1) & (F.col("seq_label") == F.col("L")), F.struct("city"))).alias("_fc"),
+        F.array_sort(F.collect_list(F.when(F.col("left") == 1, event("left")))).alias("inc_travels"))
+    inc = inc.select("*", F.when(~F.col("_un"), F.col("_u")).alias("user_id"), F.col("_fc.city").alias("inc_first_city")).drop(*user, "_fc")
 
     last, trips, groups, home = _types(messages)
     if state is None:
