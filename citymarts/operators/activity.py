@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citymarts.functions.geo import with_nearest_city
+from citymarts.session import materialized
 from citymarts.sources import sinks
 
 ORDER = ("message_ts", "event_id")
@@ -36,11 +37,20 @@ def messages_in_cities(events: DataFrame, geo: DataFrame) -> DataFrame:
     ``user_id, event_id, message_ts, day, zone_id, city, tz``; city NULL when
     the message has no coordinates.
     """
-    m = (events.where(F.col("event_type") == "message")
-         .select(F.col("event.message_from").alias("user_id"), "event_id",
-                 F.col("event.message_ts").cast("timestamp").alias("message_ts"),
-                 "lat", "lon"))
-    m = with_nearest_city(m, geo, out="_near")
+    return located_messages(sent_messages(events), geo)
+
+
+def sent_messages(events: DataFrame) -> DataFrame:
+    """All messages with the sender, not yet located: ``user_id, event_id, message_ts, lat, lon``."""
+    return (events.where(F.col("event_type") == "message")
+            .select(F.col("event.message_from").alias("user_id"), "event_id",
+                    F.col("event.message_ts").cast("timestamp").alias("message_ts"),
+                    "lat", "lon"))
+
+
+def located_messages(sent: DataFrame, geo: DataFrame) -> DataFrame:
+    """``messages_in_cities`` of ``sent_messages``."""
+    m = with_nearest_city(sent, geo, out="_near")
     return m.select("user_id", "event_id", "message_ts",
                     F.to_date("message_ts").alias("day"),
                     F.col("_near.zone_id").alias("zone_id"),
@@ -286,6 +296,19 @@ def late_users(state: DataFrame, messages: DataFrame) -> DataFrame:
             .select("user_id", F.col("_first.message_ts").alias("since")))
 
 
+# A user with more messages than these in one advance is spread over tasks.
+HOT_USER_MESSAGES = 100_000
+
+
+def hot_users(messages: DataFrame, limit: int | None = None) -> DataFrame:
+    """``user_id`` of those with more than ``limit`` messages (default ``HOT_USER_MESSAGES``), counted once.
+
+    At most one in ``limit`` messages has such a row. A NULL sender is a user, too.
+    """
+    n = messages.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return materialized(n.where(F.col("n") > (HOT_USER_MESSAGES if limit is None else limit)).select("user_id"), "hot-users")
+
+
 def only(df: DataFrame, users: DataFrame, how: str) -> DataFrame:
     """``df`` semi- or anti-joined with ``users``; a NULL user is one, too."""
     u = users.select(F.col("user_id").alias("_ou"))
@@ -293,7 +316,8 @@ def only(df: DataFrame, users: DataFrame, how: str) -> DataFrame:
 
 
 def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days: int = 27,
-                        bucket_seconds: int = 3600, history: DataFrame | None = None) -> DataFrame:
+                        bucket_seconds: int = 3600, history: DataFrame | None = None,
+                        hot: DataFrame | None = None) -> DataFrame:
     """Users-mart state after appending ``messages``.
 
     State per user: ``last`` message, ``travels`` (flagged messages, oldest
@@ -307,26 +331,58 @@ def advance_users_state(state: DataFrame | None, messages: DataFrame, min_days:
     ``history``: all messages, the new ones included. Users whose new messages
     are not all later than their state (late rows) are rebuilt from it; without
     it such messages are an error of the caller.
+
+    ``hot`` (``hot_users`` of the messages): only these users are spread over
+    tasks by time buckets; all messages of any other are labelled and aggregated
+    in one task after a single shuffle by user. By default, all are spread.
     """
     if state is not None and history is not None:
         late = late_users(state, messages)
         ontime = _advance(only(state, late, "left_anti"), only(messages, late, "left_anti"),
-                          min_days, bucket_seconds)
-        return ontime.unionByName(_advance(None, only(history, late, "left_semi"), min_days, bucket_seconds))
-    return _advance(state, messages, min_days, bucket_seconds)
+                          min_days, bucket_seconds, hot)
+        return ontime.unionByName(_advance(None, only(history, late, "left_semi"), min_days, bucket_seconds, hot))
+    return _advance(state, messages, min_days, bucket_seconds, hot)
 
 
-def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket_seconds: int) -> DataFrame:
-    msgs = messages.select("user_id", "event_id", "message_ts", "day", "city", "tz")
+_USER = ["_u", "_un"]
+
+
+def _spread_rows(msgs: DataFrame, bucket_seconds: int) -> DataFrame:
+    """Messages with their labels, the user's ``last`` message and those of its ``first`` city, by time buckets."""
     m, buckets = _buckets(msgs, bucket_seconds)
-    user, stay = ["_u", "_un"], ["_u", "_un", "seq_label", "city"]
     # both sides use every shuffled column, so that the messages are read, located and shuffled once
     r = m.join(buckets.select(*_BUCKET, "_nb", "_bf", "_later", "_latest", "_earliest",
                               F.col("_lastm.tz").alias("_tz"), F.col("_lastm.day").alias("_day")), _BUCKET)
     is_last = F.col("_latest") & (F.col("_rn") == 1)
     same = lambda c: F.when(is_last, F.coalesce(c, f"_{c}")).otherwise(F.col(c)).alias(c)
-    rows = r.select(*user, "event_id", "message_ts", same("day"), "city", same("tz"), *_labels(), F.when(is_last, 1).alias("last"),
+    return r.select(*_USER, "event_id", "message_ts", same("day"), "city", same("tz"), *_labels()[1:], F.when(is_last, 1).alias("last"),
                     F.when(F.col("_earliest") & F.col("city").eqNullSafe(F.col("_first")), 1).alias("first"))
+
+
+def _rows_by_user(msgs: DataFrame) -> DataFrame:
+    """The same for users with few messages each: one window over all that a user has."""
+    w = Window.partitionBy(*_USER).orderBy(*[F.col(c).desc() for c in ORDER])
+    m = msgs.select(*_known(), "event_id", "message_ts", "day", "city", "tz")
+    m = m.select("*", F.when(F.col("city") != F.lag("city").over(w), 1).otherwise(0).alias("flag"),
+                 F.when(F.row_number().over(w) == 1, 1).alias("last"),
+                 F.when(F.lead(F.lit(1)).over(w).isNull(), 1).alias("first"))
+    label = F.sum("flag").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).cast("bigint")
+    return m.select(*_USER, "event_id", "message_ts", "day", "city", "tz", "flag", label.alias("seq_label"), "last", "first")
+
+
+def _increments(messages: DataFrame, min_days: int, bucket_seconds: int, hot: DataFrame | None) -> DataFrame:
+    """What the messages add to each user's state. Hot users have a plan of their own, so that the others' needs one shuffle only."""
+    msgs = messages.select("user_id", "event_id", "message_ts", "day", "city", "tz")
+    if hot is None:
+        return _increment(_spread_rows(msgs, bucket_seconds), min_days)
+    if hot.isEmpty():
+        return _increment(_rows_by_user(msgs), min_days)
+    return _increment(_rows_by_user(only(msgs, hot, "left_anti")), min_days).unionByName(
+        _increment(_spread_rows(only(msgs, hot, "left_semi"), bucket_seconds), min_days))
+
+
+def _increment(rows: DataFrame, min_days: int) -> DataFrame:
+    user, stay = _USER, [*_USER, "seq_label", "city"]
     # fixed-width buffers (hash aggregate) over the messages; names are compared over a stay's days only
     left, last = F.col("flag") == 1, F.col("last") == 1
     days = rows.groupBy(*stay, "day", "tz").agg(
@@ -351,8 +407,12 @@ def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket
         F.max(F.when(last, event("last", F.col("last_tz").alias("tz")))).alias("inc_last"),
         F.max(F.when((F.col("first") == 1) & (F.col("seq_label") == F.col("L")), F.struct("city"))).alias("_fc"),
         F.array_sort(F.collect_list(F.when(F.col("left") == 1, event("left")))).alias("inc_travels"))
-    inc = inc.select("*", F.when(~F.col("_un"), F.col("_u")).alias("user_id"), F.col("_fc.city").alias("inc_first_city")).drop(*user, "_fc")
+    return inc.select("*", F.when(~F.col("_un"), F.col("_u")).alias("user_id"), F.col("_fc.city").alias("inc_first_city")).drop(*user, "_fc")
+
 
+def _advance(state: DataFrame | None, messages: DataFrame, min_days: int, bucket_seconds: int,
+             hot: DataFrame | None = None) -> DataFrame:
+    inc = _increments(messages, min_days, bucket_seconds, hot)
     last, trips, groups, home = _types(messages)
     if state is None:
         st = inc.select("user_id").where(F.lit(False)).select(

@@ -89,14 +89,20 @@ def update_users_state(spark: SparkSession, run_date, ods_root: str | EventLake,
     past = sorted(d for d in days if d < as_date(run_date))
     made_with = {"geo": fingerprint(geo)} | _order(lake)
 
-    def located(some: list[dt.date] | None = None) -> DataFrame:
-        return activity.messages_in_cities(lake.scan(spark, past if some is None else some), geo)
+    def sent(some: list[dt.date] | None = None) -> DataFrame:
+        return activity.sent_messages(lake.scan(spark, past if some is None else some))
+
+    def located(messages: DataFrame) -> DataFrame:
+        return activity.located_messages(messages, geo)
+
+    def full(some: list[dt.date]) -> DataFrame:
+        messages = sent(some)
+        return activity.advance_users_state(None, located(messages), hot=activity.hot_users(messages))
 
     def step(state: DataFrame, start: dt.date, since: list[dt.date]) -> DataFrame:
-        return advanced_users(state, located(since), partial(_earlier_users, spark, state_root, days, past, made_with), located)
+        return advanced_users(state, sent(since), partial(_earlier_users, spark, state_root, days, past, made_with), sent, located)
 
-    return states.advance(spark, state_root, run_date, days, lambda some: activity.advance_users_state(None, located(some)),
-                          step, rebuild, made_with)
+    return states.advance(spark, state_root, run_date, days, full, step, rebuild, made_with)
 
 
 def _earlier_users(spark, state_root, days, past, made_with, since: dt.date) -> tuple[DataFrame | None, list[dt.date]]:
@@ -107,7 +113,7 @@ def _earlier_users(spark, state_root, days, past, made_with, since: dt.date) ->
     return spark.read.parquet(states.dated(state_root, start)), [d for d in past if d >= start]
 
 
-def advanced_users(state: DataFrame, new: DataFrame, earlier, located) -> DataFrame:
+def advanced_users(state: DataFrame, new: DataFrame, earlier, located, locate=None) -> DataFrame:
     """``activity.advance_users_state`` with late rows replayed from an earlier state.
 
     Users whose new messages all follow their state's last one are advanced.
@@ -117,12 +123,15 @@ def advanced_users(state: DataFrame, new: DataFrame, earlier, located) -> DataFr
     precedes all others) are rebuilt from all days, without a state. No part
     that has no users gets into the plan, and as every user is in one part only,
     all go through one advance.
+
+    With ``locate`` the messages given are not located yet: those that the
+    advance takes are picked and written first, then located and counted by user.
     """
     late = materialized(activity.late_users(state, new), "late-users")
     first = late.agg(F.count(F.lit(1)).alias("n"), F.min(F.to_date("since")).alias("since"),
                      F.count_if(F.col("since").isNull()).alias("timeless")).first()
     if not first.n:
-        return activity.advance_users_state(state, new)
+        return _advanced(state, new, locate)
     bases, messages = [activity.only(state, late, "left_anti")], [activity.only(new, late, "left_anti")]
     timed, rest = late.where("since is not null"), late.where("since is null")
     former, after = earlier(first.since) if first.since is not None else (None, [])
@@ -136,7 +145,14 @@ def advanced_users(state: DataFrame, new: DataFrame, earlier, located) -> DataFr
         rest = None if still.isEmpty() and not first.timeless else rest.unionByName(still)
     if rest is not None:
         messages.append(activity.only(located(), rest, "left_semi"))
-    return activity.advance_users_state(reduce(DataFrame.unionByName, bases), reduce(DataFrame.unionByName, messages))
+    picked = reduce(DataFrame.unionByName, messages)
+    return _advanced(reduce(DataFrame.unionByName, bases), materialized(picked, "step-messages") if locate else picked, locate)
+
+
+def _advanced(state: DataFrame, messages: DataFrame, locate) -> DataFrame:
+    if locate is None:
+        return activity.advance_users_state(state, messages)
+    return activity.advance_users_state(state, locate(messages), hot=activity.hot_users(messages))
 
 
 def _order(lake: EventLake) -> dict[str, str]:
