@@ -13,7 +13,8 @@ Skew: the only ordered computation (``city_runs``) windows over
 window over one row per bucket, so a hot user is spread over as many tasks as
 it has active buckets. Per-user results are aggregates that combine map-side
 (``count``, ``count_distinct``, ``max``, ``collect_list``), so a user holding
-a third of all messages costs one pre-aggregated row per map task.
+a third of all messages costs one pre-aggregated row per map task. The state's
+advance spreads only the users that it is told are hot (``hot_users``).
 """
 
 from __future__ import annotations
